@@ -1,7 +1,12 @@
 """All registered queries."""
 
 from . import (  # noqa: F401
+    q_lifecycle,
+    q_matching,
+    q_settings,
     q_sources,
+    q_tasks,
     q_views,
+    q_windows,
 )
 from .registry import QUERIES, SQL  # noqa: F401

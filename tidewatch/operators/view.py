@@ -148,3 +148,11 @@ def task_page(tasks: DataFrame, stage, mode: str, keys: Sequence[str], stage_col
     index = keys[0] if by_id else run_time
     return view(tasks, index, keys, parent_index=stage_col, parent=stage,
                 reverse=mode == "DECREASING_RUNTIME", skip=skip, max=max)
+
+
+def report_kv(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Report columns to (label, value) rows; null or empty values read ``N/A``."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("label"), F.col(c).cast("string").alias("value"))
+                      for c in columns])
+    return (df.select(*keys, F.inline(pairs))
+            .withColumn("value", F.coalesce(F.nullif("value", F.lit("")), F.lit("N/A"))))

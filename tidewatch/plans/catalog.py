@@ -3,6 +3,7 @@
 from . import (  # noqa: F401
     q_lifecycle,
     q_matching,
+    q_scalars,
     q_settings,
     q_sources,
     q_tasks,

@@ -2,6 +2,7 @@
 
 from . import (  # noqa: F401
     q_lifecycle,
+    q_liveness,
     q_matching,
     q_scalars,
     q_settings,

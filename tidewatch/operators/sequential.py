@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, LongType, StructType
 
 from ..session import rows_per_task, written
 from .lifecycle import micros
@@ -68,7 +68,7 @@ def _entry_states(chunks: DataFrame, keys: list[str], order: list[str], step: St
               .filter(F.col("__parts") > 1).drop("__parts"))
     entries = written(places.withColumn(STATE, F.array().cast("array<bigint>")))
     key_fields = [f for f in chunks.schema.fields if f.name in [*keys, CHUNK]]
-    exit_shape = StructType(key_fields).add("__exit", "array<bigint>")
+    exit_shape = StructType(list(key_fields)).add("__exit", ArrayType(LongType()))
     column_order = [f.name for f in key_fields]
 
     def leave(pdf: pd.DataFrame) -> pd.DataFrame:

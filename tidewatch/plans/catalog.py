@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     q_scalars,
     q_settings,
     q_sources,
+    q_streaming,
     q_tasks,
     q_views,
     q_windows,

@@ -87,7 +87,7 @@ def _(t):
                                         CHECK)
 
 
-@query("expire_workers", f"""
+WORKERS_SQL = f"""
 WITH RECURSIVE e AS (
   SELECT member_id, kind, epoch_us(ts) AS us, row_number() OVER (
            PARTITION BY member_id ORDER BY ts, event_id) AS rn
@@ -121,7 +121,10 @@ FROM walk WHERE done_reg IS NOT NULL
 UNION ALL
 SELECT member_id, make_timestamp(reg), CASE WHEN due <= (SELECT max(epoch_us(ts)) FROM events)
   THEN make_timestamp(due) END FROM open_end
-""", "v_beats")
+"""
+
+
+@query("expire_workers", WORKERS_SQL, "v_beats")
 def _(t):
     until = liveness.horizon(t.beats, "ts")
     return ntz(liveness.expire_workers(t.beats, "member_id", "ts", "event_id", "kind", CHECK,
@@ -187,7 +190,7 @@ def _(t):
     return ntz(liveness.overflow_report(events, "ts", "1 hour", capacity=3), "report_start")
 
 
-@query("throttle", f"""
+THROTTLE_SQL = f"""
 WITH RECURSIVE r AS (
   SELECT event_id, user_id AS member_id, ts, epoch_us(ts) AS us, event_type = 'purchase' AS terminal,
          row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
@@ -199,14 +202,17 @@ walk AS (
          r.terminal OR r.us - w.last > {24 * US_PER_HOUR}
   FROM walk w JOIN r ON r.member_id = w.member_id AND r.rn = w.rn + 1)
 SELECT member_id, event_id, ts FROM walk WHERE emitted
-""")
+"""
+
+
+@query("throttle", THROTTLE_SQL)
 def _(t):
     rows = t.read("events").select("event_id", F.col("user_id").alias("member_id"), "ts",
                                    (F.col("event_type") == "purchase").alias("terminal"))
     return sequential.throttle(rows, ["member_id"], "ts", "event_id", 24 * US_PER_HOUR, "terminal")
 
 
-@query("exclusion_windows", f"""
+EXCLUSION_SQL = f"""
 WITH RECURSIVE f AS (
   SELECT host_id, event_id, ts, epoch_us(ts) AS us, row_number() OVER (
     PARTITION BY host_id ORDER BY ts, event_id) AS rn FROM v_beats WHERE kind = 'failure'),
@@ -225,7 +231,10 @@ walk AS (
         FROM walk w JOIN f ON f.host_id = w.host_id AND f.rn = w.rn + 1) x)
 SELECT host_id, event_id, ts, tracked, recent, make_timestamp(started) AS excluded_until
 FROM walk WHERE rn > 0
-""", "v_beats")
+"""
+
+
+@query("exclusion_windows", EXCLUSION_SQL, "v_beats")
 def _(t):
     failures = t.beats.filter(F.col("kind") == "failure")
     return ntz(sequential.exclusion_windows(failures, "host_id", "ts", "event_id", 2,

@@ -37,8 +37,8 @@ def _as_time(at: Column) -> Column:
 
 
 def live_steps(df: DataFrame, member: str, ts: str, seq: str, kind: str, timeout_us: int,
-               check_us: int, until_us: int | None = None) -> DataFrame:
-    """Events with the end of the live interval they would belong to.
+               check_us: int, until_us: int | None = None) -> Ordered:
+    """Events, in order, with the ``end`` of the live interval they would belong to.
 
     An event is followed by an end when the first tick beyond its timeout comes no later than the
     next event, or when it is a removal. The earliest such end from a row on is the end of the
@@ -54,8 +54,7 @@ def live_steps(df: DataFrame, member: str, ts: str, seq: str, kind: str, timeout
     steps.with_column("__candidate", F.when(
         F.col(kind) == REMOVE, F.struct(at.alias("at"), F.lit("removed").alias("reason")))
         .when(silent, F.struct(tick.alias("at"), F.lit("expired").alias("reason"))))
-    steps.running("end", F.min, F.col("__candidate"), following=True)
-    return steps.df
+    return steps.running("end", F.min, F.col("__candidate"), following=True)
 
 
 def live_intervals(df: DataFrame, member: str, ts: str, seq: str, kind: str,
@@ -67,7 +66,7 @@ def live_intervals(df: DataFrame, member: str, ts: str, seq: str, kind: str,
     a check tick more than the timeout after the last refresh ends it. A late heartbeat that still
     comes before the tick saves the member.
     """
-    steps = live_steps(df, member, ts, seq, kind, timeout_us, check_us, until_us)
+    steps = live_steps(df, member, ts, seq, kind, timeout_us, check_us, until_us).df
     at = F.col("__at")
     grouped = (steps.filter(F.col(kind) != REMOVE)
                .groupBy(member, "end").agg(
@@ -119,7 +118,7 @@ def reregister_requests(df: DataFrame, member: str, ts: str, seq: str, kind: str
     A heartbeat is known if the last registration before it has the same interval end as itself.
     """
     steps = live_steps(df, member, ts, seq, kind, timeout_us, check_us, until_us)
-    known = Ordered(steps, [member], ["__at", seq]).last_known(
+    known = steps.last_known(
         "__registered", F.when(F.col(kind) == REGISTER, F.struct(F.col("end").alias("end")))).df
     live = F.col("__registered").isNotNull() & F.col("__registered.end").eqNullSafe(F.col("end"))
     return (known.filter((F.col(kind) == HEARTBEAT) & ~live)
@@ -145,7 +144,8 @@ def expire_workers(df: DataFrame, member: str, ts: str, seq: str, kind: str,
         F.min(F.when(F.col(kind) == REGISTER, place)).alias("__reg"),
         F.max(F.when(F.col(kind) == HEARTBEAT, place)).alias("__beat")))
     w = F.col("__w")
-    rows = Ordered(windows, [member], ["__w"]).previous("__before", w).next("__after", w)
+    rows = (Ordered(windows, [member], ["__w"], bound=(df, 1))
+            .previous("__before", w).next("__after", w))
     apart = F.col("__before").isNull() | (F.col("__before") != w - 1)
     rows.with_column("__fixed", F.when(F.coalesce(F.col("__beat") > F.col("__reg"), F.lit(False)),
                                        True)

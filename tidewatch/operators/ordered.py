@@ -52,13 +52,21 @@ class Ordered:
     """Running values, neighbours and row numbers within ``keys`` in the given order."""
 
     def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
-                 limit: int | None = None):
+                 limit: int | None = None, bound: tuple[DataFrame, int] | None = None):
+        """``bound`` is a cheaper frame with the same keys: a key of ``df`` has at most its rows
+        times the given factor. Only if that is too much is ``df`` itself counted.
+        """
         self.keys = list(keys)
         self.order = _columns(order)
         limit = limit or rows_per_task(df.sparkSession)
+        self.spread = False
+        self.rows = df
+        if bound is not None and largest_group(bound[0], self.keys)[1] * bound[1] <= limit:
+            return
         total, largest = largest_group(df, self.keys)
-        self.spread = largest > limit
-        self.rows = split_by_order(df, self.keys, order, total, limit) if self.spread else df
+        if largest > limit:
+            self.spread = True
+            self.rows = split_by_order(df, self.keys, order, total, limit)
 
     @property
     def df(self) -> DataFrame:

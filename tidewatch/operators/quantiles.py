@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import Ordered
+from ..session import rows_per_task
+from .ordered import Ordered, largest_group
 
 
 def valid_tasks(df: DataFrame, group: Sequence[str], run_time: str) -> DataFrame:
@@ -25,18 +26,25 @@ def metric_quantiles(df: DataFrame, group: Sequence[str], metrics: Sequence[str]
     """Rows (group, metric, quantile, task_count, value).
 
     The value is the one at index ``min(floor(q * n), n - 1)`` of the ascending non-negative
-    values, with ``n`` from the run time; NaN where a metric has fewer values. Equal values are
-    counted before anything is ranked, so ranking works on distinct values only, and a group
-    with most of the rows is ranked by several tasks.
+    values, with ``n`` from the run time; NaN where a metric has fewer values. Groups that fit a
+    task are ranked in one shuffle. Beyond that equal values are counted first, so that no
+    single value is hot, and the distinct values of a group are ranked by several tasks.
     """
     counts = valid_tasks(df, group, run_time)
     value = F.col("value")
-    histogram = (df.select(*group, F.inline(F.array(*[
+    values = df.select(*group, F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
         for m in metrics]))).filter(value >= 0)
-        .groupBy(*group, "metric", "value").agg(F.count(F.lit(1)).alias("__n")))
-    ranked = Ordered(histogram, [*group, "metric"], ["value"]).running(
-        "__upto", F.sum, F.col("__n")).df
+    _total, largest = largest_group(df, group)
+    if largest <= rows_per_task(df.sparkSession):
+        rank = F.row_number().over(Window.partitionBy(*group, "metric").orderBy("value"))
+        ranked = values.withColumn("__upto", rank.cast("bigint")).withColumn(
+            "__n", F.lit(1).cast("bigint"))
+    else:
+        histogram = values.groupBy(*group, "metric", "value").agg(
+            F.count(F.lit(1)).alias("__n"))
+        ranked = Ordered(histogram, [*group, "metric"], ["value"]).running(
+            "__upto", F.sum, F.col("__n")).df
     grid = F.array(*[F.lit(float(q)) for q in sorted(set(quantiles))])
     upto = F.col("__upto")
 

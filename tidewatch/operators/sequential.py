@@ -1,7 +1,7 @@
 """Rules whose next step depends on their last decision: throttling and exclusion windows.
 
-``fold`` runs a small state machine over each key's rows in order. Keys that fit one task run as
-one group. A larger key is cut into ordered chunks that run in parallel from a guessed entry
+``fold`` runs a small state machine over each key's rows in order, batch by batch, so memory does
+not grow with a key. Keys whose rows suit one task are replayed there. A larger key is cut into ordered chunks that run in parallel from a guessed entry
 state; chunks whose real entry state (the exit state of the chunk before) differs are run again
 until no entry changes. That is exact when it stops, and it stops after at most as many rounds as
 a key has chunks. These rules forget quickly, so it takes two or three.
@@ -9,7 +9,7 @@ a key has chunks. These rules forget quickly, so it takes two or three.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -23,35 +23,70 @@ from .ordered import CHUNK, largest_group, split_by_order
 
 STATE = "__state"
 
-#: (rows in order, entry state) -> (columns to add, exit state)
-Step = Callable[[pd.DataFrame, list[int]], tuple[dict[str, np.ndarray], list[int]]]
+#: (column values in order, entry state) -> (columns to add, exit state)
+Step = Callable[[dict[str, np.ndarray], list[int]], tuple[dict[str, np.ndarray], list[int]]]
 
 
 def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: Step, added: str,
          limit: int | None = None) -> DataFrame:
     """``df`` with the columns ``added`` (DDL) that ``step`` computes per key in ``order``.
 
-    Pass only the columns the rule needs plus a row id; they travel through Arrow.
+    ``step`` sees a key's rows in pieces, each with the exit state of the piece before. Pass only
+    the columns the rule needs plus a row id; they travel through Arrow.
     """
     keys, order = list(keys), list(order)
-    names = [f.name for f in StructType.fromDDL(added).fields]
-    shape = StructType(list(df.schema.fields) + list(StructType.fromDDL(added).fields))
-
-    def run(pdf: pd.DataFrame, state: list[int]) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable", ignore_index=True)
-        columns, _exit = step(pdf, state)
-        return pdf.assign(**columns)[list(shape.names)]
-
+    extra = StructType.fromDDL(added).fields
+    shape = StructType(list(df.schema.fields) + list(extra))
     limit = limit or rows_per_task(df.sparkSession)
     total, largest = largest_group(df, keys)
     if largest <= limit:
-        return df.groupBy(*keys).applyInPandas(lambda pdf: run(pdf, []), shape)
+        groups, rows = keys, df
+    else:
+        chunks = split_by_order(df, keys, order, total, limit)
+        groups, rows = [*keys, CHUNK], _attach(chunks, _entry_states(chunks, keys, order, step),
+                                               keys)
+    names = shape.names
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf, columns, _ends in _replayed(batches, groups, step):
+            if len(pdf):
+                yield pdf.assign(**columns)[names]
+
+    return _in_order(rows, groups, order).mapInPandas(run, shape)
+
 
-    chunks = split_by_order(df, keys, order, total, limit)
-    entries = _entry_states(chunks, keys, order, step)
-    with_state = _attach(chunks, entries, keys)
-    return with_state.groupBy(*keys, CHUNK).applyInPandas(
-        lambda pdf: run(pdf, list(pdf[STATE].iloc[0])), shape)
+def _in_order(rows: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
+    """Each group in one partition, sorted. The explicit number keeps small inputs from being
+    merged into one Python worker."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(parts, *groups).sortWithinPartitions(*groups, *order)
+
+
+def _replayed(batches: Iterator[pd.DataFrame], groups: list[str], step: Step):
+    """Run ``step`` over sorted batches; a group may go on in the next batch.
+
+    Yields each batch with the columns to add and the groups that ended before or in it.
+    """
+    current, state = None, []
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        values = {name: pdf[name].to_numpy() for name in pdf.columns}
+        places = pdf.groupby(groups, sort=False, dropna=False).ngroup().to_numpy()
+        starts = np.concatenate(([0], np.flatnonzero(np.diff(places)) + 1, [len(pdf)]))
+        marked, ends = [], []
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            key = tuple(None if pd.isna(values[g][a]) else values[g][a] for g in groups)
+            if key != current:
+                if current is not None:
+                    ends.append((current, state))
+                current = key
+                state = [int(v) for v in values[STATE][a]] if STATE in values else []
+            columns, state = step({n: v[a:b] for n, v in values.items()}, state)
+            marked.append(columns)
+        yield pdf, {n: np.concatenate([m[n] for m in marked]) for n in marked[0]}, ends
+    if current is not None:
+        yield pd.DataFrame(), {}, [(current, state)]
 
 
 def _attach(chunks: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:
@@ -67,30 +102,30 @@ def _entry_states(chunks: DataFrame, keys: list[str], order: list[str], step: St
               .withColumn("__parts", F.count(F.lit(1)).over(per_key))
               .filter(F.col("__parts") > 1).drop("__parts"))
     entries = written(places.withColumn(STATE, F.array().cast("array<bigint>")))
-    key_fields = [f for f in chunks.schema.fields if f.name in [*keys, CHUNK]]
-    exit_shape = StructType(list(key_fields)).add("__exit", ArrayType(LongType()))
-    column_order = [f.name for f in key_fields]
+    groups = [*keys, CHUNK]
+    exit_shape = StructType([chunks.schema[g] for g in groups]).add(
+        "__exit", ArrayType(LongType()))
 
-    def leave(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable", ignore_index=True)
-        _columns, state = step(pdf, list(pdf[STATE].iloc[0]))
-        row = {name: [pdf[name].iloc[0]] for name in column_order}
-        return pd.DataFrame({**row, "__exit": [[int(v) for v in state]]})
+    def leave(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for _pdf, _columns, ends in _replayed(batches, groups, step):
+            if ends:
+                yield pd.DataFrame([(*key, [int(v) for v in state]) for key, state in ends],
+                                   columns=exit_shape.names)
 
     todo, exits = entries, None
     while True:
-        fresh = written(chunks.join(F.broadcast(todo), [*keys, CHUNK])
-                        .groupBy(*keys, CHUNK).applyInPandas(leave, exit_shape))
+        rows = chunks.join(F.broadcast(todo), groups)
+        fresh = written(_in_order(rows, groups, order).mapInPandas(leave, exit_shape))
         if exits is not None:
-            fresh = fresh.unionByName(exits.join(fresh, [*keys, CHUNK], "left_anti"))
+            fresh = fresh.unionByName(exits.join(fresh, groups, "left_anti"))
         exits = written(fresh)
         before = F.lag("__exit").over(Window.partitionBy(*keys).orderBy(CHUNK))
-        wanted = exits.select(*keys, CHUNK, F.coalesce(
+        wanted = exits.select(*groups, F.coalesce(
             before, F.array().cast("array<bigint>")).alias("__wanted"))
-        joined = written(entries.join(wanted, [*keys, CHUNK]))
+        joined = written(entries.join(wanted, groups))
         todo = (joined.filter(F.col("__wanted") != F.col(STATE))
-                .select(*keys, CHUNK, F.col("__wanted").alias(STATE)))
-        entries = joined.select(*keys, CHUNK, F.col("__wanted").alias(STATE))
+                .select(*groups, F.col("__wanted").alias(STATE)))
+        entries = joined.select(*groups, F.col("__wanted").alias(STATE))
         if todo.isEmpty():
             return entries
 
@@ -99,9 +134,9 @@ def _entry_states(chunks: DataFrame, keys: list[str], order: list[str], step: St
 
 def throttle_step(period_us: int) -> Step:
     """State: time of the last emitted row, or nothing."""
-    def step(pdf: pd.DataFrame, state: list[int]):
-        at = pdf["__at"].to_numpy(dtype=np.int64)
-        terminal = np.flatnonzero(pdf["__terminal"].to_numpy(dtype=bool))
+    def step(rows: dict[str, np.ndarray], state: list[int]):
+        at = rows["__at"]
+        terminal = np.flatnonzero(rows["__terminal"].astype(bool))
         emitted = np.zeros(len(at), dtype=bool)
         last = state[0] if state else None
         i, next_terminal = 0, 0
@@ -138,8 +173,8 @@ def throttle(df: DataFrame, keys: Sequence[str], ts: str, row_id: str, period_us
 
 def exclusion_step(most: int, interval_us: int, timeout_us: int) -> Step:
     """State: end of the exclusion, then the tracked failure times that still matter."""
-    def step(pdf: pd.DataFrame, state: list[int]):
-        at = pdf["__at"].to_numpy(dtype=np.int64)
+    def step(rows: dict[str, np.ndarray], state: list[int]):
+        at = rows["__at"]
         until = state[0] if state else np.iinfo(np.int64).min
         tracked = list(state[1:])
         counted = np.zeros(len(at), dtype=bool)

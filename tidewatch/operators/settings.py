@@ -139,7 +139,7 @@ def resolve_references(settings: DataFrame, scope: str = "scope", key: str = "ke
         nodes = nodes.unionByName(table.select(
             F.col(scope).alias("scope"), F.lit(prefix).alias("provider"),
             F.col(key).alias("key"), F.col(value).alias("value")))
-    nodes = nodes.withColumn("refs", F.regexp_extract_all("value", F.lit(REFERENCE), F.lit(0)))
+    nodes = written(nodes).withColumn("refs", F.regexp_extract_all("value", F.lit(REFERENCE), F.lit(0)))
     has_refs = F.size("refs") > 0
     id_columns = ["scope", "provider", "key"]
     visible = (F.col("provider") != "") | F.startswith(F.col("key"), F.lit("spark."))
@@ -151,38 +151,36 @@ def resolve_references(settings: DataFrame, scope: str = "scope", key: str = "ke
         *id_columns, "pos", "ref",
         F.regexp_extract("ref", REFERENCE, 1).alias("to_provider"),
         F.regexp_extract("ref", REFERENCE, 2).alias("to_key"))
-    needs = written(needs.join(targets, ["scope", "to_provider", "to_key"], "left")
-                    .withColumn("known", F.coalesce("known", F.lit(False))))
-    settled = written(nodes.filter(~has_refs).select(*id_columns, F.col("value").alias("text")))
-    texts = written(nodes.filter(has_refs).select(*id_columns, "value"))
-    waiting = needs
-    rounds = [settled]
+    known = needs.join(targets, ["scope", "to_provider", "to_key"], "left")
+    # Answers to references to nothing are their own text; the others are filled in by rounds.
+    waiting = known.select(
+        *id_columns, "pos", "to_provider", "to_key",
+        F.when(F.col("known").isNull(), F.col("ref")).alias("answer"))
+    texts = nodes.filter(has_refs).select(*id_columns, "value")
+    settled = [nodes.filter(~has_refs).select(*id_columns, F.col("value").alias("text"))]
+    per_key = Window.partitionBy(*id_columns)
     for _ in range(max_depth):
-        answers = rounds[0]
-        for more in rounds[1:]:
-            answers = answers.unionByName(more)
-        answers = answers.select("scope", F.col("provider").alias("to_provider"),
-                                 F.col("key").alias("to_key"), F.col("text").alias("answer"))
-        filled = (waiting.join(answers, ["scope", "to_provider", "to_key"], "left")
-                  .withColumn("answer", F.when(F.col("known"), F.col("answer"))
-                              .otherwise(F.col("ref"))))
+        answers = settled[-1].select("scope", F.col("provider").alias("to_provider"),
+                                     F.col("key").alias("to_key"), "text")
+        filled = written(
+            waiting.join(answers, ["scope", "to_provider", "to_key"], "left")
+            .withColumn("answer", F.coalesce("answer", "text")).drop("text")
+            .withColumn("open", F.count_if(F.col("answer").isNull()).over(per_key)))
+        ready = filled.filter(F.col("open") == 0)
         # The references of one value are collected: bounded by the length of that value.
-        whole = (filled.groupBy(*id_columns).agg(
-            F.count_if(F.col("answer").isNull()).alias("open"),
+        done = (ready.groupBy(*id_columns).agg(
             F.array_sort(F.collect_list(F.struct("pos", "answer"))).alias("answers"))
-            .filter(F.col("open") == 0))
-        done = written(whole.join(texts, id_columns)
-                       .select(*id_columns, _assembled().alias("text")))
-        if done.isEmpty():
+            .join(texts, id_columns).select(*id_columns, _assembled().alias("text")))
+        waiting = filled.filter(F.col("open") > 0).drop("open")
+        if ready.isEmpty():
             break
-        rounds.append(done)
-        waiting = written(waiting.join(done, id_columns, "left_anti"))
+        settled.append(written(done))
         if waiting.isEmpty():
             break
-    settled = rounds[0]
-    for more in rounds[1:]:
-        settled = settled.unionByName(more)
-    result = nodes.filter(F.col("provider") == "").join(settled, id_columns, "left")
+    texts_by_key = settled[0]
+    for more in settled[1:]:
+        texts_by_key = texts_by_key.unionByName(more)
+    result = nodes.filter(F.col("provider") == "").join(texts_by_key, id_columns, "left")
     return result.select(
         F.col("scope").alias(scope), F.col("key").alias(key),
         F.coalesce("text", "value").alias(value),

@@ -73,12 +73,12 @@ def retain_tasks(df: DataFrame, scope: Sequence[str], order: Sequence[str], limi
 
 
 def clamped_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], delta: str,
-                name: str = "usage") -> DataFrame:
+                name: str = "usage", bound: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Running sum in which every step is floored at 0.
 
     Equals ``S - min(0, lowest S so far)`` with the plain running sum ``S``.
     """
-    steps = (Ordered(df, keys, order).running("__sum", F.sum, F.col(delta))
+    steps = (Ordered(df, keys, order, bound=bound).running("__sum", F.sum, F.col(delta))
              .running("__low", F.min, F.col("__sum")))
     return (steps.df.withColumn(name, F.col("__sum") - F.least(F.col("__low"), F.lit(0)))
             .drop("__sum", "__low"))
@@ -102,8 +102,9 @@ def running_gauge(df: DataFrame, keys: Sequence[str], start: str, end: str, at:
     """Number of open intervals after each instant, optionally floored at 0."""
     steps = gauge_steps(df, keys, start, end, at)
     if floor:
-        return clamped_sum(steps, keys, [at], "change", "open").drop("change")
-    return Ordered(steps, keys, [at]).running("open", F.sum, F.col("change")).df.drop("change")
+        return clamped_sum(steps, keys, [at], "change", "open", bound=(df, 2)).drop("change")
+    return (Ordered(steps, keys, [at], bound=(df, 2)).running("open", F.sum, F.col("change")).df
+            .drop("change"))
 
 
 def metric_delta(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
@@ -126,14 +127,16 @@ def failures_in_interval(failures: DataFrame, keys: Sequence[str], ts: str, inte
     per_instant = (failures.select(*keys, at.alias("__at")).groupBy(*keys, "__at")
                    .agg(F.count(F.lit(1)).alias("__n")))
     if interval_us <= 0:
-        return (Ordered(per_instant, keys, ["__at"]).running(name, F.sum, F.col("__n")).df
+        return (Ordered(per_instant, keys, ["__at"], bound=(failures, 1))
+                .running(name, F.sum, F.col("__n")).df
                 .select(*keys, F.timestamp_micros("__at").alias(ts), name))
     # Entries sort before exits of the same instant, so the edge is still inside.
     moves = per_instant.select(*keys, F.explode(F.array(
         F.struct(F.col("__at"), F.lit(0).alias("__exit"), F.col("__n")),
         F.struct((F.col("__at") + interval_us).alias("__at"), F.lit(1).alias("__exit"),
                  (-F.col("__n")).alias("__n")))).alias("__m")).select(*keys, "__m.*")
-    counted = Ordered(moves, keys, ["__at", "__exit"]).running(name, F.sum, F.col("__n")).df
+    counted = (Ordered(moves, keys, ["__at", "__exit"], bound=(failures, 2))
+               .running(name, F.sum, F.col("__n")).df)
     return (counted.filter(F.col("__exit") == 0)
             .select(*keys, F.timestamp_micros("__at").alias(ts), name))
 

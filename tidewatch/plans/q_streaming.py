@@ -15,8 +15,22 @@ from .q_liveness import (BARS_SQL, CHECK, EXCLUSION_SQL, LIVE_SQL, THROTTLE_SQL,
 from .registry import query
 from .tables import number_in
 
-# What the watermark (the newest time in whole milliseconds, less the delay) has passed.
-PASSED = "(SELECT max(epoch_us(ts)) // 1000 * 1000 FROM events)"
+
+
+def passed(*kinds: str) -> str:
+    """What the watermark has passed: the newest time in whole milliseconds.
+
+    Spark moves filters below the watermark, so only rows that pass them count.
+    """
+    names = ", ".join(f"'{k}'" for k in kinds)
+    source = f"v_beats WHERE kind IN ({names})" if kinds else "events"
+    return f"(SELECT max(epoch_us(ts)) // 1000 * 1000 FROM {source})"
+
+
+PASSED = passed()
+LIVE_PASSED = passed("register", "heartbeat", "remove")
+WORKERS_PASSED = passed("register", "heartbeat")
+FAILURES_PASSED = passed("failure")
 
 
 def events(t, delay: str | None = "0 seconds"):
@@ -40,7 +54,7 @@ def folder(t, name: str) -> str:
 
 
 @query("stream_live_intervals", f"""
-WITH {LIVE_SQL} SELECT * FROM intervals WHERE epoch_us("end") <= {PASSED}
+WITH {LIVE_SQL} SELECT * FROM intervals WHERE epoch_us("end") <= {LIVE_PASSED}
 """, "v_beats")
 def _(t):
     return ntz(run.run_to_table(keyed_state.live_intervals(
@@ -51,7 +65,7 @@ def _(t):
 @query("stream_reregister_requests", f"""
 WITH {LIVE_SQL}
 SELECT b.event_id, b.member_id, b.ts FROM v_beats b
-WHERE b.kind = 'heartbeat' AND epoch_us(b.ts) <= {PASSED} AND NOT EXISTS (
+WHERE b.kind = 'heartbeat' AND epoch_us(b.ts) <= {LIVE_PASSED} AND NOT EXISTS (
   SELECT 1 FROM intervals i WHERE i.member_id = b.member_id AND i.start < b.ts
     AND (i."end" IS NULL OR i."end" > b.ts))
 """, "v_beats")
@@ -61,7 +75,7 @@ def _(t):
 
 
 @query("stream_expire_workers", f"""
-SELECT * FROM ({WORKERS_SQL}) w WHERE epoch_us(expired) <= {PASSED}
+SELECT * FROM ({WORKERS_SQL}) w WHERE epoch_us(expired) <= {WORKERS_PASSED}
 """, "v_beats")
 def _(t):
     return ntz(run.run_to_table(keyed_state.expire_workers(
@@ -80,7 +94,7 @@ def _(t):
 
 @query("stream_exclusion_windows", f"""
 SELECT host_id, ts, recent, tracked, excluded_until FROM ({EXCLUSION_SQL}) w
-WHERE epoch_us(ts) <= {PASSED}
+WHERE epoch_us(ts) <= {FAILURES_PASSED}
 """, "v_beats")
 def _(t):
     failures = beats(t).filter(F.col("kind") == "failure")
@@ -105,7 +119,7 @@ SELECT host_id, make_timestamp(w * {6 * US_PER_HOUR}) AS window_start,
 FROM (SELECT host_id, unnest(generate_series(epoch_us(ts) // {6 * US_PER_HOUR} - 7,
                                              epoch_us(ts) // {6 * US_PER_HOUR})) AS w
       FROM v_beats WHERE kind = 'failure') x
-WHERE w * {6 * US_PER_HOUR} + {48 * US_PER_HOUR} <= {PASSED}
+WHERE w * {6 * US_PER_HOUR} + {48 * US_PER_HOUR} <= {FAILURES_PASSED}
 GROUP BY host_id, w
 """, "v_beats")
 def _(t):
@@ -250,12 +264,12 @@ def _(t):
 
 
 @query("late_rows", f"""
-SELECT event_id, ts, user_id, event_type, value, props FROM (
-  SELECT e.*, max(m.newest) OVER (PARTITION BY e.event_id) AS newest_before
-  FROM (SELECT *, hour(ts) // 6 AS shift FROM events) e
-  LEFT JOIN (SELECT hour(ts) // 6 AS shift, max(ts) AS newest FROM events GROUP BY 1) m
-    ON m.shift < e.shift) x
-WHERE epoch_us(ts) <= epoch_us(newest_before) - {48 * US_PER_HOUR}
+SELECT e.event_id, e.ts, e.user_id, e.event_type, e.value, e.props FROM events e
+JOIN (SELECT s.shift, max(m.newest) AS newest
+      FROM (SELECT DISTINCT hour(ts) // 6 AS shift FROM events) s
+      JOIN (SELECT hour(ts) // 6 AS shift, max(epoch_us(ts)) AS newest FROM events GROUP BY 1) m
+        ON m.shift < s.shift GROUP BY s.shift) n ON n.shift = hour(e.ts) // 6
+WHERE epoch_us(e.ts) <= n.newest - {48 * US_PER_HOUR}
 """)
 def _(t):
     # The events arrive in four shifts by hour of day, each shift as one batch.

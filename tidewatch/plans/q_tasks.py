@@ -50,11 +50,11 @@ def stage_infos(t):
     return (t.read("lineitem").groupBy(F.col("l_orderkey").alias("job_id"),
                                        F.col("l_suppkey").alias("stage_id"))
             .agg(F.count(F.lit(1)).alias("num_tasks"),
-                 F.when(F.max("l_linestatus") == "F", F.max("l_shipdate"))
+                 F.when(F.count_if(F.col("l_linestatus") != "F") == 0, F.max("l_shipdate"))
                  .alias("completion_time"),
                  F.when(F.min("l_linenumber") % 4 != 0, F.min("l_shipdate"))
                  .alias("submission_time"),
-                 F.when(F.max("l_returnflag") == "A", "lost").alias("failure_reason"))
+                 F.when(F.count_if(F.col("l_returnflag") != "A") == 0, "lost").alias("failure_reason"))
             .withColumn("name", F.concat(F.lit("stage "), F.col("stage_id").cast("string"))))
 
 

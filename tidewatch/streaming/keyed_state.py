@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,18 +82,19 @@ class _Stepped:
     def __call__(self, ready, state, passed):
         if not ready:
             return [], state, None
-        pdf = pd.DataFrame(ready, columns=["__at", "__seq", "__terminal"])
-        columns, state = self.step(pdf, state)
-        return self.pick(pdf, columns), state, None
+        table = np.array(ready, dtype=np.int64)
+        rows = {"__at": table[:, 0], "__seq": table[:, 1], "__terminal": table[:, 2]}
+        columns, state = self.step(rows, state)
+        return self.pick(rows, columns), state, None
 
 
-def _emitted(pdf, columns):
+def _emitted(rows, columns):
     return [(at, seq, 0, 0) for at, seq, on in
-            zip(pdf["__at"], pdf["__seq"], columns["emitted"], strict=True) if on]
+            zip(rows["__at"], rows["__seq"], columns["emitted"], strict=True) if on]
 
 
-def _excluded(pdf, columns):
-    return list(zip(pdf["__at"], columns["recent"], columns["until_us"],
+def _excluded(rows, columns):
+    return list(zip(rows["__at"], columns["recent"], columns["until_us"],
                     columns["tracked"].astype(int), strict=True))
 
 

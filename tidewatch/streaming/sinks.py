@@ -175,4 +175,4 @@ class LateRows:
 
     def read(self, schema) -> DataFrame:
         return (self.spark.read.option("basePath", f"{self.path}/late").schema(schema)
-                .parquet(f"{self.path}/late/*"))
+                .parquet(f"{self.path}/late").drop("batch_id"))

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 # Characters up to the space, without line feed and carriage return.
 BLANKS = r"[\x00-\x09\x0B\x0C\x0E-\x20]"
 # Line ends and single quotes, percent-encoded and plain.
-ENCODED_NEWLINE_OR_QUOTE = r"(?i)%0[AD]|%27"
-NEWLINE_OR_QUOTE = "\r\n'"
+ENCODED_NEWLINE_OR_QUOTE = r"%(?:0[AaDd]|27)"
+NEWLINE_OR_QUOTE = ("\r", "\n", "'")
 
 NAME_LIMIT = 36
 NAME_KEPT = 32
@@ -70,8 +70,10 @@ def strip_xss(text: Column) -> Column:
 
     Characters beyond ASCII are left as they are (no named entities).
     """
-    clean = F.translate(F.regexp_replace(text, ENCODED_NEWLINE_OR_QUOTE, ""),
-                        NEWLINE_OR_QUOTE, "")
+    clean = F.when(F.contains(text, F.lit("%")),
+                   F.regexp_replace(text, ENCODED_NEWLINE_OR_QUOTE, "")).otherwise(text)
+    for plain in NEWLINE_OR_QUOTE:
+        clean = F.replace(clean, F.lit(plain), F.lit(""))
     for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
         clean = F.replace(clean, F.lit(plain), F.lit(entity))
     return clean

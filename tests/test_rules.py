@@ -349,3 +349,14 @@ def test_outcome_classes(spark):
     df = spark.createDataFrame([(r,) for r in reasons], "reason string")
     got = [r[0] for r in df.select(tasks.outcome_class(F.col("reason"))).collect()]
     assert got == ["completed", "killed", "killed", "failed", None]
+
+
+def test_retention_beyond_the_window_limit(spark, small_tasks):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    try:
+        df = spark.createDataFrame([("p", i, True) for i in range(60)],
+                                   "p string, i int, done boolean")
+        kept = windows.retain(df, ["p"], ["i"], 40, F.col("done"))
+        assert sorted(r["i"] for r in kept.collect()) == list(range(20, 60))
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")

@@ -23,33 +23,43 @@ def number_to_remove(size: Column, limit: int) -> Column:
     return F.when(size > limit, F.greatest(tenth, size - limit)).otherwise(F.lit(0))
 
 
+def _newest(df: DataFrame, scope: Sequence[str], order: Sequence[Column], most: int) -> DataFrame:
+    """The last ``most`` rows per scope, numbered from the newest (``__rn``).
+
+    Spark keeps at most ``most`` rows per scope and task before the shuffle, up to a threshold;
+    beyond that the numbering itself is spread over tasks.
+    """
+    threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if most <= threshold:
+        newest = Window.partitionBy(*scope).orderBy(*order)
+        numbered = df.withColumn("__rn", F.row_number().over(newest))
+    else:
+        numbered = Ordered(df, scope, order).row_number("__rn").df
+    return numbered.filter(F.col("__rn") <= most)
+
+
 def retain(df: DataFrame, scope: Sequence[str], order: Sequence[str], limit: int,
            removable: Column, counted: Column | None = None) -> DataFrame:
     """Rows left after removing the oldest removable ones of scopes above the limit.
 
-    ``counted`` says which rows count against the limit (all by default). At most ``limit``
-    removable rows survive in a scope that is over it, so only the newest ``limit`` per scope are
-    ranked: Spark applies that bound before the shuffle, and a scope with most of the rows
-    costs ``limit`` rows per task.
+    ``counted`` says which rows count against the limit (all by default); every removable row must
+    count. A scope over the limit keeps at most ``limit`` removable rows, so only the newest
+    ``limit`` per scope are ranked, and a scope with most of the rows costs ``limit`` rows per
+    task.
     """
     counted = F.lit(True) if counted is None else counted
     may_go = F.coalesce(removable, F.lit(False))
     sizes = df.groupBy(*scope).agg(F.count_if(counted).alias("__size"),
                                    F.count_if(may_go).alias("__removable"))
-    over = sizes.filter(F.col("__size") > limit).withColumn(
-        "__kept", F.greatest(F.col("__removable") - number_to_remove(F.col("__size"), limit),
-                             F.lit(0)))
-    # Survivors of a scope over the limit: removable - (size - limit) <= limit unless rows that
-    # count are not removable, and then fewer.
-    most = limit if limit > 0 else 1
-    newest = Window.partitionBy(*scope).orderBy(*[F.col(c).desc() for c in order])
-    ranked = (df.filter(may_go).withColumn("__rn", F.row_number().over(newest))
-              .filter(F.col("__rn") <= most))
-    survivors = (ranked.join(over.select(*scope, "__kept"), list(scope))
-                 .filter(F.col("__rn") <= F.col("__kept")).drop("__rn", "__kept"))
-    small = df.join(over.select(*scope), list(scope), "left_anti")
-    fixed = df.filter(~may_go).join(over.select(*scope), list(scope), "left_semi")
-    return small.unionByName(fixed).unionByName(survivors.select(*df.columns))
+    over = sizes.filter(F.col("__size") > limit).select(
+        *scope, F.greatest(F.col("__removable") - number_to_remove(F.col("__size"), limit),
+                           F.lit(0)).alias("__kept"))
+    untouched = (df.join(over, list(scope), "left")
+                 .filter(F.col("__kept").isNull() | ~may_go).select(*df.columns))
+    newest = _newest(df.filter(may_go), scope, [F.col(c).desc() for c in order], max(limit, 1))
+    survivors = (newest.join(over, list(scope)).filter(F.col("__rn") <= F.col("__kept"))
+                 .select(*df.columns))
+    return untouched.unionByName(survivors)
 
 
 def retain_tasks(df: DataFrame, scope: Sequence[str], order: Sequence[str], limit: int,
@@ -59,16 +69,12 @@ def retain_tasks(df: DataFrame, scope: Sequence[str], order: Sequence[str], limi
     Removing the oldest ``max(limit / 10, size - limit)`` leaves at most ``limit`` rows, so
     again only the newest ``limit`` rows per stage take part in the ranking.
     """
-    ranked_df = df.withColumn("__running", running.cast("int"))
-    sizes = ranked_df.groupBy(*scope).agg(F.count(F.lit(1)).alias("__size"))
-    keep = sizes.withColumn(
-        "__kept", F.col("__size") - number_to_remove(F.col("__size"), limit))
-    newest = Window.partitionBy(*scope).orderBy(
-        F.col("__running").desc(), *[F.col(c).desc() for c in order])
-    return (ranked_df.withColumn("__rn", F.row_number().over(newest))
-            .filter(F.col("__rn") <= max(limit, 1))
-            .join(keep.select(*scope, "__kept"), list(scope))
-            .filter(F.col("__rn") <= F.col("__kept"))
+    flagged = df.withColumn("__running", running.cast("int"))
+    kept = flagged.groupBy(*scope).agg(F.count(F.lit(1)).alias("__size")).select(
+        *scope, (F.col("__size") - number_to_remove(F.col("__size"), limit)).alias("__kept"))
+    newest = _newest(flagged, scope, [F.col("__running").desc(), *[F.col(c).desc() for c in order]],
+                     max(limit, 1))
+    return (newest.join(kept, list(scope)).filter(F.col("__rn") <= F.col("__kept"))
             .select(*df.columns))
 
 

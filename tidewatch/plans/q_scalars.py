@@ -376,7 +376,7 @@ def _(t):
     return sorting.attempts_completed(apps, True)
 
 
-@query("typed_text_sort_dates", """
+@query("typed_text_sort", """
 SELECT o_orderkey, row_number() OVER (ORDER BY CASE WHEN kind = 'mmdd' THEN concat(
     split_part(d, '/', 3), lpad(split_part(d, '/', 1), 2, '0'), lpad(split_part(d, '/', 2), 2, '0'))
     ELSE concat(split_part(d, '/', 3), lpad(split_part(d, '/', 2), 2, '0'),

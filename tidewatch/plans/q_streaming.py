@@ -181,7 +181,7 @@ def _(t):
     return ntz(run.run_to_table(keyed.subscribed(quotes, lists)), "ts")
 
 
-@query("stream_upsert_sink", """
+@query("stateful_upsert_sink", """
 SELECT member_id, kind, event_id, ts, k FROM (
   SELECT *, row_number() OVER (PARTITION BY member_id, kind ORDER BY ts DESC, event_id DESC) AS rn
   FROM v_beats) x WHERE rn = 1

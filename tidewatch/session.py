@@ -18,7 +18,9 @@ BROADCAST_ROWS = 500_000
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
+    # Joins split a hot key's rows over several tasks, also below an aggregation on that key.
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 

@@ -22,7 +22,7 @@ def rows(spark):
 
 
 def columns(df, keys, limit):
-    steps = Ordered(df, keys, [F.col("t").desc(), "id"], limit=limit)
+    steps = Ordered(df, keys, ["t desc", "id"], limit=limit)
     steps.row_number("rn").running("total", F.sum, F.col("v")).running("low", F.min, F.col("v"))
     steps.running("high_after", F.max, F.col("v"), following=True)
     steps.last_known("last", F.col("v")).next_known("soon", F.col("v"))
@@ -53,3 +53,8 @@ def test_empty_input(spark, rows):
     empty = rows.filter("false")
     assert columns(empty, ["k"], 9).df.count() == 0
     assert columns(empty, [], 9).df.count() == 0
+
+
+def test_looking_ahead_needs_names(rows):
+    with pytest.raises(TypeError):
+        Ordered(rows, ["k"], [F.col("t")], limit=10_000).next_known("x", F.col("v"))

@@ -17,6 +17,7 @@ YEAR = 365 * DAY
 NUMBER_UNITS = ((1e12, " T"), (1e9, " B"), (1e6, " M"), (1e3, " K"))
 BYTE_UNITS = ("B", "KB", "MB", "GB", "TB", "PB", "EB")
 
+# Fixed value: share of collection time that is marked.
 GC_WARNING_SHARE = 0.1
 
 

@@ -11,6 +11,7 @@ BLANKS = r"[\x00-\x09\x0B\x0C\x0E-\x20]"
 ENCODED_NEWLINE_OR_QUOTE = r"%(?:0[AaDd]|27)"
 NEWLINE_OR_QUOTE = ("\r", "\n", "'")
 
+# Length from which a name is cut, length kept.
 NAME_LIMIT = 36
 NAME_KEPT = 32
 

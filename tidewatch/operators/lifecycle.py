@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .keyed import apply_changes, latest_by_key
 from .ordered import Ordered
 
+# Default pool, states after which nothing follows.
 DEFAULT_POOL = "default"
 TERMINAL_STATES = ("FINISHED", "FAILED", "KILLED")
 

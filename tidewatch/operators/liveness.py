@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from .lifecycle import micros
 from .ordered import Ordered
 
+# Timeouts and intervals in microseconds, queue capacity.
 TIMEOUT_US = 120_000_000
 CHECK_US = 60_000_000
 WORKER_PERIOD_US = 15_000_000

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..session import written
 from .ordered import Ordered
 
+# Fixed value: mark of a skipped stage.
 SKIPPED = " (skipped)"
 
 
@@ -108,11 +109,16 @@ def zip_parallel_arrays(df: DataFrame, arrays: Sequence[str]) -> DataFrame:
 
 
 def to_parallel_arrays(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
-                       position: str = "position") -> DataFrame:
-    """Inverse of ``zip_parallel_arrays``; each key's rows become one row, so keep keys small."""
+                       position: str = "position", block_size: int = 10_000) -> DataFrame:
+    """Inverse of ``zip_parallel_arrays``: parallel arrays per key and ``block``.
+
+    A key with more than ``block_size`` positions gives several rows, numbered by ``block``, so
+    no array grows with the size of a key.
+    """
     items = F.array_sort(F.collect_list(F.struct(position, *columns)))
-    grouped = df.groupBy(*keys).agg(items.alias("__items"))
-    return grouped.select(*keys, *[F.col(f"__items.{c}").alias(c) for c in columns])
+    block = F.floor(F.col(position) / block_size).cast("bigint")
+    grouped = df.groupBy(*keys, block.alias("block")).agg(items.alias("__items"))
+    return grouped.select(*keys, "block", *[F.col(f"__items.{c}").alias(c) for c in columns])
 
 
 def path_visibility(files: DataFrame, permissions: DataFrame, path: str = "path",

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..session import rows_per_task, written
+from ..session import MAX_CHUNKS, rows_per_task, written
 
 CHUNK = "__chunk"
 EDGE = "__edge"
@@ -27,7 +27,19 @@ LOCAL = "__local"
 
 
 def _columns(order: Sequence[str | Column]) -> list[Column]:
-    return [F.col(o).asc() if isinstance(o, str) else o for o in order]
+    """Sort columns; a name may end in `` desc``."""
+    return [_sorted_by(o, False) if isinstance(o, str) else o for o in order]
+
+
+def _sorted_by(name: str, reverse: bool) -> Column:
+    column = F.col(name.removesuffix(" desc"))
+    return column.desc() if name.endswith(" desc") != reverse else column.asc()
+
+
+def _reversed(order: Sequence[str | Column]) -> list[Column]:
+    if not all(isinstance(o, str) for o in order):
+        raise TypeError("looking at the rows that follow needs an order given by names")
+    return [_sorted_by(o, True) for o in order]
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -43,7 +55,7 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
 def split_by_order(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
                    total: int, limit: int) -> DataFrame:
     """Rows range partitioned by (keys, order) with their partition number, written once."""
-    parts = max(2, -(-total // limit))
+    parts = min(max(2, -(-total // limit)), MAX_CHUNKS)
     spread = df.repartitionByRange(parts, *[F.col(k).asc() for k in keys], *_columns(order))
     return written(spread.withColumn(CHUNK, F.spark_partition_id()))
 
@@ -57,7 +69,7 @@ class Ordered:
         times the given factor. Only if that is too much is ``df`` itself counted.
         """
         self.keys = list(keys)
-        self.order = _columns(order)
+        self.order = list(order)
         limit = limit or rows_per_task(df.sparkSession)
         self.spread = False
         self.rows = df
@@ -100,7 +112,7 @@ class Ordered:
 
     def next_known(self, name: str, value: Column) -> "Ordered":
         """First non-null ``value`` from this row on."""
-        return self._scan(name, lambda c: F.first(c, ignorenulls=True), value, True,
+        return self._scan(name, lambda c: F.last(c, ignorenulls=True), value, True,
                           lambda local, carry: F.coalesce(local, carry))
 
     def previous(self, name: str, value: Column) -> "Ordered":
@@ -111,22 +123,22 @@ class Ordered:
         """``value`` of the row after (null on the key's last row)."""
         return self._neighbour(name, value, F.lead, following=True)
 
-    def _window(self) -> WindowSpec:
+    def _window(self, backwards: bool = False) -> WindowSpec:
         keys = self.keys + [CHUNK] if self.spread else self.keys
-        return Window.partitionBy(*keys).orderBy(*self.order)
+        order = _reversed(self.order) if backwards else _columns(self.order)
+        return Window.partitionBy(*keys).orderBy(*order)
 
     def _scan(self, name, aggregate, value, following, combine) -> "Ordered":
-        bounds = ((Window.currentRow, Window.unboundedFollowing) if following
-                  else (Window.unboundedPreceding, Window.currentRow))
-        window = self._window()
-        local = aggregate(value).over(window.rowsBetween(*bounds))
+        # Rows that follow are read in the reversed order: a frame that grows with each row is
+        # one pass, a frame that shrinks is evaluated anew for every row.
+        window = self._window(backwards=following)
+        local = aggregate(value).over(
+            window.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         if not self.spread:
             self.rows = self.rows.withColumn(name, local)
             return self
         rows = self.rows.withColumn(LOCAL, local)
-        beyond = ((1, Window.unboundedFollowing) if following
-                  else (Window.unboundedPreceding, -1))
-        carry = self._carry(rows, following, F.col(LOCAL), aggregate, beyond)
+        carry = self._carry(rows, following, F.col(LOCAL), aggregate)
         self.rows = (self._join_carry(rows, carry)
                      .withColumn(name, combine(F.col(LOCAL), F.col(CARRY)))
                      .drop(LOCAL, CARRY))
@@ -139,23 +151,26 @@ class Ordered:
             return self
         rows = (self.rows.withColumn(LOCAL, F.struct(value.alias("v")))
                 .withColumn("__side", shift(F.col(LOCAL)).over(window)))
-        carry = self._carry(rows, following, F.col(LOCAL), shift, None)
+        carry = self._carry(rows, following, F.col(LOCAL), None)
         self.rows = (self._join_carry(rows, carry)
                      .withColumn(name, F.coalesce(F.col("__side"), F.col(CARRY))["v"])
                      .drop(LOCAL, CARRY, "__side"))
         return self
 
-    def _carry(self, rows, following, value, aggregate, beyond) -> DataFrame:
+    def _carry(self, rows, following, value, aggregate) -> DataFrame:
         """What each partition receives from the others: at most one row per partition."""
         edge = F.lag if following else F.lead
         ends = (rows.withColumn(EDGE, edge(F.lit(1)).over(self._window()))
                 .filter(F.col(EDGE).isNull())
                 .select(*self.keys, CHUNK, value.alias("__value")))
-        across = Window.partitionBy(*self.keys).orderBy(CHUNK)
-        if beyond:
-            across = across.rowsBetween(*beyond)
-        return written(ends.withColumn(CARRY, aggregate(F.col("__value")).over(across))
-                       .filter(F.col(CARRY).isNotNull())
+        chunk = F.col(CHUNK).desc() if following else F.col(CHUNK).asc()
+        across = Window.partitionBy(*self.keys).orderBy(chunk)
+        if aggregate is None:
+            received = F.lag("__value").over(across)
+        else:
+            received = aggregate(F.col("__value")).over(
+                across.rowsBetween(Window.unboundedPreceding, -1))
+        return written(ends.withColumn(CARRY, received).filter(F.col(CARRY).isNotNull())
                        .select(*self.keys, CHUNK, CARRY))
 
     def _join_carry(self, rows: DataFrame, carry: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .lifecycle import micros
 from .ordered import Ordered
 
+# Fixed value: longest wait for registered resources, in microseconds.
 WAIT_US = 30_000_000
 
 

@@ -103,7 +103,9 @@ def exclusion_diff(current: DataFrame, wanted: DataFrame, keys: Sequence[str]) -
 
 
 def deprecated_table(spark) -> DataFrame:
-    return spark.createDataFrame(DEPRECATED_KEYS, "old_key string, new_key string, since string")
+    rows = [F.struct(F.lit(old).alias("old_key"), F.lit(new).cast("string").alias("new_key"),
+                     F.lit(since).alias("since")) for old, new, since in DEPRECATED_KEYS]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def translate_keys(df: DataFrame, deprecated: DataFrame, key: str = "key"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 NUMERIC_TEXT = r"^-?[£$¤]?[\d,.]+%?$"
 DATE_TEXT = r"^(\d\d?)[/.-](\d\d?)[/.-]((\d\d)?\d\d)$"
 
+# Fixed value: digits an application number is padded to.
 APP_NUMBER_WIDTH = 10
 
 

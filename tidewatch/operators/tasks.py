@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Name of an unknown stage, least parallelism.
 UNKNOWN_STAGE = "(Unknown Stage Name)"
 MIN_PARALLELISM = 2
 

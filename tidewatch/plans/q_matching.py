@@ -136,15 +136,18 @@ def _(t):
 
 
 @query("parallel_arrays_roundtrip", """
-SELECT vec_id, len(embedding) AS n, CAST(embedding[1] AS DOUBLE) AS first_x,
-       CAST(embedding[len(embedding)] AS DOUBLE) AS last_x FROM embeddings
+SELECT vec_id, CAST(b AS BIGINT) AS block, len(part) AS n, CAST(part[1] AS DOUBLE) AS first_x,
+       CAST(part[len(part)] AS DOUBLE) AS last_x
+FROM (SELECT vec_id, b, embedding[b * 20 + 1 : b * 20 + 20] AS part
+      FROM (SELECT *, unnest(generate_series(0, (len(embedding) - 1) // 20)) AS b
+            FROM embeddings) e) p
 """)
 def _(t):
     arrays = t.read("embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("x"))
     rows = matching.zip_parallel_arrays(arrays, ["x"])
-    back = matching.to_parallel_arrays(rows, ["vec_id"], ["x"])
-    return back.select("vec_id", F.size("x").cast("bigint").alias("n"),
+    back = matching.to_parallel_arrays(rows, ["vec_id"], ["x"], block_size=20)
+    return back.select("vec_id", "block", F.size("x").cast("bigint").alias("n"),
                        F.element_at("x", 1).alias("first_x"),
                        F.element_at("x", -1).alias("last_x"))
 

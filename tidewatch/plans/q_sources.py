@@ -8,10 +8,9 @@ from ..operators import keyed
 from ..operators.rollup import executor_rollup
 from ..session import scratch_folder
 from ..sources import event_log, files
+from ..streaming.sinks import QUEUES
 from .registry import query
 
-QUEUES = ["shared", "appStatus", "executorManagement", "eventLog"]
-
 EVENT_SCHEMAS = {
     name: "event_id bigint, user_id bigint, value double, props struct<k: int>"
     for name in ("purchase", "signup", "error", "view", "click")
@@ -206,7 +205,7 @@ SELECT q.queue, e.event_id, e.event_type FROM events e
 CROSS JOIN (VALUES ('shared'), ('appStatus'), ('executorManagement'), ('eventLog')) q(queue)
 """)
 def _(t):
-    return (event_log.fan_out(t.read("events"), QUEUES)
+    return (event_log.fan_out(t.read("events"), list(QUEUES))
             .select("queue", "event_id", "event_type"))
 
 

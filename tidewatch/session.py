@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 ROWS_PER_TASK = 2_000_000
 ROWS_PER_TASK_CONF = "spark.tidewatch.rowsPerTask"
 
+#: Most chunks such a table is cut into. More would cost the driver more than larger chunks,
+#: which spill to disk, cost the tasks.
+MAX_CHUNKS = 20_000
+
 #: Largest side, in rows, that the library broadcasts on its own account.
 BROADCAST_ROWS = 500_000
 

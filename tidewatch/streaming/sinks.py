@@ -13,6 +13,7 @@ from pyspark.sql.types import IntegerType, LongType, StructType
 
 from ..operators.keyed import count_type, latest_by_key
 
+# Queue names.
 QUEUES = ("shared", "appStatus", "executorManagement", "eventLog")
 
 
@@ -155,7 +156,7 @@ class LateRows:
         newest_before = self._newest_before(batch_id)
         newest = batch.agg(F.max(at)).first()[0]
         if newest is not None:
-            (self.spark.createDataFrame([(newest,)], "newest bigint")
+            (self.spark.range(1).select(F.lit(newest).cast("bigint").alias("newest"))
              .write.mode("overwrite").parquet(batch_folder(f"{self.path}/newest", batch_id)))
             self.seen[batch_id] = newest
         limit = -1 if newest_before is None else newest_before - self.delay_us

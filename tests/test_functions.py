@@ -218,6 +218,18 @@ def test_event_log_quarantine(spark, tmp_path):
         "does not fit its type", "no event type", "no event type", "unknown event type"]
 
 
+def test_event_log_stored_by_type(spark, tmp_path):
+    lines = spark.createDataFrame([('{"Event":"A","x":1}',), ('{"Event":"B","x":2}',), ("odd",)],
+                                  "value string")
+    stored = event_log.store_by_type(lines, str(tmp_path / "log"))
+    typed, bad = event_log.parse_events(stored, {"A": "x int", "B": "x int"},
+                                        type_col="event_type")
+    assert [r["x"] for r in typed["B"].collect()] == [2]
+    assert [r["line"] for r in bad.collect()] == ["odd"]
+    plan = typed["A"]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_type" in plan
+
+
 def test_properties_file(spark, tmp_path):
     path = tmp_path / "p.properties"
     path.write_text("# note\n\nspark.a = 1 \n  spark.b:x\\n\nspark.c two words\nspark.d\n! more\n")

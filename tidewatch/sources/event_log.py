@@ -12,17 +12,30 @@ DISCRIMINATOR = "Event"
 CORRUPT = "_corrupt_record"
 
 
+def store_by_type(lines: DataFrame, path: str, body: str = "value",
+                  discriminator: str = DISCRIMINATOR, type_col: str = "event_type") -> DataFrame:
+    """Write the lines once, partitioned by event type, and read them back.
+
+    ``parse_events`` with the same ``type_col`` then reads only the partition of each type, where
+    it would otherwise pass over the whole log once per type.
+    """
+    (lines.withColumn(type_col, F.get_json_object(body, f"$.{discriminator}"))
+     .write.partitionBy(type_col).parquet(path))
+    return lines.sparkSession.read.parquet(path)
+
+
 def parse_events(lines: DataFrame, schemas: Mapping[str, StructType | str],
-                 body: str = "value", discriminator: str = DISCRIMINATOR
-                 ) -> tuple[dict[str, DataFrame], DataFrame]:
+                 body: str = "value", discriminator: str = DISCRIMINATOR,
+                 type_col: str | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
     """Split JSON lines into one typed frame per event type and a quarantine frame.
 
     The quarantine frame holds lines without a known type and lines that do not fit the schema
     of their type, with a ``reason``. Each typed frame keeps the columns of ``lines``
     other than ``body``.
     """
-    kept = [c for c in lines.columns if c != body]
-    tagged = lines.withColumn("__type", F.get_json_object(body, f"$.{discriminator}"))
+    kept = [c for c in lines.columns if c not in (body, type_col)]
+    kind = F.col(type_col) if type_col else F.get_json_object(body, f"$.{discriminator}")
+    tagged = lines.withColumn("__type", kind)
     typed: dict[str, DataFrame] = {}
     bad = tagged.filter(F.col("__type").isNull() | ~F.col("__type").isin(*schemas)).select(
         *kept, F.col(body).alias("line"),

@@ -117,6 +117,9 @@ def test_upsert_table_over_batches_and_replays(spark, tmp_path):
         table.write_batch(batch, n)
     want = keyed.apply_changes(frame, ["k"], "seq")
     assert rows_of(table.read().drop("op")) == rows_of(want)
+    assert table.vacuum(2) > 0
+    assert rows_of(table.read().drop("op")) == rows_of(want)
+    assert table.vacuum(2) == 0
 
 
 def test_threshold_action(spark, tmp_path):

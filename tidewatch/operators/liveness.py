@@ -184,6 +184,11 @@ def sliding_failures(df: DataFrame, keys: Sequence[str], ts: str, interval: str,
                     F.col("w.end").alias("window_end"), "failures"))
 
 
+def quote_high(quotes: DataFrame, security: str = "security", price: str = "price") -> DataFrame:
+    """Highest price per security."""
+    return quotes.groupBy(security).agg(F.max(price).alias("high"))
+
+
 def quote_bars(quotes: DataFrame, interval: str, security: str = "security", ts: str = "ts",
                price: str = "price", seq: str = "event_id") -> DataFrame:
     """High, low, open, close and count per security and interval; works on a stream too."""

@@ -168,6 +168,15 @@ def mark_skipped(stages: DataFrame, name: str = "name", skipped: str = "skipped"
                              .otherwise(F.col(name)))
 
 
+def mark_nodes(nodes: DataFrame, stages: DataFrame, cached: DataFrame, node: str = "node",
+               stage: str = "stage_id", skipped: str = "skipped") -> DataFrame:
+    """Nodes with the flags ``cached`` (their data is kept) and ``skipped`` (of their stage)."""
+    kept = cached.select(node).distinct().withColumn("__cached", F.lit(True))
+    return (nodes.join(kept, node, "left").join(stages.select(stage, skipped), stage, "left")
+            .withColumn("cached", F.coalesce("__cached", F.lit(False))).drop("__cached")
+            .withColumn(skipped, F.coalesce(skipped, F.lit(False))))
+
+
 def cascade_delete(stages: DataFrame, removed: DataFrame, children: dict[str, DataFrame],
                    graphs: DataFrame, stage: str = "stage_id", attempt: str = "attempt_id"
                    ) -> dict[str, DataFrame]:

@@ -210,6 +210,19 @@ def _(t):
     return matching.mark_skipped(stages).select("stage_id", "name")
 
 
+@query("mark_nodes", """
+SELECT n.node, n.stage_id, coalesce(s.s_acctbal < 2000, FALSE) AS skipped,
+       n.node IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49) AS cached
+FROM v_nodes n LEFT JOIN supplier s ON s.s_suppkey = n.stage_id
+""", "v_nodes")
+def _(t):
+    stages = t.read("supplier").select(F.col("s_suppkey").alias("stage_id"),
+                                       (F.col("s_acctbal") < 2000).alias("skipped"))
+    cached = (t.read("lineitem").filter(F.col("l_quantity") > 49)
+              .select(F.col("l_partkey").alias("node")))
+    return matching.mark_nodes(t.nodes, stages, cached)
+
+
 @query("cascade_delete", """
 WITH attempts AS (SELECT DISTINCT part_id AS stage_id, task_index AS attempt_id FROM v_tasks),
 removed AS (SELECT * FROM attempts WHERE attempt_id <= 5),

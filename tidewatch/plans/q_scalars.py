@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import formats, text
+from ..functions import arrays, formats, text
 from ..operators import sorting, view
 from .registry import query
 
@@ -94,10 +94,11 @@ FROM (SELECT vec_id, i, CAST(embedding[i] AS DOUBLE) AS x
 def _(t):
     values = F.col("embedding").cast("array<double>")
     rows = t.read("embeddings").select("vec_id", F.posexplode(F.arrays_zip(
-        F.transform(values, lambda x: F.round(x * x, 9)).alias("squared"),
-        F.transform(values, lambda x: F.round(x * 3, 9)).alias("tripled"))))
-    return rows.select("vec_id", (F.col("pos") + 1).alias("position"), "col.squared",
-                       "col.tripled")
+        arrays.array_map(values, arrays.square).alias("squared"),
+        arrays.array_map(values, arrays.multiplied_by(3)).alias("tripled"))))
+    return rows.select("vec_id", (F.col("pos") + 1).alias("position"),
+                       F.round("col.squared", 9).alias("squared"),
+                       F.round("col.tripled", 9).alias("tripled"))
 
 
 TENTHS = "concat(CAST({t} // 10 AS VARCHAR), '.', CAST({t} % 10 AS VARCHAR))"

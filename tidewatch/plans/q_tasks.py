@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import lifecycle, quantiles, tasks, windows
+from ..operators import lifecycle, liveness, quantiles, tasks, windows
 from ..session import written
 from .registry import query
 
@@ -356,7 +356,7 @@ def _(t):
 SELECT security, max(price) AS high FROM v_quotes GROUP BY security
 """, "v_quotes")
 def _(t):
-    return t.quotes.groupBy("security").agg(F.max("price").alias("high"))
+    return liveness.quote_high(t.quotes)
 
 
 @query("all_nodes_excluded", """

@@ -25,8 +25,12 @@ RUNTIME_SETTINGS = {
     # Joins split a hot key's rows over several tasks, also below an aggregation on that key.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Stream sessions of a key are merged before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
+_OWN_FOLDERS: dict[str, str] = {}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the library relies on (time zone, adaptive skew joins)."""
@@ -49,8 +53,10 @@ def scratch_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="tidewatch-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        app = spark.sparkContext.applicationId
+        if app not in _OWN_FOLDERS:
+            _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="tidewatch-")
+        folder = _OWN_FOLDERS[app]
     return folder
 
 

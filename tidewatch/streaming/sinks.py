@@ -75,11 +75,15 @@ class UpsertTable:
     def _bucket(self) -> F.Column:
         return F.pmod(F.hash(*self.keys), F.lit(self.buckets))
 
+    def _folder(self, *parts: str):
+        context = self.spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
+        return path, path.getFileSystem(context._jsc.hadoopConfiguration())
+
     def _versions(self) -> DataFrame | None:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
-        system = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not system.exists(hadoop) or not any(
-                s.getPath().getName().startswith("batch_id=") for s in system.listStatus(hadoop)):
+        root, system = self._folder()
+        if not system.exists(root) or not any(
+                s.getPath().getName().startswith("batch_id=") for s in system.listStatus(root)):
             return None
         return (self.spark.read.option("basePath", self.path)
                 .schema(StructType(list(self.schema.fields))
@@ -126,6 +130,24 @@ class UpsertTable:
         return rows.filter(F.col(self.op_col) != self.delete) if self.op_col else rows
 
 
+    def vacuum(self, before: int) -> int:
+        """Remove bucket versions that a batch up to ``before`` has replaced.
+
+        Only folder names pass through the driver. Call it when no batch up to ``before`` can be
+        run again and no reader still uses an older version.
+        """
+        rows = self._versions()
+        if rows is None:
+            return 0
+        versions = rows.filter(F.col("batch_id") <= before).select("bucket", "batch_id").distinct()
+        newest = versions.groupBy("bucket").agg(F.max("batch_id").alias("batch_id"))
+        stale = versions.join(newest, ["bucket", "batch_id"], "left_anti").collect()
+        for row in stale:
+            path, system = self._folder(f"batch_id={row['batch_id']}", f"bucket={row['bucket']}")
+            system.delete(path, True)
+        return len(stale)
+
+
 def on_threshold(type_col: str, threshold: int, action: Callable[[str, int], None],
                  table: Callable[[], DataFrame]) -> Callable[[DataFrame, int], None]:
     """Call ``action(type, count)`` for types whose stored rows exceed the threshold.

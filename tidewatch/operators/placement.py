@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
 from .lifecycle import micros
 from .ordered import Ordered
 
@@ -94,11 +95,13 @@ def placement_rounds(needed: DataFrame, apps: DataFrame, scope: str, racks: Data
     by the first ``ceil(need_h * aware / max need)`` of the others, which each host row
     produces itself, so nothing is joined by inequality.
     """
+    # One row per host, read by several branches: computed once.
+    needed = written(needed.select(scope, host, need))
     sums = needed.groupBy(scope).agg(F.sum(need).alias("__sum"), F.max(need).alias("__most"))
-    plan = (apps.select(scope, F.col(requests).cast("bigint").alias("__n"))
-            .join(sums, scope, "left")
-            .withColumn("__free", F.greatest(F.col("__n") - F.coalesce("__sum", _zero()), _zero()))
-            .withColumn("__aware", F.col("__n") - F.col("__free")))
+    plan = written(
+        apps.select(scope, F.col(requests).cast("bigint").alias("__n")).join(sums, scope, "left")
+        .withColumn("__free", F.greatest(F.col("__n") - F.coalesce("__sum", _zero()), _zero()))
+        .withColumn("__aware", F.col("__n") - F.col("__free")))
     free = (plan.filter(F.col("__free") > 0)
             .select(scope, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__free")))
                     .alias("request"),

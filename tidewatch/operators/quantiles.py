@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import rows_per_task
+from ..session import rows_per_task, written
 from .ordered import Ordered, largest_group
 
 
@@ -93,11 +93,14 @@ def quantiles_with_reuse(df: DataFrame, stored: DataFrame, group: Sequence[str],
                                   F.lit(float(q)).alias("quantile")) for q in wanted])
         needed = (counts.withColumn("__q", F.explode(keys)).select(*group, "task_count", "__q.*")
                   .withColumn("metric", F.explode(F.array(*[F.lit(m) for m in metrics]))))
-        usable = needed.join(stored, [*group, "metric", "quantile_key", "task_count"])
-        complete = (usable.groupBy(*group).agg(F.count(F.lit(1)).alias("__have"))
-                    .filter(F.col("__have") == len(wanted) * len(metrics)).select(*group))
-        reused = usable.join(complete, list(group), "left_semi").select(
-            *group, "metric", "quantile", "task_count", "value", F.lit(True).alias("reused"))
+        # A group has as many rows here as quantiles times metrics are wanted.
+        have = F.count(F.lit(1)).over(Window.partitionBy(*group))
+        reused = written(
+            needed.join(stored, [*group, "metric", "quantile_key", "task_count"])
+            .withColumn("__have", have).filter(F.col("__have") == len(wanted) * len(metrics))
+            .select(*group, "metric", "quantile", "task_count", "value",
+                    F.lit(True).alias("reused")))
+        complete = reused.select(*group).distinct()
         rest = df.join(complete, list(group), "left_anti")
         fresh = metric_quantiles(rest, group, metrics, wanted, run_time)
         return reused.unionByName(fresh.withColumn("reused", F.lit(False)))

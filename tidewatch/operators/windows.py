@@ -153,21 +153,19 @@ def register_outcome(registrations: DataFrame, member: str, order: Sequence[str]
     """``accepted``, ``duplicate`` or ``rejected`` per registration and the cores it adds.
 
     A member registers once. With ``duplicate_first`` a known id is a duplicate even on an
-    excluded host; otherwise the host decides first. The accepted rows are found with a
-    map-side limit and attached by row id, which no key can skew.
+    excluded host; otherwise the host decides first. The accepted row per member is found with a
+    map-side limit.
     """
     marked = (registrations.join(excluded_hosts.select(host).distinct()
                                  .withColumn("__bad", F.lit(True)), host, "left")
               .withColumn("__bad", F.coalesce("__bad", F.lit(False))))
+    place = F.struct(*[F.col(o) for o in order])
     first = (first_by_key(marked.filter(~F.col("__bad")).select(member, row_id, *order),
                           [member], order)
-             .select(F.col(row_id), F.struct(*[F.col(o) for o in order]).alias("__when"),
-                     F.col(member).alias("__member")))
-    joined = marked.join(first.select(row_id, F.lit(True).alias("__first")), row_id, "left")
-    accepted_at = first.select(F.col("__member").alias(member), "__when")
-    joined = joined.join(accepted_at, member, "left")
-    known = F.col("__when").isNotNull() & (
-        F.struct(*[F.col(o) for o in order]) > F.col("__when"))
+             .select(member, F.col(row_id).alias("__row"), place.alias("__when")))
+    joined = (marked.join(first, member, "left")
+              .withColumn("__first", F.coalesce(F.col(row_id) == F.col("__row"), F.lit(False))))
+    known = F.col("__when").isNotNull() & (place > F.col("__when"))
     duplicate, rejected = F.lit("duplicate"), F.lit("rejected")
     outcome = F.when(F.col("__first"), "accepted")
     if duplicate_first:
@@ -176,7 +174,7 @@ def register_outcome(registrations: DataFrame, member: str, order: Sequence[str]
         outcome = outcome.when(F.col("__bad"), rejected).otherwise(duplicate)
     added = F.when(F.col("__first"), F.col(cores)).otherwise(F.lit(0)).cast("bigint")
     return (joined.withColumn("outcome", outcome).withColumn("added_cores", added)
-            .drop("__bad", "__first", "__when"))
+            .drop("__bad", "__first", "__when", "__row"))
 
 
 def resource_dedup(files: DataFrame, scope: Sequence[str], uri: str, name: str,

@@ -174,14 +174,12 @@ def _(t):
         F.sequence(F.lit(0), F.size(parts) - 1), lambda n: F.concat(
             F.lit("/"), F.array_join(F.slice(parts, F.lit(1), n), "/")))).alias("path")).distinct()
     # A path may be both a file and a folder: then both digits apply.
-    single = files.select("path").distinct().join(folders, "path", "left_anti")
-    folder_only = folders.join(files.select("path").distinct(), "path", "left_anti")
-    both = folders.join(files.select("path").distinct(), "path", "left_semi")
-    digits = (single.select("path", (F.length("path") * 5 % 8).alias("others"))
-              .unionByName(folder_only.select("path", (F.length("path") * 7 % 8).alias("others")))
-              .unionByName(both.select("path", ((F.length("path") * 5 % 8).bitwiseAND(4) +
-                                                (F.length("path") * 7 % 8).bitwiseAND(1))
-                                       .alias("others"))))
+    size = F.length("path")
+    digits = (files.select("path", F.lit(4).alias("right"))
+              .unionByName(folders.select("path", F.lit(1).alias("right"))).distinct()
+              .groupBy("path").agg(F.sum(F.when(
+                  F.col("right") == 4, (size * 5 % 8).bitwiseAND(4)).otherwise(
+                  (size * 7 % 8).bitwiseAND(1))).alias("others")))
     return matching.path_visibility(files, digits)
 
 

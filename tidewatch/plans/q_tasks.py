@@ -248,41 +248,39 @@ def _(t):
 
 
 QUANTILE_SQL = """
-  SELECT g.stage_id, m.metric, q.quantile, g.n AS task_count,
-         coalesce(m.vals[least(CAST(floor(q.quantile * g.n) AS BIGINT), g.n - 1) + 1],
+  SELECT g.stage_id, m.which, q.quantile, g.n AS task_count, g.stale,
+         coalesce(m.vals[least(CAST(floor({used} * g.n) AS BIGINT), g.n - 1) + 1],
                   'nan'::DOUBLE) AS value
-  FROM (SELECT stage_id, count(*) AS n FROM {tasks} WHERE run_time >= 0 GROUP BY stage_id) g
-  JOIN (SELECT stage_id, metric, list_sort(list(value) FILTER (WHERE value >= 0)) AS vals FROM (
-          SELECT stage_id, 'run_time' AS metric, CAST(run_time AS DOUBLE) AS value FROM {tasks}
-          UNION ALL SELECT stage_id, 'gc_time', CAST(gc_time AS DOUBLE) FROM {tasks}
-          UNION ALL SELECT stage_id, 'maybe_negative_metric',
-                           CAST(maybe_negative_metric AS DOUBLE) FROM {tasks}) l
-        GROUP BY stage_id, metric) m ON m.stage_id = g.stage_id
+  FROM (SELECT stage_id, count(*) AS n, stage_id % 2 = 0 AND bool_or(
+               host_id = 0 AND outcome = 'killed') AS stale
+        FROM v_tasks WHERE run_time >= 0 GROUP BY stage_id) g
+  JOIN (SELECT stage_id, which, list_sort(list(value) FILTER (WHERE value >= 0)) AS vals FROM (
+          SELECT stage_id, unnest([1, 2, 3]) AS which, CAST(unnest([run_time, gc_time,
+                 maybe_negative_metric]) AS DOUBLE) AS value FROM v_tasks) l
+        GROUP BY stage_id, which) m ON m.stage_id = g.stage_id
   CROSS JOIN (SELECT CAST(unnest([{qs}]) AS DOUBLE) AS quantile) q
 """
+METRIC_SQL = """
+  CASE which WHEN 1 THEN 'run_time' WHEN 2 THEN 'gc_time' ELSE 'maybe_negative_metric' END
+    AS metric
+"""
 METRICS = ["run_time", "gc_time", "maybe_negative_metric"]
 DEFAULT_QUANTILES = [0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
 
 
-@query("task_quantiles", QUANTILE_SQL.format(
-    tasks="v_tasks", qs=", ".join(str(q) for q in DEFAULT_QUANTILES)), "v_tasks")
+@query("task_quantiles", f"""
+SELECT stage_id, {METRIC_SQL}, quantile, task_count, value FROM (""" + QUANTILE_SQL.format(
+    used="q.quantile", qs=", ".join(str(q) for q in DEFAULT_QUANTILES)) + ") x", "v_tasks")
 def _(t):
     return quantiles.metric_quantiles(t.tasks, ["stage_id"], METRICS, DEFAULT_QUANTILES,
                                       "run_time")
 
 
-@query("quantile_reuse", """
-SELECT stage_id, metric, CASE WHEN quantile = 0.95::DOUBLE THEN 0.951 ELSE quantile END AS quantile,
-       task_count, value, TRUE AS reused
-FROM (""" + QUANTILE_SQL.format(tasks="v_tasks", qs="0.25, 0.5, 0.95") + """) a
-WHERE stage_id NOT IN (SELECT stage_id FROM v_tasks WHERE host_id = 0 AND outcome = 'killed'
-                       AND stage_id % 2 = 0)
-UNION ALL
-SELECT stage_id, metric, quantile, task_count, value, FALSE
-FROM (""" + QUANTILE_SQL.format(tasks="v_tasks", qs="0.25, 0.5, 0.951") + """) b
-WHERE stage_id IN (SELECT stage_id FROM v_tasks WHERE host_id = 0 AND outcome = 'killed'
-                   AND stage_id % 2 = 0)
-""", "v_tasks")
+@query("quantile_reuse", f"""
+SELECT stage_id, {METRIC_SQL}, quantile, task_count, value, NOT stale AS reused FROM (
+""" + QUANTILE_SQL.format(
+    used="(CASE WHEN q.quantile = 0.951::DOUBLE AND NOT g.stale THEN 0.95::DOUBLE "
+         "ELSE q.quantile END)", qs="0.25, 0.5, 0.951") + ") x", "v_tasks")
 def _(t):
     # Stored figures that are stale for the stages which got more tasks since.
     late = ((F.col("host_id") == 0) & (F.col("outcome") == "killed")

@@ -5,11 +5,12 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from tidewatch.plans import catalog
 from tools.check import TABLES, canonical
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = catalog.QUERIES
+SQL = catalog.SQL
 
 
 @pytest.fixture(scope="module")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+import sys
+import types
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,9 +44,21 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@lru_cache(maxsize=4)
+def per_worker(key: tuple, make: Callable):
+    """``make()``, made once in each Python worker process and kept for its later tasks.
+
+    Functions travel to workers by value, so their own globals last one task only. Keys come from
+    a query's few parameters (file names), never from data.
+    """
+    home = sys.modules.setdefault("tidewatch_worker_state", types.ModuleType("tidewatch_worker_state"))
+    kept = home.__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
 def tiktoken_ranks(path: str) -> dict[bytes, int]:
-    """token bytes -> rank, from a .tiktoken file; kept per worker."""
+    """token bytes -> rank, from a .tiktoken file."""
     import base64
 
     with open(path, "rb") as lines:

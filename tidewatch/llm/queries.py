@@ -5,16 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import tune
+from .byte_bpe import round_trip
+from .common import tokenizer_path
 from .exact_dedup import exact_duplicates
+from .packing import packed_sequences
+from .token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return tune(spark).read.parquet(f"{sf_dir}/{table}.parquet")
+    tune(spark)
+    # Texts can be long: a Python worker gets few of them at a time, and few bytes.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def query(name: str, sql: str | None = None):
@@ -26,6 +35,18 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op4_token_counts")
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packed_sequences(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"),
+                         "doc_tokens", "sequence_id", "offset")
+
+
 @query("op8_exact_dedup", r"""
     WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''),
                    '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
@@ -36,3 +57,9 @@ def query(name: str, sql: str | None = None):
 """)
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read(spark, sf_dir, "documents"))
+
+
+@query("op9_byte_bpe")
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read(spark, sf_dir, "documents"),
+                      tokenizer_path("byte_bpe_multi_50k.tiktoken"))

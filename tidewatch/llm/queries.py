@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
+from . import language_id
 from .byte_bpe import round_trip
-from .common import tokenizer_path
+from .common import remainder, tokenizer_path
 from .exact_dedup import exact_duplicates
 from .packing import packed_sequences
+from .simhash import hex_digits, near_duplicates
 from .token_counts import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +37,12 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op3_simhash_near_dedup")
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @query("op4_token_counts")
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
@@ -47,6 +55,14 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language_id.fit(language_id.learning_rows(docs))
+    return language_id.predict(docs, model).select(
+        "doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 @query("op8_exact_dedup", r"""
     WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''),
                    '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),

@@ -12,6 +12,7 @@ from . import language_id
 from .byte_bpe import round_trip
 from .common import remainder, tokenizer_path
 from .exact_dedup import exact_duplicates
+from .license_scan import licence_labels
 from .packing import packed_sequences
 from .simhash import hex_digits, near_duplicates
 from .token_counts import token_counts
@@ -37,6 +38,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op2_license_scan")
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_labels(read(spark, sf_dir, "documents"))
+
+
 @query("op3_simhash_near_dedup")
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(read(spark, sf_dir, "documents"))

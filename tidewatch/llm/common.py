@@ -32,6 +32,15 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` with its columns computed for good.
+
+    A filter above would otherwise be pushed below the projections, with their expressions copied into
+    it, also into lambdas, where they would run once per element. Generated columns stop that.
+    """
+    return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
 def remainder(id_: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
     return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % divisor

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, pick
+from .common import ascii_lower, pick, settled
 
 #: Words of lower-cased text: digits, a to z, and every character beyond ASCII.
 LICENCE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -159,7 +159,7 @@ def licence_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     found = F.sort_array(F.transform(F.filter("candidates", verified), scored))
     none = F.array().cast("array<struct<start:bigint,label:string,base:boolean,length:int,score:double>>")
-    return rows.select("doc_id", "n_words", F.coalesce(found, none).alias("matches"))
+    return settled(rows.select("doc_id", "n_words", F.coalesce(found, none).alias("matches")))
 
 
 def licence_labels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import language_id
+from . import language_id, quality_llr
 from .byte_bpe import round_trip
 from .common import remainder, tokenizer_path
 from .exact_dedup import exact_duplicates
@@ -85,3 +85,11 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(read(spark, sf_dir, "documents"),
                       tokenizer_path("byte_bpe_multi_50k.tiktoken"))
+
+
+@query("op10_quality_rules")
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    trusted = quality_llr.trusted_ids(read(spark, sf_dir, "labels"))
+    weights = quality_llr.fit(docs, trusted)
+    return quality_llr.quality(docs, weights, quality_llr.fit_threshold(docs, trusted, weights))

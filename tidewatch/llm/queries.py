@@ -14,6 +14,7 @@ from .common import remainder, tokenizer_path
 from .exact_dedup import exact_duplicates
 from .license_scan import licence_labels
 from .packing import packed_sequences
+from .pii import personal_data, span_digest
 from .simhash import hex_digits, near_duplicates
 from .token_counts import token_counts
 
@@ -61,6 +62,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+@query("op6_pii")
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digest(personal_data(read(spark, sf_dir, "documents")))
+
+
 @query("op7_language_id")
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")

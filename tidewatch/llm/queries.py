@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import language_id, quality_llr
+from . import language_id, quality_llr, toxicity_crf
 from .byte_bpe import round_trip
 from .common import remainder, tokenizer_path
 from .exact_dedup import exact_duplicates
@@ -39,6 +39,14 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    field = toxicity_crf.fit(docs, toxicity_crf.learning_labels(labels))
+    return toxicity_crf.tag(docs, field).select(
+        "doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
 @query("op2_license_scan")
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_labels(read(spark, sf_dir, "documents"))

@@ -6,9 +6,11 @@ import sys
 import types
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import tune
+
 #: ASCII letters, for lower-casing that leaves every other character alone.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -17,6 +19,15 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """The settings that the document operators run under."""
+    tune(spark)
+    # Texts can be long: a Python worker gets few of them at a time, and few bytes.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
+    return spark
+
+
 def pick(docs: DataFrame, id_col: str, text_col: str, null_text: str | None = "") -> DataFrame:
     """(doc_id, text) under fixed names; other columns, whatever their names, are left behind.
 

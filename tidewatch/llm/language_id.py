@@ -216,6 +216,22 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id",
     return rows.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is determined: their text has a letter
+    and some known trigram."""
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (model.languages, model.fallback, model.words, model.slot_bits, model.hashes))
+    at = docs.columns.index(text_col)
+
+    def run(batches):
+        own = Model(*shared.value)
+        for batch in batches:
+            names, scores = own.predict(batch.column(at).to_pylist())
+            yield batch.filter(pa.array([n != UNDETERMINED and s > 0 for n, s in zip(names, scores)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def learning_rows(docs: DataFrame, id_col: str = "doc_id", folds: int = 5) -> DataFrame:
     """The rows to learn from: all but the held-out fold."""
     return docs.filter(remainder(docs[id_col], folds) != 0)

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import small_side, written
-from .common import pick, settled
+from .common import settled
 
 # The base kinds in order and their patterns. The forms below accept what the plain ones
 # accept, but start only where a run of their first class starts and never give characters back, so
@@ -106,9 +106,14 @@ def base_spans(text: Column) -> dict[str, Column]:
     return out
 
 
-def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text, text_key (hash of the text) and one array of spans per base kind."""
-    rows = pick(docs, id_col, text_col).withColumn("text_key", F.xxhash64("text"))
+def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text, text_key (hash of the text), one array of spans per base kind, and ``row``: a struct
+    of the columns to carry along."""
+    rows = docs.select(docs[id_col].alias("doc_id"),
+                       F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
+                       F.struct(F.lit(0).alias("_"), *[docs[c] for c in carry]).alias("row"))
+    rows = rows.withColumn("text_key", F.xxhash64("text"))
     return settled(rows.withColumns(base_spans(F.col("text"))))
 
 
@@ -157,20 +162,21 @@ def disclosing_terms(spans: DataFrame, disclosure: float = DISCLOSURE, certainty
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   disclosure: float = DISCLOSURE, certainty: float = CERTAINTY,
-                  support: int = SUPPORT) -> DataFrame:
-    """One row per row: doc_id, text, one array of (start, end, match) per base kind, and ``term``.
+                  support: int = SUPPORT, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row per row: doc_id, text, one array of (start, end, match) per base kind, ``term``, and
+    ``row``, a struct of the columns to carry along.
 
     Places count code points from 0, ends are exclusive. A null text counts as empty. Spans of one kind
     do not overlap; spans of different kinds may. Ids may repeat or be null.
     """
-    spans = found_spans(docs, id_col, text_col)
+    spans = found_spans(docs, id_col, text_col, carry)
     terms = (written(disclosing_terms(spans, disclosure, certainty, support)).groupBy("text_key")
              .agg(F.sort_array(F.collect_set("term")).alias("terms")))  # at most a text's own words
     wide = spans.join(F.broadcast(terms) if small_side(terms, 20_000) else terms, "text_key", "left")
     # Terms are letters only, so they are safe inside a pattern; longer ones go first by word ends.
     pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
     none = F.array().cast("array<struct<start:int,end:int,match:string>>")
-    return settled(wide.select("doc_id", "text", *KINDS, F.when(
+    return settled(wide.select("doc_id", "text", "row", *KINDS, F.when(
         F.col("terms").isNotNull(), matches_in(F.col("text"), pattern)).otherwise(none).alias(TERM_KIND)))
 
 
@@ -209,6 +215,16 @@ def sanitised_text(remove: bool = False) -> Column:
     return F.when(F.size(spans) > 0, done).otherwise(text)
 
 
+def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", remove: bool = False) -> DataFrame:
+    """``docs`` with every span of ``personal_data`` replaced in its text; other columns, and null
+    texts, stay as they are."""
+    found = personal_data(docs, id_col, text_col, carry=tuple(docs.columns)).withColumn(
+        "clean", sanitised_text(remove))
+    return found.select(*[
+        (F.when(F.col("row")[c].isNotNull(), F.col("clean")) if c == text_col else F.col("row")[c]).alias(c)
+        for c in docs.columns])
+
+
 def span_digest(found: DataFrame) -> DataFrame:
     """doc_id, counts per base kind, base_sha256 and spans of ``personal_data``'s rows."""
     return found.select(

@@ -7,10 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import tune
 from . import language_id, quality_llr, toxicity_crf
 from .byte_bpe import round_trip
-from .common import remainder, tokenizer_path
+from .common import prepare, remainder, tokenizer_path
 from .exact_dedup import exact_duplicates
 from .license_scan import licence_labels
 from .packing import packed_sequences
@@ -23,11 +22,7 @@ SQL: dict[str, str] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    tune(spark)
-    # Texts can be long: a Python worker gets few of them at a time, and few bytes.
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def query(name: str, sql: str | None = None):

@@ -182,5 +182,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(of_print, "fp").select("doc_id", "fp", "component_id")
 
 
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose id is their component's smallest one.
+
+    Rows without an id stay only where no row of the component has one."""
+    found = near_duplicates(docs, id_col, text_col)
+    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("_stay")).distinct()
+    return docs.join(stay, docs[id_col].eqNullSafe(stay["_stay"]), "left_semi")
+
+
 def hex_digits(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")

@@ -124,126 +124,188 @@ def translate_keys(df: DataFrame, deprecated: DataFrame, key: str = "key"
 
 def resolve_references(settings: DataFrame, scope: str = "scope", key: str = "key",
                        value: str = "value", providers: Mapping[str, DataFrame] | None = None,
-                       max_depth: int = 64) -> DataFrame:
+                       definitions: DataFrame | None = None) -> DataFrame:
     """Replace ``${name}`` and ``${prefix:name}`` by the referenced values, recursively.
 
     Plain names see the ``spark.*`` keys of their scope; each entry of ``providers`` (for
-    example ``env`` and ``system``) is a (scope, key, value) table for one prefix. References
-    to nothing stay as text. Keys that lead into a cycle, or need more than ``max_depth``
-    rounds, keep their text and get an ``error``. Keys must be unique per scope.
+    example ``env`` and ``system``) is a (scope, key, value) table for one prefix. A plain name
+    without a setting takes its fallback's value or its default from ``definitions`` (key, default,
+    fallback). References to nothing stay as text. Keys that lead into a cycle keep their text
+    and get an ``error``. Keys must be unique per scope.
 
-    Every round settles all keys whose references are settled, so the number of rounds is the
-    longest chain, not the number of keys.
+    A round replaces each reference by what its target holds by then, references included, so the
+    depth of all chains halves: the number of rounds is the logarithm of the longest chain.
     """
-    nodes = settings.select(F.col(scope).alias("scope"), F.lit("").alias("provider"),
+    nodes = settings.select(F.col(scope).alias("scope"), F.concat(F.lit(":"), F.col(key)).alias("name"),
                             F.col(key).alias("key"), F.col(value).alias("value"))
+    visible = nodes.filter(F.startswith(F.col("key"), F.lit("spark."))).drop("key")
     for prefix, table in (providers or {}).items():
-        nodes = nodes.unionByName(table.select(
-            F.col(scope).alias("scope"), F.lit(prefix).alias("provider"),
-            F.col(key).alias("key"), F.col(value).alias("value")))
-    nodes = written(nodes).withColumn("refs", F.regexp_extract_all("value", F.lit(REFERENCE), F.lit(0)))
-    has_refs = F.size("refs") > 0
-    id_columns = ["scope", "provider", "key"]
-    visible = (F.col("provider") != "") | F.startswith(F.col("key"), F.lit("spark."))
-    targets = nodes.filter(visible).select(
-        F.col("scope"), F.col("provider").alias("to_provider"), F.col("key").alias("to_key"),
-        F.lit(True).alias("known"))
-    part = nodes.filter(has_refs).select(*id_columns, F.posexplode("refs").alias("pos", "ref"))
-    needs = part.select(
-        *id_columns, "pos", "ref",
-        F.regexp_extract("ref", REFERENCE, 1).alias("to_provider"),
-        F.regexp_extract("ref", REFERENCE, 2).alias("to_key"))
-    known = needs.join(targets, ["scope", "to_provider", "to_key"], "left")
-    # Answers to references to nothing are their own text; the others are filled in by rounds.
-    waiting = known.select(
-        *id_columns, "pos", "to_provider", "to_key",
-        F.when(F.col("known").isNull(), F.col("ref")).alias("answer"))
-    texts = nodes.filter(has_refs).select(*id_columns, "value")
-    settled = [nodes.filter(~has_refs).select(*id_columns, F.col("value").alias("text"))]
-    per_key = Window.partitionBy(*id_columns)
-    for _ in range(max_depth):
-        answers = settled[-1].select("scope", F.col("provider").alias("to_provider"),
-                                     F.col("key").alias("to_key"), "text")
-        filled = written(
-            waiting.join(answers, ["scope", "to_provider", "to_key"], "left")
-            .withColumn("answer", F.coalesce("answer", "text")).drop("text")
-            .withColumn("open", F.count_if(F.col("answer").isNull()).over(per_key)))
-        ready = filled.filter(F.col("open") == 0)
-        # The references of one value are collected: bounded by the length of that value.
-        done = (ready.groupBy(*id_columns).agg(
-            F.array_sort(F.collect_list(F.struct("pos", "answer"))).alias("answers"))
-            .join(texts, id_columns).select(*id_columns, _assembled().alias("text")))
-        waiting = filled.filter(F.col("open") > 0).drop("open")
-        if ready.isEmpty():
-            break
-        settled.append(written(done))
-        if waiting.isEmpty():
-            break
-    texts_by_key = settled[0]
-    for more in settled[1:]:
-        texts_by_key = texts_by_key.unionByName(more)
-    result = nodes.filter(F.col("provider") == "").join(texts_by_key, id_columns, "left")
+        visible = visible.unionByName(table.select(
+            F.col(scope).alias("scope"), F.concat(F.lit(f"{prefix}:"), F.col(key)).alias("name"),
+            F.col(value).alias("value")))
+    own = written(nodes.withColumn("parts", _parts(F.col("value"))))
+    targets = written(visible.withColumn("parts", _parts(F.col("value"))))
+    if definitions is not None:
+        targets = _with_defaults(own, targets, definitions)
+    edges = written(_references(targets).join(
+        targets.select("scope", F.col("name").alias("to")), ["scope", "to"]).distinct())
+    endless = written(_endless(edges, ["scope"], "name", "to"))
+    texts = targets.join(endless, ["scope", "name"], "left_anti")
+    start = own.join(targets.select("scope", "name"), ["scope", "name"], "left_anti")
+    # Settings that nothing can refer to are resolved once all others are.
+    while not (open_texts := texts.filter(_has_references())).isEmpty():
+        texts = written(_substituted(open_texts, texts).unionByName(
+            texts.filter(~_has_references()).select("scope", "name", "parts")))
+    lost = _references(start).join(endless.withColumnRenamed("name", "to"), ["scope", "to"]).select(
+        "scope", "name").distinct().unionByName(endless)
+    hidden = start.filter(_has_references())
+    done = texts.select("scope", "name", "parts").unionByName(_substituted(hidden, texts)).unionByName(
+        start.filter(~_has_references()).select("scope", "name", "parts"))
+    plain = done.select("scope", "name", F.array_join(F.col("parts.text"), "").alias("text"))
+    result = (own.join(plain, ["scope", "name"], "left")
+              .join(lost.withColumn("lost", F.lit(True)), ["scope", "name"], "left"))
     return result.select(
         F.col("scope").alias(scope), F.col("key").alias(key),
-        F.coalesce("text", "value").alias(value),
-        F.when(F.col("text").isNull(), F.concat(F.lit("Circular reference in "),
-                                                F.col("value"))).alias("error"))
+        F.when(F.col("lost"), F.col("value")).otherwise(F.coalesce("text", "value")).alias(value),
+        F.when(F.col("lost"), F.concat(F.lit("Circular reference in "), F.col("value"))).alias("error"))
 
 
-def _assembled() -> Column:
-    """Literal pieces of ``value`` interleaved with ``answers`` in order."""
-    pieces = F.split("value", REFERENCE, -1)
-    filled = F.transform(F.col("answers"), lambda a, i: F.concat(
-        a["answer"], F.element_at(pieces, (i + 2).cast("int"))))
-    return F.concat(F.element_at(pieces, 1), F.array_join(filled, ""))
+def _parts(value: Column) -> Column:
+    """The value as an array of (text, to): plain text, or a reference to the name ``to``."""
+    pieces = F.split(value, REFERENCE, -1)
+
+    def pair(ref: Column, i: Column) -> Column:
+        name = F.concat(F.regexp_extract(ref, REFERENCE, 1), F.lit(":"), F.regexp_extract(ref, REFERENCE, 2))
+        return F.array(_part(F.get(pieces, i), F.lit(None).cast("string")), _part(ref, name))
+
+    refs = F.regexp_extract_all(value, F.lit(REFERENCE), F.lit(0))
+    return F.concat(F.flatten(F.transform(refs, pair)),
+                    F.array(_part(F.element_at(pieces, -1), F.lit(None).cast("string"))))
+
+
+def _part(text: Column, to: Column) -> Column:
+    return F.struct(text.alias("text"), to.alias("to"))
+
+
+def _has_references() -> Column:
+    return F.exists("parts", lambda p: p["to"].isNotNull())
+
+
+def _references(nodes: DataFrame) -> DataFrame:
+    """(scope, name, to) for each reference of ``nodes``."""
+    return (nodes.select("scope", "name", F.explode("parts").alias("part"))
+            .select("scope", "name", F.col("part.to").alias("to")).filter("to IS NOT NULL"))
+
+
+def _substituted(nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """``nodes`` with the parts of ``texts`` in place of references; one to nothing becomes text."""
+    found = texts.select("scope", F.col("name").alias("to"), F.col("parts").alias("held"))
+    rows = (nodes.select("scope", "name", F.posexplode("parts").alias("pos", "part"))
+            .withColumn("to", F.col("part.to")).join(found, ["scope", "to"], "left"))
+    text_only = F.array(_part(F.col("part.text"), F.lit(None).cast("string")))
+    # The parts of one value are collected: bounded by the length of that value.
+    return (rows.groupBy("scope", "name").agg(F.sort_array(F.collect_list(F.struct(
+        "pos", F.coalesce("held", text_only).alias("held")))).alias("all"))
+            .select("scope", "name", F.flatten(F.col("all.held")).alias("parts")))
+
+
+def _endless(edges: DataFrame, scope: list[str], at: str, to: str) -> DataFrame:
+    """(*scope, at) of the nodes from which a walk along ``edges`` never ends.
+
+    Walks of 2, 4, 8, ... steps are followed as pairs of start and end, so it takes the logarithm of
+    the longest walk; walks longer than there are nodes have been round a cycle.
+    """
+    walks = edges.select(*scope, at, to)
+    nodes, steps = walks.select(*scope, at).distinct().count(), 1
+    while steps <= nodes and not walks.isEmpty():
+        on = walks.select(*scope, F.col(at).alias("__via"), F.col(to).alias("__to"))
+        walks = written(walks.withColumnRenamed(to, "__via").join(on, [*scope, "__via"])
+                        .select(*scope, at, F.col("__to").alias(to)).distinct())
+        steps *= 2
+    return walks.select(*scope, at).distinct()
+
+
+def _with_defaults(own: DataFrame, targets: DataFrame, definitions: DataFrame) -> DataFrame:
+    """``targets`` and a node for each name that is referred to, not set, and defined with a default or
+    with a fallback that has a value; defaults may refer to further such names."""
+    chains = written(fallback_chains(definitions)[0].join(
+        definitions.select(F.col("key").alias("at"), "default"), "at"))
+    fresh = own.select("scope", "name", "parts").unionByName(targets.select("scope", "name", "parts"))
+    while True:
+        missing = (_references(fresh).select("scope", F.col("to").alias("name")).distinct()
+                   .join(targets.select("scope", "name"), ["scope", "name"], "left_anti")
+                   .filter(F.startswith(F.col("name"), F.lit(":")))
+                   .withColumn("key", F.substring("name", 2, F.length("name"))))
+        held = targets.select("scope", F.col("name").alias("at_name"), "value")
+        places = missing.join(chains, "key").withColumn("at_name", F.concat(F.lit(":"), F.col("at")))
+        value = F.coalesce("value", "default")
+        fresh = written(places.join(held, ["scope", "at_name"], "left").filter(value.isNotNull())
+                        .groupBy("scope", "name").agg(F.min_by(value, "step").alias("value"))
+                        .withColumn("parts", _parts(F.col("value"))))
+        if fresh.isEmpty():
+            return targets
+        targets = written(targets.unionByName(fresh))
 
 
 # ---------------------------------------------------------------- defaults
 
-def setting_candidates(definitions: DataFrame, max_depth: int = 16) -> DataFrame:
-    """(key, rank, candidate, default): where each key's value may come from, best rank first.
+def fallback_chains(definitions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((key, step, at): the keys that stand in for a key, itself at step 0; keys whose chain never
+    ends). A chain goes from a key without a default to its defined fallback, of any length.
+    """
+    known = definitions.select(F.col("key").alias("fallback"))
+    links = written(definitions.filter(F.col("fallback").isNotNull() & F.col("default").isNull())
+                    .select("key", "fallback").join(known, "fallback").select("key", "fallback"))
+    endless = written(_endless(links, [], "key", "fallback"))
+    reach = definitions.select("key", F.lit(0).cast("bigint").alias("step"), F.col("key").alias("at")).join(
+        endless, "key", "left_anti")
+    jump, steps = written(links.join(endless, "key", "left_anti")), 1
+    while not jump.isEmpty():
+        ahead = reach.select(F.col("key").alias("fallback"), "step", "at")
+        reach = written(reach.unionByName(
+            jump.join(ahead, "fallback").select("key", (F.col("step") + steps).alias("step"), "at")))
+        onward = jump.select(F.col("key").alias("fallback"), F.col("fallback").alias("next"))
+        jump = written(jump.join(onward, "fallback").select("key", F.col("next").alias("fallback")))
+        steps *= 2
+    return reach, endless
+
+
+def setting_candidates(definitions: DataFrame) -> DataFrame:
+    """(key, rank, candidate, default, error): where each key's value may come from, best rank first.
 
     ``definitions`` has key, alternatives (array), default and fallback (another key). A key's own
-    name comes first, then its alternatives, then the same for its fallback.
+    name comes first, then its alternatives, then the same for its fallback. A key whose fallbacks
+    run in a circle has its own names only, and an error.
     """
     entry = definitions.select(
-        "key", F.array_prepend(F.coalesce("alternatives", F.array().cast("array<string>")),
-                               F.col("key")).alias("names"), "default", "fallback")
-    chain = entry.select("key", F.lit(0).alias("step"), "names", "default", "fallback")
-    chains = [chain]
-    lower = entry.select(F.col("key").alias("__fallback"), F.col("names").alias("__names"),
-                         F.col("default").alias("__default"), F.col("fallback").alias("__next"))
-    for step in range(1, max_depth):
-        chain = written(chain.filter(F.col("fallback").isNotNull() & F.col("default").isNull())
-                        .join(lower, F.col("fallback") == F.col("__fallback"))
-                        .select("key", F.lit(step).alias("step"),
-                                F.col("__names").alias("names"),
-                                F.col("__default").alias("default"),
-                                F.col("__next").alias("fallback")))
-        if chain.isEmpty():
-            break
-        chains.append(chain)
-    steps = chains[0]
-    for more in chains[1:]:
-        steps = steps.unionByName(more)
+        F.col("key").alias("at"), F.array_prepend(F.coalesce(
+            "alternatives", F.array().cast("array<string>")), F.col("key")).alias("names"), "default")
+    reach, endless = fallback_chains(definitions)
+    circles = endless.select("key", F.lit(0).cast("bigint").alias("step"), F.col("key").alias("at"),
+                             F.lit("circular fallback").alias("error"))
+    steps = (reach.withColumn("error", F.lit(None).cast("string")).unionByName(circles)
+             .join(entry, "at"))
     default = steps.groupBy("key").agg(F.max("default").alias("default"))
-    return (steps.select("key", "step", F.posexplode("names").alias("place", "candidate"))
-            .select("key", (F.col("step") * 10_000 + F.col("place")).alias("rank"), "candidate")
+    return (steps.select("key", "step", "error", F.posexplode("names").alias("place", "candidate"))
+            .select("key", F.struct("step", "place").alias("rank"), "candidate", "error")
             .join(default, "key"))
 
 
 def effective_settings(requested: DataFrame, definitions: DataFrame, settings: DataFrame,
                        scope: str = "scope") -> DataFrame:
-    """Effective value per requested (scope, key) and the key it came from."""
+    """Effective value per requested (scope, key), the key it came from (``source``), and ``error`` if
+    there is no value because the fallbacks run in a circle."""
     wanted = requested.join(setting_candidates(definitions), "key")
     found = settings.select(scope, F.col("key").alias("candidate"), "value")
     hit = F.col("value").isNotNull()
     best = (wanted.join(found, [scope, "candidate"], "left").groupBy(scope, "key").agg(
         F.min(F.when(hit, F.struct("rank", "candidate", "value"))).alias("best"),
-        F.max("default").alias("default")))
-    return best.select(scope, "key", F.coalesce("best.value", "default").alias("value"),
+        F.max("default").alias("default"), F.max("error").alias("error")))
+    value = F.coalesce("best.value", "default")
+    return best.select(scope, "key", value.alias("value"),
                        F.when(F.col("best").isNotNull(), F.col("best.candidate"))
-                       .when(F.col("default").isNotNull(), "default").alias("source"))
+                       .when(F.col("default").isNotNull(), "default").alias("source"),
+                       F.when(value.isNull(), F.col("error")).alias("error"))
 
 
 # ---------------------------------------------------------------- types

@@ -194,7 +194,89 @@ def _(t):
         .alias("default"), F.when(n % 4 == 0, port(n + 2)).alias("fallback"))
     requested = t.beats.select(F.col("member_id").alias("scope"),
                                port(F.col("k") * 3).alias("key")).distinct()
-    return s.effective_settings(requested, definitions, latest_settings(t))
+    return s.effective_settings(requested, definitions, latest_settings(t)).drop("error")
+
+
+@query("effective_settings_deep", f"""
+WITH {LATEST_SQL},
+parts AS (SELECT p_partkey AS n, p_partkey // 100 AS chunk, concat('deep.', CAST(p_partkey AS VARCHAR))
+            AS key, p_size FROM part),
+held AS (SELECT scope, CAST(regexp_extract(key, '[0-9]+') AS INT) AS n, value FROM latest
+         WHERE scope % 4 = 0),
+wanted AS (SELECT DISTINCT h.scope, p.n, p.chunk, p.key FROM (SELECT DISTINCT scope FROM held) h
+           JOIN parts p ON p.n % 10 = h.scope % 10),
+hits AS (SELECT w.scope, w.key, arg_min(h.value, h.n) AS value, min(h.n) AS n FROM wanted w
+         JOIN held h ON h.scope = w.scope AND h.n >= w.n AND h.n // 100 = w.chunk
+           AND (w.chunk % 4 <> 3 OR h.n = w.n)
+         JOIN parts p ON p.n = h.n
+         GROUP BY w.scope, w.key),
+ends AS (SELECT chunk, concat('default ', CAST(p_size AS VARCHAR)) AS dflt FROM parts
+         WHERE n = least(chunk * 100 + 99, (SELECT max(n) FROM parts)))
+SELECT w.scope, w.key, CASE WHEN w.chunk % 4 = 3 THEN h.value ELSE coalesce(h.value, e.dflt) END AS value,
+       CASE WHEN h.value IS NOT NULL THEN concat('deep.', CAST(h.n AS VARCHAR))
+            WHEN w.chunk % 4 <> 3 THEN 'default' END AS source,
+       CASE WHEN w.chunk % 4 = 3 AND h.value IS NULL THEN 'circular fallback' END AS error
+FROM wanted w LEFT JOIN hits h USING (scope, key) JOIN ends e ON e.chunk = w.chunk
+""", "v_settings")
+def _(t):
+    """Chains of up to a hundred fallbacks; in every fourth hundred of parts they run in a circle."""
+    n, chunk = F.col("p_partkey"), F.floor(F.col("p_partkey") / 100)
+
+    def name(number):
+        return F.concat(F.lit("deep."), number.cast("string"))
+
+    rows = t.read("part").select("p_partkey", "p_size")
+    last = rows.agg(F.max("p_partkey").alias("last"))
+    at_end = n == F.least(chunk * 100 + 99, F.col("last"))
+    circle = chunk % 4 == 3
+    # One row with the largest key.
+    definitions = rows.crossJoin(F.broadcast(last)).select(
+        name(n).alias("key"), F.array().cast("array<string>").alias("alternatives"),
+        F.when(at_end & ~circle, F.concat(F.lit("default "), F.col("p_size").cast("string"))).alias("default"),
+        F.when(~at_end, name(n + 1)).when(circle, name(F.greatest(chunk * 100, F.lit(1)))).alias("fallback"))
+    held = latest_settings(t).filter(F.col("scope") % 4 == 0).select(
+        "scope", name(F.regexp_extract("key", "[0-9]+", 0).cast("bigint")).alias("key"), "value")
+    requested = held.select("scope").distinct().join(
+        rows.select((n % 10).alias("digit"), name(n).alias("key")),
+        F.col("scope") % 10 == F.col("digit")).select("scope", "key")
+    return s.effective_settings(requested, definitions, held)
+
+
+@query("resolve_references_deep", """
+WITH parts AS (SELECT p_partkey AS n, p_partkey // 100 AS chunk, p_size, (SELECT max(p_partkey) FROM part) AS m
+               FROM part),
+ends AS (SELECT chunk, arg_max(p_size, n) AS size, max(n) AS n FROM parts GROUP BY chunk)
+SELECT CAST(0 AS BIGINT) AS scope, concat('spark.', CAST(p.n AS VARCHAR)) AS key,
+       CASE WHEN p.chunk % 4 = 3 THEN CASE WHEN p.n = e.n THEN concat('<${spark.', CAST(p.chunk * 100 AS VARCHAR), '}')
+                                           ELSE concat('<${spark.', CAST(p.n + 1 AS VARCHAR), '}') END
+            ELSE concat(repeat('<', CAST(e.n - p.n AS INT)), 'end ', CASE WHEN p.chunk % 4 = 2 THEN 'default'
+                 ELSE CAST(e.size AS VARCHAR) END) END AS value,
+       CASE WHEN p.chunk % 4 = 3 THEN concat('Circular reference in ',
+         CASE WHEN p.n = e.n THEN concat('<${spark.', CAST(p.chunk * 100 AS VARCHAR), '}')
+              ELSE concat('<${spark.', CAST(p.n + 1 AS VARCHAR), '}') END) END AS error
+FROM parts p JOIN ends e USING (chunk)
+""")
+def _(t):
+    """Chains of up to a hundred references; circles in every fourth hundred; some chains end in a name
+    that has only a default, two fallbacks away."""
+    n, chunk = F.col("p_partkey"), F.floor(F.col("p_partkey") / 100)
+
+    def name(number):
+        return F.concat(F.lit("spark."), number.cast("string"))
+
+    rows = t.read("part").select("p_partkey", "p_size")
+    ends = rows.groupBy(chunk.alias("chunk")).agg(F.max("p_partkey").alias("end"))
+    value = (F.when(n < F.col("end"), F.concat(F.lit("<${"), name(n + 1), F.lit("}")))
+             .when(F.col("chunk") % 4 == 3, F.concat(F.lit("<${"), name(F.col("chunk") * 100), F.lit("}")))
+             .when(F.col("chunk") % 4 == 2, F.lit("end ${spark.unset}"))
+             .otherwise(F.concat(F.lit("end "), F.col("p_size").cast("string"))))
+    settings = rows.withColumn("chunk", chunk).join(ends, "chunk").select(
+        F.lit(0).cast("bigint").alias("scope"), name(n).alias("key"), value.alias("value"))
+    definitions = t.spark.createDataFrame(
+        [("spark.unset", None, "spark.other"), ("spark.other", None, "spark.last"),
+         ("spark.last", "${spark.word}", None), ("spark.word", "default", None)],
+        "key string, default string, fallback string")
+    return s.resolve_references(settings, definitions=definitions)
 
 
 TYPED_SQL = """

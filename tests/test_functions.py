@@ -85,13 +85,30 @@ def test_short_name(spark):
 def test_strip_xss(spark):
     got = values(spark, "string", ["a'b%27%0d%0Ac\r\nd<&>\"", "%2%277", "%'0A"], text.strip_xss)
     assert got == ["abcd&lt;&amp;&gt;&quot;", "%27", "%0A"]
+    assert values(spark, "string", ["é & \u00a0α€ 日", None], text.strip_xss) == [
+        "&eacute; &amp; &nbsp;&alpha;&euro; 日", None]
+
+
+def test_trimming_of_control_characters(spark):
+    assert values(spark, "string", ["a,\tb ,\n c\x00,\x1f"], text.split_list) == [["a", "b", "c"]]
+    assert values(spark, "string", ["\th:\t12\n", "a:"], text.host_of) == ["h", "a"]
+    assert values(spark, "string", ["\th:\t12\n", "a:"], text.port_of) == [12, None]
+
+
+def test_times_are_whole_numbers(spark):
+    from tidewatch.operators.settings import time_ms
+
+    assert values(spark, "string", ["\t5s", "-1500us", "999us", "9007199254740993ms", "9007199254740993",
+                                    "9223372036854775807ms", "9223372036854775807d", "5x", None], time_ms) == [
+        5000, -1, 0, 9007199254740993, 9007199254740993, (1 << 63) - 1, (1 << 63) - 1, None, None]
 
 
 def test_url_functions(spark):
     got = values(spark, "string", ["a%2520b", "100%", "a+b"], text.url_decode_fixpoint)
     assert [tuple(r) for r in got] == [("a b", True), ("100%", True), ("a b", True)]
     deep = "%" + "25" * 8 + "41"
-    assert values(spark, "string", [deep], text.url_decode_fixpoint)[0]["settled"] is False
+    assert tuple(values(spark, "string", [deep], text.url_decode_fixpoint)[0]) == ("A", True)
+    assert tuple(values(spark, "string", ["a+%zz"], text.url_decode_fixpoint)[0]) == ("a+%zz", True)
     assert values(spark, "string", ["http://x/?a=1+2&b=%41", "http://x/"],
                   lambda c: text.url_param(c, "a")) == ["1 2", ""]
     assert values(spark, "string", ["<b>x</b>\n<i\n>y"], text.strip_tags) == ["x y"]

@@ -2,11 +2,20 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters up to the space, without line feed and carriage return.
 BLANKS = r"[\x00-\x09\x0B\x0C\x0E-\x20]"
+# Characters up to the space; white space of script languages.
+EDGES = r"^[\x00-\x20]+|[\x00-\x20]+$"
+SCRIPT_SPACE = r"[\t\n\x0B\f\r \xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000\uFEFF]+"
+
+#: Characters beyond ASCII with a name in HTML 4, from the standard's table.
+NAMED_CHARACTERS = {chr(code): name for name, code in sorted(name2codepoint.items()) if code > 127}
+
 # Line ends and single quotes, percent-encoded and plain.
 ENCODED_NEWLINE_OR_QUOTE = r"%(?:0[AaDd]|27)"
 NEWLINE_OR_QUOTE = ("\r", "\n", "'")
@@ -16,6 +25,11 @@ NAME_LIMIT = 36
 NAME_KEPT = 32
 
 
+def trim_all(text: Column) -> Column:
+    """Trim every character up to the space, control characters included, at both ends."""
+    return F.regexp_replace(text, EDGES, "")
+
+
 def trim_keep_crlf(text: Column) -> Column:
     """Trim characters up to the space at both ends but stop at line ends."""
     return F.regexp_replace(F.regexp_replace(text, f"^{BLANKS}+", ""), f"{BLANKS}+$", "")
@@ -24,20 +38,20 @@ def trim_keep_crlf(text: Column) -> Column:
 def host_of(host_port: Column) -> Column:
     """Part before the last ``:``, trimmed; without a colon the text itself, untrimmed."""
     return (F.when(F.contains(host_port, F.lit(":")),
-                   F.trim(F.regexp_replace(host_port, r":[^:]*$", "")))
+                   trim_all(F.regexp_replace(host_port, r":[^:]*$", "")))
             .otherwise(host_port))
 
 
 def port_of(host_port: Column) -> Column:
     """Number after the last ``:``; 0 without a colon, null if it is not a number."""
-    last = F.trim(F.element_at(F.split(host_port, ":"), -1))
+    last = trim_all(F.element_at(F.split(host_port, ":", -1), -1))
     return (F.when(F.contains(host_port, F.lit(":")), last.try_cast("int"))
             .otherwise(F.when(host_port.isNotNull(), F.lit(0))))
 
 
 def split_list(text: Column) -> Column:
     """Comma separated text to an array of trimmed, non-empty items."""
-    items = F.transform(F.split(text, ","), lambda item: F.trim(item))
+    items = F.transform(F.split(text, ","), trim_all)
     return F.filter(items, lambda item: F.length(item) > 0)
 
 
@@ -67,30 +81,39 @@ def short_name(name: Column) -> Column:
 
 
 def strip_xss(text: Column) -> Column:
-    """Remove line ends and single quotes, then escape ``& < > "``.
-
-    Characters beyond ASCII are left as they are (no named entities).
-    """
+    """Remove line ends and single quotes, then escape ``& < > "`` and the characters that HTML 4
+    names. Only characters that a text has are looked up and replaced."""
     clean = F.when(F.contains(text, F.lit("%")),
                    F.regexp_replace(text, ENCODED_NEWLINE_OR_QUOTE, "")).otherwise(text)
     for plain in NEWLINE_OR_QUOTE:
         clean = F.replace(clean, F.lit(plain), F.lit(""))
     for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
         clean = F.replace(clean, F.lit(plain), F.lit(entity))
-    return clean
+    names = F.create_map(*[F.lit(x) for pair in NAMED_CHARACTERS.items() for x in pair])
+    found = F.array_distinct(F.regexp_extract_all(
+        clean, F.lit("[" + "".join(NAMED_CHARACTERS) + "]"), F.lit(0)))
+    return F.aggregate(found, clean, lambda out, c: F.replace(
+        out, c, F.concat(F.lit("&"), F.element_at(names, c), F.lit(";"))))
 
 
-def url_decode_fixpoint(text: Column, rounds: int = 4) -> Column:
-    """Decode until unchanged; struct of ``value`` and ``settled``.
+def url_decode_fixpoint(text: Column) -> Column:
+    """Decode until unchanged; struct of ``value`` and ``settled`` (always true).
 
-    ``settled`` is false if the text still changes after ``rounds``; text that cannot be decoded
-    is kept and counts as settled.
+    Text that cannot be decoded is kept. A decoding that changes the text makes it shorter by two
+    at least, or turns plus signs into blanks, so half the length bounds the steps; once nothing
+    changes the remaining steps do nothing.
     """
-    value = text
-    for _ in range(rounds):
-        value = F.coalesce(F.try_url_decode(value), value)
-    again = F.coalesce(F.try_url_decode(value), value)
-    return F.struct(value.alias("value"), (again == value).alias("settled"))
+    steps = F.when(F.contains(text, F.lit("%")) | F.contains(text, F.lit("+")),
+                   F.sequence(F.lit(0), F.floor(F.length(text) / 2).cast("int") + 1))
+    start = F.struct(text.alias("value"), F.lit(False).alias("settled"))
+
+    def decode(state: Column, _step: Column) -> Column:
+        value = F.coalesce(F.try_url_decode(state["value"]), state["value"])
+        return F.when(state["settled"], state).otherwise(
+            F.struct(value.alias("value"), (value == state["value"]).alias("settled")))
+
+    value = F.aggregate(steps, start, decode, lambda state: state["value"])
+    return F.struct(F.coalesce(value, text).alias("value"), F.lit(True).alias("settled"))
 
 
 def url_param(url: Column, name: str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import host_of, split_list
+from ..functions.text import host_of, split_list, trim_all
 from ..session import written
 
 # Key prefixes with a meaning of their own.
@@ -28,6 +28,8 @@ REFERENCE = r"\$\{(?:(\w+?):)?(\S+?)\}"
 # Time units in microseconds, byte units in bytes.
 TIME_UNITS = {"us": 1, "ms": 1_000, "s": 1_000_000, "m": 60_000_000, "min": 60_000_000,
               "h": 3_600_000_000, "d": 86_400_000_000}
+#: The largest 64-bit number.
+LARGEST = (1 << 63) - 1
 BYTE_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30,
               "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40, "p": 1 << 50, "pb": 1 << 50}
 
@@ -310,25 +312,39 @@ def effective_settings(requested: DataFrame, definitions: DataFrame, settings: D
 
 # ---------------------------------------------------------------- types
 
-def _unit_value(text: Column, units: Mapping[str, int], default_unit: str) -> Column:
+def _number_and_unit(text: Column) -> tuple[Column, Column]:
+    clean = F.lower(trim_all(text))
     pattern = r"^(-?[0-9]+)([a-z]*)$"
-    clean = F.lower(F.trim(text))
-    number = F.regexp_extract(clean, pattern, 1).try_cast("bigint")
-    unit = F.regexp_extract(clean, pattern, 2)
+    return (F.regexp_extract(clean, pattern, 1).try_cast("bigint"), F.regexp_extract(clean, pattern, 2))
+
+
+def _factor(unit: Column, units: Mapping[str, int], default_unit: str) -> Column:
+    """The size of the unit; null if there is no such unit."""
     factor = F.when(unit == "", F.lit(units[default_unit]))
     for name, size in units.items():
         factor = factor.when(unit == name, F.lit(size))
-    return F.try_multiply(number, factor.cast("bigint"))
+    return factor.cast("bigint")
 
 
 def time_ms(text: Column, default_unit: str = "ms") -> Column:
-    """``30s`` to milliseconds, null if it is no time."""
-    return F.floor(_unit_value(text, TIME_UNITS, default_unit) / 1000).cast("bigint")
+    """``30s`` to milliseconds, null if it is no time.
+
+    Smaller units are cut towards zero; times beyond a 64-bit number become the largest one.
+    """
+    number, unit = _number_and_unit(text)
+    size = _factor(unit, TIME_UNITS, default_unit)
+    per_ms = F.lit(TIME_UNITS["ms"]).cast("bigint")
+    larger = F.coalesce(F.try_multiply(number, F.call_function("div", size, per_ms)),
+                        F.when(number > 0, F.lit(LARGEST)).otherwise(F.lit(-LARGEST - 1)))
+    return (F.when(number.isNull() | size.isNull(), F.lit(None).cast("bigint"))
+            .when(size >= per_ms, larger)
+            .otherwise(F.call_function("div", number, F.call_function("div", per_ms, size))))
 
 
 def byte_size(text: Column, default_unit: str = "b") -> Column:
     """``4k`` to bytes (1024-based, a leading minus is kept), null if it is no size."""
-    return _unit_value(text, BYTE_UNITS, default_unit)
+    number, unit = _number_and_unit(text)
+    return F.try_multiply(number, _factor(unit, BYTE_UNITS, default_unit))
 
 
 def typed_settings(settings: DataFrame, type_col: str = "type", key: str = "key",
@@ -339,7 +355,7 @@ def typed_settings(settings: DataFrame, type_col: str = "type", key: str = "key"
     ``key should be <type>, but was <value>``.
     """
     kind, raw = F.col(type_col), F.col(value)
-    text = F.trim(raw)
+    text = trim_all(raw)
     number = (F.when(kind == "int", text.try_cast("int").cast("bigint"))
               .when(kind == "long", text.try_cast("bigint"))
               .when(kind == "time", time_ms(raw)).when(kind == "bytes", byte_size(raw)))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import SCRIPT_SPACE
+
 # Patterns that decide the type of a text column.
 NUMERIC_TEXT = r"^-?[£$¤]?[\d,.]+%?$"
 DATE_TEXT = r"^(\d\d?)[/.-](\d\d?)[/.-]((\d\d)?\d\d)$"
@@ -15,6 +17,10 @@ DATE_TEXT = r"^(\d\d?)[/.-](\d\d?)[/.-]((\d\d)?\d\d)$"
 APP_NUMBER_WIDTH = 10
 
 
+def _trimmed(text: Column) -> Column:
+    return F.regexp_replace(text, f"^{SCRIPT_SPACE}|{SCRIPT_SPACE}$", "")
+
+
 def _date_part(text: Column, group: int) -> Column:
     return F.regexp_extract(text, DATE_TEXT, group)
 
@@ -26,7 +32,7 @@ def guess_text_type(df: DataFrame, column: str, order: Sequence[str]) -> str:
     column day-first unless a later row decides. One aggregate over the column; its single
     result row comes to the driver.
     """
-    text = F.trim(F.col(column))
+    text = _trimmed(F.col(column))
     first = _date_part(text, 1).try_cast("int")
     second = _date_part(text, 2).try_cast("int")
     is_date = text.rlike(DATE_TEXT)
@@ -43,7 +49,7 @@ def guess_text_type(df: DataFrame, column: str, order: Sequence[str]) -> str:
 
 def typed_sort_key(column: Column, kind: str) -> Column:
     """What rows are compared by under a text type; text that is no number counts as 0."""
-    text = F.trim(column)
+    text = _trimmed(column)
     if kind == "numeric":
         digits = F.regexp_replace(text, r"[^0-9.\-]", "")
         return F.coalesce(F.regexp_extract(digits, r"^-?(\d+\.?\d*|\.\d+)", 0)

@@ -9,16 +9,19 @@ from ..operators import sorting, view
 from .registry import query
 
 
-@query("parse_host_port", """
+@query("parse_host_port", r"""
 SELECT event_id, host_port,
-       CASE WHEN contains(host_port, ':') THEN trim(regexp_extract(host_port, '^(.*):[^:]*$', 1))
+       CASE WHEN contains(host_port, ':') THEN regexp_replace(
+              regexp_extract(host_port, '^((?s).*):[^:]*$', 1), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')
             ELSE host_port END AS host,
-       CASE WHEN contains(host_port, ':')
-            THEN TRY_CAST(trim(regexp_extract(host_port, ':([^:]*)$', 1)) AS INT) ELSE 0 END AS port
+       CASE WHEN contains(host_port, ':') THEN TRY_CAST(regexp_replace(
+              regexp_extract(host_port, ':([^:]*)$', 1), '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g') AS INT)
+            ELSE 0 END AS port
 FROM (SELECT event_id, CASE user_id % 4 WHEN 0 THEN event_type
         WHEN 1 THEN concat(event_type, ':', CAST(user_id AS VARCHAR))
         WHEN 2 THEN concat('a:', event_type, ':', CAST(user_id AS VARCHAR))
-        ELSE concat(' ', event_type, ' : ', CAST(user_id AS VARCHAR), ' ') END AS host_port
+        ELSE concat(chr(9), event_type, chr(10), ': ', CAST(user_id AS VARCHAR), ' ', chr(13), chr(10))
+        END AS host_port
       FROM events) x
 """)
 def _(t):
@@ -26,7 +29,7 @@ def _(t):
     shape = F.col("user_id") % 4
     host_port = (F.when(shape == 0, kind).when(shape == 1, F.concat(kind, F.lit(":"), user))
                  .when(shape == 2, F.concat(F.lit("a:"), kind, F.lit(":"), user))
-                 .otherwise(F.concat(F.lit(" "), kind, F.lit(" : "), user, F.lit(" "))))
+                 .otherwise(F.concat(F.lit("\t"), kind, F.lit("\n: "), user, F.lit(" \r\n"))))
     rows = t.read("events").select("event_id", host_port.alias("host_port"))
     return rows.select("event_id", "host_port", text.host_of(F.col("host_port")).alias("host"),
                        text.port_of(F.col("host_port")).alias("port"))
@@ -44,14 +47,16 @@ def _(t):
     return t.read("documents").select("doc_id", text.trim_keep_crlf(padded).alias("text"))
 
 
-@query("split_list", """
+@query("split_list", r"""
 SELECT conv_id, turn, len(items) AS n, array_to_string(items, ',') AS joined
-FROM (SELECT conv_id, turn, list_filter(list_transform(string_split(text, ','),
-             lambda x: trim(x, ' ')), lambda x: length(x) > 0) AS items FROM conversations) c
+FROM (SELECT conv_id, turn, list_filter(list_transform(string_split(
+               concat(replace(text, ' ', concat(',', chr(9), ' ')), chr(10), ',', chr(11)), ','),
+             lambda x: regexp_replace(x, '^[\x00-\x20]+|[\x00-\x20]+$', '', 'g')),
+             lambda x: length(x) > 0) AS items FROM conversations) c
 """)
 def _(t):
-    rows = t.read("conversations").select("conv_id", "turn",
-                                          text.split_list(F.col("text")).alias("items"))
+    listed = F.concat(F.replace(F.col("text"), F.lit(" "), F.lit(",\t ")), F.lit("\n,\x0b"))
+    rows = t.read("conversations").select("conv_id", "turn", text.split_list(listed).alias("items"))
     return rows.select("conv_id", "turn", F.size("items").cast("bigint").alias("n"),
                        text.join_list(F.col("items")).alias("joined"))
 
@@ -224,21 +229,33 @@ def _(t):
     return t.read("documents").select("doc_id", text.short_name(F.col("text")).alias("name"))
 
 
-@query("strip_xss", r"""
+def named_sql(column: str) -> str:
+    """The HTML 4 names beyond ASCII, one replacement each."""
+    for char, name in text.NAMED_CHARACTERS.items():
+        column = f"replace({column}, '{char}', '&{name};')"
+    return column
+
+
+@query("strip_xss", rf"""
+SELECT doc_id, {named_sql("c")} AS clean FROM (
 SELECT doc_id, replace(replace(replace(replace(
     regexp_replace(text, '\r\n|\n|\r|%0D%0A|%0A|%0D|''|%27', '', 'gi'),
-    '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS clean
-FROM documents
+    '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;') AS c
+FROM documents) d
 """)
 def _(t):
     return t.read("documents").select("doc_id", text.strip_xss(F.col("text")).alias("clean"))
 
 
 @query("url_decode_fixpoint", """
-SELECT page_id, url AS value, TRUE AS settled FROM pages
+SELECT page_id, CASE WHEN page_id % 5 = 0 THEN concat(url, '%zz') ELSE url END AS value, TRUE AS settled
+FROM pages
 """)
 def _(t):
-    encoded = F.url_encode(F.url_encode(F.col("url")))
+    """Encoded one to nine times; every fifth text cannot be decoded to the end."""
+    once = F.when(F.col("page_id") % 5 == 0, F.concat(F.col("url"), F.lit("%zz"))).otherwise(F.col("url"))
+    encoded = F.aggregate(F.sequence(F.lit(0), (F.col("page_id") % 9).cast("int")), once,
+                          lambda out, _i: F.url_encode(out))
     rows = t.read("pages").select("page_id", text.url_decode_fixpoint(encoded).alias("decoded"))
     return rows.select("page_id", "decoded.value", "decoded.settled")
 

@@ -16,13 +16,13 @@ def ntz(name):
 
 @query("alive_filter", """
 SELECT id, host_id FROM v_executors WHERE id NOT IN (
-  SELECT member_id FROM v_beats WHERE kind = 'remove' AND k > 70
-  UNION SELECT member_id FROM v_beats WHERE kind = 'failure' AND k > 90)
+  SELECT member_id * 2 FROM v_beats WHERE kind = 'remove'
+  UNION SELECT member_id * 3 FROM v_beats WHERE kind = 'failure')
 """, "v_executors v_beats")
 def _(t):
-    kind, k = F.col("kind"), F.col("k")
-    removing = t.beats.filter((kind == "remove") & (k > 70)).select(F.col("member_id").alias("id"))
-    lost = t.beats.filter((kind == "failure") & (k > 90)).select(F.col("member_id").alias("id"))
+    kind = F.col("kind")
+    removing = t.beats.filter(kind == "remove").select((F.col("member_id") * 2).alias("id"))
+    lost = t.beats.filter(kind == "failure").select((F.col("member_id") * 3).alias("id"))
     return matching.alive_filter(t.executors.select("id", "host_id"), removing, lost, ["id"])
 
 
@@ -38,11 +38,12 @@ def _(t):
 
 @query("unknown_heartbeats", """
 SELECT event_id, member_id FROM v_beats WHERE kind = 'heartbeat' AND member_id NOT IN (
-  SELECT member_id FROM v_beats WHERE kind = 'register' AND k > 85)
+  SELECT member_id * 2 FROM v_beats WHERE kind = 'register')
 """, "v_beats")
 def _(t):
     beats = t.beats.filter(F.col("kind") == "heartbeat").select("event_id", "member_id")
-    registered = t.beats.filter((F.col("kind") == "register") & (F.col("k") > 85))
+    registered = t.beats.filter(F.col("kind") == "register").withColumn(
+        "member_id", F.col("member_id") * 2)
     return matching.unknown_heartbeats(beats, registered, ["member_id"])
 
 
@@ -58,13 +59,12 @@ def _(t):
 
 
 TIERED_SQL = """
-WITH grants AS (SELECT s_suppkey AS grant_id, s_nationkey AS host_id, n_regionkey AS rack_id
-                FROM supplier JOIN nation ON n_nationkey = s_nationkey),
-requests AS (SELECT c_custkey AS request_id,
-                    CASE WHEN c_mktsegment <> 'BUILDING' THEN c_nationkey END AS host_id,
-                    CASE WHEN c_mktsegment <> 'BUILDING' THEN n_regionkey END AS rack_id
-             FROM customer JOIN nation ON n_nationkey = c_nationkey
-             WHERE c_acctbal > 9000 OR c_mktsegment = 'BUILDING'),
+WITH grants AS (SELECT c_custkey AS grant_id, c_nationkey AS host_id, n_regionkey AS rack_id
+                FROM customer JOIN nation ON n_nationkey = c_nationkey),
+requests AS (SELECT s_suppkey AS request_id,
+                    CASE WHEN s_suppkey % 5 <> 0 THEN s_nationkey + 25 * (s_suppkey % 2) END AS host_id,
+                    CASE WHEN s_suppkey % 5 <> 0 THEN n_regionkey END AS rack_id
+             FROM supplier JOIN nation ON n_nationkey = s_nationkey),
 h AS (SELECT grant_id, request_id FROM
   (SELECT *, row_number() OVER (PARTITION BY host_id ORDER BY grant_id) AS rn FROM grants) g
   JOIN (SELECT *, row_number() OVER (PARTITION BY host_id ORDER BY request_id) AS rn
@@ -92,15 +92,15 @@ UNION ALL SELECT grant_id, NULL, 'released' FROM grants WHERE grant_id NOT IN (
 @query("tiered_match", TIERED_SQL)
 def _(t):
     nation = t.read("nation")
-    grants = (t.read("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-              .select(F.col("s_suppkey").alias("grant_id"), F.col("s_nationkey").alias("host_id"),
+    grants = (t.read("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+              .select(F.col("c_custkey").alias("grant_id"), F.col("c_nationkey").alias("host_id"),
                       F.col("n_regionkey").alias("rack_id")))
-    choosy = F.col("c_mktsegment") != "BUILDING"
-    requests = (t.read("customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-                .filter((F.col("c_acctbal") > 9000) | ~choosy)
-                .select(F.col("c_custkey").alias("request_id"),
-                        F.when(choosy, F.col("c_nationkey")).alias("host_id"),
-                        F.when(choosy, F.col("n_regionkey")).alias("rack_id")))
+    # Every fifth request takes anything; odd ones want a host that has no grants.
+    number = F.col("s_suppkey")
+    requests = (t.read("supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+                .select(number.alias("request_id"),
+                        F.when(number % 5 != 0, F.col("s_nationkey") + 25 * (number % 2)).alias("host_id"),
+                        F.when(number % 5 != 0, F.col("n_regionkey")).alias("rack_id")))
     return matching.tiered_match(
         grants, requests, [("host", ["host_id"]), ("rack", ["rack_id"]), ("any", [])],
         "grant_id", "request_id", ["grant_id"], ["request_id"])
@@ -377,20 +377,19 @@ def _(t):
 DRAIN_SQL = """
 chosen AS (SELECT DISTINCT c_custkey AS id, c_nationkey AS app FROM customer
   WHERE c_custkey IN (SELECT s_suppkey FROM supplier)
-    AND c_custkey NOT IN (SELECT member_id FROM v_beats WHERE kind = 'remove' AND k > 80)
-    AND c_custkey NOT IN (SELECT member_id FROM v_beats WHERE kind = 'failure' AND k > 95))
+    AND c_custkey NOT IN (SELECT member_id * 2 FROM v_beats WHERE kind = 'remove')
+    AND c_custkey NOT IN (SELECT member_id * 3 FROM v_beats WHERE kind = 'failure'))
 """
 
 
 def drained(t):
-    kind, k = F.col("kind"), F.col("k")
+    kind = F.col("kind")
     wanted = t.read("customer").select(F.col("c_custkey").alias("id"),
                                        F.col("c_nationkey").alias("app"))
-    member = t.beats.withColumnRenamed("member_id", "id")
     return placement.drain_selection(
         wanted, t.read("supplier").select(F.col("s_suppkey").alias("id")),
-        member.filter((kind == "remove") & (k > 80)),
-        member.filter((kind == "failure") & (k > 95)), "id")
+        t.beats.filter(kind == "remove").select((F.col("member_id") * 2).alias("id")),
+        t.beats.filter(kind == "failure").select((F.col("member_id") * 3).alias("id")), "id")
 
 
 @query("drain_selection", f"WITH {DRAIN_SQL} SELECT id, app FROM chosen", "v_beats")

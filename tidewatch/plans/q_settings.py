@@ -98,15 +98,15 @@ def _(t):
 
 
 SETS_SQL = """
-a AS (SELECT DISTINCT host_id, member_id FROM v_beats WHERE kind = 'failure' AND k > 60),
-b AS (SELECT DISTINCT host_id, member_id FROM v_beats WHERE kind = 'remove' AND k > 80)
+a AS (SELECT DISTINCT host_id, member_id FROM v_beats WHERE kind = 'failure'),
+b AS (SELECT DISTINCT host_id, member_id FROM v_beats WHERE kind = 'remove')
 """
 
 
 def exclusion_sets(t):
-    kind, k = F.col("kind"), F.col("k")
-    return (t.beats.filter((kind == "failure") & (k > 60)).select("host_id", "member_id"),
-            t.beats.filter((kind == "remove") & (k > 80)).select("host_id", "member_id"))
+    kind = F.col("kind")
+    return (t.beats.filter(kind == "failure").select("host_id", "member_id"),
+            t.beats.filter(kind == "remove").select("host_id", "member_id"))
 
 
 @query("exclusion_union", f"""

@@ -57,13 +57,38 @@ def _(t):
     lines = t.read("events").select(F.to_json(F.struct(
         F.col("event_type").alias("Event"), "event_id", "user_id", "value",
         F.from_json("props", "k int").alias("props"))).alias("value"))
-    typed, _bad = event_log.parse_events(lines, EVENT_SCHEMAS)
-    frames = [df.select(F.lit(name).alias("event"), "event_id", "user_id", "value", "props.k")
-              for name, df in typed.items()]
-    result = frames[0]
-    for frame in frames[1:]:
-        result = result.unionByName(frame)
-    return result
+    path = _scratch(t, "log")
+    lines.write.text(path)
+    parsed = event_log.read_parsed_events(t.spark, path, EVENT_SCHEMAS)
+    body = F.coalesce(*EVENT_SCHEMAS)
+    return parsed.select("event", body["event_id"].alias("event_id"), body["user_id"].alias("user_id"),
+                         body["value"].alias("value"), body["props"]["k"].alias("k"))
+
+
+@query("event_log_quarantine", """
+SELECT CASE event_id % 50 WHEN 1 THEN 'mystery' WHEN 0 THEN NULL WHEN 2 THEN NULL ELSE event_type END AS event,
+       CASE WHEN event_id % 50 > 3 THEN event_id END AS event_id,
+       CASE WHEN event_id % 50 > 3 THEN value END AS value,
+       CASE event_id % 50 WHEN 0 THEN 'no event type' WHEN 1 THEN 'unknown event type'
+         WHEN 2 THEN 'no event type' WHEN 3 THEN 'does not fit its type' END AS reason,
+       CASE WHEN event_id % 50 <= 3 THEN event_id END AS broken
+FROM events
+""")
+def _(t):
+    """Lines in files, some of them broken: cut off, of unknown type, without a type, of wrong content."""
+    case, kind = F.col("event_id") % 50, F.col("event_type")
+    good = F.to_json(F.struct(kind.alias("Event"), "event_id", "user_id", "value"))
+    line = (F.when(case == 0, F.concat(F.lit('{"id": '), F.col("event_id"), F.lit(', "Event": "vie')))
+            .when(case == 1, F.to_json(F.struct(F.lit("mystery").alias("Event"), F.col("event_id").alias("id"))))
+            .when(case == 2, F.to_json(F.struct(F.col("event_id").alias("id"), "value")))
+            .when(case == 3, F.to_json(F.struct(kind.alias("Event"), F.lit("many").alias("user_id"),
+                                                F.col("event_id").alias("id")))).otherwise(good))
+    path = _scratch(t, "log")
+    t.read("events").select(line.alias("value")).write.text(path)
+    parsed = event_log.read_parsed_events(t.spark, path, EVENT_SCHEMAS)
+    body = F.coalesce(*EVENT_SCHEMAS)
+    return parsed.select("event", body["event_id"].alias("event_id"), body["value"].alias("value"), "reason",
+                         F.regexp_extract("line", '"id": ?([0-9]+)', 1).try_cast("bigint").alias("broken"))
 
 
 @query("event_route", """
@@ -73,18 +98,9 @@ SELECT CASE WHEN event_type IN ('purchase', 'signup', 'error') THEN event_type
 FROM events
 """)
 def _(t):
-    events = t.read("events")
-    nothing = F.lit(None).cast("double")
-    routed = event_log.route(events, "event_type", {
-        "purchase": lambda d: d.select("event_id", F.col("value").alias("amount")),
-        "signup": lambda d: d.select("event_id", nothing.alias("amount")),
-        "error": lambda d: d.select("event_id", (-F.col("value")).alias("amount")),
-    }, other=lambda d: d.select("event_id", nothing.alias("amount")))
-    result = None
-    for name, frame in routed.items():
-        frame = frame.select(F.lit(name).alias("route"), "event_id", "amount")
-        result = frame if result is None else result.unionByName(frame)
-    return result
+    return event_log.route_columns(t.read("events"), "event_type", {
+        "purchase": {"amount": F.col("value")}, "signup": {}, "error": {"amount": -F.col("value")}},
+        keep=["event_id"])
 
 
 @query("json_gzip_roundtrip", """

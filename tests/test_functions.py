@@ -266,3 +266,14 @@ def test_whole_files(spark, tmp_path):
     (tmp_path / "one.txt").write_text("a\nb\n")
     row = files.read_whole_files(spark, str(tmp_path)).first()
     assert row["content"] == "a\nb\n" and row["path"].endswith("one.txt")
+
+
+def test_property_files(spark, tmp_path):
+    from tidewatch.sources import files
+
+    text = ("# comment \\\nfruits = apple, \\\n   banana\\\n  #pear\n! x\n\nkey\\ one\\:two : v\\\\\\\\\n"
+            "plain value here\r\nuni=\\u00e9\\ud83d\\ude42\\n \n  a:\nlone\nlast=x\\")
+    (tmp_path / "a.properties").write_bytes(text.encode())
+    got = {r.key: r.value for r in files.read_properties(spark, str(tmp_path)).collect()}
+    assert got == {"fruits": "apple, banana#pear", "key one:two": "v\\\\", "plain": "value here",
+                   "uni": "é🙂\n", "a": "", "lone": "", "last": "x"}

@@ -136,15 +136,18 @@ def _(t):
 SELECT event_id, key, value FROM v_settings
 """, "v_settings")
 def _(t):
+    """Keys with an escaped separator, values over two physical lines, comments, escapes."""
     path = _scratch(t, "properties")
-    (t.settings.select(F.concat(F.lit("event."), F.col("event_id").cast("string"), F.lit("."),
-                                F.col("key"), F.lit(" = \t "), F.col("value"), F.lit("  "))
-                       .alias("value"))
+    value = F.col("value")
+    (t.settings.select(F.concat(
+        F.lit("# note \\\n  event\\:"), F.col("event_id").cast("string"), F.lit("."), F.col("key"),
+        F.lit(" \\\n\t = \t "), F.substring(value, 1, 1), F.lit("\\\n   "),
+        F.substring(value, 2, F.length(value)), F.lit(" \\t\\u0020 \n!")).alias("value"))
      .write.text(path))
     parsed = files.read_properties(t.spark, path)
     return parsed.select(
-        F.regexp_extract("key", r"^event\.(\d+)\.", 1).cast("bigint").alias("event_id"),
-        F.regexp_replace("key", r"^event\.\d+\.", "").alias("key"), "value")
+        F.regexp_extract("key", r"^event:(\d+)\.", 1).cast("bigint").alias("event_id"),
+        F.regexp_replace("key", r"^event:\d+\.", "").alias("key"), "value")
 
 
 @query("kv_upsert_latest", """

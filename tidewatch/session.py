@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -46,8 +48,8 @@ def rows_per_task(spark: SparkSession) -> int:
 def scratch_folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a folder of its own; on a cluster every executor must
-    see the folder, so an unset value is an error there.
+    Only a local master may fall back to a folder of its own, which goes when the process ends; on
+    a cluster every executor must see the folder, so an unset value is an error there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
@@ -56,6 +58,7 @@ def scratch_folder(spark: SparkSession) -> str:
         app = spark.sparkContext.applicationId
         if app not in _OWN_FOLDERS:
             _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="tidewatch-")
+            atexit.register(shutil.rmtree, _OWN_FOLDERS[app], ignore_errors=True)
         folder = _OWN_FOLDERS[app]
     return folder
 

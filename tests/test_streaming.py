@@ -1,6 +1,7 @@
 """Streams fed in several batches, with a restart, against the batch functions."""
 
 import datetime as dt
+import re
 import random
 
 import pytest
@@ -108,8 +109,7 @@ def test_upsert_table_over_batches_and_replays(spark, tmp_path):
     rows = [(rng.randrange(12), i, f"v{i}", rng.choice(["put", "put", "delete"]))
             for i in range(90)]
     frame = spark.createDataFrame(rows, schema)
-    table = sinks.UpsertTable(spark, str(tmp_path / "t"), frame.schema, ["k"], ["seq"], buckets=4,
-                              op_col="op")
+    table = sinks.UpsertTable(spark, str(tmp_path / "t"), frame.schema, ["k"], ["seq"], op_col="op")
     assert table.read().count() == 0
     for n in range(3):
         batch = spark.createDataFrame(rows[n * 30:(n + 1) * 30], schema)
@@ -117,9 +117,12 @@ def test_upsert_table_over_batches_and_replays(spark, tmp_path):
         table.write_batch(batch, n)
     want = keyed.apply_changes(frame, ["k"], "seq")
     assert rows_of(table.read().drop("op")) == rows_of(want)
-    assert table.vacuum(2) > 0
-    assert rows_of(table.read().drop("op")) == rows_of(want)
-    assert table.vacuum(2) == 0
+    for last in (1, 1, 2):
+        table.compact(last)
+        assert rows_of(table.read().drop("op")) == rows_of(want)
+    # Replaced batches are not read any more.
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^]]*batch_id#\d+L > 2", plan)
 
 
 def test_threshold_action(spark, tmp_path):
@@ -130,6 +133,17 @@ def test_threshold_action(spark, tmp_path):
     assert calls == [("a", 4)]
 
 
+def test_threshold_counts(spark, tmp_path):
+    calls = []
+    counts = sinks.ThresholdCounts(spark, str(tmp_path / "n"), "t", 3, lambda kind, n: calls.append((kind, n)))
+    first = spark.createDataFrame([("a",)] * 3 + [("b",)] * 4, "t string")
+    counts.write_batch(first, 0)
+    counts.write_batch(first, 0)
+    counts.write_batch(first.limit(0), 1)
+    counts.write_batch(spark.createDataFrame([("a",)], "t string"), 2)
+    assert calls == [("b", 4), ("b", 4), ("a", 4)]
+
+
 def test_isolated_handlers(spark):
     seen, reports = [], []
 
@@ -148,6 +162,12 @@ def test_late_rows_replay(spark, tmp_path):
                                      "h int, ts timestamp_ntz").withColumn(
             "ts", F.col("ts").cast("timestamp"))
 
+    empty = sinks.LateRows(spark, str(tmp_path / "empty"), "ts", 3_600_000_000)
+    empty.write_batch(frame(1).limit(0), 0)
+    empty.write_batch(frame(9), 1)
+    empty.write_batch(frame(1).limit(0), 2)
+    empty.write_batch(frame(3, 9), 3)
+    assert [r["h"] for r in empty.read(frame(1).schema).collect()] == [3]
     path = str(tmp_path / "late")
     first = sinks.LateRows(spark, path, "ts", 2 * 3_600_000_000)
     first.write_batch(frame(1, 8), 0)

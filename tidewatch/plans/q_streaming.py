@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ..operators import keyed, liveness
 from ..session import scratch_folder
-from ..sources import event_log
 from ..streaming import keyed_state, run, sinks, windows
 from .q_liveness import (BARS_SQL, CHECK, EXCLUSION_SQL, LIVE_SQL, THROTTLE_SQL, TIMEOUT,
                          US_PER_HOUR, WORKERS_SQL, ntz)
@@ -39,16 +38,27 @@ def events(t, delay: str | None = "0 seconds"):
     return stream if delay is None else stream.withWatermark("ts", delay)
 
 
-def beats(t, delay: str | None = "0 seconds"):
+def beats(t, delay: str | None = "0 seconds", stream=None):
     k = F.col("k")
     kind = (F.when(F.col("event_type") == "signup", "register")
             .when((F.col("event_type") == "error") & (k % 5 == 0), "remove")
             .when(F.col("event_type") == "error", "failure").otherwise("heartbeat"))
-    return events(t, delay).withColumn("k", number_in(F.col("props"))).select(
+    return (events(t, delay) if stream is None else stream).withColumn("k", number_in(F.col("props"))).select(
         "event_id", F.col("user_id").alias("member_id"), (F.col("user_id") % 25).alias("host_id"),
         "ts", "k", kind.alias("kind"))
 
 
+def in_batches(t):
+    """The beats as a stream of five batches, one file each; the third file is empty."""
+    base = folder(t, "files")
+    rows = t.read("events")
+    for n in range(5):
+        part = rows.filter(F.lit(False)) if n == 2 else rows.filter(
+            F.col("event_id") % 4 == (n if n < 2 else n - 1))
+        part.coalesce(1).write.parquet(f"{base}/{n}")
+    return run.event_stream(t.spark, f"{base}/*", rows.schema, files_per_trigger=1)
+
+
 def folder(t, name: str) -> str:
     return f"{scratch_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -187,10 +197,11 @@ SELECT member_id, kind, event_id, ts, k FROM (
   FROM v_beats) x WHERE rn = 1
 """, "v_beats")
 def _(t):
-    stream = beats(t, None).select("member_id", "kind", "event_id", "ts", "k")
+    stream = beats(t, None, in_batches(t)).select("member_id", "kind", "event_id", "ts", "k")
     table = sinks.UpsertTable(t.spark, folder(t, "status"), stream.schema, ["member_id", "kind"],
-                              ["ts", "event_id"], buckets=8)
+                              ["ts", "event_id"])
     run.run_batches(stream, table.write_batch)
+    table.compact(2)
     return ntz(table.read(), "ts")
 
 
@@ -201,13 +212,26 @@ SELECT member_id, event_id, ts FROM (
 """, "v_beats")
 def _(t):
     op = F.when(F.col("kind") == "failure", "delete").otherwise("put")
-    stream = beats(t, None).select("member_id", "event_id", "ts", op.alias("op"))
+    stream = beats(t, None, in_batches(t)).select("member_id", "event_id", "ts", op.alias("op"))
     table = sinks.UpsertTable(t.spark, folder(t, "status"), stream.schema, ["member_id"],
-                              ["ts", "event_id"], buckets=8, op_col="op")
+                              ["ts", "event_id"], op_col="op")
     run.run_batches(stream, table.write_batch)
     return ntz(table.read().drop("op"), "ts")
 
 
+@query("stream_threshold_action", """
+SELECT event_type, count(*) AS n FROM events GROUP BY event_type
+HAVING count(*) > (SELECT count(*) // 8 FROM events)
+""")
+def _(t):
+    """The last count that the action was called with, for each type above an eighth of all events."""
+    called: dict[str, int] = {}
+    counts = sinks.ThresholdCounts(t.spark, folder(t, "counts"), "event_type",
+                                   t.read("events").count() // 8, called.__setitem__)
+    run.run_batches(in_batches(t).select("event_type"), counts.write_batch)
+    return t.spark.createDataFrame(list(called.items()), "event_type string, n bigint")
+
+
 @query("stream_fanout_queues", """
 SELECT q.queue, count(*) AS n, CAST(sum(e.event_id) AS BIGINT) AS checksum FROM events e
 CROSS JOIN (VALUES ('shared'), ('appStatus'), ('executorManagement'), ('eventLog')) q(queue)
@@ -276,9 +300,9 @@ def _(t):
     base, state = folder(t, "shifts"), folder(t, "late-state")
     late = sinks.LateRows(t.spark, folder(t, "late"), "ts", 48 * US_PER_HOUR)
     shifts = t.read("events").withColumn("shift", F.floor(F.hour("ts") / 6).cast("int"))
-    for shift in range(4):
-        (shifts.filter(F.col("shift") == shift).drop("shift")
-         .write.parquet(f"{base}/shift-{shift}"))
+    for batch, shift in enumerate((0, 1, None, 2, 3)):  # the third batch is empty
+        wanted = F.lit(False) if shift is None else F.col("shift") == shift
+        shifts.filter(wanted).drop("shift").write.parquet(f"{base}/shift-{batch}")
         stream = run.event_stream(t.spark, f"{base}/*", t.read("events").schema)
         run.run_batches(stream, late.write_batch, checkpoint=state)
     return ntz(late.read(stream.schema), "ts")

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import IntegerType, LongType, StructType
+from pyspark.sql.types import LongType, StructType
 
 from ..operators.keyed import count_type, latest_by_key
 
@@ -58,94 +58,103 @@ def batch_folder(path: str, batch_id: int) -> str:
 
 
 class UpsertTable:
-    """A keyed status table kept current by a stream, in ``buckets`` parquet partitions.
+    """A keyed status table kept current by a stream, as a log of changes.
 
-    Each micro-batch writes new versions of the buckets it touches into a folder of its own, so
-    a batch that is run again overwrites only its own output, and readers of older versions are
-    not disturbed. A bucket's rows are those of its highest batch.
+    Each micro-batch appends the newest row per key of its own rows in a folder of its own; a batch
+    that is run again overwrites only that. The table is the newest row per key of the last
+    compacted base and the batches after it. ``compact`` is a normal job that writes a new base;
+    folders that it has replaced are never read again and can be removed by any clean-up.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema, keys: Sequence[str],
-                 seq: Sequence[str], buckets: int = 64, op_col: str | None = None,
-                 delete: str = "delete"):
+                 seq: Sequence[str], op_col: str | None = None, delete: str = "delete"):
         self.spark, self.path, self.schema = spark, path, schema
         self.keys, self.seq = list(keys), list(seq)
-        self.buckets, self.op_col, self.delete = buckets, op_col, delete
-
-    def _bucket(self) -> F.Column:
-        return F.pmod(F.hash(*self.keys), F.lit(self.buckets))
-
-    def _folder(self, *parts: str):
-        context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path("/".join([self.path, *parts]))
-        return path, path.getFileSystem(context._jsc.hadoopConfiguration())
-
-    def _versions(self) -> DataFrame | None:
-        root, system = self._folder()
-        if not system.exists(root) or not any(
-                s.getPath().getName().startswith("batch_id=") for s in system.listStatus(root)):
-            return None
-        return (self.spark.read.option("basePath", self.path)
-                .schema(StructType(list(self.schema.fields))
-                        .add("batch_id", LongType()).add("bucket", IntegerType()))
-                .parquet(self.path))
-
-    def _current(self, before: int | None = None, only: Sequence[int] | None = None
-                 ) -> DataFrame | None:
-        rows = self._versions()
-        if rows is None:
-            return None
-        if before is not None:
-            rows = rows.filter(F.col("batch_id") < before)
-        if only is not None:
-            rows = rows.filter(F.col("bucket").isin(list(only)))
-        newest = rows.groupBy("bucket").agg(F.max("batch_id").alias("batch_id"))
-        # One row per bucket at most.
-        return rows.join(F.broadcast(newest), ["bucket", "batch_id"], "left_semi")
+        self.op_col, self.delete = op_col, delete
+        # Empty first versions, so that every folder can always be read.
+        nothing = spark.createDataFrame([], schema)
+        nothing.write.mode("ignore").parquet(batch_folder(self._changes, -1))
+        nothing.write.mode("ignore").parquet(batch_folder(self._base, -1))
+        self._note(-1, "ignore")
+
+    @property
+    def _changes(self) -> str:
+        return f"{self.path}/changes"
+
+    @property
+    def _base(self) -> str:
+        return f"{self.path}/base"
+
+    @property
+    def _compacted(self) -> str:
+        return f"{self.path}/compacted"
+
+    def _note(self, batch_id: int, mode: str) -> None:
+        (self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("upto")).write.mode(mode)
+         .parquet(batch_folder(self._compacted, batch_id)))
+
+    def _rows(self, folder: str) -> DataFrame:
+        return (self.spark.read.option("basePath", folder)
+                .schema(StructType(list(self.schema.fields)).add("batch_id", LongType()))
+                .parquet(folder))
+
+    def _upto(self) -> int:
+        """The batch up to which the newest base holds everything; one row per compaction is read."""
+        return (self.spark.read.schema("upto bigint").parquet(self._compacted)
+                .agg(F.max("upto")).first()[0])
+
+    def _current(self, last: int | None = None) -> DataFrame:
+        """The newest row per key, delete markers included. Both folders are pruned by batch."""
+        upto = self._upto()
+        batch = F.col("batch_id")
+        base = self._rows(self._base).filter(batch == upto)
+        changes = self._rows(self._changes).filter(batch > upto)
+        if last is not None:
+            changes = changes.filter(batch <= last)
+        return latest_by_key(base.unionByName(changes).drop("batch_id"), self.keys, self.seq)
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` handler."""
-        latest = latest_by_key(batch.select(*self.schema.names), self.keys, self.seq)
-        latest = latest.withColumn("bucket", self._bucket()).persist()
-        try:
-            touched = [r["bucket"] for r in latest.select("bucket").distinct().collect()]
-            if not touched:
-                return
-            rows = latest
-            before = self._current(batch_id, touched)
-            if before is not None:
-                rows = latest_by_key(rows.unionByName(before.drop("batch_id")), self.keys,
-                                     self.seq)
-            (rows.repartition(F.col("bucket")).write.mode("overwrite").partitionBy("bucket")
-             .parquet(batch_folder(self.path, batch_id)))
-        finally:
-            latest.unpersist()
+        """``foreachBatch`` handler; touches nothing but the batch's own rows."""
+        (latest_by_key(batch.select(*self.schema.names), self.keys, self.seq)
+         .write.mode("overwrite").parquet(batch_folder(self._changes, batch_id)))
+
+    def compact(self, last: int) -> None:
+        """Write a base of all batches up to ``last``, which must be complete. Readers see either the old
+        base with its changes or the new one."""
+        if last > self._upto():
+            self._current(last).write.mode("overwrite").parquet(batch_folder(self._base, last))
+            self._note(last, "overwrite")
 
     def read(self) -> DataFrame:
-        """The current table; deleted keys keep a marker row inside, which is left out here."""
+        """The current table without deleted keys."""
         rows = self._current()
-        if rows is None:
-            return self.spark.createDataFrame([], self.schema)
-        rows = rows.drop("batch_id", "bucket")
         return rows.filter(F.col(self.op_col) != self.delete) if self.op_col else rows
 
 
-    def vacuum(self, before: int) -> int:
-        """Remove bucket versions that a batch up to ``before`` has replaced.
+class ThresholdCounts:
+    """Counts rows per type over a stream and calls ``action(type, count)`` for each type of a batch whose
+    count is above the threshold.
 
-        Only folder names pass through the driver. Call it when no batch up to ``before`` can be
-        run again and no reader still uses an older version.
-        """
-        rows = self._versions()
-        if rows is None:
-            return 0
-        versions = rows.filter(F.col("batch_id") <= before).select("bucket", "batch_id").distinct()
-        newest = versions.groupBy("bucket").agg(F.max("batch_id").alias("batch_id"))
-        stale = versions.join(newest, ["bucket", "batch_id"], "left_anti").collect()
-        for row in stale:
-            path, system = self._folder(f"batch_id={row['batch_id']}", f"bucket={row['bucket']}")
-            system.delete(path, True)
-        return len(stale)
+    Each batch stores its own counts, so a repeated batch counts once, and totals add up one row per
+    type and batch instead of reading the rows again.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, type_col: str, threshold: int,
+                 action: Callable[[str, int], None]):
+        self.spark, self.path, self.type_col = spark, path, type_col
+        self.threshold, self.action = threshold, action
+
+    def write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        counts = count_type(batch, self.type_col)
+        counts.write.mode("overwrite").parquet(batch_folder(self.path, batch_id))
+        stored = (self.spark.read.option("basePath", self.path)
+                  .schema(StructType(list(counts.schema.fields)).add("batch_id", LongType()))
+                  .parquet(self.path).filter(F.col("batch_id") <= batch_id))
+        seen = stored.filter(F.col("batch_id") == batch_id).select(self.type_col)
+        totals = (stored.join(seen, self.type_col, "left_semi").groupBy(self.type_col)
+                  .agg(F.sum("n").alias("n")).filter(F.col("n") > self.threshold))
+        for row in totals.toLocalIterator():
+            self.action(row[self.type_col], row["n"])
 
 
 def on_threshold(type_col: str, threshold: int, action: Callable[[str, int], None],
@@ -171,30 +180,33 @@ class LateRows:
 
     def __init__(self, spark: SparkSession, path: str, ts: str, delay_us: int):
         self.spark, self.path, self.ts, self.delay_us = spark, path, ts, delay_us
-        self.seen: dict[int, int] = {}
+        self.last: tuple[int, int | None] = (-1, None)
 
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         at = F.unix_micros(F.col(self.ts))
-        newest_before = self._newest_before(batch_id)
-        newest = batch.agg(F.max(at)).first()[0]
-        if newest is not None:
+        before = self._newest_before(batch_id)
+        batch = batch.persist()
+        try:
+            newest = batch.agg(F.max(at)).first()[0]
+            newest = max((x for x in (before, newest) if x is not None), default=None)
+            # An empty batch stores what it was given.
             (self.spark.range(1).select(F.lit(newest).cast("bigint").alias("newest"))
              .write.mode("overwrite").parquet(batch_folder(f"{self.path}/newest", batch_id)))
-            self.seen[batch_id] = newest
-        limit = -1 if newest_before is None else newest_before - self.delay_us
-        (batch.filter(at <= limit).write.mode("overwrite")
-         .parquet(batch_folder(f"{self.path}/late", batch_id)))
+            late = F.lit(False) if before is None else at <= before - self.delay_us
+            (batch.filter(late).write.mode("overwrite")
+             .parquet(batch_folder(f"{self.path}/late", batch_id)))
+            self.last = (batch_id, newest)
+        finally:
+            batch.unpersist()
 
     def _newest_before(self, batch_id: int) -> int | None:
+        """The newest time of all earlier batches; None before the first row."""
         if batch_id == 0:
             return None
-        if batch_id - 1 not in self.seen:
-            row = (self.spark.read.schema("newest bigint, batch_id bigint")
-                   .parquet(f"{self.path}/newest").filter(F.col("batch_id") < batch_id)
-                   .agg(F.max("newest")).first())
-            return row[0]
-        known = [v for b, v in self.seen.items() if b < batch_id]
-        return max(known)
+        if self.last[0] == batch_id - 1:
+            return self.last[1]
+        return (self.spark.read.schema("newest bigint, batch_id bigint").parquet(f"{self.path}/newest")
+                .filter(F.col("batch_id") == batch_id - 1).agg(F.max("newest")).first()[0])
 
     def read(self, schema) -> DataFrame:
         return (self.spark.read.option("basePath", f"{self.path}/late").schema(schema)

@@ -226,11 +226,10 @@ def _(t):
         return F.concat(F.lit("deep."), number.cast("string"))
 
     rows = t.read("part").select("p_partkey", "p_size")
-    last = rows.agg(F.max("p_partkey").alias("last"))
-    at_end = n == F.least(chunk * 100 + 99, F.col("last"))
+    last = rows.agg(F.max("p_partkey")).first()[0]
+    at_end = n == F.least(chunk * 100 + 99, F.lit(last))
     circle = chunk % 4 == 3
-    # One row with the largest key.
-    definitions = rows.crossJoin(F.broadcast(last)).select(
+    definitions = rows.select(
         name(n).alias("key"), F.array().cast("array<string>").alias("alternatives"),
         F.when(at_end & ~circle, F.concat(F.lit("default "), F.col("p_size").cast("string"))).alias("default"),
         F.when(~at_end, name(n + 1)).when(circle, name(F.greatest(chunk * 100, F.lit(1)))).alias("fallback"))

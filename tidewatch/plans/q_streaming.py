@@ -63,33 +63,41 @@ def folder(t, name: str) -> str:
     return f"{scratch_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def named(stream, *columns: str):
+    """The stream with text ids, as logs have them."""
+    return stream.withColumns({c: F.concat(F.lit(f"{c}-"), F.col(c).cast("string")) for c in columns})
+
+
 @query("stream_live_intervals", f"""
-WITH {LIVE_SQL} SELECT * FROM intervals WHERE epoch_us("end") <= {LIVE_PASSED}
+WITH {LIVE_SQL} SELECT * REPLACE (concat('member_id-', CAST(member_id AS VARCHAR)) AS member_id)
+FROM intervals WHERE epoch_us("end") <= {LIVE_PASSED}
 """, "v_beats")
 def _(t):
     return ntz(run.run_to_table(keyed_state.live_intervals(
-        beats(t), "member_id", "ts", "event_id", "kind", TIMEOUT, CHECK)),
+        named(beats(t), "member_id", "event_id"), "member_id", "ts", "event_id", "kind", TIMEOUT, CHECK)),
         "start", "end", "last_seen")
 
 
 @query("stream_reregister_requests", f"""
 WITH {LIVE_SQL}
-SELECT b.event_id, b.member_id, b.ts FROM v_beats b
+SELECT concat('event_id-', CAST(b.event_id AS VARCHAR)) AS event_id,
+       concat('member_id-', CAST(b.member_id AS VARCHAR)) AS member_id, b.ts FROM v_beats b
 WHERE b.kind = 'heartbeat' AND epoch_us(b.ts) <= {LIVE_PASSED} AND NOT EXISTS (
   SELECT 1 FROM intervals i WHERE i.member_id = b.member_id AND i.start < b.ts
     AND (i."end" IS NULL OR i."end" > b.ts))
 """, "v_beats")
 def _(t):
     return ntz(run.run_to_table(keyed_state.reregister_requests(
-        beats(t), "member_id", "ts", "event_id", "kind", TIMEOUT, CHECK)), "ts")
+        named(beats(t), "member_id", "event_id"), "member_id", "ts", "event_id", "kind", TIMEOUT, CHECK)), "ts")
 
 
 @query("stream_expire_workers", f"""
-SELECT * FROM ({WORKERS_SQL}) w WHERE epoch_us(expired) <= {WORKERS_PASSED}
+SELECT * REPLACE (concat('member_id-', CAST(member_id AS VARCHAR)) AS member_id)
+FROM ({WORKERS_SQL}) w WHERE epoch_us(expired) <= {WORKERS_PASSED}
 """, "v_beats")
 def _(t):
     return ntz(run.run_to_table(keyed_state.expire_workers(
-        beats(t), "member_id", "ts", "event_id", "kind", CHECK)), "registered", "expired")
+        named(beats(t), "member_id"), "member_id", "ts", "event_id", "kind", CHECK)), "registered", "expired")
 
 
 @query("stream_throttle", f"""
@@ -103,11 +111,12 @@ def _(t):
 
 
 @query("stream_exclusion_windows", f"""
-SELECT host_id, ts, recent, tracked, excluded_until FROM ({EXCLUSION_SQL}) w
+SELECT concat('host_id-', CAST(host_id AS VARCHAR)) AS host_id, ts, recent, tracked, excluded_until
+FROM ({EXCLUSION_SQL}) w
 WHERE epoch_us(ts) <= {FAILURES_PASSED}
 """, "v_beats")
 def _(t):
-    failures = beats(t).filter(F.col("kind") == "failure")
+    failures = named(beats(t), "host_id").filter(F.col("kind") == "failure")
     return ntz(run.run_to_table(keyed_state.exclusion_windows(
         failures, "host_id", "ts", "event_id", 2, 48 * US_PER_HOUR, 36 * US_PER_HOUR)),
         "ts", "excluded_until")

@@ -14,60 +14,110 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import (ArrayType, DataType, IntegralType, LongType, StringType, StructField,
+                               StructType)
 
 from ..operators.sequential import exclusion_step, throttle_step
 from .run import use_rocksdb
 
-ROW = StructType([StructField("at", LongType()), StructField("seq", LongType()),
-                  StructField("code", LongType())])
 STATE = StructType([StructField("values", ArrayType(LongType()))])
-RESULT = StructType([StructField("member", LongType()), StructField("a", LongType()),
-                     StructField("b", LongType()), StructField("c", LongType()),
-                     StructField("d", LongType())])
+BUCKET = StructType([StructField("bucket", LongType())])
+DUE = StructType([StructField("due_ms", LongType())])
+
+#: Rows of a key that wait for the watermark lie in buckets of this much event time.
+BUCKET_US = 3_600_000_000
 
 REGISTER, HEARTBEAT, REMOVE = 0, 1, 2
 EXPIRED, REMOVED, UNKNOWN = 0, 1, 2
 
 
+def rows_schema(seq: DataType) -> StructType:
+    """A bucket's rows, as one array per column."""
+    return StructType([StructField("at", ArrayType(LongType())), StructField("seq", ArrayType(seq)),
+                       StructField("code", ArrayType(LongType()))])
+
+
+def result_schema(member: DataType, seq: DataType) -> StructType:
+    return StructType([StructField("member", member), StructField("a", LongType()),
+                       StructField("id", seq), StructField("b", LongType()),
+                       StructField("c", LongType()), StructField("d", LongType())])
+
+
 class Replay(StatefulProcessor):
-    """Buffers a key's rows and gives them to ``rule`` in order once the watermark allows."""
+    """Buffers a key's rows and gives them to ``rule`` in order once the watermark allows.
 
-    def __init__(self, rule):
-        self.rule = rule
+    Rows wait in buckets of event time, and a timer reads only buckets that the watermark has reached.
+    A key has one timer at most; a key without rows and without an open entity keeps no state.
+    """
+
+    def __init__(self, rule, seq: DataType):
+        self.rule, self.seq = rule, seq
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", ROW)
+        self.rows = handle.getMapState("rows", BUCKET, rows_schema(self.seq))
         self.state = handle.getValueState("state", STATE)
+        self.due = handle.getValueState("due", DUE)
+
+    def _wake(self, at_us: int | None) -> None:
+        """Have the key's only timer at the given time, or at the earlier one it has."""
+        old = int(self.due.get()[0]) if self.due.exists() else None
+        new = old if at_us is None else -(-at_us // 1000)
+        if new is None or (old is not None and old <= new):
+            return
+        if old is not None:
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(new)
+        self.due.update((new,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
                         ) -> Iterator[pd.DataFrame]:
         fresh = pd.concat(list(rows))[["at", "seq", "code"]]
-        self.rows.appendList([tuple(int(v) for v in r)
-                              for r in fresh.itertuples(index=False, name=None)])
-        self.handle.registerTimer(-(-int(fresh["at"].min()) // 1000))
+        whole = isinstance(self.seq, LongType)
+        for bucket, part in fresh.groupby(fresh["at"] // BUCKET_US):
+            held = ([], [], [])
+            if self.rows.containsKey((int(bucket),)):
+                held = tuple(list(x) for x in self.rows.getValue((int(bucket),)))
+            held[0].extend(int(v) for v in part["at"])
+            held[1].extend(int(v) if whole else str(v) for v in part["seq"])
+            held[2].extend(int(v) for v in part["code"])
+            self.rows.updateValue((int(bucket),), held)
+        self._wake(int(fresh["at"].min()))
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.due.clear()
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        buffered = sorted(tuple(r) for r in self.rows.get()) if self.rows.exists() else []
-        ready = [r for r in buffered if r[0] <= passed]
-        later = buffered[len(ready):]
+        ready, next_row = [], None
+        for bucket in sorted(int(k[0]) for k in self.rows.keys()):
+            if bucket * BUCKET_US > passed:
+                next_row = bucket * BUCKET_US
+                break
+            held = sorted(zip(*self.rows.getValue((bucket,)), strict=True))
+            now = [r for r in held if r[0] <= passed]
+            ready += now
+            if len(now) == len(held):
+                self.rows.removeKey((bucket,))
+                continue
+            later = held[len(now):]
+            if now:
+                self.rows.updateValue((bucket,), tuple(list(x) for x in zip(*later, strict=True)))
+            next_row = later[0][0]
+            break
         state = list(self.state.get()[0]) if self.state.exists() else []
         out, state, due = self.rule(ready, state, passed)
-        self.state.update(([int(v) for v in state],))
-        if ready:
-            if later:
-                self.rows.put(later)
-            else:
-                self.rows.clear()
-        times = [t for t in (later[0][0] if later else None, due) if t is not None]
-        if times:
-            self.handle.registerTimer(-(-min(times) // 1000))
+        if len(state):
+            self.state.update(([int(v) for v in state],))
+        else:
+            self.state.clear()
+        times = [t for t in (next_row, due) if t is not None]
+        self._wake(min(times) if times else None)
         if out:
-            yield pd.DataFrame([(int(key[0]), *[int(v) for v in r]) for r in out],
-                               columns=RESULT.names)
+            # Rules give (a, b, c, d); b is a row's id in results that name a row.
+            named = [(key[0], int(a), b if by_id else None, None if by_id else int(b), int(c), int(d))
+                     for a, b, c, d, by_id in out]
+            frame = pd.DataFrame(named, columns=["member", "a", "id", "b", "c", "d"])
+            yield frame.astype({"b": "Int64", **({"id": "Int64"} if isinstance(self.seq, LongType) else {})})
 
     def close(self) -> None:
         pass
@@ -82,20 +132,20 @@ class _Stepped:
     def __call__(self, ready, state, passed):
         if not ready:
             return [], state, None
-        table = np.array(ready, dtype=np.int64)
-        rows = {"__at": table[:, 0], "__seq": table[:, 1], "__terminal": table[:, 2]}
+        rows = {"__at": np.array([r[0] for r in ready], np.int64), "__seq": [r[1] for r in ready],
+                "__terminal": np.array([r[2] for r in ready], np.int64)}
         columns, state = self.step(rows, state)
         return self.pick(rows, columns), state, None
 
 
 def _emitted(rows, columns):
-    return [(at, seq, 0, 0) for at, seq, on in
+    return [(at, seq, 0, 0, True) for at, seq, on in
             zip(rows["__at"], rows["__seq"], columns["emitted"], strict=True) if on]
 
 
 def _excluded(rows, columns):
-    return list(zip(rows["__at"], columns["recent"], columns["until_us"],
-                    columns["tracked"].astype(int), strict=True))
+    return [(at, recent, until, tracked, False) for at, recent, until, tracked in zip(
+        rows["__at"], columns["recent"], columns["until_us"], columns["tracked"].astype(int), strict=True)]
 
 
 class LiveRule:
@@ -115,7 +165,7 @@ class LiveRule:
         out = []
         for at, seq, code in ready:
             if state and self._tick(state[1]) <= at:
-                out.append((state[0], self._tick(state[1]), EXPIRED, state[1]))
+                out.append((state[0], self._tick(state[1]), EXPIRED, state[1], False))
                 state = []
             if code == REGISTER:
                 state = [state[0] if state else at, at]
@@ -123,12 +173,12 @@ class LiveRule:
                 if state:
                     state = [state[0], at]
                 else:
-                    out.append((at, seq, UNKNOWN, 0))
+                    out.append((at, seq, UNKNOWN, 0, True))
             elif state:
-                out.append((state[0], at, REMOVED, state[1]))
+                out.append((state[0], at, REMOVED, state[1], False))
                 state = []
         if state and self._tick(state[1]) <= passed:
-            out.append((state[0], self._tick(state[1]), EXPIRED, state[1]))
+            out.append((state[0], self._tick(state[1]), EXPIRED, state[1], False))
             state = []
         return out, state, self._tick(state[1]) if state else None
 
@@ -149,27 +199,30 @@ class WorkerRule:
         out = []
         for at, _seq, code in ready:
             if state and self._tick(state) <= at:
-                out.append((state[0], self._tick(state), EXPIRED, state[1]))
+                out.append((state[0], self._tick(state), EXPIRED, state[1], False))
                 state = []
             if code == REGISTER and not state:
                 state = [at, 0]
             elif code == HEARTBEAT and state:
                 state = [state[0], at]
         if state and self._tick(state) <= passed:
-            out.append((state[0], self._tick(state), EXPIRED, state[1]))
+            out.append((state[0], self._tick(state), EXPIRED, state[1], False))
             state = []
         return out, state, self._tick(state) if state else None
 
 
 def _replay(stream: DataFrame, member: str, ts: str, seq: str, code: Column, rule) -> DataFrame:
-    """The stream must carry a watermark on ``ts``; member and id must be whole numbers."""
+    """The stream must carry a watermark on ``ts``. Members keep their type; ids that are no whole numbers
+    are ordered as text."""
     use_rocksdb(stream.sparkSession)
-    rows = stream.select(F.col(member).cast("bigint").alias("member"),
-                         F.unix_micros(F.col(ts)).alias("at"),
-                         F.col(seq).cast("bigint").alias("seq"), code.cast("bigint").alias("code"),
+    kind = stream.schema[seq].dataType
+    kind = LongType() if isinstance(kind, IntegralType) else StringType()
+    rows = stream.select(F.col(member).alias("member"), F.unix_micros(F.col(ts)).alias("at"),
+                         F.col(seq).cast(kind).alias("seq"), code.cast("bigint").alias("code"),
                          F.col(ts))
     return rows.groupBy("member").transformWithStateInPandas(
-        statefulProcessor=Replay(rule), outputStructType=RESULT, outputMode="append",
+        statefulProcessor=Replay(rule, kind),
+        outputStructType=result_schema(stream.schema[member].dataType, kind), outputMode="append",
         timeMode="eventTime")
 
 
@@ -178,25 +231,36 @@ def _kind_code(kind: str) -> Column:
             .when(F.col(kind) == "remove", REMOVE))
 
 
-def live_intervals(stream: DataFrame, member: str, ts: str, seq: str, kind: str, timeout_us: int,
-                   check_us: int) -> DataFrame:
-    """Ended live intervals (member, start, end, end_reason, last_seen) of a stream."""
+def live_changes(stream: DataFrame, member: str, ts: str, seq: str, kind: str, timeout_us: int,
+                 check_us: int) -> DataFrame:
+    """Ended live intervals and requests to register again, from one state per member.
+
+    (member, change, id, start, end, end_reason, last_seen): change is ``interval``, or ``request`` for a
+    heartbeat of a member that is not live, with its id and, as ``start``, its time.
+    """
     known = stream.filter(F.col(kind).isin("register", "heartbeat", "remove"))
     out = _replay(known, member, ts, seq, _kind_code(kind), LiveRule(timeout_us, check_us))
-    return out.filter(F.col("c") != UNKNOWN).select(
-        F.col("member").alias(member), F.timestamp_micros("a").alias("start"),
+    request = F.col("c") == UNKNOWN
+    return out.select(
+        F.col("member").alias(member), F.when(request, "request").otherwise("interval").alias("change"),
+        F.col("id").alias(seq), F.timestamp_micros("a").alias("start"),
         F.timestamp_micros("b").alias("end"),
-        F.when(F.col("c") == EXPIRED, "expired").otherwise("removed").alias("end_reason"),
-        F.timestamp_micros("d").alias("last_seen"))
+        F.when(F.col("c") == EXPIRED, "expired").when(F.col("c") == REMOVED, "removed").alias("end_reason"),
+        F.when(~request, F.timestamp_micros("d")).alias("last_seen"))
+
+
+def live_intervals(stream: DataFrame, member: str, ts: str, seq: str, kind: str, timeout_us: int,
+                   check_us: int) -> DataFrame:
+    """Ended live intervals (member, start, end, end_reason, last_seen) of a stream."""
+    changes = live_changes(stream, member, ts, seq, kind, timeout_us, check_us)
+    return changes.filter("change = 'interval'").drop("change", seq)
 
 
 def reregister_requests(stream: DataFrame, member: str, ts: str, seq: str, kind: str,
                         timeout_us: int, check_us: int) -> DataFrame:
     """Heartbeats (member, id, time) of members that are not live at that moment."""
-    known = stream.filter(F.col(kind).isin("register", "heartbeat", "remove"))
-    out = _replay(known, member, ts, seq, _kind_code(kind), LiveRule(timeout_us, check_us))
-    return out.filter(F.col("c") == UNKNOWN).select(
-        F.col("member").alias(member), F.col("b").alias(seq), F.timestamp_micros("a").alias(ts))
+    changes = live_changes(stream, member, ts, seq, kind, timeout_us, check_us)
+    return changes.filter("change = 'request'").select(member, seq, F.col("start").alias(ts))
 
 
 def expire_workers(stream: DataFrame, member: str, ts: str, seq: str, kind: str, period_us: int
@@ -213,7 +277,7 @@ def throttle(stream: DataFrame, key: str, ts: str, seq: str, period_us: int, ter
     """Emitted rows (key, id, time)."""
     out = _replay(stream, key, ts, seq, F.col(terminal).cast("int"),
                   _Stepped(throttle_step(period_us), _emitted))
-    return out.select(F.col("member").alias(key), F.col("b").alias(seq),
+    return out.select(F.col("member").alias(key), F.col("id").alias(seq),
                       F.timestamp_micros("a").alias(ts))
 
 

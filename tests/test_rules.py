@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators import liveness, matching, placement, sequential, tasks, windows
+from tidewatch.operators import (liveness, matching, ordered, placement, sequential, tasks,
+                                 windows)
 from tidewatch.operators.quantiles import metric_quantiles
 
 EPOCH = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -104,6 +105,27 @@ def test_exclusion_windows(spark, limit, interval):
     assert got == want
 
 
+@pytest.mark.parametrize("rule", ["throttle", "exclusion"])
+def test_regular_ticks_take_a_fixed_number_of_passes(spark, monkeypatch, rule):
+    """One key, one row a second, forty chunks: the phase is never forgotten."""
+    rows = [(1, i, at(i * 1000), i in (777, 1501)) for i in range(2000)]
+    frame = spark.createDataFrame(rows, "k int, id int, ts timestamp, end boolean")
+
+    def run(limit):
+        if rule == "throttle":
+            return sequential.throttle(frame, ["k"], "ts", "id", 6_500, "end", limit)
+        return sequential.exclusion_windows(frame, "k", "ts", "id", 3, 0, 7_000, limit)
+
+    writes = []
+    for module in (sequential, ordered):
+        write = module.written
+        monkeypatch.setattr(module, "written", lambda df, w=write: writes.append(1) or w(df))
+    want = sorted(map(tuple, run(10_000).collect()))
+    assert not writes
+    assert sorted(map(tuple, run(50).collect())) == want
+    assert 0 < len(writes) <= 6
+
+
 def simulate_members(rows, timeout, check, until):
     """Step-by-step heartbeat receiver for one member: (intervals, unknown heartbeats)."""
     start = last = None

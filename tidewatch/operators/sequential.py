@@ -1,15 +1,23 @@
 """Rules whose next step depends on their last decision: throttling and exclusion windows.
 
 ``fold`` runs a small state machine over each key's rows in order, batch by batch, so memory does
-not grow with a key. Keys whose rows suit one task are replayed there. A larger key is cut into ordered chunks that run in parallel from a guessed entry
-state; chunks whose real entry state (the exit state of the chunk before) differs are run again
-until no entry changes. That is exact when it stops, and it stops after at most as many rounds as
-a key has chunks. These rules forget quickly, so it takes two or three.
+not grow with a key. Keys whose rows suit one task are replayed there. A larger key is cut into
+ordered chunks, whose entry states are found first.
+
+Throttling, and exclusion without a finite interval, move from one counted row to the next by a
+pointer that depends on that row alone (``Pointers``). One backward pass per chunk then says for each
+row that could be the first counted one where its chain leaves the chunk; these few pieces are
+chained over the chunks of a key, and one more pass marks the rows: a fixed number of passes.
+
+For other rules chunks run from a guessed entry state and are run again while the exit state of the
+chunk before differs. That is exact when it stops, after at most as many rounds as a key has chunks:
+few if the rule forgets within a chunk, one per chunk if it does not.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,8 +35,22 @@ STATE = "__state"
 Step = Callable[[dict[str, np.ndarray], list[int]], tuple[dict[str, np.ndarray], list[int]]]
 
 
+@dataclass(frozen=True)
+class Pointers:
+    """A rule by pointers: after a counted row at time t the next one is the first row from ``reach``(t) on,
+    or an earlier row that is terminal. The first ``free`` rows of a key count in any case.
+
+    ``enter`` gives the step's state from (the time from which rows count, or None; rows counted).
+    """
+
+    reach: Callable[[np.ndarray], np.ndarray]
+    enter: Callable[[int | None, int], list[int]]
+    free: int = 0
+    terminal: str | None = None
+
+
 def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: Step, added: str,
-         limit: int | None = None) -> DataFrame:
+         limit: int | None = None, pointers: Pointers | None = None) -> DataFrame:
     """``df`` with the columns ``added`` (DDL) that ``step`` computes per key in ``order``.
 
     ``step`` sees a key's rows in pieces, each with the exit state of the piece before. Pass only
@@ -39,12 +61,15 @@ def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: Step, a
     shape = StructType(list(df.schema.fields) + list(extra))
     limit = limit or rows_per_task(df.sparkSession)
     total, largest = largest_group(df, keys)
+    # The explicit number keeps small inputs from being merged into one Python worker.
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // limit))
     if largest <= limit:
         groups, rows = keys, df
     else:
         chunks = split_by_order(df, keys, order, total, limit)
-        groups, rows = [*keys, CHUNK], _attach(chunks, _entry_states(chunks, keys, order, step),
-                                               keys)
+        entries = (_pointer_entries(chunks, keys, order, pointers, parts) if pointers
+                   else _entry_states(chunks, keys, order, step, parts))
+        groups, rows = [*keys, CHUNK], _attach(chunks, entries, keys)
     names = shape.names
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -52,16 +77,107 @@ def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: Step, a
             if len(pdf):
                 yield pdf.assign(**columns)[names]
 
-    return _in_order(rows, groups, order).mapInPandas(run, shape)
+    return _in_order(rows, groups, order, parts).mapInPandas(run, shape)
 
 
-def _in_order(rows: DataFrame, groups: list[str], order: list[str]) -> DataFrame:
-    """Each group in one partition, sorted. The explicit number keeps small inputs from being
-    merged into one Python worker."""
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _in_order(rows: DataFrame, groups: list[str], order: list[str], parts: int) -> DataFrame:
+    """Each group in one partition, sorted."""
     return rows.repartition(parts, *groups).sortWithinPartitions(*groups, *order)
 
 
+def _grouped(batches: Iterator[pd.DataFrame], groups: list[str], columns: list[str]):
+    """(key, {column: values}) of each group of sorted batches, whole."""
+    current, held = None, []
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        places = pdf.groupby(groups, sort=False, dropna=False).ngroup().to_numpy()
+        starts = np.concatenate(([0], np.flatnonzero(np.diff(places)) + 1, [len(pdf)]))
+        for a, b in zip(starts[:-1], starts[1:], strict=True):
+            key = tuple(None if pd.isna(pdf[g].iloc[a]) else pdf[g].iloc[a] for g in groups)
+            if key != current:
+                if held:
+                    yield current, {c: np.concatenate([h[c] for h in held]) for c in columns}
+                current, held = key, []
+            held.append({c: pdf[c].to_numpy()[a:b] for c in columns})
+    if held:
+        yield current, {c: np.concatenate([h[c] for h in held]) for c in columns}
+
+
+MOST, LEAST = np.iinfo(np.int64).max, np.iinfo(np.int64).min
+
+
+def chain_pieces(at: np.ndarray, terminal: np.ndarray, rule: Pointers) -> list[tuple]:
+    """A chunk as a function of what comes in: (by_free, upto, leave, free, counted).
+
+    by_free 1: with ``upto`` free rows left; 0: rows count from a time of at most ``upto`` on, and more than
+    the piece before. ``leave`` is the time from which rows count afterwards (LEAST: as before).
+    """
+    n = len(at)
+    ends = np.flatnonzero(terminal)
+    following = np.append(ends, n)[np.searchsorted(ends, np.arange(n), side="right")]
+    reach = rule.reach(at)
+    onward = np.minimum(np.searchsorted(at, reach, side="left"), following)
+    onward = np.maximum(onward, np.arange(n) + 1).tolist()
+    leave, counted = reach.tolist(), [1] * n
+    for i in range(n - 1, -1, -1):
+        if onward[i] < n:
+            leave[i], counted[i] = leave[onward[i]], counted[onward[i]] + 1
+    out = []
+    for free in range(rule.free + 1):
+        if free >= n:
+            out.append((1, free, LEAST, free - n, n))
+        else:
+            out.append((1, free, leave[free], 0, free + counted[free]))
+    # No earlier row reaches further than the chunk's first one would.
+    last = min(int(np.searchsorted(at, reach[0], side="left")), int(ends[0]) if len(ends) else n)
+    pieces = [(0, int(at[j]), leave[j], 0, counted[j]) for j in range(min(last + 1, n))]
+    if last == n:
+        pieces.append((0, MOST, LEAST, 0, 0))
+    else:
+        pieces[-1] = (0, MOST, *pieces[-1][2:])
+    return out + [p for p, q in zip(pieces, [*pieces[1:], None]) if q is None or p[2:] != q[2:]]
+
+
+def _pointer_entries(chunks: DataFrame, keys: list[str], order: list[str], rule: Pointers,
+                     parts: int) -> DataFrame:
+    groups = [*keys, CHUNK]
+    columns = ["__at", *([rule.terminal] if rule.terminal else [])]
+    piece = StructType([chunks.schema[g] for g in groups])
+    for name in ("by_free", "upto", "leave", "free", "counted"):
+        piece = piece.add(name, LongType())
+    entry = StructType([chunks.schema[g] for g in groups]).add(STATE, ArrayType(LongType()))
+
+    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for key, rows in _grouped(batches, groups, columns):
+            terminal = (rows[rule.terminal].astype(bool) if rule.terminal
+                        else np.zeros(len(rows["__at"]), bool))
+            yield pd.DataFrame([(*key, *p) for p in chain_pieces(rows["__at"], terminal, rule)],
+                               columns=piece.names)
+
+    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        owner, since, free, counted = None, None, 0, 0
+        for key, p in _grouped(batches, groups, ["by_free", "upto", "leave", "free", "counted"]):
+            if owner is None or key[:-1] != owner:
+                owner, since, free, counted = key[:-1], None, rule.free, 0
+            yield pd.DataFrame([(*key, rule.enter(since, counted))], columns=entry.names)
+            by_free = p["by_free"] == 1
+            if since is None:
+                i = int(np.flatnonzero(by_free & (p["upto"] == free))[0])
+            else:
+                by_time = np.flatnonzero(~by_free)
+                i = int(by_time[np.searchsorted(p["upto"][by_time], since, side="left")])
+            if p["leave"][i] != LEAST:
+                since = int(p["leave"][i])
+            free, counted = int(p["free"][i]), counted + int(p["counted"][i])
+
+    pieces = written(_in_order(chunks.select(*groups, *order, *columns[1:]), groups, order, parts)
+                     .mapInPandas(summarise, piece))
+    # A key's pieces pass through one task as a stream.
+    ordered = pieces.repartition(parts, *keys).sortWithinPartitions(*groups, "by_free", "upto")
+    return written(ordered.mapInPandas(chain, entry))
+
+
 def _replayed(batches: Iterator[pd.DataFrame], groups: list[str], step: Step):
     """Run ``step`` over sorted batches; a group may go on in the next batch.
 
@@ -90,13 +206,19 @@ def _replayed(batches: Iterator[pd.DataFrame], groups: list[str], step: Step):
 
 
 def _attach(chunks: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:
-    """Chunk rows with their entry state; only keys in several chunks have entries, at most two
-    per chunk, so the side is small."""
-    return (chunks.join(F.broadcast(entries), [*keys, CHUNK], "left")
+    """Chunk rows with their entry state. Rows are sorted by key, so there are at most two keys per chunk
+    that go on in another one, and the entries of the others are left out: the side is small."""
+    names = [*keys, CHUNK]
+    small = entries.filter(F.size(STATE) > 0).select(*[F.col(n).alias(f"__e_{n}") for n in names], STATE)
+    matches = F.lit(True)
+    for n in names:
+        matches = matches & F.col(n).eqNullSafe(F.col(f"__e_{n}"))
+    return (chunks.join(F.broadcast(small), matches, "left").drop(*[f"__e_{n}" for n in names])
             .withColumn(STATE, F.coalesce(STATE, F.array().cast("array<bigint>"))))
 
 
-def _entry_states(chunks: DataFrame, keys: list[str], order: list[str], step: Step) -> DataFrame:
+def _entry_states(chunks: DataFrame, keys: list[str], order: list[str], step: Step,
+                  parts: int) -> DataFrame:
     per_key = Window.partitionBy(*keys)
     places = (chunks.select(*keys, CHUNK).distinct()
               .withColumn("__parts", F.count(F.lit(1)).over(per_key))
@@ -115,7 +237,7 @@ def _entry_states(chunks: DataFrame, keys: list[str], order: list[str], step: St
     todo, exits = entries, None
     while True:
         rows = chunks.join(F.broadcast(todo), groups)
-        fresh = written(_in_order(rows, groups, order).mapInPandas(leave, exit_shape))
+        fresh = written(_in_order(rows, groups, order, parts).mapInPandas(leave, exit_shape))
         if exits is not None:
             fresh = fresh.unionByName(exits.join(fresh, groups, "left_anti"))
         exits = written(fresh)
@@ -165,14 +287,45 @@ def throttle(df: DataFrame, keys: Sequence[str], ts: str, row_id: str, period_us
     """
     rows = df.select(*keys, row_id, ts, micros(F.col(ts)).alias("__at"),
                      F.col(terminal).cast("boolean").alias("__terminal"))
-    marked = fold(rows, keys, ["__at", row_id], throttle_step(period_us), "emitted boolean", limit)
+    rule = Pointers(lambda at: at + (period_us + 1),
+                    lambda since, _n: [] if since is None else [since - period_us - 1],
+                    terminal="__terminal")
+    rows = rows.withColumn("__terminal", F.coalesce("__terminal", F.lit(False)))
+    marked = fold(rows, keys, ["__at", row_id], throttle_step(period_us), "emitted boolean", limit, rule)
     return marked.filter("emitted").select(*keys, row_id, ts)
 
 
 # ---------------------------------------------------------------- exclusion
 
+def endless_exclusion_step(most: int, timeout_us: int) -> Step:
+    """Without an interval no failure is forgotten. State: end of the exclusion, failures counted."""
+    def step(rows: dict[str, np.ndarray], state: list[int]):
+        at = rows["__at"]
+        until, n = state or (LEAST, 0)
+        counted = np.zeros(len(at), dtype=bool)
+        recent = np.full(len(at), n, dtype=np.int64)
+        ends = np.full(len(at), -1, dtype=np.int64)
+        i, last = int(np.searchsorted(at, until, side="left")), 0
+        while i < len(at):
+            recent[last:i] = n
+            n, last = n + 1, i
+            counted[i], recent[i] = True, n
+            if n > most:
+                until = int(at[i]) + timeout_us
+                ends[i] = until
+            i += 1
+            if n > most:
+                i += int(np.searchsorted(at[i:], until, side="left"))
+        return {"tracked": counted, "recent": np.where(counted, recent, 0), "until_us": ends}, [int(until), n]
+    return step
+
+
 def exclusion_step(most: int, interval_us: int, timeout_us: int) -> Step:
-    """State: end of the exclusion, then the tracked failure times that still matter."""
+    """State: end of the exclusion, then the tracked failure times that still matter: those of one
+    interval. Without an interval only their number is kept."""
+    if interval_us <= 0:
+        return endless_exclusion_step(most, timeout_us)
+
     def step(rows: dict[str, np.ndarray], state: list[int]):
         at = rows["__at"]
         until = state[0] if state else np.iinfo(np.int64).min
@@ -184,8 +337,7 @@ def exclusion_step(most: int, interval_us: int, timeout_us: int) -> Step:
         while i < len(at):
             now = int(at[i])
             tracked.append(now)
-            if interval_us > 0:
-                tracked = [t for t in tracked if t >= now - interval_us]
+            tracked = [t for t in tracked if t >= now - interval_us]
             counted[i] = True
             recent[i] = len(tracked)
             i += 1
@@ -193,7 +345,7 @@ def exclusion_step(most: int, interval_us: int, timeout_us: int) -> Step:
                 until = now + timeout_us
                 ends[i - 1] = until
                 i += int(np.searchsorted(at[i:], until, side="left"))
-        if interval_us > 0 and len(at):
+        if len(at):
             # Only failures that a later row could still count are carried on.
             tracked = [t for t in tracked if t >= int(at[-1]) - interval_us]
             if until <= int(at[-1]):
@@ -208,10 +360,16 @@ def exclusion_windows(failures: DataFrame, host: str, ts: str, row_id: str, most
     """Each failure with ``tracked``, its count and the exclusion it starts (``excluded_until``).
 
     More than ``most`` failures of a host inside the interval exclude it until ``timeout`` later.
-    Failures of an excluded host are not counted; it is free again when the time is reached.
+    Failures of an excluded host are not counted; it is free again when the time is reached. Without
+    an interval (0 or less) large hosts take a fixed number of passes; with one, as many rounds as it
+    takes until no chunk's entry state changes.
     """
     rows = failures.select(host, row_id, ts, micros(F.col(ts)).alias("__at"))
+    rule = None
+    if interval_us <= 0 < timeout_us:
+        rule = Pointers(lambda at: at + timeout_us, free=most,
+                        enter=lambda since, n: [LEAST if since is None else since, n] if n else [])
     marked = fold(rows, [host], ["__at", row_id], exclusion_step(most, interval_us, timeout_us),
-                  "tracked boolean, recent bigint, until_us bigint", limit)
+                  "tracked boolean, recent bigint, until_us bigint", limit, rule)
     return marked.select(host, row_id, ts, "tracked", "recent", F.when(
         F.col("until_us") >= 0, F.timestamp_micros("until_us")).alias("excluded_until"))

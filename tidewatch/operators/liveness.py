@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import count_up
 from .lifecycle import micros
 from .ordered import Ordered
 
@@ -103,8 +104,10 @@ def live_count(intervals: DataFrame, check_us: int = CHECK_US, until_us: int | N
     if until_us is not None:
         changes = changes.filter(F.col("tick") <= until_us)
     last = F.max("tick") if until_us is None else F.lit(until_us - until_us % check_us)
-    ticks = changes.agg(F.min("tick").alias("a"), last.alias("b")).filter("a <= b").select(
-        F.explode(F.sequence("a", "b", F.lit(check_us).cast("bigint"))).alias("tick"))
+    # Changes lie on ticks, so whole numbers of intervals count them.
+    span = changes.agg(F.min("tick").alias("a"), last.alias("b")).filter("a <= b")
+    ticks = count_up(span, F.expr(f"a div {check_us}"), F.expr(f"b div {check_us}"), "__n").select(
+        (F.col("__n") * check_us).alias("tick"))
     steps = ticks.join(changes, "tick", "left").withColumn("change", F.coalesce("change",
                                                                                F.lit(0)))
     return (Ordered(steps, [], ["tick"]).running("live", F.sum, F.col("change")).df

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import count_up
 from ..session import written
 from .ordered import Ordered
 
@@ -96,8 +97,7 @@ def check_ticks(df: DataFrame, member: str, ts: str, check_us: int, tick: str =
     span = df.groupBy(member).agg(F.min(at).alias("a"), F.max(at).alias("b"))
     first = F.ceil(F.col("a") / check_us).cast("bigint")
     last = F.floor(F.col("b") / check_us).cast("bigint")
-    return (span.filter(first <= last)
-            .select(member, F.explode(F.sequence(first, last)).alias("__n"))
+    return (count_up(span, first, last, "__n")
             .select(member, F.timestamp_micros(F.col("__n") * check_us).alias(tick)))
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import count_up
 from ..session import written
 from .lifecycle import micros
 from .ordered import Ordered
@@ -102,16 +103,12 @@ def placement_rounds(needed: DataFrame, apps: DataFrame, scope: str, racks: Data
         apps.select(scope, F.col(requests).cast("bigint").alias("__n")).join(sums, scope, "left")
         .withColumn("__free", F.greatest(F.col("__n") - F.coalesce("__sum", _zero()), _zero()))
         .withColumn("__aware", F.col("__n") - F.col("__free")))
-    free = (plan.filter(F.col("__free") > 0)
-            .select(scope, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__free")))
-                    .alias("request"),
-                    F.lit(None).cast(needed.schema[host].dataType).alias(host)))
+    free = (count_up(plan, F.lit(1), F.col("__free"), "request")
+            .select(scope, "request", F.lit(None).cast(needed.schema[host].dataType).alias(host)))
     rounds = F.ceil(F.col(need).cast("double") * F.col("__aware") / F.col("__most")).cast("bigint")
     aware = (needed.join(plan.filter(F.col("__aware") > 0), scope)
-             .withColumn("__rounds", rounds).filter(F.col("__rounds") > 0)
-             .select(scope, host, "__free",
-                     F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__rounds")))
-                     .alias("__round"))
+             .withColumn("__rounds", rounds))
+    aware = (count_up(aware, F.lit(1), F.col("__rounds"), "__round")
              .select(scope, (F.col("__free") + F.col("__round")).alias("request"), host))
     rows = free.unionByName(aware)
     if racks is not None:

@@ -7,10 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
 from .ordered import Ordered
 
-#: Rows up to which a page is taken with a top-k sort; deeper pages use distributed row numbers.
-TOP_K_ROWS = 100_000
+#: Rows up to which rows are taken with a top-k sort, which ends in one task; beyond it, by distributed
+#: row numbers.
+TOP_K_ROWS = 1_000
 
 
 def sort_order(index: str | Sequence[str], keys: Sequence[str], reverse: bool = False
@@ -90,7 +92,10 @@ def cached_only(df: DataFrame, cached: str = "num_cached") -> DataFrame:
 
 def tail_n(df: DataFrame, key: str, n: int) -> DataFrame:
     """The last ``n`` rows by key, in ascending key order."""
-    return df.orderBy(F.col(key).desc()).limit(n).orderBy(F.col(key).asc())
+    if n <= TOP_K_ROWS:
+        return df.orderBy(F.col(key).desc()).limit(n).orderBy(F.col(key).asc())
+    return (numbered(df, [f"{key} desc"], "__row").filter(F.col("__row") <= n).drop("__row")
+            .orderBy(F.col(key).asc()))
 
 
 def batch_next(df: DataFrame, keys: Sequence[str], after: Sequence | None, n: int
@@ -105,9 +110,12 @@ def batch_next(df: DataFrame, keys: Sequence[str], after: Sequence | None, n: in
     if after is not None:
         rows = rows.filter(key_after(keys, after))
     order = [F.col(k).asc() for k in keys]
-    found = rows.orderBy(*order).limit(n + 1)
-    more = found.count() > n
-    return found.orderBy(*order).limit(n), more
+    if n < TOP_K_ROWS:
+        found = written(rows.orderBy(*order).limit(n + 1))
+        return found.orderBy(*order).limit(n), found.count() > n
+    found = written(numbered(rows, order, "__row").filter(F.col("__row") <= n + 1))
+    return (found.filter(F.col("__row") <= n).orderBy("__row").drop("__row"),
+            not found.filter(F.col("__row") > n).isEmpty())
 
 
 def key_after(keys: Sequence[str], after: Sequence) -> Column:

@@ -24,6 +24,12 @@ def unknown_heartbeats(beats: DataFrame, registered: DataFrame, keys: Sequence[s
     return beats.join(registered.select(*keys).distinct(), list(keys), "left_anti")
 
 
+def marked_known(wanted: DataFrame, known: DataFrame, keys: Sequence[str], name: str = "known") -> DataFrame:
+    """``wanted`` with a flag whether ``known`` has its keys, in one pass over both."""
+    ids = known.select(*keys).distinct().withColumn(name, F.lit(True))
+    return wanted.join(ids, list(keys), "left").withColumn(name, F.coalesce(name, F.lit(False)))
+
+
 def known_unknown_split(wanted: DataFrame, known: DataFrame, keys: Sequence[str]
                         ) -> tuple[DataFrame, DataFrame]:
     ids = known.select(*keys).distinct()

@@ -375,17 +375,21 @@ def typed_settings(settings: DataFrame, type_col: str = "type", key: str = "key"
 
 # ---------------------------------------------------------------- validation
 
-def validate(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
-    """(good, bad) rows; ``rules`` maps a message to the condition a row must meet.
+def checked(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
+    """``df`` with ``errors``: the messages of all rules that a row breaks, in one pass.
 
-    Bad rows carry the messages of all broken rules in ``errors``; a null condition is broken.
+    ``rules`` maps a message to the condition a row must meet; a null condition is broken.
     """
     messages = F.filter(F.array(*[
         F.when(~F.coalesce(condition, F.lit(False)), F.lit(message))
         for message, condition in rules.items()]), lambda m: m.isNotNull())
-    checked = df.withColumn("errors", messages)
-    return (checked.filter(F.size("errors") == 0).drop("errors"),
-            checked.filter(F.size("errors") > 0))
+    return df.withColumn("errors", messages)
+
+
+def validate(df: DataFrame, rules: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """(good, bad) rows of ``checked``; each frame that is used reads ``df``."""
+    rows = checked(df, rules)
+    return rows.filter(F.size("errors") == 0).drop("errors"), rows.filter(F.size("errors") > 0)
 
 
 def allowed(column: Column, values: Sequence) -> Column:

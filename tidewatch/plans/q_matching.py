@@ -52,10 +52,8 @@ SELECT c_custkey AS id, c_custkey IN (SELECT s_suppkey FROM supplier) AS known F
 """)
 def _(t):
     wanted = t.read("customer").select(F.col("c_custkey").alias("id"))
-    known, unknown = matching.known_unknown_split(
+    return matching.marked_known(
         wanted, t.read("supplier").select(F.col("s_suppkey").alias("id")), ["id"])
-    return (known.withColumn("known", F.lit(True))
-            .unionByName(unknown.withColumn("known", F.lit(False))))
 
 
 TIERED_SQL = """

@@ -379,8 +379,8 @@ def _(t):
         "event_id", F.when(F.col("event_type") == "error", F.concat(F.lit("h:"), user))
         .otherwise(F.concat(F.lit("h"), user)).alias("host"),
         (F.floor("value").cast("bigint") - 20).alias("capacity"))
-    good, bad = s.validate(rows, {
+    errors = F.array_join("errors", "|")
+    return s.checked(rows, {
         "host must not contain a port": s.is_host(F.col("host")),
-        "capacity must be positive": F.col("capacity") > 0})
-    return (good.withColumn("errors", F.lit(None).cast("string"))
-            .unionByName(bad.withColumn("errors", F.array_join("errors", "|"))))
+        "capacity must be positive": F.col("capacity") > 0}).withColumn(
+        "errors", F.when(F.size("errors") > 0, errors))

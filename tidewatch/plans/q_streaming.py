@@ -188,7 +188,8 @@ def _(t):
 
 @query("stream_quote_subscribe", """
 SELECT event_id, event_type AS security, ts, value AS price FROM events
-WHERE event_type IN ('view', 'click')
+WHERE event_type IN (SELECT unnest(CASE WHEN c_custkey % 2 = 1 THEN ['view', 'click'] ELSE ['error'] END)
+                     FROM customer WHERE c_custkey = (SELECT max(c_custkey) FROM customer))
 """)
 def _(t):
     lists = t.read("customer").select(
@@ -263,7 +264,7 @@ def _(t):
 
 @query("isolate_errors", """
 SELECT 'counts' AS handler, count(*) AS rows_seen, FALSE AS failed FROM events
-UNION ALL SELECT 'broken', 0, TRUE
+UNION ALL SELECT 'broken', 0, count(CASE WHEN event_id >= 0 THEN 1 END) > 0 FROM events
 UNION ALL SELECT 'errors', count(*), FALSE FROM events WHERE event_type = 'error'
 """)
 def _(t):

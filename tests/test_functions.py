@@ -277,3 +277,11 @@ def test_property_files(spark, tmp_path):
     got = {r.key: r.value for r in files.read_properties(spark, str(tmp_path)).collect()}
     assert got == {"fruits": "apple, banana#pear", "key one:two": "v\\\\", "plain": "value here",
                    "uni": "é🙂\n", "a": "", "lone": "", "last": "x"}
+
+
+def test_count_up_in_blocks(spark):
+    from tidewatch.functions.arrays import count_up
+
+    frame = spark.createDataFrame([(1, 0, 7), (2, -3, -3), (3, 5, 4), (4, 10, 12)], "k int, a int, b int")
+    got = sorted(map(tuple, count_up(frame, F.col("a"), F.col("b"), "n", at_once=3).select("k", "n").collect()))
+    assert got == [*((1, n) for n in range(8)), (2, -3), *((4, n) for n in (10, 11, 12))]

@@ -1,10 +1,10 @@
 """Physical plans: no Python, cross joins or one-task windows where rows are unbounded."""
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from tidewatch.operators import keyed, view
+from tidewatch.plans import catalog
 from tidewatch.plans.tables import Tables
 
 FOLDER = "/root/testdata/sf0.001"
@@ -15,14 +15,14 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-BATCH = sorted(n for n in entry.queries()
+BATCH = sorted(n for n in catalog.QUERIES
                if not n.startswith("stream_") and n not in {
                    "isolate_errors", "late_rows", "stateful_upsert_sink"})
 
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_cross_joins_and_no_python(spark, name):
-    text = plan(entry.queries()[name](spark, FOLDER))
+    text = plan(catalog.QUERIES[name](spark, FOLDER))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     if name not in PYTHON:
@@ -34,7 +34,7 @@ def test_no_cross_joins_and_no_python(spark, name):
 @pytest.mark.parametrize("name", ["index_sort", "page_deep", "app_id_sort", "live_count",
                                   "failures_in_interval_overall", "timeline_rows"])
 def test_large_orderings_do_not_use_one_task(spark, small_tasks, name):
-    text = plan(entry.queries()[name](spark, FOLDER))
+    text = plan(catalog.QUERIES[name](spark, FOLDER))
     for line in text.splitlines():
         if "SinglePartition" in line:
             pytest.fail(line)
@@ -60,4 +60,8 @@ def test_pages_are_top_k(spark):
 def test_rollup_is_one_scan_of_the_members(spark):
     text = plan(entry.entry(spark))
     assert text.count("supplier.parquet") <= 2
-    assert F is not None
+
+
+def test_event_logs_and_routes_are_one_scan(spark):
+    for name in ("event_log_parse", "event_log_quarantine", "event_route", "validate_split"):
+        assert plan(catalog.QUERIES[name](spark, FOLDER)).count("FileScan") == 1

@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 ROWS_PER_TASK = 2_000_000
 ROWS_PER_TASK_CONF = "spark.tidewatch.rowsPerTask"
 
-#: Most chunks such a table is cut into. More would cost the driver more than larger chunks,
-#: which spill to disk, cost the tasks.
-MAX_CHUNKS = 20_000
-
 #: Largest side, in rows, that the library broadcasts on its own account.
 BROADCAST_ROWS = 500_000
 
+#: Most chunks such a table is cut into: their carry tables, of a row per chunk, are broadcast. Only a table
+#: of over a million million rows has larger chunks, which then spill to disk.
+MAX_CHUNKS = BROADCAST_ROWS
+
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

@@ -140,7 +140,11 @@ def disclosing_terms(spans: DataFrame, disclosure: float = DISCLOSURE, certainty
     near = written(spans.select("text_key", F.inline(F.concat(*map(contexts, KINDS))))
                    .select("text_key", "entity", F.explode("terms").alias("term")).distinct())
     seen = near.groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= support)
-    candidates = written(seen)
+    # A term has at least as many texts as those where it is near any entity, so one that is near many
+    # entities cannot be certain of one: common words end here, before their texts are looked up.
+    anywhere = near.select("term", "text_key").distinct().groupBy("term").agg(F.count("*").alias("near_any"))
+    candidates = written(seen.join(anywhere, "term").filter(
+        F.col("both") >= certainty * F.col("near_any")).drop("near_any"))
     terms = candidates.select("term").distinct()
     # All texts with a candidate term. Candidates are broadcast only if they are proven few.
     if small_side(terms):

@@ -259,7 +259,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = written(labelled_sample(docs, labels, id_col, text_col, label_id, label_col))
     marks = seeds(sample)
     # At most WINDOWS windows for each of a bounded number of documents come to the driver.
-    rows = windows(sample, marks).orderBy(F.xxhash64("features"), "features").collect() if marks else []
+    # The order is fixed there, so that a repeated run gives the same field.
+    found = windows(sample, marks).collect() if marks else []
+    rows = sorted(found, key=lambda r: (zlib.crc32(r["features"]), bytes(r["features"]), bytes(r["labels"])))
     if not rows:
         return Field(np.zeros(DIMENSIONS), -30.0, 0.0, np.zeros((2, 2)), np.array([-5.0, 0, 0, 0, 0]))
     sizes = np.array([len(r["labels"]) for r in rows])
@@ -367,7 +369,9 @@ def _with_rule(field: Field, sample: DataFrame, labels: DataFrame, label_col: st
                                              names=["row", "toxic"])
 
     kind = sample.schema["toxic"].dataType.simpleString()
-    rows = sample.mapInArrow(run, f"row array<double>, toxic {kind}").orderBy("toxic", "row").collect()
+    # A few numbers for each document of the bounded sample.
+    rows = sorted(sample.mapInArrow(run, f"row array<double>, toxic {kind}").collect(),
+                  key=lambda r: (r["toxic"], r["row"]))
     x, y = np.array([r["row"] for r in rows]), np.array([r["toxic"] for r in rows], float)
     known = {r[0]: r[1] for r in labels.groupBy(F.col(label_col)).count().collect()}
     share = [known.get(v, 0) / max(1, (y == v).sum()) for v in (0, 1)]

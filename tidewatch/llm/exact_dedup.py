@@ -126,10 +126,16 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id",
                           text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_duplicates`` drops; all columns stay as they are."""
+    def keys(id_: Column, sha: Column, prefix: str) -> dict[str, Column]:
+        """Columns without nulls, so that the join and the last step share one shuffle."""
+        return {f"{prefix}_none": id_.isNull(), f"{prefix}_id": F.coalesce(id_.cast("string"), F.lit("")),
+                f"{prefix}_sha": sha}
+
     kept = exact_duplicates(docs, id_col, text_col).filter("kept").select(
-        F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha"))
-    sha = F.sha2(normalised(F.coalesce(docs[text_col], F.lit(""))), 256)
-    marked = docs.withColumns({"_row_id": docs[id_col], "_row_sha": sha})
-    return (marked.join(kept, F.col("_row_id").eqNullSafe(F.col("_kept_id"))
-                        & (F.col("_row_sha") == F.col("_kept_sha")), "left_semi")
-            .dropDuplicates(["_row_id", "_row_sha"]).drop("_row_id", "_row_sha"))
+        *[c.alias(n) for n, c in keys(F.col("doc_id"), F.col("text_sha256"), "_kept").items()])
+    # Visibly never null, else a filter would compute the digest once more.
+    sha = F.coalesce(F.sha2(normalised(F.coalesce(docs[text_col], F.lit(""))), 256), F.lit(""))
+    marked = docs.withColumns(keys(docs[id_col], sha, "_row"))
+    names = ["_row_none", "_row_id", "_row_sha"]
+    same = [F.col(n) == F.col(n.replace("_row", "_kept")) for n in names]
+    return marked.join(kept, same, "left_semi").dropDuplicates(names).drop(*names)

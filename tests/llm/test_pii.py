@@ -110,6 +110,16 @@ def test_disclosing_terms(spark):
     assert [(t.start, t.end, t.match) for t in spans[1] if t.match == "zorblax"] == [(9, 16, "zorblax")]
 
 
+def test_terms_at_the_ends_of_texts(spark):
+    """'zorblax' opens and 'quimbly' closes every text that has it."""
+    rows = [f"zorblax wrote from joe@x.org in {w} and {w}" for w in ("spring", "summer", "autumn", "winter")]
+    rows += [f"in {w} one wrote to ann@y.org quimbly" for w in ("spring", "summer", "autumn", "winter")]
+    rows += [f"one wrote in {w} and spring summer autumn winter from to text {w}{w}" for w in "abcdefghijkl"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    found = {r.term for r in pii.disclosing_terms(pii.found_spans(docs)).collect()}
+    assert found >= {"zorblax", "quimbly"} and not found & {"wrote", "spring", "from"}
+
+
 def test_sanitised_text(spark):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
     found = pii.personal_data(docs, support=10**9)

@@ -126,10 +126,12 @@ def disclosing_terms(spans: DataFrame, disclosure: float = DISCLOSURE, certainty
     text = F.col("text")
 
     def around(m: Column) -> Column:
-        """Whole terms on both sides; a word that the window cuts does not count."""
+        """Whole terms on both sides; a word that the window cuts does not count. The text's own ends cut
+        nothing: a blank stands for them."""
         low = F.greatest(m["start"] - NEAR, F.lit(0))
-        left = F.substring(text, low + 1, m["start"] - low)
-        right = F.substring(text, m["end"] + 1, F.lit(NEAR))
+        left = F.concat(F.when(low == 0, " ").otherwise(""), F.substring(text, low + 1, m["start"] - low))
+        right = F.concat(F.substring(text, m["end"] + 1, F.lit(NEAR)),
+                         F.when(m["end"] + NEAR >= F.length(text), " ").otherwise(""))
         return F.concat(F.regexp_extract_all(left, F.lit(rf"(?<=\P{{L}}){TERM}+(?!\p{{L}})"), F.lit(0)),
                         F.regexp_extract_all(right, F.lit(rf"(?<!\p{{L}}){TERM}+(?=\P{{L}})"), F.lit(0)))
 

@@ -120,6 +120,34 @@ def test_terms_at_the_ends_of_texts(spark):
     assert found >= {"zorblax", "quimbly"} and not found & {"wrote", "spring", "from"}
 
 
+def test_terms_of_any_form_and_place(spark):
+    """Short names, ids with digits, words with marks, and a name far from the address."""
+    far = "some words that say nothing of anyone at all " * 5
+    rows = [f"from Li and k7 and नमस्ते then {far}{w} joe@x.org {w}" for w in ("red", "blue", "grey", "pink")]
+    rows += [f"from and then {far} red blue grey pink x org {w}" for w in "abcdefghijklmnopqrst"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    found = {r.term for r in pii.disclosing_terms(pii.found_spans(docs)).collect()}
+    assert found == {"Li", "k7", "नमस्ते"}
+    for r in pii.personal_data(docs).withColumn("clean", pii.sanitised_text()).collect():
+        if r.doc_id < 4:
+            assert r.clean.startswith("from [TERM] and [TERM] and [TERM] then some ") and "[EMAIL]" in r.clean
+        else:
+            assert r.clean == rows[r.doc_id]
+
+
+def test_terms_beside_and_inside_entities(spark):
+    """A word inside an entity is neither evidence nor lost; an entity's edge ends a word."""
+    rows = [f"joe xq1.2.3.4 joe@x.org {w}" for w in ("red", "blue", "grey")] + ["mail joe@x.org", "mail to joe@y.org"]
+    rows += [f"red blue grey to x org mail {w}" for w in "abcdefghijkl"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id bigint, text string")
+    found = {}
+    for r in pii.disclosing_terms(pii.found_spans(docs)).collect():
+        found.setdefault(r.term, []).append(r.text_key)
+    assert {t: len(k) for t, k in found.items()} == {"joe": 5, "xq": 3}
+    spans = {r.doc_id: [(t.start, t.end, t.match) for t in r.term] for r in pii.personal_data(docs).collect()}
+    assert spans[0] == [(0, 3, "joe"), (4, 6, "xq"), (14, 17, "joe")] and spans[4] == [(8, 11, "joe")]
+
+
 def test_sanitised_text(spark):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
     found = pii.personal_data(docs, support=10**9)

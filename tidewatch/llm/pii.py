@@ -1,14 +1,15 @@
 """Personal data and the terms that give it away (DataFrame functions only).
 
 Base kinds are found by patterns, with places in code points. Then the corpus says which other terms
-reveal a protected entity: a term next to an entity in several different texts has
-    PMI(term; entity) = log2 P(entity near | term) / P(entity),
+reveal a protected entity: a term that shares several different texts with an entity has
+    PMI(term; entity) = log2 P(entity | term) / P(entity),
 and it discloses the entity if that reaches a share of the entity's own information,
 IC(entity) = -log2 P(entity), and the term hardly occurs without the entity. Such terms are spans
 too, wherever they stand. ``sanitised`` replaces every span: by its kind (generalised) or by nothing.
 
-Probabilities count distinct texts, so copies of a document are one observation. Counting shuffles
-only words near entities and, for the few candidate terms, the texts that hold them.
+Probabilities count distinct texts, so copies of a document are one observation. Terms are counted
+outside the base spans, over whole texts. Counting shuffles only the words of texts with an entity that
+is in enough texts and, for the few candidate terms, the texts that hold them.
 """
 
 from __future__ import annotations
@@ -37,12 +38,11 @@ PATTERNS = {
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
 TERM_KIND = "term"
-TERM = r"\p{L}{4,}"
-#: Characters on each side of an entity that count as near.
-NEAR = 60
+#: Terms are whole runs of letters, marks and digits of any length.
+TERM_CHARS = r"[\p{L}\p{M}\p{N}]"
 #: A term discloses an entity if its PMI is at least this share of the entity's information,
 DISCLOSURE = 0.9
-#: if at least this share of the texts with the term have the entity near it,
+#: if at least this share of the texts with the term have the entity,
 CERTAINTY = 0.9
 #: and if at least so many different texts show it.
 SUPPORT = 3
@@ -117,53 +117,87 @@ def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return settled(rows.withColumns(base_spans(F.col("text"))))
 
 
+def _parted() -> dict[str, Column]:
+    """``outside``: the text with blanks for the characters of all base spans; ``inside``: with blanks for
+    all others. Places stay as they are."""
+    text = F.col("text")
+    spans = F.array_sort(F.concat(*[F.transform(k, lambda m: F.struct(m["start"], m["end"])) for k in KINDS]))
+    none = F.array().cast("array<string>")
+    begin = F.struct(F.lit(0).alias("at"), none.alias("outside"), none.alias("inside"))
+
+    def blanks(size: Column) -> Column:
+        return F.rpad(F.lit(""), size, " ")
+
+    def add(state: Column, s: Column) -> Column:
+        start, end = F.greatest(state["at"], s["start"]), F.greatest(state["at"], s["end"])
+        gap, size = start - state["at"], end - start
+        return F.struct(
+            end.alias("at"),
+            F.concat(state["outside"], F.array(F.concat(
+                F.substring(text, state["at"] + 1, gap), blanks(size)))).alias("outside"),
+            F.concat(state["inside"], F.array(F.concat(
+                blanks(gap), F.substring(text, start + 1, size)))).alias("inside"))
+
+    done = F.aggregate(spans, begin, add)
+    rest = F.substring(text, done["at"] + 1, F.length(text))
+    some = F.size(spans) > 0
+    return {"outside": F.when(some, F.concat(F.array_join(done["outside"], ""), rest)).otherwise(text),
+            "inside": F.when(some, F.array_join(done["inside"], "")).otherwise("")}
+
+
+def _words(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(TERM_CHARS + "++"), F.lit(0)))
+
+
 def disclosing_terms(spans: DataFrame, disclosure: float = DISCLOSURE, certainty: float = CERTAINTY,
                      support: int = SUPPORT) -> DataFrame:
     """term, text_key: the terms that disclose some entity, with all texts that hold them.
 
-    ``spans`` is what ``found_spans`` gives, for the whole corpus.
+    ``spans`` is what ``found_spans`` gives, for the whole corpus. Words inside base spans are no
+    evidence, neither for nor against a term.
     """
-    text = F.col("text")
-
-    def around(m: Column) -> Column:
-        """Whole terms on both sides; a word that the window cuts does not count. The text's own ends cut
-        nothing: a blank stands for them."""
-        low = F.greatest(m["start"] - NEAR, F.lit(0))
-        left = F.concat(F.when(low == 0, " ").otherwise(""), F.substring(text, low + 1, m["start"] - low))
-        right = F.concat(F.substring(text, m["end"] + 1, F.lit(NEAR)),
-                         F.when(m["end"] + NEAR >= F.length(text), " ").otherwise(""))
-        return F.concat(F.regexp_extract_all(left, F.lit(rf"(?<=\P{{L}}){TERM}+(?!\p{{L}})"), F.lit(0)),
-                        F.regexp_extract_all(right, F.lit(rf"(?<!\p{{L}}){TERM}+(?=\P{{L}})"), F.lit(0)))
-
-    def contexts(kind: str) -> Column:
-        return F.transform(kind, lambda m: F.struct(
-            F.xxhash64(F.lit(kind), m["match"]).alias("entity"), around(m).alias("terms")))
-
-    near = written(spans.select("text_key", F.inline(F.concat(*map(contexts, KINDS))))
-                   .select("text_key", "entity", F.explode("terms").alias("term")).distinct())
-    seen = near.groupBy("entity", "term").agg(F.count("*").alias("both")).filter(F.col("both") >= support)
-    # A term has at least as many texts as those where it is near any entity, so one that is near many
-    # entities cannot be certain of one: common words end here, before their texts are looked up.
-    anywhere = near.select("term", "text_key").distinct().groupBy("term").agg(F.count("*").alias("near_any"))
-    candidates = written(seen.join(anywhere, "term").filter(
-        F.col("both") >= certainty * F.col("near_any")).drop("near_any"))
-    terms = candidates.select("term").distinct()
-    # All texts with a candidate term. Candidates are broadcast only if they are proven few.
-    if small_side(terms):
-        terms = F.broadcast(terms)
-    holding = written(spans.select("text_key", F.explode(F.array_distinct(
-        F.regexp_extract_all("text", F.lit(rf"(?<!\p{{L}}){TERM}+(?!\p{{L}})"), F.lit(0)))).alias("term"))
-        .join(terms, "term", "left_semi").distinct())
+    def entities_of(kind: str) -> Column:
+        return F.transform(kind, lambda m: F.xxhash64(F.lit(kind), m["match"]))
+
+    entities = written(spans.select("text_key", F.explode(F.concat(*map(entities_of, KINDS))).alias("entity"))
+                       .distinct())
+    # An entity in fewer texts cannot have a term's support.
+    of_entity = written(entities.groupBy("entity").agg(F.count("*").alias("with_entity"))
+                        .filter(F.col("with_entity") >= support))
+    entities = written(entities.join(_few(of_entity), "entity"))
+    most = of_entity.agg(F.max("with_entity")).first()[0] or 0
+    parted = spans.withColumns(_parted())
+    # All words of the texts with such an entity.
+    near = written(parted.join(_few(entities.select("text_key").distinct()), "text_key", "left_semi")
+                   .select("text_key", F.explode(_words(F.col("outside"))).alias("term")).distinct())
+    # A term has at least as many texts as those with any entity: one that is in many of them cannot be
+    # certain of a rarer entity. Common words end here, before they are paired and their texts looked up.
+    possible = (F.col("near_any") >= support) & (F.col("with_entity") / F.col("near_any") >= certainty)
+    anywhere = written(near.groupBy("term").agg(F.count("*").alias("near_any"))
+                       .withColumn("with_entity", F.lit(most)).filter(possible).drop("with_entity"))
+    seen = (near.join(_few(anywhere), "term").join(entities, "text_key").filter(possible)
+            .groupBy("entity", "term", "with_entity", "near_any").agg(F.count("*").alias("both")))
+    candidates = written(seen.filter((F.col("both") >= support) & (F.col("both") / F.col("near_any") >= certainty))
+                         .drop("near_any"))
+    # All texts with a candidate term, and whether it is outside the base spans there.
+    holding = written(parted.select("text_key", F.inline(F.concat(
+        F.transform(_words(F.col("outside")), lambda w: F.struct(w.alias("term"), F.lit(True).alias("free"))),
+        F.transform(_words(F.col("inside")), lambda w: F.struct(w.alias("term"), F.lit(False).alias("free"))))))
+        .join(_few(candidates.select("term").distinct()), "term", "left_semi")
+        .groupBy("term", "text_key").agg(F.max("free").alias("free")))
     texts = spans.select("text_key").distinct().count()
-    of_term = holding.groupBy("term").agg(F.count("*").alias("with_term"))
-    of_entity = near.select("entity", "text_key").distinct().groupBy("entity").agg(
-        F.count("*").alias("with_entity"))
+    of_term = holding.filter("free").groupBy("term").agg(F.count("*").alias("with_term"))
     information = -F.log2(F.col("with_entity") / F.lit(max(1, texts)))
     given = F.col("both") / F.col("with_term")
-    chosen = (candidates.join(of_term, "term").join(of_entity, "entity")
+    chosen = (candidates.join(of_term, "term")
               .filter((given >= certainty) & (information + F.log2(given) >= disclosure * information)
                       & (information > 0)).select("term").distinct())
-    return holding.join(chosen, "term", "left_semi").select("term", "text_key")
+    return holding.join(_few(chosen), "term", "left_semi").select("term", "text_key")
+
+
+def _few(df: DataFrame) -> DataFrame:
+    """``df`` for a join, broadcast only if it is proven small."""
+    return F.broadcast(df) if small_side(df) else df
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -173,17 +207,20 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     ``row``, a struct of the columns to carry along.
 
     Places count code points from 0, ends are exclusive. A null text counts as empty. Spans of one kind
-    do not overlap; spans of different kinds may. Ids may repeat or be null.
+    do not overlap; spans of different kinds may. The edges of base spans end a term. Ids may repeat or be null.
     """
     spans = found_spans(docs, id_col, text_col, carry)
     terms = (written(disclosing_terms(spans, disclosure, certainty, support)).groupBy("text_key")
              .agg(F.sort_array(F.collect_set("term")).alias("terms")))  # at most a text's own words
     wide = spans.join(F.broadcast(terms) if small_side(terms, 20_000) else terms, "text_key", "left")
-    # Terms are letters only, so they are safe inside a pattern; longer ones go first by word ends.
-    pattern = F.concat(F.lit(r"(?<!\p{L})(?:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
+    # Terms are letters, marks and digits only, so they are safe inside a pattern.
+    pattern = F.concat(F.lit(rf"(?<!{TERM_CHARS})(?:"), F.array_join("terms", "|"), F.lit(rf")(?!{TERM_CHARS})"))
     none = F.array().cast("array<struct<start:int,end:int,match:string>>")
-    return settled(wide.select("doc_id", "text", "row", *KINDS, F.when(
-        F.col("terms").isNotNull(), matches_in(F.col("text"), pattern)).otherwise(none).alias(TERM_KIND)))
+    of_terms = F.array_sort(F.concat(matches_in(F.col("outside"), pattern), matches_in(F.col("inside"), pattern)))
+    parted = settled(wide.withColumns({
+        name: F.when(F.col("terms").isNotNull(), text) for name, text in _parted().items()}))
+    return settled(parted.select("doc_id", "text", "row", *KINDS, F.when(
+        F.col("terms").isNotNull(), of_terms).otherwise(none).alias(TERM_KIND)))
 
 
 def all_spans(kinds: list[str]) -> Column:

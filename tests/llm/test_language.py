@@ -70,3 +70,17 @@ def test_many_languages(spark):
     assert len(model.words) == 2
     got = {r.doc_id: r.lang_pred for r in language_id.predict(docs, model).collect()}
     assert got == dict(enumerate(names))
+
+
+def test_rare_trigrams_and_scripts_stay(spark):
+    """A language with more than 50,000 trigrams, a short text of its rarest ones, and an unlabelled text
+    in a script that no label covers."""
+    chars = np.random.default_rng(5).integers(0x4e00, 0x9000, 70_000)
+    common, rare, other = "".join(map(chr, chars)), "\u9a6c\u9a7c\u9a8c", "\u0e01\u0e02\u0e03"
+    rows = [(0, common, "zh"), (1, common, "zh"), (2, rare, "zh"), (3, other, None), (4, "12", None), (5, None, "zh")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.fit(docs)
+    assert {r.doc_id for r in language_id.identified(docs, model).collect()} == {0, 1, 2, 3}
+    score = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(docs, model).collect()}
+    assert score[2] == ("zh", 1.0) and score[3][0] == "zh" and score[4] == score[5] == ("und", 0.0)
+    assert model.false_rate.max() < 0.01

@@ -1,7 +1,8 @@
 """Language identification with Bloom filters whose slots are bit masks over the languages.
 
 Character trigrams around every letter are counted per language over all learning documents. A
-language's filter holds its most frequent trigrams that are not much rarer there than elsewhere.
+language's filter holds all its trigrams that are not much rarer there than elsewhere; the number
+of slots follows from the largest filter.
 All filters share one table of slots; bit l of a slot belongs to language l, so one lookup
 (the AND of a trigram's slots) gives all languages that contain it. A document's hits per language,
 corrected for the filter's false positives, decide.
@@ -13,16 +14,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import written
 from .common import per_worker, pick, remainder
 
 UNDETERMINED = "und"
-#: Bounds of the model: trigrams per language, languages, bits of the slot number, slots per trigram.
-GRAMS_PER_LANGUAGE = 50_000
+#: Of the model: most languages, least bits of the slot number, least slots per trigram of the largest
+#: filter, slots that a trigram marks.
 MOST_LANGUAGES = 1_024
 SLOT_BITS = 20
+SLOTS_PER_GRAM = 20
 HASHES = 3
 #: A trigram belongs to a language if its rate there is at least this part of its highest rate.
 RATE_SHARE = 0.5
@@ -163,32 +166,34 @@ def gram_counts(docs: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-        grams_per_language: int = GRAMS_PER_LANGUAGE, slot_bits: int = SLOT_BITS,
-        hashes: int = HASHES) -> Model:
+        slot_bits: int | None = None, hashes: int = HASHES) -> Model:
     """A model of all rows with a text and a language; no such row gives a model without
-    languages. Of more than ``MOST_LANGUAGES`` languages those with the most text are kept."""
+    languages. Of more than ``MOST_LANGUAGES`` languages those with the most text are kept.
+    Without ``slot_bits`` the table is sized by the trigrams of the language that has the most."""
     rows = docs.select(docs[lang_col].cast("string").alias("lang"), docs[text_col].alias("text"))
-    counts = gram_counts(rows.filter("lang IS NOT NULL AND text IS NOT NULL"))
-    frequent = (counts.withColumn("place", F.row_number().over(
-        Window.partitionBy("lang").orderBy(F.desc("n"), "gram")))
-        .filter(F.col("place") <= grams_per_language))
-    # The rate is taken over the grams that are kept, which is all but the tail.
-    total = frequent.groupBy("lang").agg(F.sum("n").alias("total"))
+    counts = written(gram_counts(rows.filter("lang IS NOT NULL AND text IS NOT NULL")))
+    total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     total = total.orderBy(F.desc("total"), "lang").limit(MOST_LANGUAGES)
-    rated = frequent.join(F.broadcast(total), "lang").withColumn("rate", F.col("n") / F.col("total"))
+    rated = counts.join(F.broadcast(total), "lang").withColumn("rate", F.col("n") / F.col("total"))
     top = rated.groupBy("gram").agg(F.max("rate").alias("top"))
     chosen = (rated.join(top, "gram").filter(F.col("rate") >= RATE_SHARE * F.col("top"))
-              .groupBy("lang").agg(F.max("total").alias("total"), F.collect_list("gram").alias("grams")))
-    by_lang = {r["lang"]: r for r in chosen.collect()}
-    languages = sorted(by_lang)
+              .select("lang", "gram").toArrow())
+    of_row = pa.array(chosen.column("lang").combine_chunks()).dictionary_encode()
+    names, codes = of_row.dictionary.to_pylist(), of_row.indices.to_numpy(zero_copy_only=False)
+    grams = chosen.column("gram").to_numpy()
+    languages = sorted(names)
+    if slot_bits is None:
+        most = int(np.bincount(codes, minlength=1).max())
+        slot_bits = max(SLOT_BITS, (SLOTS_PER_GRAM * most - 1).bit_length())
     # One small array of masks for up to 8 languages, wide masks or several arrays for more.
     kind = next((t for b, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32))
                  if len(languages) <= b), np.uint64)
     words = [np.zeros(1 << slot_bits, kind) for _ in range(-(-len(languages) // 64))]
     for i, lang in enumerate(languages):
-        for slots in slots_of(np.array(by_lang[lang]["grams"], np.int64), slot_bits, hashes):
+        for slots in slots_of(grams[codes == names.index(lang)], slot_bits, hashes):
             words[i // 64][slots.astype(np.int64)] |= kind(1 << (i % 64))
-    fallback = min(languages, key=lambda x: (-by_lang[x]["total"], x), default=UNDETERMINED)
+    by_lang = {r["lang"]: r["total"] for r in total.collect()}
+    fallback = min(languages, key=lambda x: (-by_lang[x], x), default=UNDETERMINED)
     return Model(languages, fallback, words, slot_bits, hashes)
 
 
@@ -217,8 +222,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id",
 
 
 def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose language is determined: their text has a letter
-    and some known trigram."""
+    """The rows of ``docs``, with all their columns, that ``predict`` does not call ``und``."""
     shared = docs.sparkSession.sparkContext.broadcast(
         (model.languages, model.fallback, model.words, model.slot_bits, model.hashes))
     at = docs.columns.index(text_col)
@@ -226,8 +230,8 @@ def identified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     def run(batches):
         own = Model(*shared.value)
         for batch in batches:
-            names, scores = own.predict(batch.column(at).to_pylist())
-            yield batch.filter(pa.array([n != UNDETERMINED and s > 0 for n, s in zip(names, scores)], pa.bool_()))
+            names, _ = own.predict(batch.column(at).to_pylist())
+            yield batch.filter(pa.array([n != UNDETERMINED for n in names], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -1,5 +1,6 @@
 """SimHash fingerprints, links and components against brute force."""
 
+import hashlib
 import random
 
 import numpy as np
@@ -111,3 +112,20 @@ def test_components_of_a_long_chain(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 103: 100}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_one_row_of_a_component_stays(spark):
+    """Null ids beside kept rows and alone, and ids that repeat with near and with other texts."""
+    base = [" ".join(f"{p}{i}" for i in range(300)) for p in "abcd"]
+    near = [t.replace("7 ", "7  ", 1) for t in base]  # other bytes, same words
+    rows = [(1, base[0]), (None, near[0]), (None, base[1]), (None, near[1]), (5, base[2]), (5, near[2]),
+            (1, near[3]), (0, base[3]), (0, base[3])]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id bigint, text string, row int")
+    got = simhash.drop_near_duplicates(docs.repartition(3)).collect()
+    assert sorted((r.doc_id, r.text[0]) for r in got if r.doc_id is not None) == [(0, "d"), (1, "a"), (5, "c")]
+    assert [r.text[0] for r in got if r.doc_id is None] == ["b"]
+    assert {r.text for r in got} == {base[0], min(base[1], near[1], key=digest), min(base[2], near[2], key=digest), base[3]}
+
+
+def digest(text):
+    return hashlib.sha256(text.encode()).hexdigest()

@@ -183,13 +183,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose id is their component's smallest one.
-
-    Rows without an id stay only where no row of the component has one."""
-    found = near_duplicates(docs, id_col, text_col)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_stay")).distinct()
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["_stay"]), "left_semi")
+    """One row of ``docs``, with all its columns, per component: that with the smallest id.
+
+    A null id is larger than any other. Of rows that share the id the one with the smallest digest of its
+    text stays; of rows that share both, any one."""
+    id_ = F.col(id_col)
+    sha = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256)
+    key = F.struct(id_.isNull().alias("none"), id_.alias("id"), sha.alias("sha"))
+    found = near_duplicates(docs.select(key.alias("_key"), text_col), "_key", text_col)
+
+    def keys(key: Column, prefix: str) -> list[Column]:
+        """Columns without nulls, so that the join and the last step share one shuffle."""
+        return [key["none"].alias(f"{prefix}_none"),
+                F.coalesce(key["id"].cast("string"), F.lit("")).alias(f"{prefix}_id"),
+                F.coalesce(key["sha"], F.lit("")).alias(f"{prefix}_sha")]
+
+    stay = found.select("component_id").distinct().select(*keys(F.col("component_id"), "_stay"))
+    marked = docs.select(*[docs[c] for c in docs.columns], *keys(key, "_row"))
+    names = ["_row_none", "_row_id", "_row_sha"]
+    same = [F.col(n) == F.col(n.replace("_row", "_stay")) for n in names]
+    return marked.join(stay, same, "left_semi").dropDuplicates(names).drop(*names)
 
 
 def hex_digits(fp: Column) -> Column:

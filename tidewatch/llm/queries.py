@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, quality_llr, toxicity_crf
+from . import centroids, language_id, quality_llr, toxicity_crf, vector_codes
 from .byte_bpe import round_trip
 from .common import prepare, remainder, tokenizer_path
 from .exact_dedup import exact_duplicates
@@ -16,6 +16,7 @@ from .packing import packed_sequences
 from .pii import personal_data, span_digest
 from .simhash import hex_digits, near_duplicates
 from .token_counts import token_counts
+from .vector_sql import clusters_sql, codes_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -102,3 +103,13 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = quality_llr.trusted_ids(read(spark, sf_dir, "labels"))
     weights = quality_llr.fit(docs, trusted)
     return quality_llr.quality(docs, weights, quality_llr.fit_threshold(docs, trusted, weights))
+
+
+@query("op11_vector_codes", codes_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(read(spark, sf_dir, "embeddings"))
+
+
+@query("op12_centroid_clusters", clusters_sql())
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.members(centroids.cluster(read(spark, sf_dir, "embeddings")))

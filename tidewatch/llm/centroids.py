@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .vectors import floor_mean, integer_vectors
+from .vectors import integer_vectors
 
 CLUSTERS = 8
 ROUNDS = 10
@@ -48,14 +48,14 @@ def first_centroids(vectors: DataFrame, clusters: int, salt: str) -> Centroids:
 
 def nearest(q: Column, centroids: Centroids) -> Column:
     """struct(distance, cluster) of the nearest centroid; of equally near ones the smallest number."""
-    def distance(centroid: list[int]) -> Column:
-        literal = F.array(*[F.lit(x).cast("bigint") for x in centroid])
-        squares = F.zip_with(q, literal, lambda a, b: (a - b) * (a - b))
+    literal = F.expr("array(" + ", ".join(f"array({', '.join(f'{x}L' for x in c)})" for c in centroids) + ")")
+
+    def distance(centroid: Column) -> Column:
+        squares = F.zip_with(q, centroid, lambda a, b: (a - b) * (a - b))
         return F.aggregate(squares, F.lit(0).cast("bigint"), lambda total, x: total + x)
 
-    return F.array_min(F.array(*[
-        F.struct(distance(c).alias("distance"), F.lit(n).alias("cluster"))
-        for n, c in enumerate(centroids)]))
+    return F.array_min(F.transform(literal, lambda centroid, n: F.struct(
+        distance(centroid).alias("distance"), n.alias("cluster"))))
 
 
 def assigned(vectors: DataFrame, centroids: Centroids) -> DataFrame:
@@ -70,12 +70,11 @@ def assigned(vectors: DataFrame, centroids: Centroids) -> DataFrame:
 def moved(vectors: DataFrame, centroids: Centroids) -> Centroids:
     """The centroids after one round; one without vectors stays where it is."""
     width = len(centroids[0])
-    sums = [F.sum(F.col("q")[i]).alias(f"s{i}") for i in range(width)]
+    sums = [F.expr(f"sum(q[{i}])").alias(f"s{i}") for i in range(width)]
     totals = assigned(vectors, centroids).groupBy("cluster").agg(F.count("*").alias("n"), *sums)
-    means = totals.select("cluster", *[floor_mean(F.col(f"s{i}"), F.col("n")).alias(f"m{i}") for i in range(width)])
     out = [list(c) for c in centroids]
-    for row in means.collect():
-        out[row["cluster"]] = [int(row[f"m{i}"]) for i in range(width)]
+    for row in totals.collect():  # a row per centroid at most
+        out[row["cluster"]] = [row[f"s{i}"] // row["n"] for i in range(width)]
     return out
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .vectors import floor_mean, integer_vectors
+from .vectors import integer_vectors
 
 PARTS = 8
 ENTRIES = 16
@@ -251,8 +251,8 @@ def next_books(blocks: DataFrame, books: np.ndarray, leaf: int) -> np.ndarray:
         run, "part int, entry int, n bigint, " + ", ".join(f"{n} bigint" for n in names))
     sums = sums.groupBy("part", "entry").agg(F.sum("n").alias("n"), *[F.sum(n).alias(n) for n in names])
     out = books.copy()
-    for row in sums.select("part", "entry", *[floor_mean(F.col(n), F.col("n")).alias(n) for n in names]).collect():
-        out[row["part"], row["entry"]] = [row[n] for n in names]
+    for row in sums.collect():  # a row per part position and entry at most
+        out[row["part"], row["entry"]] = [row[n] // row["n"] for n in names]
     return out
 
 

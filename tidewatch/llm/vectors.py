@@ -29,7 +29,3 @@ def integer_vectors(vectors: DataFrame, id_col: str, vector_col: str, scale: int
     return vectors.filter(finite(vector)).select(
         vectors[id_col].alias("vec_id"), scaled(vector, scale).alias("q"), *carried)
 
-
-def floor_mean(total: Column, count: Column) -> Column:
-    """floor(total / count) of integers, exactly (integer division alone goes toward zero)."""
-    return F.call_function("div", total - F.pmod(total, count), count)

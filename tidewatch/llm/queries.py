@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import centroids, language_id, quality_llr, toxicity_crf, vector_codes
+from . import centroids, language_id, quality_llr, toxicity_crf, vector_codes, warc
 from .byte_bpe import round_trip
 from .common import prepare, remainder, tokenizer_path
 from .exact_dedup import exact_duplicates
@@ -113,3 +113,16 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_centroid_clusters", clusters_sql())
 def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.members(centroids.cluster(read(spark, sf_dir, "embeddings")))
+
+
+@query("op13_warc", """
+    WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+                      sha256(coalesce(html, '')) AS payload_digest FROM pages),
+         g AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest)
+                         ELSE page_id END AS first_id FROM p)
+    SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+           CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM g
+""")
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(read(spark, sf_dir, "pages"))

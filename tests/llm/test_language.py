@@ -84,3 +84,41 @@ def test_rare_trigrams_and_scripts_stay(spark):
     score = {r.doc_id: (r.lang_pred, r.score) for r in language_id.predict(docs, model).collect()}
     assert score[2] == ("zh", 1.0) and score[3][0] == "zh" and score[4] == score[5] == ("und", 0.0)
     assert model.false_rate.max() < 0.01
+
+
+def test_tables_are_those_of_a_loop(spark):
+    """Slots put together on executors, over more languages than a mask has bits and more trigrams than slots."""
+    rows = [(lang, gram) for lang in range(70) for gram in range(lang * 100, lang * 100 + 1500)]
+    chosen = spark.createDataFrame(rows, "code int, gram bigint").repartition(5)
+    languages = [f"l{i}" for i in range(70)]
+    for bits in (4, 10, 15):
+        want = [np.zeros(1 << bits, np.uint64) for _ in range(2)]
+        for code, gram in rows:
+            for slot in language_id.slots_of(np.array([gram]), bits, 3):
+                want[code // 64][int(slot[0])] |= np.uint64(1 << (code % 64))
+        got = language_id.slot_table(chosen, languages, bits, 3)
+        assert all((a == b).all() for a, b in zip(want, got)) and len(got) == 2
+
+
+def test_tables_are_bounded(spark):
+    assert language_id.slot_bits_for(1, 4) == 20
+    assert language_id.slot_bits_for(10 ** 9, 4) == 26
+    assert language_id.slot_bits_for(10 ** 9, 64) == 23
+    assert language_id.slot_bits_for(10 ** 9, 2000) == 18
+    assert language_id.slot_bits_for(10 ** 9, 10 ** 9) == 1
+    docs = table(spark, "documents").filter("lang IS NOT NULL")
+    small = language_id.fit(docs, table_bytes=1 << 16)
+    assert small.slot_bits == 16 and small.false_rate.max() > language_id.fit(docs).false_rate.max()
+    truth = {r.doc_id: r.lang for r in docs.collect()}
+    right = [r.lang_pred == truth[r.doc_id] for r in language_id.predict(docs, small).collect()]
+    assert sum(right) > 0.95 * len(right)
+
+
+def test_every_language_stays(spark):
+    """More languages than one table of the cap that once was."""
+    rows = [(i, chr(0x4e00 + i) * 30, f"l{i:04}") for i in range(1100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.fit(docs)
+    assert len(model.languages) == 1100 and sum(w.nbytes for w in model.words) <= language_id.TABLE_BYTES
+    got = {r.doc_id: r.lang_pred for r in language_id.predict(docs, model).collect()}
+    assert all(got[i] == lang for i, _, lang in rows)

@@ -1,11 +1,13 @@
 """Language identification with Bloom filters whose slots are bit masks over the languages.
 
 Character trigrams around every letter are counted per language over all learning documents. A
-language's filter holds all its trigrams that are not much rarer there than elsewhere; the number
-of slots follows from the largest filter.
+language's filter holds all its trigrams that are not much rarer there than elsewhere.
 All filters share one table of slots; bit l of a slot belongs to language l, so one lookup
-(the AND of a trigram's slots) gives all languages that contain it. A document's hits per language,
-corrected for the filter's false positives, decide.
+(the AND of a trigram's slots) gives all languages that contain it. Languages beyond a mask's 64 bits
+get further tables. Executors OR the masks of every slot; only finished slots reach the driver. Their
+number follows from the largest filter up to a bound in bytes; past it more trigrams share a
+slot, and the rate of false positives that the hits are corrected for rises. A document's corrected
+hits per language decide.
 """
 
 from __future__ import annotations
@@ -21,12 +23,16 @@ from ..session import written
 from .common import per_worker, pick, remainder
 
 UNDETERMINED = "und"
-#: Of the model: most languages, least bits of the slot number, least slots per trigram of the largest
-#: filter, slots that a trigram marks.
-MOST_LANGUAGES = 1_024
+#: Of the model: least bits of the slot number, least slots per trigram of the largest filter, slots that a
+#: trigram marks.
 SLOT_BITS = 20
 SLOTS_PER_GRAM = 20
 HASHES = 3
+#: The tables of all languages together take at most about this many bytes; no language or trigram is left out
+#: for it.
+TABLE_BYTES = 64 << 20
+#: Slots that the driver receives as one row.
+SLOTS_PER_ROW = 1 << 14
 #: A trigram belongs to a language if its rate there is at least this part of its highest rate.
 RATE_SHARE = 0.5
 #: Characters handled at a time, and distinct trigrams that a learning task holds.
@@ -165,35 +171,77 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
 
 
+def mask_type(languages: int) -> type:
+    """The narrowest mask with a bit for each language; more than 64 take several tables of wide masks."""
+    return next((t for b, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32)) if languages <= b), np.uint64)
+
+
+def slot_bits_for(grams: int, languages: int, table_bytes: int = TABLE_BYTES) -> int:
+    """Bits of the slot number for a largest filter of ``grams`` trigrams, within ``table_bytes``."""
+    width = np.dtype(mask_type(languages)).itemsize * max(1, -(-languages // 64))
+    most = max(1, table_bytes // width).bit_length() - 1
+    return max(1, min(most, max(SLOT_BITS, (SLOTS_PER_GRAM * grams - 1).bit_length())))
+
+
+def slot_table(chosen: DataFrame, languages: list[str], slot_bits: int, hashes: int) -> list[np.ndarray]:
+    """The tables of ``chosen`` (language number, gram), put together on the executors."""
+    kind = mask_type(len(languages))
+    tables = [np.zeros(1 << slot_bits, kind) for _ in range(max(1, -(-len(languages) // 64)))]
+    per_row = min(SLOTS_PER_ROW, 1 << slot_bits)
+
+    def marks(batches):
+        for batch in batches:
+            code = batch.column(0).to_numpy()
+            for slots in slots_of(batch.column(1).to_numpy(), slot_bits, hashes):
+                masks = np.left_shift(np.uint64(1), (code % 64).astype(np.uint64)).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array((code // 64).astype(np.int32)), pa.array(slots.astype(np.int64)), pa.array(masks)],
+                    names=["word", "slot", "mask"])
+
+    def rows(batches):
+        held: dict = {}
+        for batch in batches:
+            words, slots, masks = (batch.column(i).to_numpy() for i in range(3))
+            for word, part in set(zip(words.tolist(), (slots // per_row).tolist())):
+                own = (words == word) & (slots // per_row == part)
+                if (word, part) not in held:
+                    held[word, part] = np.zeros(per_row, kind)
+                held[word, part][slots[own] % per_row] = masks[own].view(np.uint64).astype(kind)
+        if held:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([w for w, _ in held], pa.int32()), pa.array([p for _, p in held], pa.int64()),
+                 pa.array([m.tobytes() for m in held.values()], pa.binary())], names=["word", "part", "masks"])
+
+    slots = (chosen.mapInArrow(marks, "word int, slot bigint, mask bigint")
+             .groupBy("word", "slot").agg(F.bit_or("mask").alias("mask")))
+    # Few parts per task, so that a task holds little; the driver gets the tables' bytes and no more.
+    found = slots.repartition("word", F.floor(F.col("slot") / per_row)).mapInArrow(
+        rows, "word int, part bigint, masks binary")
+    for row in found.collect():
+        tables[row["word"]][row["part"] * per_row:][:per_row] = np.frombuffer(row["masks"], kind)
+    return tables
+
+
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
-        slot_bits: int | None = None, hashes: int = HASHES) -> Model:
+        slot_bits: int | None = None, hashes: int = HASHES, table_bytes: int = TABLE_BYTES) -> Model:
     """A model of all rows with a text and a language; no such row gives a model without
-    languages. Of more than ``MOST_LANGUAGES`` languages those with the most text are kept.
-    Without ``slot_bits`` the table is sized by the trigrams of the language that has the most."""
+    languages. The driver gets a row per language and the slots. Without ``slot_bits`` the tables are
+    sized by the trigrams of the language that has the most, within ``table_bytes``."""
     rows = docs.select(docs[lang_col].cast("string").alias("lang"), docs[text_col].alias("text"))
     counts = written(gram_counts(rows.filter("lang IS NOT NULL AND text IS NOT NULL")))
     total = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    total = total.orderBy(F.desc("total"), "lang").limit(MOST_LANGUAGES)
-    rated = counts.join(F.broadcast(total), "lang").withColumn("rate", F.col("n") / F.col("total"))
+    rated = counts.join(total, "lang").withColumn("rate", F.col("n") / F.col("total"))
     top = rated.groupBy("gram").agg(F.max("rate").alias("top"))
-    chosen = (rated.join(top, "gram").filter(F.col("rate") >= RATE_SHARE * F.col("top"))
-              .select("lang", "gram").toArrow())
-    of_row = pa.array(chosen.column("lang").combine_chunks()).dictionary_encode()
-    names, codes = of_row.dictionary.to_pylist(), of_row.indices.to_numpy(zero_copy_only=False)
-    grams = chosen.column("gram").to_numpy()
-    languages = sorted(names)
+    chosen = written(rated.join(top, "gram").filter(F.col("rate") >= RATE_SHARE * F.col("top"))
+                     .select("lang", "gram", "total"))
+    kept = chosen.groupBy("lang").agg(F.max("total").alias("total"), F.count("*").alias("grams")).orderBy("lang").collect()
+    languages = [r["lang"] for r in kept]
     if slot_bits is None:
-        most = int(np.bincount(codes, minlength=1).max())
-        slot_bits = max(SLOT_BITS, (SLOTS_PER_GRAM * most - 1).bit_length())
-    # One small array of masks for up to 8 languages, wide masks or several arrays for more.
-    kind = next((t for b, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32))
-                 if len(languages) <= b), np.uint64)
-    words = [np.zeros(1 << slot_bits, kind) for _ in range(-(-len(languages) // 64))]
-    for i, lang in enumerate(languages):
-        for slots in slots_of(grams[codes == names.index(lang)], slot_bits, hashes):
-            words[i // 64][slots.astype(np.int64)] |= kind(1 << (i % 64))
-    by_lang = {r["lang"]: r["total"] for r in total.collect()}
-    fallback = min(languages, key=lambda x: (-by_lang[x], x), default=UNDETERMINED)
+        slot_bits = slot_bits_for(max((r["grams"] for r in kept), default=0), len(languages), table_bytes)
+    names = docs.sparkSession.createDataFrame([*enumerate(languages)], "code int, name string")
+    coded = chosen.join(names, chosen["lang"] == names["name"]).select("code", "gram")
+    words = slot_table(coded, languages, slot_bits, hashes)
+    fallback = min(kept, key=lambda r: (-r["total"], r["lang"]), default={"lang": UNDETERMINED})["lang"]
     return Model(languages, fallback, words, slot_bits, hashes)
 
 

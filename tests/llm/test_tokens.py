@@ -172,3 +172,40 @@ def test_packing_query(spark):
     pieces = packing.packed_sequences(table(spark, "documents"), JSON).collect()
     assert sorted((p.doc_id, p.start, zlib.crc32(bytes(p.tokens))) for p in pieces) == sorted(
         (g.doc_id, g.start, g.ids_crc32) for g in got)
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "a" * 2_000_000, ("x" + " " * 150) * 10_000,
+                                  "\t \u2003\n" * 500_000, "." * 2_000_000, "7" * 2_000_000, ("y" + "\n" * 5_000) * 300],
+                         ids=["blanks", "lines", "letters", "runs", "mixed", "points", "digits", "long runs"])
+def test_packing_takes_any_run(library, text):
+    encoder = packing.Encoder(JSON)
+    assert encoder.agrees
+    assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_long_runs_as_a_job(spark, library):
+    texts = [" " * 1_500_000, "short", "\n" * 1_500_000 + "x", None]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    rows = packing.packed_sequences(docs, JSON).collect()
+    for i, text in enumerate(texts):
+        pieces = sorted((r.start, bytes(r.tokens)) for r in rows if r.doc_id == i)
+        ids = library.encode(text or "", add_special_tokens=False).ids + [0]
+        assert b"".join(p for _, p in pieces) == b"".join(x.to_bytes(4, "little") for x in ids)
+
+
+def test_packing_asks_the_library_where_merges_differ(library):
+    """With merges out of the ids' order the faster engine would give other ids."""
+    encoder = packing.Encoder(JSON)
+    encoder.agrees = False
+    encoder.coder = None
+    for text in [t for t in ODD_TEXTS if t]:
+        assert encoder.encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_rows_with_equal_ids_are_spread(spark):
+    """A third of all rows without an id, many with one text: no group gets much more than its share."""
+    docs = spark.range(30_000).selectExpr("IF(id % 3 = 0, NULL, id) AS doc_id", "IF(id % 6 = 0, 'same', CAST(id AS STRING)) AS text")
+    rows = packing.packed_sequences(docs.repartition(16), JSON, group_docs=1000)
+    groups = rows.filter("start = 0").groupBy((rows.sequence_id / (1 << 32)).cast("long")).count()
+    sizes = [r["count"] for r in groups.collect()]
+    assert sum(sizes) == 30_000 and len(sizes) == 30 and max(sizes) < 2_000

@@ -1,6 +1,6 @@
 """Packing token pieces into fixed-length sequences: first-fit decreasing in random groups.
 
-Documents are dealt to groups by a hash of their id and shuffled once, as text. The task that holds a
+Documents are dealt to groups at random and shuffled once, as text. The task that holds a
 group encodes its documents, cuts full-length pieces off long ones and packs the rest first-fit
 decreasing; a tournament tree over the bins' free space finds the first bin with room in
 logarithmic time. Then the emptiest bins are cut up to fill the holes that are left in the others.
@@ -9,6 +9,8 @@ Groups are independent, so nothing grows with the input but their number.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,9 +24,16 @@ GROUP_DOCS = 2048
 GROUP_TOKENS = 4_000_000
 #: Smaller holes are left as padding instead of being filled with a cut-off piece.
 LEAST_CUT = 16
+#: Bytes of text that a task is dealt.
+TASK_BYTES = 32 << 20
+#: The faster engine's pattern recurses over runs of white space; texts with a longer run than this are given
+#: to the tokenizers library, which gives the same ids.
+LONGEST_RUN = 200
 END_ID = 0
 SEED = 20
 
+_LONG_RUN = re.compile(rf"\s{{{LONGEST_RUN}}}")
+
 
 class Bins:
     """First fit over bins of equal capacity; a tournament tree keeps the largest free space
@@ -101,7 +110,7 @@ def pack(lengths: list[int], capacity: int = LENGTH, least_cut: int = LEAST_CUT
 
 class Encoder:
     """The ids that the tokenizers library gives for a byte-level tokenizer file, by a faster
-    engine that reads the same vocabulary from that file."""
+    engine that reads the same vocabulary from that file where it is known to agree."""
 
     def __init__(self, path: str):
         import json
@@ -111,20 +120,27 @@ class Encoder:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
-            vocab = json.load(file)["model"]["vocab"]
+            model = json.load(file)["model"]
+        vocab = model["vocab"]
         # The file writes printable bytes as themselves and the others as letters from U+0100 on.
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in set(printable)]
         byte = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
-        special = {t.content: i for i, t in
-                   Tokenizer.from_file(path).get_added_tokens_decoder().items()}
+        self.library = Tokenizer.from_file(path)
+        special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
         ranks = {bytes(byte[c] for c in token): i for token, i in vocab.items()
                  if token not in special}
         self.coder = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks,
                                        special_tokens=special)
         self.special = list(special)
+        # The faster engine merges in order of the ids, the library in order of the file's merges.
+        merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        ids = [vocab[a + b] for a, b in merges]
+        self.agrees = all(a < b for a, b in zip(ids, ids[1:]))
 
     def encode(self, text: str) -> list[int]:
+        if not self.agrees or _LONG_RUN.search(text):
+            return self.library.encode(text, add_special_tokens=False).ids
         if any(s in text for s in self.special):
             return self.coder.encode(text, allowed_special="all")
         return self.coder.encode_ordinary(text)
@@ -138,11 +154,15 @@ def packed_sequences(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     A document is its text's ids and an end id 0; a null or empty text is the end id alone.
     Each id is in exactly one piece; a sequence's pieces lie without gaps from offset 0 and hold
-    ``length`` tokens at most. Rows with equal or null ids are documents of their own.
+    ``length`` tokens at most. Rows with equal or null ids are documents of their own, and are spread over
+    the groups like others: groups follow from id, text and the input's partition.
     """
     rows = pick(docs, id_col, text_col)
-    groups = max(1, -(-docs.count() // group_docs))
-    dealt = rows.withColumn("group", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(SEED)), F.lit(groups)))
+    n, size = rows.agg(F.count("*"), F.sum(F.octet_length("text").cast("bigint"))).first()
+    groups = max(1, -(-n // group_docs))
+    tasks = max(1, min(groups, -(-(size or 0) // TASK_BYTES)))
+    dealt = rows.withColumn("group", F.pmod(F.xxhash64(
+        "doc_id", "text", F.spark_partition_id(), F.lit(SEED)), F.lit(groups)))
     kind = rows.schema["doc_id"].dataType
 
     def run(batches):
@@ -182,7 +202,7 @@ def packed_sequences(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         if held:
             yield packed()
 
-    return (dealt.repartition("group").sortWithinPartitions("group", "doc_id")
+    return (dealt.repartition(tasks, "group").sortWithinPartitions("group", "doc_id", "text")
             .mapInArrow(run, f"doc_id {kind.simpleString()}, start bigint, length bigint, "
                              "tokens binary, doc_tokens bigint, sequence_id bigint, offset bigint"))
 

@@ -9,6 +9,10 @@ pointer that depends on that row alone (``Pointers``). One backward pass per chu
 row that could be the first counted one where its chain leaves the chunk; these few pieces are
 chained over the chunks of a key, and one more pass marks the rows: a fixed number of passes.
 
+Exclusion with a finite interval under twice the timeout has a state of several times. There a chunk is
+summed up as a function of the state it is entered with (``exclusion.IntervalChunks``), the functions are
+applied in order per key, and one more pass marks the rows: again a fixed number of passes.
+
 For other rules chunks run from a guessed entry state and are run again while the exit state of the
 chunk before differs. That is exact when it stops, after at most as many rounds as a key has chunks:
 few if the rule forgets within a chunk, one per chunk if it does not.
@@ -21,11 +25,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructType
 
 from ..session import rows_per_task, written
+from .exclusion import IntervalChunks, interval_step
 from .lifecycle import micros
 from .ordered import CHUNK, largest_group, split_by_order
 
@@ -50,10 +55,11 @@ class Pointers:
 
 
 def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: Step, added: str,
-         limit: int | None = None, pointers: Pointers | None = None) -> DataFrame:
+         limit: int | None = None, pointers: Pointers | None = None,
+         functions: IntervalChunks | None = None) -> DataFrame:
     """``df`` with the columns ``added`` (DDL) that ``step`` computes per key in ``order``.
 
-    ``step`` sees a key's rows in pieces, each with the exit state of the piece before. Pass only
+    ``pointers`` or ``functions`` give the entry states of chunks in a fixed number of passes. ``step`` sees a key's rows in pieces, each with the exit state of the piece before. Pass only
     the columns the rule needs plus a row id; they travel through Arrow.
     """
     keys, order = list(keys), list(order)
@@ -67,8 +73,12 @@ def fold(df: DataFrame, keys: Sequence[str], order: Sequence[str], step: Step, a
         groups, rows = keys, df
     else:
         chunks = split_by_order(df, keys, order, total, limit)
-        entries = (_pointer_entries(chunks, keys, order, pointers, parts) if pointers
-                   else _entry_states(chunks, keys, order, step, parts))
+        if pointers:
+            entries = _pointer_entries(chunks, keys, order, pointers, parts)
+        elif functions:
+            entries = _function_entries(chunks, keys, order, functions, parts)
+        else:
+            entries = _entry_states(chunks, keys, order, step, parts)
         groups, rows = [*keys, CHUNK], _attach(chunks, entries, keys)
     names = shape.names
 
@@ -178,6 +188,31 @@ def _pointer_entries(chunks: DataFrame, keys: list[str], order: list[str], rule:
     return written(ordered.mapInPandas(chain, entry))
 
 
+def _function_entries(chunks: DataFrame, keys: list[str], order: list[str], functions: IntervalChunks,
+                      parts: int) -> DataFrame:
+    groups = [*keys, CHUNK]
+    summed = StructType([chunks.schema[g] for g in groups]).add("summary", BinaryType())
+    entry = StructType([chunks.schema[g] for g in groups]).add(STATE, ArrayType(LongType()))
+
+    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for key, rows in _grouped(batches, groups, ["__at"]):
+            yield pd.DataFrame([(*key, functions.summary(rows))], columns=summed.names)
+
+    def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        owner, state = None, []
+        for key, row in _grouped(batches, groups, ["summary"]):
+            if owner is None or key[:-1] != owner:
+                owner, state = key[:-1], []
+            yield pd.DataFrame([(*key, [int(v) for v in state])], columns=entry.names)
+            state = functions.leave(row["summary"][0], state)
+
+    summaries = written(_in_order(chunks.select(*groups, *order), groups, order, parts)
+                        .mapInPandas(summarise, summed))
+    # A key's summaries pass through one task, one after the other.
+    ordered = summaries.repartition(parts, *keys).sortWithinPartitions(*groups)
+    return written(ordered.mapInPandas(chain, entry))
+
+
 def _replayed(batches: Iterator[pd.DataFrame], groups: list[str], step: Step):
     """Run ``step`` over sorted batches; a group may go on in the next batch.
 
@@ -205,14 +240,20 @@ def _replayed(batches: Iterator[pd.DataFrame], groups: list[str], step: Step):
         yield pd.DataFrame(), {}, [(current, state)]
 
 
+def _same(names: list[str], df: DataFrame, *added: str) -> tuple[DataFrame, Column]:
+    """``df`` with other names for the columns ``names``, and the condition that a row has equal ones; null
+    keys are keys like others."""
+    matches = F.lit(True)
+    for n in names:
+        matches = matches & F.col(n).eqNullSafe(F.col(f"__e_{n}"))
+    return df.select(*[F.col(n).alias(f"__e_{n}") for n in names], *added), matches
+
+
 def _attach(chunks: DataFrame, entries: DataFrame, keys: list[str]) -> DataFrame:
     """Chunk rows with their entry state. Rows are sorted by key, so there are at most two keys per chunk
     that go on in another one, and the entries of the others are left out: the side is small."""
     names = [*keys, CHUNK]
-    small = entries.filter(F.size(STATE) > 0).select(*[F.col(n).alias(f"__e_{n}") for n in names], STATE)
-    matches = F.lit(True)
-    for n in names:
-        matches = matches & F.col(n).eqNullSafe(F.col(f"__e_{n}"))
+    small, matches = _same(names, entries.filter(F.size(STATE) > 0), STATE)
     return (chunks.join(F.broadcast(small), matches, "left").drop(*[f"__e_{n}" for n in names])
             .withColumn(STATE, F.coalesce(STATE, F.array().cast("array<bigint>"))))
 
@@ -236,15 +277,18 @@ def _entry_states(chunks: DataFrame, keys: list[str], order: list[str], step: St
 
     todo, exits = entries, None
     while True:
-        rows = chunks.join(F.broadcast(todo), groups)
+        side, matches = _same(groups, todo, STATE)
+        rows = chunks.join(F.broadcast(side), matches).drop(*[f"__e_{n}" for n in groups])
         fresh = written(_in_order(rows, groups, order, parts).mapInPandas(leave, exit_shape))
         if exits is not None:
-            fresh = fresh.unionByName(exits.join(fresh, groups, "left_anti"))
+            side, matches = _same(groups, fresh)
+            fresh = fresh.unionByName(exits.join(side, matches, "left_anti"))
         exits = written(fresh)
         before = F.lag("__exit").over(Window.partitionBy(*keys).orderBy(CHUNK))
         wanted = exits.select(*groups, F.coalesce(
             before, F.array().cast("array<bigint>")).alias("__wanted"))
-        joined = written(entries.join(wanted, groups))
+        side, matches = _same(groups, wanted, "__wanted")
+        joined = written(entries.join(side, matches).select(*groups, STATE, "__wanted"))
         todo = (joined.filter(F.col("__wanted") != F.col(STATE))
                 .select(*groups, F.col("__wanted").alias(STATE)))
         entries = joined.select(*groups, F.col("__wanted").alias(STATE))
@@ -325,34 +369,7 @@ def exclusion_step(most: int, interval_us: int, timeout_us: int) -> Step:
     interval. Without an interval only their number is kept."""
     if interval_us <= 0:
         return endless_exclusion_step(most, timeout_us)
-
-    def step(rows: dict[str, np.ndarray], state: list[int]):
-        at = rows["__at"]
-        until = state[0] if state else np.iinfo(np.int64).min
-        tracked = list(state[1:])
-        counted = np.zeros(len(at), dtype=bool)
-        recent = np.zeros(len(at), dtype=np.int64)
-        ends = np.full(len(at), -1, dtype=np.int64)
-        i = int(np.searchsorted(at, until, side="left"))
-        while i < len(at):
-            now = int(at[i])
-            tracked.append(now)
-            tracked = [t for t in tracked if t >= now - interval_us]
-            counted[i] = True
-            recent[i] = len(tracked)
-            i += 1
-            if len(tracked) > most:
-                until = now + timeout_us
-                ends[i - 1] = until
-                i += int(np.searchsorted(at[i:], until, side="left"))
-        if len(at):
-            # Only failures that a later row could still count are carried on.
-            tracked = [t for t in tracked if t >= int(at[-1]) - interval_us]
-            if until <= int(at[-1]):
-                until = np.iinfo(np.int64).min
-        return ({"tracked": counted, "recent": recent, "until_us": ends},
-                [int(until), *tracked])
-    return step
+    return interval_step(most, interval_us, timeout_us)
 
 
 def exclusion_windows(failures: DataFrame, host: str, ts: str, row_id: str, most: int,
@@ -360,16 +377,19 @@ def exclusion_windows(failures: DataFrame, host: str, ts: str, row_id: str, most
     """Each failure with ``tracked``, its count and the exclusion it starts (``excluded_until``).
 
     More than ``most`` failures of a host inside the interval exclude it until ``timeout`` later.
-    Failures of an excluded host are not counted; it is free again when the time is reached. Without
-    an interval (0 or less) large hosts take a fixed number of passes; with one, as many rounds as it
-    takes until no chunk's entry state changes.
+    Failures of an excluded host are not counted; it is free again when the time is reached. Large hosts
+    take a fixed number of passes without an interval (0 or less) and with one under twice the timeout;
+    with a longer one, as many rounds as it takes until no chunk's entry state changes.
     """
     rows = failures.select(host, row_id, ts, micros(F.col(ts)).alias("__at"))
     rule = None
     if interval_us <= 0 < timeout_us:
         rule = Pointers(lambda at: at + timeout_us, free=most,
                         enter=lambda since, n: [LEAST if since is None else since, n] if n else [])
+    functions = None
+    if IntervalChunks.fits(interval_us, timeout_us):
+        functions = IntervalChunks(most, interval_us, timeout_us)
     marked = fold(rows, [host], ["__at", row_id], exclusion_step(most, interval_us, timeout_us),
-                  "tracked boolean, recent bigint, until_us bigint", limit, rule)
+                  "tracked boolean, recent bigint, until_us bigint", limit, rule, functions)
     return marked.select(host, row_id, ts, "tracked", "recent", F.when(
         F.col("until_us") >= 0, F.timestamp_micros("until_us")).alias("excluded_until"))

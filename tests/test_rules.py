@@ -3,6 +3,7 @@
 import datetime as dt
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,7 +106,7 @@ def test_exclusion_windows(spark, limit, interval):
     assert got == want
 
 
-@pytest.mark.parametrize("rule", ["throttle", "exclusion"])
+@pytest.mark.parametrize("rule", ["throttle", "endless exclusion", "exclusion"])
 def test_regular_ticks_take_a_fixed_number_of_passes(spark, monkeypatch, rule):
     """One key, one row a second, forty chunks: the phase is never forgotten."""
     rows = [(1, i, at(i * 1000), i in (777, 1501)) for i in range(2000)]
@@ -114,7 +115,8 @@ def test_regular_ticks_take_a_fixed_number_of_passes(spark, monkeypatch, rule):
     def run(limit):
         if rule == "throttle":
             return sequential.throttle(frame, ["k"], "ts", "id", 6_500, "end", limit)
-        return sequential.exclusion_windows(frame, "k", "ts", "id", 3, 0, 7_000, limit)
+        interval = 0 if rule == "endless exclusion" else 11_500
+        return sequential.exclusion_windows(frame, "k", "ts", "id", 3, interval, 7_000, limit)
 
     writes = []
     for module in (sequential, ordered):
@@ -320,6 +322,76 @@ def test_tiered_match(spark, limit):
     assert {x["g"]: (x["r"], x["tier"]) for x in got.collect()} == want
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_tiered_match_with_several_hosts(spark, limit, seed):
+    """Requests with up to four hosts, a hot host, ties in nothing but names; against a plain serial match."""
+    if limit and seed > 1:
+        pytest.skip("two seeds are enough for the rounds")
+    rng = random.Random(seed)
+    racks = {h: h % 3 for h in range(7)}
+    grants = [(i, rng.choice([0, 0, rng.randrange(7)])) for i in range(45)]
+    requests = [(i, rng.choice([[], [0], rng.sample(range(9), 2), rng.sample(range(7), 4), [0, rng.randrange(7)]]))
+                for i in range(40)]
+    want, left_g, left_r = {}, list(grants), [r for r, _ in requests]
+    hosts = dict(requests)
+    for tier, fits in (("host", lambda g, r: g in hosts[r]),
+                       ("rack", lambda g, r: racks[g] in {racks[h] for h in hosts[r] if h in racks}),
+                       ("any", lambda g, r: True)):
+        rest = []
+        for g, h in left_g:
+            fit = next((r for r in left_r if fits(h, r)), None)
+            if fit is None:
+                rest.append((g, h))
+            else:
+                left_r.remove(fit)
+                want[g] = (fit, tier)
+        left_g = rest
+    want.update({g: (None, "released") for g, _ in left_g})
+    g = spark.createDataFrame([(i, h, racks[h]) for i, h in grants], "g int, host int, rack int")
+    rows = [(i, h, racks.get(h)) for i, hs in requests for h in (hs or [None])]
+    rng.shuffle(rows)
+    r = spark.createDataFrame(rows, "r int, host int, rack int")
+    got = matching.tiered_match(g, r, [("host", ["host"]), ("rack", ["rack"]), ("any", [])],
+                                "g", "r", ["g"], ["r"])
+    assert {x["g"]: (x["r"], x["tier"]) for x in got.collect()} == want
+
+
+def test_matching_without_competition_takes_one_round(spark, monkeypatch):
+    """Hosts that share no request settle at once, however many grants one of them has."""
+    rows = [(i, i % 2) for i in range(300)] + [(300 + i, h) for i in range(50) for h in (5 + 2 * i, 6 + 2 * i)]
+    g = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(400 + i, 5 + 2 * i) for i in range(50)], "g int, h int")
+    r = spark.createDataFrame(rows, "r int, h int")
+    stored = []
+    write = matching.written
+    monkeypatch.setattr(matching, "rows_per_task", lambda spark: 0)
+    monkeypatch.setattr(matching, "written", lambda df: stored.append(1) or write(df))
+    got = matching.several_keys(g, r, ["h"], "g", "r", ["g"], ["r"]).collect()
+    assert len(stored) == 5
+    assert {(x["g"], x["r"]) for x in got} == {(i, i) for i in range(300)} | {(400 + i, 300 + i) for i in range(50)}
+
+
+@pytest.mark.parametrize("most, interval, timeout", [(0, 3000, 2000), (1, 900, 5000), (2, 4000, 3000), (3, 5900, 3000),
+                                                     (2, 9000, 1500), (4, 700, 400)])
+def test_exclusion_windows_of_any_length(spark, limit, most, interval, timeout):
+    rng = random.Random(most)
+    rows, want = [], {}
+    for host in (1, 2, None):
+        queue, until = [], None
+        for i, t in enumerate(random_times(rng, 90 if host == 1 else 25, 400)):
+            row_id = (host or 0) * 1000 + i
+            rows.append((host, row_id, at(t)))
+            if until is not None and until > t:
+                want[row_id] = (False, 0, None)
+                continue
+            queue = [q for q in [*queue, t] if q >= t - interval]
+            until = t + timeout if len(queue) > most else None
+            want[row_id] = (True, len(queue), until)
+    df = sequential.exclusion_windows(
+        spark.createDataFrame(rows, "host int, id int, ts timestamp"), "host", "ts", "id", most, interval, timeout)
+    got = {r["id"]: (r["tracked"], r["recent"], r["excluded_until"]) for r in stamped(df).collect()}
+    assert got == want
+
+
 @pytest.mark.parametrize("size,limit_,left", [(5, 5, 5), (6, 5, 5), (30, 20, 20), (21, 20, 19)])
 def test_retention_counts(spark, size, limit_, left):
     df = spark.createDataFrame([("p", i, True) for i in range(size)], "p string, i int, done boolean")
@@ -382,3 +454,50 @@ def test_retention_beyond_the_window_limit(spark, small_tasks):
         assert sorted(r["i"] for r in kept.collect()) == list(range(20, 60))
     finally:
         spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+
+
+def test_path_visibility(spark, limit):
+    """Random trees with closed folders at all levels, names that sort around the slash, missing entries, files
+    that are folders too, a closed root."""
+    rng = random.Random(21)
+    names = ["a", "b", "a-", "a.", "a0", "aa", "ü", " "]
+    for closed in ([], ["/"], None):
+        files, rights = [], {}
+        for i in range(90):
+            parts = [rng.choice(names) for _ in range(rng.randrange(1, 5))]
+            files.append((i, "/" + "/".join(parts)))
+            for n in range(len(parts) + 1):
+                path = "/" + "/".join(parts[:n])
+                if closed is None and n and rng.random() < 0.1:
+                    continue
+                rights.setdefault(path, rng.choice([5, 5, 5, 5, 7, 4, 1, 0]) if n else 5)
+        rights.update({p: 4 for p in closed or []})
+        files += files[:5]
+
+        def entered(path):
+            while path != "/":
+                path = path.rsplit("/", 1)[0] or "/"
+                if not rights.get(path, 0) & 1:
+                    return False
+            return True
+
+        want = sorted((i, p, "PUBLIC" if rights.get(p, 0) & 4 and entered(p) else "PRIVATE") for i, p in files)
+        got = matching.path_visibility(spark.createDataFrame(files, "i int, path string"), spark.createDataFrame(
+            list(rights.items()), "path string, others int"))
+        assert sorted(map(tuple, got.collect())) == want
+        assert closed or len({v for *_, v in want}) == 2
+
+
+def test_folders_under_one_root_meet_in_no_join(spark):
+    """However many files and folders lie under a folder, it is a row or two of any join."""
+    files = spark.range(100_000).selectExpr("id", "concat('/data/', id % 50000, '/', id) AS path")
+    rights = files.selectExpr("path").unionByName(spark.range(50_000).selectExpr("concat('/data/', id) AS path")).unionByName(
+        spark.createDataFrame([("/",), ("/data",)], "path string")).selectExpr("path", "IF(path = '/data/7', 4, 5) AS others")
+    got = matching.path_visibility(files, rights)
+    assert {(r["visibility"], r["count"]) for r in got.groupBy("visibility").count().collect()} == {
+        ("PUBLIC", 99_998), ("PRIVATE", 2)}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    # Both joins are of single paths with their rights; the one of folders comes after they are distinct.
+    assert len(joins) == 2 and all("__path" in j for j in joins)
+    assert re.search(r"Join.*__name.*\n.*\n?.*Aggregate \[__key", plan)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.arrays import count_up
-from ..session import written
-from .ordered import Ordered
+from ..session import rows_per_task, written
+from .ordered import Ordered, largest_group
 
 # Fixed value: mark of a skipped stage.
 SKIPPED = " (skipped)"
@@ -49,10 +51,13 @@ def tiered_match(grants: DataFrame, requests: DataFrame, tiers: Sequence[tuple[s
     """One-to-one match of grants to requests, tier by tier; (grant, request, tier).
 
     A tier is (name, key columns), for example ``("host", ["host_id"])``, ``("rack", ["rack_id"])``
-    and ``("any", [])``. Within a tier the n-th grant of a key takes the n-th request of the
-    same key, both counted in their order, so the join key is unique and no key is hot. What is
-    left goes to the next tier; grants left at the end come back with the tier ``released``.
-    A request has at most one preferred key per tier.
+    and ``("any", [])``. A request that accepts several keys has a row for each of them; its order columns
+    are the same on all. Within a tier each grant, in order, takes the first request in order that
+    accepts its key and is not taken yet. What is left goes to the next tier; grants left at the
+    end come back with the tier ``released``.
+
+    Where a tier's requests have one key each, the n-th grant of a key takes the n-th request of the
+    same key, so the join key is unique and no key is hot. Otherwise ``several_keys`` decides.
     """
     grant_columns = list(dict.fromkeys([*scope, grant_id, *grant_order,
                                         *[k for _, keys in tiers for k in keys]]))
@@ -66,12 +71,18 @@ def tiered_match(grants: DataFrame, requests: DataFrame, tiers: Sequence[tuple[s
         present = F.lit(True)
         for k in keys:
             present = present & F.col(k).isNotNull()
-        g = (Ordered(open_grants.filter(present), by, grant_order).row_number("__rn").df
-             .select(*by, "__rn", grant_id))
-        r = (Ordered(open_requests.filter(present), by, request_order).row_number("__rn").df
-             .select(*by, "__rn", request_id))
-        pairs = written(g.join(r, [*by, "__rn"])
-                        .select(*scope, grant_id, request_id, F.lit(name).alias("tier")))
+        wanted = open_requests.filter(present).select(*dict.fromkeys([*by, request_id, *request_order])).distinct()
+        single = wanted.groupBy(*scope, request_id).count().filter("count > 1").isEmpty()
+        if single:
+            g = (Ordered(open_grants.filter(present), by, grant_order).row_number("__rn").df
+                 .select(*by, "__rn", grant_id))
+            r = (Ordered(wanted, by, request_order).row_number("__rn").df
+                 .select(*by, "__rn", request_id))
+            pairs = g.join(r, [*by, "__rn"]).select(*scope, grant_id, request_id)
+        else:
+            pairs = several_keys(open_grants.filter(present), wanted, by, grant_id, request_id,
+                                 grant_order, request_order, scope)
+        pairs = written(pairs.withColumn("tier", F.lit(name)))
         matched.append(pairs)
         open_grants = written(open_grants.join(pairs, [*scope, grant_id], "left_anti"))
         if position < len(tiers) - 1:
@@ -84,6 +95,91 @@ def tiered_match(grants: DataFrame, requests: DataFrame, tiers: Sequence[tuple[s
     return result
 
 
+def several_keys(grants: DataFrame, wanted: DataFrame, by: Sequence[str], grant_id: str, request_id: str,
+                 grant_order: Sequence[str], request_order: Sequence[str], scope: Sequence[str] = ()
+                 ) -> DataFrame:
+    """(scope, grant, request): each grant, in order, takes the first open request that lists its key.
+
+    All requests would rather have an earlier grant, so this is the one stable matching, and proposals
+    may be made in any order. The grants of a key want the same requests in the same order; so the
+    i-th of them gets none before the i-th on the key's list, and none before what the grant before it
+    gets. Every grant proposes to the place on the list it has come to, every request keeps its best
+    proposal, and a refused grant moves on past the places whose requests have grants better than
+    any refused one of its key; it pushes those behind it along. It ends when nothing is refused: after
+    one round where requests do not compete, otherwise after as many as the longest chain of
+    refusals. Keys of any size are numbered, searched and pushed through ``Ordered``. A scope whose rows suit
+    one task is walked through there instead.
+    """
+    scope, by = list(scope), list(by)
+    go, ro, i, place = "__grant", "__request", "__i", "__place"
+    numbered = Ordered(grants, scope, grant_order).row_number(go).df
+    request = Ordered(wanted.select(*dict.fromkeys([*scope, request_id, *request_order])).distinct(), scope,
+                      request_order).row_number(ro).df.select(*scope, ro, request_id)
+    named = wanted.select(*by, request_id).join(request, [*scope, request_id])
+    limit = rows_per_task(grants.sparkSession)
+    if max(largest_group(grants, scope)[1], largest_group(wanted, scope)[1]) <= limit:
+        return _walked(numbered.select(*by, go, grant_id), named.select(*by, ro, request_id), scope,
+                       by[len(scope):], go, ro, grant_id, request_id)
+    grant = written(Ordered(numbered, by, [go]).row_number(i).df.select(*by, go, i, grant_id))
+    lists = written(Ordered(named, by, [ro]).row_number(place).df.select(*by, place, ro, request_id))
+    at = grant.select(*by, go, i, F.col(i).alias(place))
+    best = None
+    while True:
+        made = written(at.join(lists.select(*by, place, ro), [*by, place]))
+        offers = made.groupBy(*scope, ro).agg(F.min(go).alias("__best"))
+        if best is not None:
+            offers = offers.unionByName(best).groupBy(*scope, ro).agg(F.min("__best").alias("__best"))
+        best = written(offers)
+        judged = made.join(best, [*scope, ro])
+        refused = written(judged.filter(F.col(go) > F.col("__best")).select(*by, go, i, place))
+        if refused.isEmpty():
+            return (judged.filter(F.col(go) == F.col("__best")).join(grant.select(*scope, go, grant_id), [*scope, go])
+                    .join(lists.select(*scope, ro, request_id).distinct(), [*scope, ro])
+                    .select(*scope, grant_id, request_id))
+        # Places that are lost to every refused grant of the key are passed over at once.
+        first = refused.groupBy(*by).agg(F.min(go).alias("__first"))
+        taken = (lists.join(best, [*scope, ro], "left").join(first, by)
+                 .withColumn("__free", F.when(F.col("__best").isNull() | (F.col("__best") >= F.col("__first")),
+                                              F.col(place))))
+        onward = Ordered(taken, by, [place]).next_known("__onward", F.col("__free")).df
+        onward = onward.select(*by, (F.col(place) - 1).alias(place), F.coalesce("__onward", F.lit(2**62)).alias("__onward"))
+        moved = refused.join(onward, [*by, place], "left").select(
+            *by, go, F.coalesce("__onward", F.lit(2**62)).alias("__to"))
+        steps = at.join(moved, [*by, go], "left").withColumn(
+            "__lead", F.coalesce("__to", F.col(place)) - F.col(i))
+        pushed = Ordered(steps, by, [i]).running("__far", F.max, F.col("__lead")).df
+        at = written(pushed.select(*by, go, i, (F.col("__far") + F.col(i)).alias(place)))
+
+
+def _walked(grants: DataFrame, lists: DataFrame, scope: list[str], keys: list[str], go: str, ro: str,
+            grant_id: str, request_id: str) -> DataFrame:
+    """``several_keys`` scope by scope, grant after grant."""
+    names = [*scope, grant_id, request_id]
+    shape = StructType([*[grants.schema[c] for c in [*scope, grant_id]], lists.schema[request_id]])
+
+    def walk(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
+        theirs = theirs.sort_values(ro)
+        waiting = {key: iter(rows) for key, rows in theirs.groupby(keys)[ro].agg(list).items()}
+        ids = dict(zip(theirs[ro], theirs[request_id]))
+        taken: set = set()
+        pairs = []
+        mine = mine.sort_values(go)
+        for key, grant in zip(mine[keys].itertuples(index=False, name=None), mine[grant_id]):
+            found = next((r for r in waiting.get(key[0] if len(key) == 1 else key, ()) if r not in taken), None)
+            if found is not None:
+                taken.add(found)
+                pairs.append((grant, ids[found]))
+        out = pd.DataFrame(pairs, columns=[grant_id, request_id])
+        for c in scope:
+            out[c] = mine[c].iloc[0] if len(mine) else None
+        return out[names]
+
+    one = F.lit(0).alias("__scope")
+    whole = ["__scope", *scope]
+    return (grants.select("*", one).groupBy(*whole).cogroup(lists.select("*", one).groupBy(*whole))
+            .applyInPandas(walk, shape))
+
+
 def last_seen_asof(ticks: DataFrame, beats: DataFrame, member: str, tick: str, ts: str
                    ) -> DataFrame:
     """For each (member, tick) the last beat at or before the tick, null before the first."""
@@ -132,27 +228,35 @@ def path_visibility(files: DataFrame, permissions: DataFrame, path: str = "path"
     """``PUBLIC`` if others may read the file and execute every directory above it.
 
     ``others`` is the octal digit for others (4 read, 1 execute). A path without an entry has no
-    permission. Directories are judged once each, before the files are joined to them.
+    permission. Directories, each once, and files are put in path order: what lies below a directory
+    follows it without a gap, up to a bound that is its path with the next character after the
+    slash. A directory is closed to others if the highest bound of the closed ones before it lies beyond it,
+    so one running maximum settles all levels, and no directory's files or children meet in a join.
     """
     parent = F.regexp_replace(F.col(path), r"/[^/]*$", "")
-    named = files.withColumn("__dir", F.when(parent == "", "/").otherwise(parent))
-    parts = F.filter(F.split("__dir", "/"), lambda p: p != "")
-    above = F.concat(F.array(F.lit("/")), F.transform(
-        F.sequence(F.lit(1), F.size(parts)),
-        lambda n: F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), n), "/"))))
-    above = F.when(F.size(parts) == 0, F.array(F.lit("/"))).otherwise(above)
+    parts = F.filter(F.split(parent, "/"), lambda p: p != "")
+    named = files.withColumn("__parts", parts)
+    # All directories from the root down to the file's own, as /, /a/, /a/b/.
+    above = F.transform(F.sequence(F.lit(0), F.size("__parts")), lambda n: F.when(n == 0, "/").otherwise(
+        F.concat(F.lit("/"), F.array_join(F.slice(F.col("__parts"), F.lit(1), n), "/"), F.lit("/"))))
     rights = permissions.select(F.col(path).alias("__path"), F.col(others).alias("__others"))
     may_enter = F.coalesce(F.col("__others").bitwiseAND(1) == 1, F.lit(False))
-    folders = (named.select("__dir").distinct()
-               .select("__dir", F.explode(above).alias("__path"))
-               .join(rights, "__path", "left").groupBy("__dir")
-               .agg(F.bool_and(may_enter).alias("__open")))
+    folders = (named.select("__parts").distinct().select(F.explode(above).alias("__key")).distinct()
+               .withColumn("__name", F.when(F.col("__key") == "/", "/").otherwise(F.rtrim(F.col("__key"), F.lit("/"))))
+               .join(rights, F.col("__name") == F.col("__path"), "left")
+               .select("__key", F.when(~may_enter, F.concat(F.rtrim(F.col("__key"), F.lit("/")), F.lit("0")))
+                       .alias("__bound")))
     may_read = F.coalesce(F.col("__others").bitwiseAND(4) == 4, F.lit(False))
-    return (named.join(folders, "__dir")
-            .join(rights, F.col(path) == F.col("__path"), "left")
-            .withColumn("visibility", F.when(F.col("__open") & may_read, "PUBLIC")
-                        .otherwise("PRIVATE"))
-            .select(*files.columns, "visibility"))
+    own = (named.join(rights, F.col(path) == F.col("__path"), "left")
+           .select(F.element_at(above, -1).alias("__key"), F.lit(None).cast("string").alias("__bound"),
+                   F.struct(*files.columns).alias("__file"), may_read.alias("__read")))
+    kind = own.schema["__file"].dataType
+    rows = own.unionByName(folders.withColumns({"__file": F.lit(None).cast(kind), "__read": F.lit(None).cast("boolean")}))
+    rows = rows.withColumn("__leaf", F.col("__file").isNotNull())
+    steps = Ordered(rows, [], ["__key", "__leaf"]).running("__closed", F.max, F.col("__bound")).df
+    shut = F.coalesce(F.col("__closed") > F.col("__key"), F.lit(False))
+    return steps.filter("__leaf").select("__file.*", F.when(F.col("__read") & ~shut, "PUBLIC")
+                                         .otherwise("PRIVATE").alias("visibility"))
 
 
 def cross_stage_edges(edges: DataFrame, nodes: DataFrame, node: str = "node",

@@ -87,6 +87,64 @@ UNION ALL SELECT grant_id, NULL, 'released' FROM grants WHERE grant_id NOT IN (
 """
 
 
+def _serial(tier: str, grants: str, wanted: str) -> str:
+    """Each grant in order takes the first request on its key's list that is not taken yet."""
+    return f"""
+{tier}_grants AS (SELECT *, row_number() OVER (ORDER BY grant_id) AS n FROM {grants}),
+{tier}_lists AS (SELECT {tier}_id, list(request_id ORDER BY request_id) AS l
+  FROM (SELECT DISTINCT {tier}_id, request_id FROM {wanted} WHERE {tier}_id IS NOT NULL) d GROUP BY {tier}_id),
+{tier}_walk AS (
+  SELECT 0::BIGINT AS n, NULL::BIGINT AS grant_id, NULL::BIGINT AS request_id, []::BIGINT[] AS taken
+  UNION ALL
+  SELECT n, grant_id, pick, CASE WHEN pick IS NULL THEN taken ELSE list_append(taken, pick) END
+  FROM (SELECT g.n, g.grant_id, w.taken,
+               list_filter(l, lambda x: NOT list_contains(w.taken, x))[1] AS pick
+        FROM {tier}_walk w JOIN {tier}_grants g ON g.n = w.n + 1
+        LEFT JOIN {tier}_lists t ON t.{tier}_id = g.{tier}_id) x),
+{tier}_pairs AS (SELECT grant_id, request_id FROM {tier}_walk WHERE request_id IS NOT NULL)"""
+
+
+SEVERAL_HOSTS_SQL = f"""
+WITH RECURSIVE grants AS (
+  SELECT c_custkey AS grant_id, c_nationkey AS host_id, n_regionkey AS rack_id
+  FROM customer JOIN nation ON n_nationkey = c_nationkey),
+wanted AS (
+  SELECT s_suppkey AS request_id, n_nationkey AS host_id, n_regionkey AS rack_id
+  FROM supplier LEFT JOIN nation ON s_suppkey % 4 <> 0 AND n_nationkey IN (
+    s_nationkey, (s_nationkey + s_suppkey) % 25, (s_nationkey * 7 + s_suppkey % 3) % 25)),
+{_serial("host", "grants", "wanted")},
+rack_open AS (SELECT * FROM grants WHERE grant_id NOT IN (SELECT grant_id FROM host_pairs)),
+rack_wanted AS (SELECT * FROM wanted WHERE request_id NOT IN (SELECT request_id FROM host_pairs)),
+{_serial("rack", "rack_open", "rack_wanted")},
+a AS (SELECT grant_id, request_id FROM
+  (SELECT *, row_number() OVER (ORDER BY grant_id) AS rn FROM rack_open
+   WHERE grant_id NOT IN (SELECT grant_id FROM rack_pairs)) g
+  JOIN (SELECT *, row_number() OVER (ORDER BY request_id) AS rn
+        FROM (SELECT DISTINCT request_id FROM rack_wanted) d
+        WHERE request_id NOT IN (SELECT request_id FROM rack_pairs)) r ON r.rn = g.rn)
+SELECT grant_id, request_id, 'host' AS tier FROM host_pairs
+UNION ALL SELECT grant_id, request_id, 'rack' FROM rack_pairs
+UNION ALL SELECT grant_id, request_id, 'any' FROM a
+UNION ALL SELECT grant_id, NULL, 'released' FROM rack_open WHERE grant_id NOT IN (
+  SELECT grant_id FROM rack_pairs UNION SELECT grant_id FROM a)
+"""
+
+
+@query("tiered_match_hosts", SEVERAL_HOSTS_SQL)
+def _(t):
+    nation = t.read("nation").select(F.col("n_nationkey").alias("host_id"), F.col("n_regionkey").alias("rack_id"))
+    grants = (t.read("customer").select(F.col("c_custkey").alias("grant_id"), F.col("c_nationkey").alias("host_id"))
+              .join(nation, "host_id"))
+    # Up to three hosts, over one or more racks; every fourth request takes anything.
+    home, number = F.col("s_nationkey"), F.col("s_suppkey")
+    hosts = F.when(number % 4 != 0, F.array_distinct(F.array(
+        home, (home + number) % 25, (home * 7 + number % 3) % 25)))
+    wanted = t.read("supplier").select(number.alias("request_id"), F.explode_outer(hosts).alias("host_id"))
+    return matching.tiered_match(
+        grants, wanted.join(nation, "host_id", "left"), [("host", ["host_id"]), ("rack", ["rack_id"]), ("any", [])],
+        "grant_id", "request_id", ["grant_id"], ["request_id"])
+
+
 @query("tiered_match", TIERED_SQL)
 def _(t):
     nation = t.read("nation")

@@ -7,8 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators import keyed, liveness, sequential
-from tidewatch.streaming import keyed_state, run, sinks
+from tidewatch.operators import keyed, lifecycle, liveness, sequential
+from tidewatch.streaming import keyed_state, open_state, run, sinks, windows
 
 from .test_rules import BASE, at, member_rows, stamped
 
@@ -195,3 +195,73 @@ def test_fan_out_keeps_progress_apart(spark, tmp_path):
     start(["a", "b"])
     for name in ("a", "b"):
         assert spark.read.parquet(str(tmp_path / name)).count() == 20
+
+
+@pytest.fixture
+def streamed(spark, tmp_path):
+    """Rows as a stream of three files; the watermark stays behind, so rows wait in the state at the end."""
+    def start(rows, schema=SCHEMA, delay="30 seconds", column=2):
+        rows = sorted(rows, key=lambda r: r[column])
+        third = -(-len(rows) // 3)
+        for n in range(3):
+            spark.createDataFrame(rows[n * third:][:third], schema).coalesce(1).write.parquet(str(tmp_path / "in" / str(n)))
+        return run.event_stream(spark, str(tmp_path / "in" / "*"), spark.createDataFrame([], schema).schema,
+                                files_per_trigger=1).withWatermark("ts", delay)
+    return start
+
+
+@pytest.mark.parametrize("delay", ["30 seconds", "10 days"])
+def test_open_intervals_workers_and_waiting_rows(spark, streamed, delay):
+    rows, batch = member_frame(spark, 31)
+    rows += [(None, 10_000 + i, at(BASE + i * 900_000), "register" if not i else "heartbeat") for i in range(5)]
+    batch = spark.createDataFrame(rows, SCHEMA)
+    until, end = liveness.horizon(batch, "ts"), F.col("kind") == "remove"
+    stream = streamed(rows, delay=delay)
+    got = keyed_state.live_intervals(stream, "m", "ts", "id", "kind", 2_000_000, 700_000, until)
+    want = liveness.live_intervals(batch, "m", "ts", "id", "kind", 2_000_000, 700_000, until)
+    assert rows_of(got) == rows_of(want) and got.filter("end_reason = 'open'").count() > 0
+    got = keyed_state.expire_workers(stream, "m", "ts", "id", "kind", 1_500_000, until)
+    want = liveness.expire_workers(batch, "m", "ts", "id", "kind", 1_500_000, until)
+    assert rows_of(got) == rows_of(want) and got.filter("expired IS NULL").count() > 0
+    got = keyed_state.throttle(stream.withColumn("end", end), "m", "ts", "id", 2_500_000, "end", until)
+    want = sequential.throttle(batch.withColumn("end", end), ["m"], "ts", "id", 2_500_000, "end")
+    assert rows_of(got.select("m", "id", "ts")) == rows_of(want)
+    got = keyed_state.exclusion_windows(stream, "m", "ts", "id", 2, 4_000_000, 3_000_000, until)
+    want = sequential.exclusion_windows(batch, "m", "ts", "id", 2, 4_000_000, 3_000_000)
+    columns = ["m", "ts", "recent", "tracked", "excluded_until"]
+    assert rows_of(got.select(*columns)) == rows_of(want.select(*columns))
+
+
+def test_open_windows(spark, streamed):
+    rows, batch = member_frame(spark, 32)
+    stream = streamed(rows, delay="3 seconds")
+    got = open_state.run_to_end(windows.sessions(stream, "m", "ts", "2 seconds"),
+                                lambda c: open_state.open_sessions(spark, c, "m"))
+    want = liveness.liveness_sessions(batch, "m", "ts", "id", 2_000_000)
+    assert rows_of(got) == rows_of(want)
+    got = open_state.run_to_end(liveness.sliding_failures(stream, ["m"], "ts", "8 seconds", "2 seconds"),
+                                lambda c: open_state.open_windows(spark, c, ["m"]))
+    assert rows_of(got) == rows_of(liveness.sliding_failures(batch, ["m"], "ts", "8 seconds", "2 seconds"))
+    priced = stream.selectExpr("m AS security", "id AS event_id", "ts", "CAST(id % 7 AS DOUBLE) AS price")
+    got = open_state.run_to_end(liveness.quote_bars(priced, "5 seconds"), lambda c: open_state.open_bars(spark, c))
+    priced = batch.selectExpr("m AS security", "id AS event_id", "ts", "CAST(id % 7 AS DOUBLE) AS price")
+    assert rows_of(got) == rows_of(liveness.quote_bars(priced, "5 seconds"))
+
+
+def test_snapshot_goes_on(spark, tmp_path):
+    """The state after each run has every entity, open or ended, over all input so far."""
+    rows, _ = member_frame(spark, 33)
+    register, remove = F.col("kind") == "register", F.col("kind") == "remove"
+    for n in range(2):
+        spark.createDataFrame(rows[n::2], SCHEMA).write.parquet(str(tmp_path / "in" / str(n)))
+        stream = run.event_stream(spark, str(tmp_path / "in" / "*"), spark.createDataFrame([], SCHEMA).schema)
+        seen = lifecycle.final_snapshot(stream, ["m"], "ts", register, remove).drop("is_open")
+        got = open_state.snapshot(seen, ["m"], ["started", "ended", "updates"], str(tmp_path / "state"))
+        batch = spark.read.parquet(str(tmp_path / "in" / "*"))
+        want = lifecycle.final_snapshot(batch, ["m"], "ts", register, remove).drop("is_open")
+        assert rows_of(got) == rows_of(want)
+
+
+def test_nothing_open_without_rows(spark, streamed):
+    stream = streamed([], delay="3 seconds")
+    assert keyed_state.live_intervals(stream, "m", "ts", "id", "kind", 2_000_000, 700_000, BASE).count() == 0

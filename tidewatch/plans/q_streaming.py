@@ -1,4 +1,4 @@
-"""Queries: the same rules on streams, run over everything available and read back."""
+"""Queries: the same rules on streams, run over everything available, with what is open at the end."""
 
 from __future__ import annotations
 
@@ -6,9 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import keyed, liveness
+from ..operators import keyed, lifecycle, liveness
 from ..session import scratch_folder
-from ..streaming import keyed_state, run, sinks, windows
+from ..streaming import keyed_state, open_state, run, sinks, windows
 from .q_liveness import (BARS_SQL, CHECK, EXCLUSION_SQL, LIVE_SQL, THROTTLE_SQL, TIMEOUT,
                          US_PER_HOUR, WORKERS_SQL, ntz)
 from .registry import query
@@ -16,22 +16,6 @@ from .tables import number_in
 
 
 
-def passed(*kinds: str) -> str:
-    """What the watermark has passed: the newest time in whole milliseconds.
-
-    Spark moves filters below the watermark, so only rows that pass them count.
-    """
-    names = ", ".join(f"'{k}'" for k in kinds)
-    source = f"v_beats WHERE kind IN ({names})" if kinds else "events"
-    return f"(SELECT max(epoch_us(ts)) // 1000 * 1000 FROM {source})"
-
-
-PASSED = passed()
-LIVE_PASSED = passed("register", "heartbeat", "remove")
-WORKERS_PASSED = passed("register", "heartbeat")
-FAILURES_PASSED = passed("failure")
-
-
 def events(t, delay: str | None = "0 seconds"):
     stream = run.event_stream(t.spark, t.sf_dir, t.read("events").schema,
                               pattern="events.parquet")
@@ -70,65 +54,63 @@ def named(stream, *columns: str):
 
 @query("stream_live_intervals", f"""
 WITH {LIVE_SQL} SELECT * REPLACE (concat('member_id-', CAST(member_id AS VARCHAR)) AS member_id)
-FROM intervals WHERE epoch_us("end") <= {LIVE_PASSED}
+FROM intervals
 """, "v_beats")
 def _(t):
-    return ntz(run.run_to_table(keyed_state.live_intervals(
-        named(beats(t), "member_id", "event_id"), "member_id", "ts", "event_id", "kind", TIMEOUT, CHECK)),
-        "start", "end", "last_seen")
+    return ntz(keyed_state.live_intervals(
+        named(beats(t), "member_id", "event_id"), "member_id", "ts", "event_id", "kind", TIMEOUT, CHECK,
+        until_us=liveness.horizon(t.beats, "ts")), "start", "end", "last_seen")
 
 
 @query("stream_reregister_requests", f"""
 WITH {LIVE_SQL}
 SELECT concat('event_id-', CAST(b.event_id AS VARCHAR)) AS event_id,
        concat('member_id-', CAST(b.member_id AS VARCHAR)) AS member_id, b.ts FROM v_beats b
-WHERE b.kind = 'heartbeat' AND epoch_us(b.ts) <= {LIVE_PASSED} AND NOT EXISTS (
+WHERE b.kind = 'heartbeat' AND NOT EXISTS (
   SELECT 1 FROM intervals i WHERE i.member_id = b.member_id AND i.start < b.ts
     AND (i."end" IS NULL OR i."end" > b.ts))
 """, "v_beats")
 def _(t):
-    return ntz(run.run_to_table(keyed_state.reregister_requests(
-        named(beats(t), "member_id", "event_id"), "member_id", "ts", "event_id", "kind", TIMEOUT, CHECK)), "ts")
+    return ntz(keyed_state.reregister_requests(
+        named(beats(t), "member_id", "event_id"), "member_id", "ts", "event_id", "kind", TIMEOUT, CHECK,
+        until_us=liveness.horizon(t.beats, "ts")), "ts")
 
 
 @query("stream_expire_workers", f"""
 SELECT * REPLACE (concat('member_id-', CAST(member_id AS VARCHAR)) AS member_id)
-FROM ({WORKERS_SQL}) w WHERE epoch_us(expired) <= {WORKERS_PASSED}
+FROM ({WORKERS_SQL}) w
 """, "v_beats")
 def _(t):
-    return ntz(run.run_to_table(keyed_state.expire_workers(
-        named(beats(t), "member_id"), "member_id", "ts", "event_id", "kind", CHECK)), "registered", "expired")
+    return ntz(keyed_state.expire_workers(
+        named(beats(t), "member_id"), "member_id", "ts", "event_id", "kind", CHECK,
+        until_us=liveness.horizon(t.beats, "ts")), "registered", "expired")
 
 
-@query("stream_throttle", f"""
-SELECT * FROM ({THROTTLE_SQL}) w WHERE epoch_us(ts) <= {PASSED}
-""")
+@query("stream_throttle", THROTTLE_SQL)
 def _(t):
     rows = events(t).select("event_id", F.col("user_id").alias("member_id"), "ts",
                             (F.col("event_type") == "purchase").alias("terminal"))
-    return ntz(run.run_to_table(keyed_state.throttle(
-        rows, "member_id", "ts", "event_id", 24 * US_PER_HOUR, "terminal")), "ts")
+    return ntz(keyed_state.throttle(rows, "member_id", "ts", "event_id", 24 * US_PER_HOUR, "terminal",
+                                    until_us=liveness.horizon(t.read("events"), "ts")), "ts")
 
 
 @query("stream_exclusion_windows", f"""
 SELECT concat('host_id-', CAST(host_id AS VARCHAR)) AS host_id, ts, recent, tracked, excluded_until
 FROM ({EXCLUSION_SQL}) w
-WHERE epoch_us(ts) <= {FAILURES_PASSED}
 """, "v_beats")
 def _(t):
     failures = named(beats(t), "host_id").filter(F.col("kind") == "failure")
-    return ntz(run.run_to_table(keyed_state.exclusion_windows(
-        failures, "host_id", "ts", "event_id", 2, 48 * US_PER_HOUR, 36 * US_PER_HOUR)),
-        "ts", "excluded_until")
+    return ntz(keyed_state.exclusion_windows(
+        failures, "host_id", "ts", "event_id", 2, 48 * US_PER_HOUR, 36 * US_PER_HOUR,
+        until_us=liveness.horizon(t.beats, "ts")), "ts", "excluded_until")
 
 
-@query("stream_quote_bars", f"""
-SELECT * FROM ({BARS_SQL}) b WHERE epoch_us(bar_start) + {US_PER_HOUR} <= {PASSED}
-""", "v_quotes")
+@query("stream_quote_bars", BARS_SQL, "v_quotes")
 def _(t):
     quotes = events(t).select("event_id", F.col("event_type").alias("security"), "ts",
                               F.col("value").alias("price"))
-    return ntz(run.run_to_table(liveness.quote_bars(quotes, "1 hour")), "bar_start")
+    return ntz(open_state.run_to_end(liveness.quote_bars(quotes, "1 hour"),
+                                     lambda at: open_state.open_bars(t.spark, at)), "bar_start")
 
 
 @query("stream_sliding_failures", f"""
@@ -138,14 +120,13 @@ SELECT host_id, make_timestamp(w * {6 * US_PER_HOUR}) AS window_start,
 FROM (SELECT host_id, unnest(generate_series(epoch_us(ts) // {6 * US_PER_HOUR} - 7,
                                              epoch_us(ts) // {6 * US_PER_HOUR})) AS w
       FROM v_beats WHERE kind = 'failure') x
-WHERE w * {6 * US_PER_HOUR} + {48 * US_PER_HOUR} <= {FAILURES_PASSED}
 GROUP BY host_id, w
 """, "v_beats")
 def _(t):
     failures = beats(t).filter(F.col("kind") == "failure")
-    return ntz(run.run_to_table(liveness.sliding_failures(failures, ["host_id"], "ts", "48 hours",
-                                                          "6 hours")),
-               "window_start", "window_end")
+    return ntz(open_state.run_to_end(
+        liveness.sliding_failures(failures, ["host_id"], "ts", "48 hours", "6 hours"),
+        lambda at: open_state.open_windows(t.spark, at, ["host_id"])), "window_start", "window_end")
 
 
 @query("stream_sessions", f"""
@@ -156,11 +137,11 @@ SELECT member_id, start, last_seen, beats FROM (
                        ORDER BY ts, event_id)) <= {TIMEOUT} THEN 0 ELSE 1 END AS fresh
       FROM v_beats) a) b
   GROUP BY member_id, session) s
-WHERE epoch_us(last_seen) + {TIMEOUT} <= {PASSED}
 """, "v_beats")
 def _(t):
-    return ntz(run.run_to_table(windows.sessions(beats(t), "member_id", "ts", "12 hours")),
-               "start", "last_seen")
+    return ntz(open_state.run_to_end(
+        windows.sessions(beats(t), "member_id", "ts", "12 hours"),
+        lambda at: open_state.open_sessions(t.spark, at, "member_id")), "start", "last_seen")
 
 
 @query("stream_register_dedup", """
@@ -177,13 +158,26 @@ def _(t):
 SELECT queue, date_trunc('hour', ts) AS report_start, count(*) AS received,
        greatest(count(*) - 3, 0) AS dropped
 FROM (SELECT event_type AS queue, ts FROM events) e
-WHERE epoch_us(date_trunc('hour', ts)) + {US_PER_HOUR} <= {PASSED}
 GROUP BY queue, date_trunc('hour', ts)
 """)
 def _(t):
     rows = events(t).select(F.col("event_type").alias("queue"), "ts")
-    return ntz(run.run_to_table(liveness.overflow_report(rows, "ts", "1 hour", capacity=3)),
-               "report_start")
+    return ntz(open_state.run_to_end(
+        liveness.overflow_report(rows, "ts", "1 hour", capacity=3),
+        lambda at: open_state.open_reports(t.spark, at, ["queue"], capacity=3)), "report_start")
+
+
+@query("stream_final_snapshot", """
+SELECT member_id, min(CASE WHEN kind = 'register' THEN ts END) AS started,
+       max(CASE WHEN kind = 'remove' THEN ts END) AS ended, count(*) AS updates,
+       max(CASE WHEN kind = 'remove' THEN ts END) IS NULL AS is_open
+FROM v_beats GROUP BY member_id
+""", "v_beats")
+def _(t):
+    seen = lifecycle.final_snapshot(beats(t, None), ["member_id"], "ts", F.col("kind") == "register",
+                                    F.col("kind") == "remove").drop("is_open")
+    rows = open_state.snapshot(seen, ["member_id"], ["started", "ended", "updates"])
+    return ntz(rows.withColumn("is_open", F.col("ended").isNull()), "started", "ended")
 
 
 @query("stream_quote_subscribe", """

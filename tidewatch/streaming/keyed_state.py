@@ -7,7 +7,8 @@ rules for throttling and exclusion are the same step functions as in batch.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,7 @@ from pyspark.sql.types import (ArrayType, DataType, IntegralType, LongType, Stri
                                StructType)
 
 from ..operators.sequential import exclusion_step, throttle_step
+from .open_state import run_to_end, stored
 from .run import use_rocksdb
 
 STATE = StructType([StructField("values", ArrayType(LongType()))])
@@ -28,7 +30,7 @@ DUE = StructType([StructField("due_ms", LongType())])
 BUCKET_US = 3_600_000_000
 
 REGISTER, HEARTBEAT, REMOVE = 0, 1, 2
-EXPIRED, REMOVED, UNKNOWN = 0, 1, 2
+EXPIRED, REMOVED, UNKNOWN, OPEN = 0, 1, 2, 3
 
 
 def rows_schema(seq: DataType) -> StructType:
@@ -113,16 +115,20 @@ class Replay(StatefulProcessor):
         times = [t for t in (next_row, due) if t is not None]
         self._wake(min(times) if times else None)
         if out:
-            # Rules give (a, b, c, d); b is a row's id in results that name a row.
-            named = [(key[0], int(a), b if by_id else None, None if by_id else int(b), int(c), int(d))
-                     for a, b, c, d, by_id in out]
-            frame = pd.DataFrame(named, columns=["member", "a", "id", "b", "c", "d"])
-            yield frame.astype({"b": "Int64", **({"id": "Int64"} if isinstance(self.seq, LongType) else {})})
+            yield _results(key[0], out, self.seq)
 
     def close(self) -> None:
         pass
 
 
+def _results(member, out: list[tuple], seq: DataType) -> pd.DataFrame:
+    """Rules give (a, b, c, d); b is a row's id in results that name a row, and nothing where there is no end."""
+    named = [(member, int(a), b if by_id else None, None if by_id or b is None else int(b), int(c), int(d))
+             for a, b, c, d, by_id in out]
+    frame = pd.DataFrame(named, columns=["member", "a", "id", "b", "c", "d"])
+    return frame.astype({"b": "Int64", **({"id": "Int64"} if isinstance(seq, LongType) else {})})
+
+
 class _Stepped:
     """A batch step function as a stream rule; ``pick`` turns marked rows into results."""
 
@@ -137,6 +143,9 @@ class _Stepped:
         columns, state = self.step(rows, state)
         return self.pick(rows, columns), state, None
 
+    def open(self, state):
+        return []
+
 
 def _emitted(rows, columns):
     return [(at, seq, 0, 0, True) for at, seq, on in
@@ -182,6 +191,9 @@ class LiveRule:
             state = []
         return out, state, self._tick(state[1]) if state else None
 
+    def open(self, state):
+        return [(state[0], None, OPEN, state[1], False)] if state else []
+
 
 class WorkerRule:
     """State: registration time and last heartbeat (0 for none yet), else nothing."""
@@ -210,20 +222,68 @@ class WorkerRule:
             state = []
         return out, state, self._tick(state) if state else None
 
+    def open(self, state):
+        return [(state[0], None, OPEN, state[1], False)] if state else []
+
+
+@dataclass
+class StreamRule:
+    """A rule over the rows of a stream: which column is what, and how its results are shaped."""
+
+    member: str
+    ts: str
+    seq: str
+    code: Column
+    rule: object
+    shape: Callable[[DataFrame], DataFrame]
+
+    def results(self, stream: DataFrame) -> DataFrame:
+        """The stream must carry a watermark on the time. Members keep their type; ids that are no whole
+        numbers are ordered as text."""
+        use_rocksdb(stream.sparkSession)
+        kind = stream.schema[self.seq].dataType
+        kind = LongType() if isinstance(kind, IntegralType) else StringType()
+        rows = stream.select(
+            F.col(self.member).alias("member"), F.unix_micros(F.col(self.ts)).alias("at"),
+            F.col(self.seq).cast(kind).alias("seq"), self.code.cast("bigint").alias("code"), F.col(self.ts))
+        return self.shape(rows.groupBy("member").transformWithStateInPandas(
+            statefulProcessor=Replay(self.rule, kind),
+            outputStructType=result_schema(stream.schema[self.member].dataType, kind), outputMode="append",
+            timeMode="eventTime"))
+
+    def rest(self, spark, checkpoint: str, until_us: int) -> DataFrame:
+        """What the results lack after a run with this checkpoint: those of rows that the watermark has not
+        passed, of check ticks up to ``until_us``, and what is open then.
+
+        A key's waiting rows, which one state held together, come to one task.
+        """
+        held, state = stored(spark, checkpoint, "rows"), stored(spark, checkpoint, "state")
+        member = state.schema["key"].dataType.fields[0].dataType
+        seq = held.schema["user_map_value"].dataType["seq"].dataType.elementType
+        arrays = [F.col(f"user_map_value.{n}").alias(n) for n in ("at", "seq", "code")]
+        none = [F.lit(None).cast(held.select(a).schema[0].dataType).alias(held.select(a).columns[0]) for a in arrays]
+        entity = "array<bigint>"
+        rows = held.select(F.col("key.member").alias("member"), F.lit(None).cast(entity).alias("entity"), *arrays)
+        rows = rows.unionByName(state.select(
+            F.col("key.member").alias("member"), F.col("value.values").alias("entity"), *none))
+        rule = self.rule
+
+        def finish(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            ready, entity = [], []
+            for values in zip(pdf["entity"], pdf["at"], pdf["seq"], pdf["code"], strict=True):
+                if values[0] is not None:
+                    entity = [int(v) for v in values[0]]
+                else:
+                    ready += zip(*(list(v) for v in values[1:]), strict=True)
+            out, entity, _ = rule(sorted(ready), entity, until_us)
+            return _results(key[0], out + rule.open(entity), seq)
+
+        return self.shape(rows.groupBy("member").applyInPandas(finish, result_schema(member, seq)))
 
-def _replay(stream: DataFrame, member: str, ts: str, seq: str, code: Column, rule) -> DataFrame:
-    """The stream must carry a watermark on ``ts``. Members keep their type; ids that are no whole numbers
-    are ordered as text."""
-    use_rocksdb(stream.sparkSession)
-    kind = stream.schema[seq].dataType
-    kind = LongType() if isinstance(kind, IntegralType) else StringType()
-    rows = stream.select(F.col(member).alias("member"), F.unix_micros(F.col(ts)).alias("at"),
-                         F.col(seq).cast(kind).alias("seq"), code.cast("bigint").alias("code"),
-                         F.col(ts))
-    return rows.groupBy("member").transformWithStateInPandas(
-        statefulProcessor=Replay(rule, kind),
-        outputStructType=result_schema(stream.schema[member].dataType, kind), outputMode="append",
-        timeMode="eventTime")
+    def whole(self, stream: DataFrame, until_us: int) -> DataFrame:
+        """Run everything now available; all results, those still open with them."""
+        spark = stream.sparkSession
+        return run_to_end(self.results(stream), lambda checkpoint: self.rest(spark, checkpoint, until_us))
 
 
 def _kind_code(kind: str) -> Column:
@@ -231,61 +291,87 @@ def _kind_code(kind: str) -> Column:
             .when(F.col(kind) == "remove", REMOVE))
 
 
+def _known(stream: DataFrame, kind: str, *kinds: str) -> DataFrame:
+    return stream.filter(F.col(kind).isin(*kinds))
+
+
+def live_rule(member: str, ts: str, seq: str, kind: str, timeout_us: int, check_us: int) -> StreamRule:
+    """(member, change, id, start, end, end_reason, last_seen): change is ``interval``, or ``request`` for a
+    heartbeat of a member that is not live, with its id and, as ``start``, its time. Rows of other kinds
+    must have been left out."""
+    def shape(out: DataFrame) -> DataFrame:
+        request, code = F.col("c") == UNKNOWN, F.col("c")
+        reason = F.when(code == EXPIRED, "expired").when(code == REMOVED, "removed").when(code == OPEN, "open")
+        return out.select(
+            F.col("member").alias(member), F.when(request, "request").otherwise("interval").alias("change"),
+            F.col("id").alias(seq), F.timestamp_micros("a").alias("start"), F.timestamp_micros("b").alias("end"),
+            reason.alias("end_reason"), F.when(~request, F.timestamp_micros("d")).alias("last_seen"))
+
+    return StreamRule(member, ts, seq, _kind_code(kind), LiveRule(timeout_us, check_us), shape)
+
+
+def _intervals(changes: DataFrame, seq: str) -> DataFrame:
+    return changes.filter("change = 'interval'").drop("change", seq)
+
+
+def _requests(changes: DataFrame, member: str, ts: str, seq: str) -> DataFrame:
+    return changes.filter("change = 'request'").select(member, seq, F.col("start").alias(ts))
+
+
 def live_changes(stream: DataFrame, member: str, ts: str, seq: str, kind: str, timeout_us: int,
-                 check_us: int) -> DataFrame:
-    """Ended live intervals and requests to register again, from one state per member.
+                 check_us: int, until_us: int | None = None) -> DataFrame:
+    """Ended live intervals and requests to register again, from one state per member (``live_rule``).
 
-    (member, change, id, start, end, end_reason, last_seen): change is ``interval``, or ``request`` for a
-    heartbeat of a member that is not live, with its id and, as ``start``, its time.
+    With ``until_us`` the stream is run over everything now available, and intervals open then are added.
     """
-    known = stream.filter(F.col(kind).isin("register", "heartbeat", "remove"))
-    out = _replay(known, member, ts, seq, _kind_code(kind), LiveRule(timeout_us, check_us))
-    request = F.col("c") == UNKNOWN
-    return out.select(
-        F.col("member").alias(member), F.when(request, "request").otherwise("interval").alias("change"),
-        F.col("id").alias(seq), F.timestamp_micros("a").alias("start"),
-        F.timestamp_micros("b").alias("end"),
-        F.when(F.col("c") == EXPIRED, "expired").when(F.col("c") == REMOVED, "removed").alias("end_reason"),
-        F.when(~request, F.timestamp_micros("d")).alias("last_seen"))
+    known, rule = _known(stream, kind, "register", "heartbeat", "remove"), live_rule(member, ts, seq, kind, timeout_us, check_us)
+    return rule.results(known) if until_us is None else rule.whole(known, until_us)
 
 
 def live_intervals(stream: DataFrame, member: str, ts: str, seq: str, kind: str, timeout_us: int,
-                   check_us: int) -> DataFrame:
-    """Ended live intervals (member, start, end, end_reason, last_seen) of a stream."""
-    changes = live_changes(stream, member, ts, seq, kind, timeout_us, check_us)
-    return changes.filter("change = 'interval'").drop("change", seq)
+                   check_us: int, until_us: int | None = None) -> DataFrame:
+    """Ended live intervals (member, start, end, end_reason, last_seen) of a stream; with ``until_us`` as in
+    ``live_changes``, the open ones too."""
+    return _intervals(live_changes(stream, member, ts, seq, kind, timeout_us, check_us, until_us), seq)
 
 
 def reregister_requests(stream: DataFrame, member: str, ts: str, seq: str, kind: str,
-                        timeout_us: int, check_us: int) -> DataFrame:
+                        timeout_us: int, check_us: int, until_us: int | None = None) -> DataFrame:
     """Heartbeats (member, id, time) of members that are not live at that moment."""
-    changes = live_changes(stream, member, ts, seq, kind, timeout_us, check_us)
-    return changes.filter("change = 'request'").select(member, seq, F.col("start").alias(ts))
+    return _requests(live_changes(stream, member, ts, seq, kind, timeout_us, check_us, until_us), member, ts, seq)
+
+
+def expire_workers(stream: DataFrame, member: str, ts: str, seq: str, kind: str, period_us: int,
+                   until_us: int | None = None) -> DataFrame:
+    """Expired workers (member, registered, expired) under the master's rule; with ``until_us`` the stream is
+    run, and live workers are added without an end."""
+    def shape(out: DataFrame) -> DataFrame:
+        return out.select(F.col("member").alias(member), F.timestamp_micros("a").alias("registered"),
+                          F.timestamp_micros("b").alias("expired"))
 
+    known = _known(stream, kind, "register", "heartbeat")
+    rule = StreamRule(member, ts, seq, _kind_code(kind), WorkerRule(period_us), shape)
+    return rule.results(known) if until_us is None else rule.whole(known, until_us)
 
-def expire_workers(stream: DataFrame, member: str, ts: str, seq: str, kind: str, period_us: int
-                   ) -> DataFrame:
-    """Expired workers (member, registered, expired) under the master's rule."""
-    known = stream.filter(F.col(kind).isin("register", "heartbeat"))
-    out = _replay(known, member, ts, seq, _kind_code(kind), WorkerRule(period_us))
-    return out.select(F.col("member").alias(member), F.timestamp_micros("a").alias("registered"),
-                      F.timestamp_micros("b").alias("expired"))
 
+def throttle(stream: DataFrame, key: str, ts: str, seq: str, period_us: int, terminal: str,
+             until_us: int | None = None) -> DataFrame:
+    """Emitted rows (key, id, time); with ``until_us`` the stream is run to its last row."""
+    def shape(out: DataFrame) -> DataFrame:
+        return out.select(F.col("member").alias(key), F.col("id").alias(seq), F.timestamp_micros("a").alias(ts))
 
-def throttle(stream: DataFrame, key: str, ts: str, seq: str, period_us: int, terminal: str
-             ) -> DataFrame:
-    """Emitted rows (key, id, time)."""
-    out = _replay(stream, key, ts, seq, F.col(terminal).cast("int"),
-                  _Stepped(throttle_step(period_us), _emitted))
-    return out.select(F.col("member").alias(key), F.col("id").alias(seq),
-                      F.timestamp_micros("a").alias(ts))
+    rule = StreamRule(key, ts, seq, F.col(terminal).cast("int"), _Stepped(throttle_step(period_us), _emitted), shape)
+    return rule.results(stream) if until_us is None else rule.whole(stream, until_us)
 
 
 def exclusion_windows(failures: DataFrame, host: str, ts: str, seq: str, most: int,
-                      interval_us: int, timeout_us: int) -> DataFrame:
-    """Failures (host, time, count, tracked) and the exclusions they start."""
-    out = _replay(failures, host, ts, seq, F.lit(0),
-                  _Stepped(exclusion_step(most, interval_us, timeout_us), _excluded))
-    return out.select(F.col("member").alias(host), F.timestamp_micros("a").alias(ts),
-                      F.col("b").alias("recent"), (F.col("d") == 1).alias("tracked"),
-                      F.when(F.col("c") >= 0, F.timestamp_micros("c")).alias("excluded_until"))
+                      interval_us: int, timeout_us: int, until_us: int | None = None) -> DataFrame:
+    """Failures (host, time, count, tracked) and the exclusions they start; with ``until_us`` the stream is run
+    to its last row."""
+    def shape(out: DataFrame) -> DataFrame:
+        return out.select(F.col("member").alias(host), F.timestamp_micros("a").alias(ts),
+                          F.col("b").alias("recent"), (F.col("d") == 1).alias("tracked"),
+                          F.when(F.col("c") >= 0, F.timestamp_micros("c")).alias("excluded_until"))
+
+    rule = StreamRule(host, ts, seq, F.lit(0), _Stepped(exclusion_step(most, interval_us, timeout_us), _excluded), shape)
+    return rule.results(failures) if until_us is None else rule.whole(failures, until_us)

@@ -34,6 +34,10 @@ def event_stream(spark: SparkSession, path: str, schema, ts: str = "ts",
     return reader.parquet(path).withColumn(ts, F.col(ts).cast("timestamp"))
 
 
+def new_checkpoint(spark: SparkSession) -> str:
+    return f"{scratch_folder(spark)}/stream-{uuid.uuid4().hex}/state"
+
+
 def run_to_table(stream: DataFrame, mode: str = "append", path: str | None = None,
                  checkpoint: str | None = None) -> DataFrame:
     """Run everything now available into a parquet folder and read that back.
@@ -50,9 +54,8 @@ def run_to_table(stream: DataFrame, mode: str = "append", path: str | None = Non
     return spark.read.schema(stream.schema).parquet(path)
 
 
-def run_batches(stream: DataFrame, handle, checkpoint: str | None = None) -> None:
+def run_batches(stream: DataFrame, handle, checkpoint: str | None = None, mode: str = "append") -> None:
     """Run everything now available through ``handle(batch, batch_id)``."""
-    spark = stream.sparkSession
-    where = checkpoint or f"{scratch_folder(spark)}/stream-{uuid.uuid4().hex}/state"
-    (stream.writeStream.foreachBatch(handle).option("checkpointLocation", where)
+    where = checkpoint or new_checkpoint(stream.sparkSession)
+    (stream.writeStream.outputMode(mode).foreachBatch(handle).option("checkpointLocation", where)
      .trigger(availableNow=True).start().awaitTermination())

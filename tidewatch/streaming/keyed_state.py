@@ -23,18 +23,18 @@ from .open_state import run_to_end, stored
 from .run import use_rocksdb
 
 STATE = StructType([StructField("values", ArrayType(LongType()))])
-BUCKET = StructType([StructField("bucket", LongType())])
+PIECE = StructType([StructField("first_at", LongType()), StructField("n", LongType())])
 DUE = StructType([StructField("due_ms", LongType())])
 
-#: Rows of a key that wait for the watermark lie in buckets of this much event time.
-BUCKET_US = 3_600_000_000
+#: Rows of a key that wait for the watermark lie in pieces of at most so many rows that follow each other.
+PIECE_ROWS = 1000
 
 REGISTER, HEARTBEAT, REMOVE = 0, 1, 2
 EXPIRED, REMOVED, UNKNOWN, OPEN = 0, 1, 2, 3
 
 
 def rows_schema(seq: DataType) -> StructType:
-    """A bucket's rows, as one array per column."""
+    """A piece's rows, as one array per column."""
     return StructType([StructField("at", ArrayType(LongType())), StructField("seq", ArrayType(seq)),
                        StructField("code", ArrayType(LongType()))])
 
@@ -48,8 +48,9 @@ def result_schema(member: DataType, seq: DataType) -> StructType:
 class Replay(StatefulProcessor):
     """Buffers a key's rows and gives them to ``rule`` in order once the watermark allows.
 
-    Rows wait in buckets of event time, and a timer reads only buckets that the watermark has reached.
-    A key has one timer at most; a key without rows and without an open entity keeps no state.
+    Rows wait in pieces of bounded size, in order of time, and a timer reads only pieces whose first row the
+    watermark has passed. Every call of the state goes to the JVM and back, so a batch's rows are few
+    pieces. A key has one timer at most; a key without rows and without an open entity keeps no state.
     """
 
     def __init__(self, rule, seq: DataType):
@@ -57,7 +58,7 @@ class Replay(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getMapState("rows", BUCKET, rows_schema(self.seq))
+        self.rows = handle.getMapState("rows", PIECE, rows_schema(self.seq))
         self.state = handle.getValueState("state", STATE)
         self.due = handle.getValueState("due", DUE)
 
@@ -74,38 +75,36 @@ class Replay(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
                         ) -> Iterator[pd.DataFrame]:
-        fresh = pd.concat(list(rows))[["at", "seq", "code"]]
-        whole = isinstance(self.seq, LongType)
-        for bucket, part in fresh.groupby(fresh["at"] // BUCKET_US):
-            held = ([], [], [])
-            if self.rows.containsKey((int(bucket),)):
-                held = tuple(list(x) for x in self.rows.getValue((int(bucket),)))
-            held[0].extend(int(v) for v in part["at"])
-            held[1].extend(int(v) if whole else str(v) for v in part["seq"])
-            held[2].extend(int(v) for v in part["code"])
-            self.rows.updateValue((int(bucket),), held)
-        self._wake(int(fresh["at"].min()))
+        fresh = pd.concat(list(rows))
+        at, code = fresh["at"].astype("int64").tolist(), fresh["code"].astype("int64").tolist()
+        seq = fresh["seq"].astype("int64" if isinstance(self.seq, LongType) else str).tolist()
+        self._wake(self._put(sorted(zip(at, seq, code, strict=True))))
         yield from ()
 
+    def _put(self, rows: list[tuple]) -> int:
+        """Store rows, which are in order; the first one's time."""
+        for start in range(0, len(rows), PIECE_ROWS):
+            piece, n = rows[start:start + PIECE_ROWS], 0
+            while self.rows.containsKey((piece[0][0], n)):
+                n += 1
+            self.rows.updateValue((piece[0][0], n), tuple(list(x) for x in zip(*piece, strict=True)))
+        return rows[0][0]
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.due.clear()
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        ready, next_row = [], None
-        for bucket in sorted(int(k[0]) for k in self.rows.keys()):
-            if bucket * BUCKET_US > passed:
-                next_row = bucket * BUCKET_US
+        ready, later, waiting = [], [], []
+        for piece in sorted((int(k[0]), int(k[1])) for k in self.rows.keys()):
+            if piece[0] > passed:
+                waiting.append(piece[0])
                 break
-            held = sorted(zip(*self.rows.getValue((bucket,)), strict=True))
-            now = [r for r in held if r[0] <= passed]
-            ready += now
-            if len(now) == len(held):
-                self.rows.removeKey((bucket,))
-                continue
-            later = held[len(now):]
-            if now:
-                self.rows.updateValue((bucket,), tuple(list(x) for x in zip(*later, strict=True)))
-            next_row = later[0][0]
-            break
+            for row in zip(*self.rows.getValue(piece), strict=True):
+                (ready if row[0] <= passed else later).append(row)
+            self.rows.removeKey(piece)
+        if later:
+            waiting.append(self._put(sorted(later)))
+        ready.sort()
+        next_row = min(waiting, default=None)
         state = list(self.state.get()[0]) if self.state.exists() else []
         out, state, due = self.rule(ready, state, passed)
         if len(state):

@@ -8,8 +8,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators import (liveness, matching, ordered, placement, sequential, tasks,
-                                 windows)
+from tidewatch.operators import (liveness, matching, ordered, placement, sequential, settings,
+                                 tasks, windows)
 from tidewatch.operators.quantiles import metric_quantiles
 
 EPOCH = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -501,3 +501,106 @@ def test_folders_under_one_root_meet_in_no_join(spark):
     # Both joins are of single paths with their rights; the one of folders comes after they are distinct.
     assert len(joins) == 2 and all("__path" in j for j in joins)
     assert re.search(r"Join.*__name.*\n.*\n?.*Aggregate \[__key", plan)
+
+
+def test_walks_without_end(spark, monkeypatch):
+    """Random graphs with chains, branches, circles and self-references, against a search."""
+    for seed in range(6):
+        rng = random.Random(seed)
+        nodes = 40
+        edges = {(rng.randrange(2), a, rng.randrange(a, nodes + 10) + 1) for a in range(nodes) for _ in range(rng.choice([0, 1, 1, 2]))}
+        edges |= {(0, i, i + 1) for i in range(20, 35)}
+        for _ in range(seed % 3):
+            b = rng.randrange(1, nodes)
+            edges.add((rng.randrange(2), b, rng.randrange(b)))
+        edges |= {(1, 5, 5)} if seed == 5 else set()
+        left = set(edges)
+        while True:
+            kept = {e for e in left if any(f[0] == e[0] and f[1] == e[2] for f in left)}
+            if kept == left:
+                break
+            left = kept
+        df = spark.createDataFrame(sorted(edges), "s int, a int, b int")
+        assert {tuple(r) for r in settings._endless(df, ["s"], "a", "b").collect()} == {e[:2] for e in left}
+
+
+def test_layers_store_no_more_than_the_edges(spark, monkeypatch):
+    """Twenty layers of fifty nodes, each with an edge to all of the next layer; a long chain; a circle."""
+    edges = [(f"{n}.{a}", f"{n + 1}.{b}") for n in range(20) for a in range(50) for b in range(50)]
+    edges += [(f"c{i}", f"c{i + 1}") for i in range(300)] + [("x", "y"), ("y", "x"), ("to x", "x")]
+    stored = []
+    write = settings.written
+
+    def counted(df):
+        out = write(df)
+        stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(settings, "written", counted)
+    got = settings._endless(spark.createDataFrame(edges, "a string, b string").coalesce(2), [], "a", "b")
+    assert {r["a"] for r in got.collect()} == {"x", "y", "to x"}
+    assert max(stored) <= len(edges) and len(stored) <= 24
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_effective_settings_of_any_shape(spark, limit, seed):
+    """Random fallback trees with alternatives, shared fallbacks, circles and undefined fallbacks."""
+    if limit and seed:
+        pytest.skip("one seed is enough for the split path")
+    rng = random.Random(seed)
+    n = 60
+    defs = []
+    for i in range(n):
+        fallback = rng.choice([None, f"k{rng.randrange(i)}" if i else None, f"k{i - 1}", f"k{rng.randrange(max(1, i // 3))}"])
+        if seed == 2 and i < 3:
+            fallback = f"k{(i + 1) % 3}"
+        default = f"d{i}" if rng.random() < 0.1 or fallback is None and rng.random() < 0.6 else None
+        alternatives = [f"alt{rng.randrange(20)}" for _ in range(rng.choice([0, 0, 1, 2]))] or None
+        defs.append((f"k{i}", alternatives, default, fallback))
+    by_key = {d[0]: d for d in defs}
+    values = {(s, rng.choice([f"k{rng.randrange(n)}", f"alt{rng.randrange(20)}"])): f"v{i}" for i, s in enumerate([1, 2, 3] * 5)}
+    values[4, "k0"] = None
+    wanted = [(s, f"k{i}") for s in (1, 2, 3, 4) for i in range(n)] + [(1, "k1"), (1, "undefined")]
+
+    def look(scope, key):
+        seen, at = [], key
+        circular = False
+        while at is not None and at in by_key:
+            if at in seen:
+                circular = True
+                break
+            seen.append(at)
+            at = None if by_key[at][2] is not None else by_key[at][3]
+        for at in [key] if circular else seen:
+            for name in [at, *(by_key[at][1] or [])]:
+                if values.get((scope, name)) is not None:
+                    return values[scope, name], name, None
+        default = None if circular else by_key[seen[-1]][2]
+        return default, "default" if default else None, "circular fallback" if circular else None
+
+    want = {(s, k): look(s, k) for s, k in wanted if k in by_key}
+    got = settings.effective_settings(
+        spark.createDataFrame(wanted, "scope int, key string"),
+        spark.createDataFrame(defs, "key string, alternatives array<string>, default string, fallback string"),
+        spark.createDataFrame([(s, k, v) for (s, k), v in values.items()], "scope int, key string, value string"))
+    rows = got.collect()
+    assert len(rows) == len(want)
+    assert {(r["scope"], r["key"]): (r["value"], r["source"], r["error"]) for r in rows} == want
+
+
+def test_long_fallbacks_store_rows_in_number_of_the_keys(spark, monkeypatch):
+    stored = []
+    write = settings.written
+
+    def counted(df):
+        out = write(df)
+        stored.append(out.count())
+        return out
+
+    monkeypatch.setattr(settings, "written", counted)
+    n = 1000
+    defs = spark.createDataFrame([(f"k{i}", None, None, f"k{i + 1}" if i < n else None) for i in range(n + 1)],
+                                 "key string, alternatives array<string>, default string, fallback string")
+    asked = spark.range(n).selectExpr("1 AS scope", "concat('k', id) AS key")
+    got = settings.effective_settings(asked, defs, spark.createDataFrame([(1, f"k{n}", "last")], "scope int, key string, value string"))
+    assert got.filter("value = 'last'").count() == n and max(stored) <= n + 2

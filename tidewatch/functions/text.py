@@ -82,7 +82,7 @@ def short_name(name: Column) -> Column:
 
 def strip_xss(text: Column) -> Column:
     """Remove line ends and single quotes, then escape ``& < > "`` and the characters that HTML 4
-    names. Only characters that a text has are looked up and replaced."""
+    names. Only characters beyond ASCII that a text has are looked up, and those with a name replaced."""
     clean = F.when(F.contains(text, F.lit("%")),
                    F.regexp_replace(text, ENCODED_NEWLINE_OR_QUOTE, "")).otherwise(text)
     for plain in NEWLINE_OR_QUOTE:
@@ -90,30 +90,36 @@ def strip_xss(text: Column) -> Column:
     for plain, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
         clean = F.replace(clean, F.lit(plain), F.lit(entity))
     names = F.create_map(*[F.lit(x) for pair in NAMED_CHARACTERS.items() for x in pair])
-    found = F.array_distinct(F.regexp_extract_all(
-        clean, F.lit("[" + "".join(NAMED_CHARACTERS) + "]"), F.lit(0)))
+    found = F.filter(F.array_distinct(F.regexp_extract_all(clean, F.lit(r"[^\x00-\x7F]"), F.lit(0))),
+                     lambda c: F.map_contains_key(names, c))
     return F.aggregate(found, clean, lambda out, c: F.replace(
         out, c, F.concat(F.lit("&"), F.element_at(names, c), F.lit(";"))))
 
 
 def url_decode_fixpoint(text: Column) -> Column:
-    """Decode until unchanged; struct of ``value`` and ``settled`` (always true).
+    """Decode until unchanged; struct of ``value`` and ``settled``, whether decoding once more changes nothing.
 
-    Text that cannot be decoded is kept. A decoding that changes the text makes it shorter by two
-    at least, or turns plus signs into blanks, so half the length bounds the steps; once nothing
-    changes the remaining steps do nothing.
+    Text that cannot be decoded is kept. Escapes of escapes lie in one run of percent signs and
+    hexadecimal digits, and a decoding that changes such a run makes it shorter by two at least, so half the
+    longest run bounds the steps; a text's ordinary escapes take two or three.
     """
+    runs = F.regexp_extract_all(text, F.lit("%[%0-9A-Fa-f]*"), F.lit(0))
+    longest = F.coalesce(F.array_max(F.transform(runs, F.length)), F.lit(0))
     steps = F.when(F.contains(text, F.lit("%")) | F.contains(text, F.lit("+")),
-                   F.sequence(F.lit(0), F.floor(F.length(text) / 2).cast("int") + 1))
+                   F.sequence(F.lit(0), F.floor(longest / 2).cast("int") + 2))
+
+    def decoded(value: Column) -> Column:
+        return F.coalesce(F.try_url_decode(value), value)
+
     start = F.struct(text.alias("value"), F.lit(False).alias("settled"))
 
     def decode(state: Column, _step: Column) -> Column:
-        value = F.coalesce(F.try_url_decode(state["value"]), state["value"])
+        value = decoded(state["value"])
         return F.when(state["settled"], state).otherwise(
             F.struct(value.alias("value"), (value == state["value"]).alias("settled")))
 
-    value = F.aggregate(steps, start, decode, lambda state: state["value"])
-    return F.struct(F.coalesce(value, text).alias("value"), F.lit(True).alias("settled"))
+    value = F.coalesce(F.aggregate(steps, start, decode, lambda state: state["value"]), text)
+    return F.struct(value.alias("value"), F.coalesce(decoded(value) == value, F.lit(True)).alias("settled"))
 
 
 def url_param(url: Column, name: str) -> Column:

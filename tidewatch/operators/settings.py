@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import host_of, split_list, trim_all
 from ..session import written
+from .ordered import Ordered
 
 # Key prefixes with a meaning of their own.
 ENVIRONMENT_PREFIX = "spark.executorEnv."
@@ -140,28 +142,27 @@ def resolve_references(settings: DataFrame, scope: str = "scope", key: str = "ke
     """
     nodes = settings.select(F.col(scope).alias("scope"), F.concat(F.lit(":"), F.col(key)).alias("name"),
                             F.col(key).alias("key"), F.col(value).alias("value"))
-    visible = nodes.filter(F.startswith(F.col("key"), F.lit("spark."))).drop("key")
+    own = written(nodes.withColumn("parts", _parts(F.col("value"))))
+    targets = own.filter(F.startswith(F.col("key"), F.lit("spark."))).drop("key")
     for prefix, table in (providers or {}).items():
-        visible = visible.unionByName(table.select(
+        targets = targets.unionByName(table.select(
             F.col(scope).alias("scope"), F.concat(F.lit(f"{prefix}:"), F.col(key)).alias("name"),
-            F.col(value).alias("value")))
-    own = written(nodes.withColumn("parts", _parts(F.col("value"))))
-    targets = written(visible.withColumn("parts", _parts(F.col("value"))))
+            F.col(value).alias("value")).withColumn("parts", _parts(F.col("value"))))
     if definitions is not None:
         targets = _with_defaults(own, targets, definitions)
-    edges = written(_references(targets).join(
-        targets.select("scope", F.col("name").alias("to")), ["scope", "to"]).distinct())
+    edges = _references(targets).join(targets.select("scope", F.col("name").alias("to")), ["scope", "to"])
     endless = written(_endless(edges, ["scope"], "name", "to"))
-    texts = targets.join(endless, ["scope", "name"], "left_anti")
-    start = own.join(targets.select("scope", "name"), ["scope", "name"], "left_anti")
-    # Settings that nothing can refer to are resolved once all others are.
-    while not (open_texts := texts.filter(_has_references())).isEmpty():
-        texts = written(_substituted(open_texts, texts).unionByName(
-            texts.filter(~_has_references()).select("scope", "name", "parts")))
+    known = targets.select("scope", "name", "parts").join(endless, ["scope", "name"], "left_anti")
+    start = own.filter(~F.startswith(F.col("key"), F.lit("spark.")))
+    # Settings that nothing can refer to are resolved once all others are. Only what is open is stored anew.
+    texts, open_texts = known.filter(~_has_references()), written(known.filter(_has_references()))
+    while not open_texts.isEmpty():
+        fresh = written(_substituted(open_texts, texts.unionByName(open_texts)))
+        texts, open_texts = texts.unionByName(fresh.filter(~_has_references())), fresh.filter(_has_references())
     lost = _references(start).join(endless.withColumnRenamed("name", "to"), ["scope", "to"]).select(
         "scope", "name").distinct().unionByName(endless)
     hidden = start.filter(_has_references())
-    done = texts.select("scope", "name", "parts").unionByName(_substituted(hidden, texts)).unionByName(
+    done = texts.unionByName(_substituted(hidden, texts)).unionByName(
         start.filter(~_has_references()).select("scope", "name", "parts"))
     plain = done.select("scope", "name", F.array_join(F.col("parts.text"), "").alias("text"))
     result = (own.join(plain, ["scope", "name"], "left")
@@ -214,36 +215,40 @@ def _substituted(nodes: DataFrame, texts: DataFrame) -> DataFrame:
 def _endless(edges: DataFrame, scope: list[str], at: str, to: str) -> DataFrame:
     """(*scope, at) of the nodes from which a walk along ``edges`` never ends.
 
-    Walks of 2, 4, 8, ... steps are followed as pairs of start and end, so it takes the logarithm of
-    the longest walk; walks longer than there are nodes have been round a cycle.
+    A round drops the edges to nodes that no edge leaves, and leads edges to a node that one edge leaves on
+    to where that one goes. So chains halve, layers with many edges go one by one, and there are never more
+    edges than at first. What is left once nothing ends has only walks without an end.
     """
-    walks = edges.select(*scope, at, to)
-    nodes, steps = walks.select(*scope, at).distinct().count(), 1
-    while steps <= nodes and not walks.isEmpty():
-        on = walks.select(*scope, F.col(at).alias("__via"), F.col(to).alias("__to"))
-        walks = written(walks.withColumnRenamed(to, "__via").join(on, [*scope, "__via"])
-                        .select(*scope, at, F.col("__to").alias(to)).distinct())
-        steps *= 2
-    return walks.select(*scope, at).distinct()
+    edges = written(edges.select(*scope, at, to).distinct())
+    before = edges.count()
+    while True:
+        goes = edges.groupBy(*scope, F.col(at).alias(to)).agg(F.min(to).alias("__low"), F.max(to).alias("__high"))
+        left = edges.join(goes, [*scope, to])
+        edges = written(left.select(*scope, at, F.when(F.col("__low") == F.col("__high"), F.col("__low"))
+                                    .otherwise(F.col(to)).alias(to)))
+        after = edges.count()
+        if after == before:
+            return edges.select(*scope, at).distinct()
+        before = after
 
 
 def _with_defaults(own: DataFrame, targets: DataFrame, definitions: DataFrame) -> DataFrame:
     """``targets`` and a node for each name that is referred to, not set, and defined with a default or
     with a fallback that has a value; defaults may refer to further such names."""
-    chains = written(fallback_chains(definitions)[0].join(
-        definitions.select(F.col("key").alias("at"), "default"), "at"))
+    paths = fallback_paths(definitions)
     fresh = own.select("scope", "name", "parts").unionByName(targets.select("scope", "name", "parts"))
     while True:
         missing = (_references(fresh).select("scope", F.col("to").alias("name")).distinct()
                    .join(targets.select("scope", "name"), ["scope", "name"], "left_anti")
                    .filter(F.startswith(F.col("name"), F.lit(":")))
-                   .withColumn("key", F.substring("name", 2, F.length("name"))))
-        held = targets.select("scope", F.col("name").alias("at_name"), "value")
-        places = missing.join(chains, "key").withColumn("at_name", F.concat(F.lit(":"), F.col("at")))
-        value = F.coalesce("value", "default")
-        fresh = written(places.join(held, ["scope", "at_name"], "left").filter(value.isNotNull())
-                        .groupBy("scope", "name").agg(F.min_by(value, "step").alias("value"))
-                        .withColumn("parts", _parts(F.col("value"))))
+                   .select("scope", F.substring("name", 2, F.length("name")).alias("key")))
+        held = targets.filter(F.startswith(F.col("name"), F.lit(":"))).select(
+            "scope", F.substring("name", 2, F.length("name")).alias("key"), F.col("value").alias("found"))
+        known = missing.join(paths.places.filter(~F.col("circular")).select("key"), "key")
+        found = first_along(known, held, paths, "scope").join(paths.places.select("key", "default"), "key")
+        value = F.coalesce("found", "default")
+        fresh = written(found.filter(value.isNotNull()).select(
+            "scope", F.concat(F.lit(":"), F.col("key")).alias("name"), value.alias("value"), _parts(value).alias("parts")))
         if fresh.isEmpty():
             return targets
         targets = written(targets.unionByName(fresh))
@@ -251,63 +256,108 @@ def _with_defaults(own: DataFrame, targets: DataFrame, definitions: DataFrame) -
 
 # ---------------------------------------------------------------- defaults
 
-def fallback_chains(definitions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((key, step, at): the keys that stand in for a key, itself at step 0; keys whose chain never
-    ends). A chain goes from a key without a default to its defined fallback, of any length.
+@dataclass
+class Paths:
+    """The fallbacks of keys as paths. ``places`` (key, path, depth, default, circular): a key's path, named by its
+    last key, how many steps before that key it stands, and the default at the end of its fallbacks.
+    ``above`` (path, key): the key a path's last key falls back to, on another path."""
+
+    places: DataFrame
+    above: DataFrame
+
+
+def fallback_paths(definitions: DataFrame) -> Paths:
+    """A key without a default falls back to its defined fallback. Of the keys that share a fallback the one that
+    most keys lead to goes on in its path, so from any key there are at most a logarithm of paths to the end.
+    All is found by jumps of 1, 2, 4, ... fallbacks: rows in number of the keys, the logarithm of the
+    longest chain often. Keys whose fallbacks run in a circle, or into one, are paths of their own.
     """
-    known = definitions.select(F.col("key").alias("fallback"))
+    keys = definitions.select("key", "default")
     links = written(definitions.filter(F.col("fallback").isNotNull() & F.col("default").isNull())
-                    .select("key", "fallback").join(known, "fallback").select("key", "fallback"))
+                    .select("key", "fallback").join(definitions.select(F.col("key").alias("fallback")), "fallback")
+                    .select("key", "fallback"))
     endless = written(_endless(links, [], "key", "fallback"))
-    reach = definitions.select("key", F.lit(0).cast("bigint").alias("step"), F.col("key").alias("at")).join(
-        endless, "key", "left_anti")
-    jump, steps = written(links.join(endless, "key", "left_anti")), 1
+    links = written(links.join(endless, "key", "left_anti"))
+    jump, jumps = links, []
     while not jump.isEmpty():
-        ahead = reach.select(F.col("key").alias("fallback"), "step", "at")
-        reach = written(reach.unionByName(
-            jump.join(ahead, "fallback").select("key", (F.col("step") + steps).alias("step"), "at")))
+        jumps.append(jump)
         onward = jump.select(F.col("key").alias("fallback"), F.col("fallback").alias("next"))
         jump = written(jump.join(onward, "fallback").select("key", F.col("next").alias("fallback")))
-        steps *= 2
-    return reach, endless
-
-
-def setting_candidates(definitions: DataFrame) -> DataFrame:
-    """(key, rank, candidate, default, error): where each key's value may come from, best rank first.
-
-    ``definitions`` has key, alternatives (array), default and fallback (another key). A key's own
-    name comes first, then its alternatives, then the same for its fallback. A key whose fallbacks
-    run in a circle has its own names only, and an error.
+    heavy = links
+    if not links.groupBy("fallback").count().filter("count > 1").isEmpty():
+        size = keys.select("key", F.lit(1).cast("bigint").alias("size"))
+        for jump in jumps:
+            more = size.join(jump, "key").groupBy(F.col("fallback").alias("key")).agg(F.sum("size").alias("more"))
+            size = written(size.join(more, "key", "left").select("key", (F.col("size") + F.coalesce("more", F.lit(0))).alias("size")))
+        heavy = written(links.join(size, "key").groupBy("fallback").agg(
+            F.max(F.struct("size", "key")).alias("best")).select(F.col("best.key").alias("key"), "fallback"))
+    place = keys.select("key").join(heavy, "key", "left").select(
+        "key", F.coalesce("fallback", "key").alias("path"),
+        F.when(F.col("fallback").isNull(), 0).otherwise(1).cast("bigint").alias("depth"))
+    root = keys.select("key", F.col("key").alias("root"))
+    for jump in reversed(jumps):
+        ahead = place.select(F.col("key").alias("path"), F.col("path").alias("next"), F.col("depth").alias("more"))
+        place = written(place.join(ahead, "path").select("key", F.col("next").alias("path"), (F.col("depth") + F.col("more")).alias("depth")))
+        far = jump.select(F.col("key").alias("root"), "fallback")
+        root = root.join(far, "root", "left").select("key", F.coalesce("fallback", "root").alias("root"))
+    ends = keys.select(F.col("key").alias("root"), "default")
+    circular = endless.withColumn("circular", F.lit(True))
+    places = (place.join(root, "key").join(ends, "root").join(circular, "key", "left")
+              .select("key", "path", "depth", "default", F.coalesce("circular", F.lit(False)).alias("circular")))
+    above = links.join(heavy, "key", "left_anti").select(F.col("key").alias("path"), F.col("fallback").alias("key"))
+    return Paths(written(places), written(above))
+
+
+def first_along(places: DataFrame, held: DataFrame, paths: Paths, scope: str) -> DataFrame:
+    """(scope, key, found) of ``places`` (scope, key): the first of the ``held`` (scope, key, found) along the
+    fallbacks of the key, null if there is none.
+
+    A path's places and held values are put in order of depth, where a value is the last one at or before a
+    place; what finds none goes on to the path above.
     """
-    entry = definitions.select(
-        F.col("key").alias("at"), F.array_prepend(F.coalesce(
-            "alternatives", F.array().cast("array<string>")), F.col("key")).alias("names"), "default")
-    reach, endless = fallback_chains(definitions)
-    circles = endless.select("key", F.lit(0).cast("bigint").alias("step"), F.col("key").alias("at"),
-                             F.lit("circular fallback").alias("error"))
-    steps = (reach.withColumn("error", F.lit(None).cast("string")).unionByName(circles)
-             .join(entry, "at"))
-    default = steps.groupBy("key").agg(F.max("default").alias("default"))
-    return (steps.select("key", "step", "error", F.posexplode("names").alias("place", "candidate"))
-            .select("key", F.struct("step", "place").alias("rank"), "candidate", "error")
-            .join(default, "key"))
+    at = paths.places.select("key", "path", "depth")
+    values = written(held.join(at, "key").select(scope, "path", "depth", F.lit(None).cast("string").alias("key"), "found"))
+    pending = places.select(scope, "key").distinct().join(at, "key")
+    done = None
+    while True:
+        rows = pending.select(scope, "path", "depth", "key", F.lit(None).cast(values.schema["found"].dataType).alias("found"))
+        steps = Ordered(values.unionByName(rows), [scope, "path"], ["depth", "key"]).last_known("near", F.col("found")).df
+        looked = written(steps.filter(F.col("key").isNotNull()).select(scope, "key", "path", F.col("near").alias("found")))
+        onward = (looked.filter(F.col("found").isNull()).join(paths.above.withColumnRenamed("key", "up"), "path")
+                  .select(scope, "key", F.col("up").alias("__up")))
+        moved = onward.join(at.withColumnRenamed("key", "__up"), "__up").select(scope, "key", "path", "depth")
+        last = looked.join(paths.above.select("path"), "path", "left_anti").unionByName(
+            looked.filter(F.col("found").isNotNull()).join(paths.above.select("path"), "path", "left_semi"))
+        last = last.select(scope, "key", "found")
+        done = last if done is None else done.unionByName(last)
+        pending = written(moved)
+        if pending.isEmpty():
+            return done
 
 
 def effective_settings(requested: DataFrame, definitions: DataFrame, settings: DataFrame,
                        scope: str = "scope") -> DataFrame:
     """Effective value per requested (scope, key), the key it came from (``source``), and ``error`` if
-    there is no value because the fallbacks run in a circle."""
-    wanted = requested.join(setting_candidates(definitions), "key")
-    found = settings.select(scope, F.col("key").alias("candidate"), "value")
-    hit = F.col("value").isNotNull()
-    best = (wanted.join(found, [scope, "candidate"], "left").groupBy(scope, "key").agg(
-        F.min(F.when(hit, F.struct("rank", "candidate", "value"))).alias("best"),
-        F.max("default").alias("default"), F.max("error").alias("error")))
-    value = F.coalesce("best.value", "default")
-    return best.select(scope, "key", value.alias("value"),
-                       F.when(F.col("best").isNotNull(), F.col("best.candidate"))
-                       .when(F.col("default").isNotNull(), "default").alias("source"),
-                       F.when(value.isNull(), F.col("error")).alias("error"))
+    there is no value because the fallbacks run in a circle.
+
+    ``definitions`` has key, alternatives (array), default and fallback (another key). A key's own
+    name comes first, then its alternatives, then the same for its fallback, at last the default. A key whose
+    fallbacks run in a circle has its own names only.
+    """
+    names = definitions.select("key", F.posexplode(F.array_prepend(F.coalesce(
+        "alternatives", F.array().cast("array<string>")), F.col("key"))).alias("place", "candidate"))
+    set_ = settings.filter(F.col("value").isNotNull()).select(scope, F.col("key").alias("candidate"), "value")
+    held = set_.join(names, "candidate").groupBy(scope, "key").agg(
+        F.min(F.struct("place", "candidate", "value")).alias("found"))
+    paths = fallback_paths(definitions)
+    known = requested.select(scope, "key").join(paths.places.select("key"), "key")
+    found = first_along(known, held, paths, scope).join(paths.places.select("key", "default", "circular"), "key")
+    value = F.coalesce("found.value", "default")
+    return found.select(
+        scope, "key", value.alias("value"),
+        F.when(F.col("found").isNotNull(), F.col("found.candidate"))
+        .when(F.col("default").isNotNull(), "default").alias("source"),
+        F.when(value.isNull() & F.col("circular"), "circular fallback").alias("error"))
 
 
 # ---------------------------------------------------------------- types

@@ -201,10 +201,9 @@ def _(t):
 WITH {LATEST_SQL},
 parts AS (SELECT p_partkey AS n, p_partkey // 100 AS chunk, concat('deep.', CAST(p_partkey AS VARCHAR))
             AS key, p_size FROM part),
-held AS (SELECT scope, CAST(regexp_extract(key, '[0-9]+') AS INT) AS n, value FROM latest
-         WHERE scope % 4 = 0),
-wanted AS (SELECT DISTINCT h.scope, p.n, p.chunk, p.key FROM (SELECT DISTINCT scope FROM held) h
-           JOIN parts p ON p.n % 10 = h.scope % 10),
+held AS (SELECT scope, CAST(regexp_extract(key, '[0-9]+') AS INT) AS n, value FROM latest),
+wanted AS (SELECT DISTINCT b.member_id AS scope, p.n, p.chunk, p.key FROM v_beats b
+           JOIN parts p ON p.n IN (b.k + 1, (b.event_id * 13 + b.k) % (SELECT max(n) FROM parts) + 1)),
 hits AS (SELECT w.scope, w.key, arg_min(h.value, h.n) AS value, min(h.n) AS n FROM wanted w
          JOIN held h ON h.scope = w.scope AND h.n >= w.n AND h.n // 100 = w.chunk
            AND (w.chunk % 4 <> 3 OR h.n = w.n)
@@ -217,7 +216,7 @@ SELECT w.scope, w.key, CASE WHEN w.chunk % 4 = 3 THEN h.value ELSE coalesce(h.va
             WHEN w.chunk % 4 <> 3 THEN 'default' END AS source,
        CASE WHEN w.chunk % 4 = 3 AND h.value IS NULL THEN 'circular fallback' END AS error
 FROM wanted w LEFT JOIN hits h USING (scope, key) JOIN ends e ON e.chunk = w.chunk
-""", "v_settings")
+""", "v_settings v_beats")
 def _(t):
     """Chains of up to a hundred fallbacks; in every fourth hundred of parts they run in a circle."""
     n, chunk = F.col("p_partkey"), F.floor(F.col("p_partkey") / 100)
@@ -233,11 +232,11 @@ def _(t):
         name(n).alias("key"), F.array().cast("array<string>").alias("alternatives"),
         F.when(at_end & ~circle, F.concat(F.lit("default "), F.col("p_size").cast("string"))).alias("default"),
         F.when(~at_end, name(n + 1)).when(circle, name(F.greatest(chunk * 100, F.lit(1)))).alias("fallback"))
-    held = latest_settings(t).filter(F.col("scope") % 4 == 0).select(
+    held = latest_settings(t).select(
         "scope", name(F.regexp_extract("key", "[0-9]+", 0).cast("bigint")).alias("key"), "value")
-    requested = held.select("scope").distinct().join(
-        rows.select((n % 10).alias("digit"), name(n).alias("key")),
-        F.col("scope") % 10 == F.col("digit")).select("scope", "key")
+    # Every event asks for two keys, a low one and any other.
+    asked = F.array(F.col("k") + 1, (F.col("event_id") * 13 + F.col("k")) % last + 1)
+    requested = t.beats.select(F.col("member_id").alias("scope"), F.explode(F.transform(asked, name)).alias("key")).distinct()
     return s.effective_settings(requested, definitions, held)
 
 

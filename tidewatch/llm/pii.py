@@ -47,6 +47,9 @@ CERTAINTY = 0.9
 #: and if at least so many different texts show it.
 SUPPORT = 3
 
+#: Terms of texts are broadcast up to so many bytes, and joined by a shuffle beyond.
+BROADCAST_BYTES = 16 << 20
+
 SPAN = "struct<kind:string,start:int,end:int>"
 
 
@@ -109,10 +112,11 @@ def base_spans(text: Column) -> dict[str, Column]:
 def found_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text, text_key (hash of the text), one array of spans per base kind, and ``row``: a struct
-    of the columns to carry along."""
+    whose field ``carried`` is a struct of the columns to carry along, whatever their names."""
     rows = docs.select(docs[id_col].alias("doc_id"),
                        F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
-                       F.struct(F.lit(0).alias("_"), *[docs[c] for c in carry]).alias("row"))
+                       F.struct(F.struct(*[docs[c] for c in carry]).alias("carried") if carry
+                                else F.lit(0).alias("carried")).alias("row"))
     rows = rows.withColumn("text_key", F.xxhash64("text"))
     return settled(rows.withColumns(base_spans(F.col("text"))))
 
@@ -204,15 +208,16 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   disclosure: float = DISCLOSURE, certainty: float = CERTAINTY,
                   support: int = SUPPORT, carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per row: doc_id, text, one array of (start, end, match) per base kind, ``term``, and
-    ``row``, a struct of the columns to carry along.
+    ``row``, whose field ``carried`` is a struct of the columns to carry along.
 
     Places count code points from 0, ends are exclusive. A null text counts as empty. Spans of one kind
     do not overlap; spans of different kinds may. The edges of base spans end a term. Ids may repeat or be null.
     """
     spans = found_spans(docs, id_col, text_col, carry)
-    terms = (written(disclosing_terms(spans, disclosure, certainty, support)).groupBy("text_key")
-             .agg(F.sort_array(F.collect_set("term")).alias("terms")))  # at most a text's own words
-    wide = spans.join(F.broadcast(terms) if small_side(terms, 20_000) else terms, "text_key", "left")
+    pairs = written(disclosing_terms(spans, disclosure, certainty, support))
+    terms = pairs.groupBy("text_key").agg(F.sort_array(F.collect_set("term")).alias("terms"))  # a text's own words
+    size = pairs.agg(F.sum(F.octet_length("term").cast("bigint") + 32)).first()[0] or 0
+    wide = spans.join(F.broadcast(terms) if size <= BROADCAST_BYTES else terms, "text_key", "left")
     # Terms are letters, marks and digits only, so they are safe inside a pattern.
     pattern = F.concat(F.lit(rf"(?<!{TERM_CHARS})(?:"), F.array_join("terms", "|"), F.lit(rf")(?!{TERM_CHARS})"))
     none = F.array().cast("array<struct<start:int,end:int,match:string>>")
@@ -263,8 +268,9 @@ def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", re
     texts, stay as they are."""
     found = personal_data(docs, id_col, text_col, carry=tuple(docs.columns)).withColumn(
         "clean", sanitised_text(remove))
+    carried = F.col("row")["carried"]
     return found.select(*[
-        (F.when(F.col("row")[c].isNotNull(), F.col("clean")) if c == text_col else F.col("row")[c]).alias(c)
+        (F.when(carried[c].isNotNull(), F.col("clean")) if c == text_col else carried[c]).alias(c)
         for c in docs.columns])
 
 

@@ -1,10 +1,11 @@
 """Token counts from a broadcast table of frequent pre-tokens and worker caches.
 
-One pass counts pre-tokens in each task and keeps the task's most frequent ones; only these short
-digests are added up. The overall most frequent pre-tokens and their token counts are broadcast
-as a table of at most ``table_size`` entries of at most ``LONGEST`` characters. A second pass
-looks every pre-token up there, then in the worker's bounded cache, and encodes what is in
-neither. No pre-token is shuffled, and the table only saves time: it never changes a count.
+A few tasks count the pre-tokens of a bounded sample of documents and keep their most frequent ones; only
+these short digests, of a fixed number, are added up. The overall most frequent pre-tokens and their
+token counts are broadcast as a table of at most ``table_size`` entries of at most ``LONGEST`` characters. Then
+a pass over all documents looks every pre-token up there, then in the worker's bounded cache, and encodes
+what is in neither. No pre-token of that pass is shuffled, and the table only saves time: it never
+changes a count, so neither does the sample.
 """
 
 from __future__ import annotations
@@ -19,6 +20,10 @@ from .common import per_worker, pick
 from .pretokens import Cache, pretokens
 
 TABLE_SIZE = 32_768
+#: About so many documents are looked at for frequent pre-tokens, in so many tasks.
+SAMPLE_DOCUMENTS = 50_000
+SAMPLE_TASKS = 16
+SEED = 4
 DIGEST_SIZE = 8_192
 LONGEST = 32
 CACHE_SIZE = 400_000
@@ -47,9 +52,10 @@ def lengths_of(path: str) -> Lengths:
 
 
 def frequent_pretokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
-                       table_size: int = TABLE_SIZE, digest_size: int = DIGEST_SIZE
-                       ) -> dict[str, int]:
-    """Token counts of the most frequent pre-tokens; at most ``table_size`` entries."""
+                       table_size: int = TABLE_SIZE, digest_size: int = DIGEST_SIZE,
+                       sample: int = SAMPLE_DOCUMENTS, tasks: int = SAMPLE_TASKS) -> dict[str, int]:
+    """Token counts of the most frequent pre-tokens of about ``sample`` documents; at most ``table_size``
+    entries."""
 
     def digest(batches):
         counts: Counter[str] = Counter()
@@ -71,7 +77,9 @@ def frequent_pretokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_
                 [batch.column(0), pa.array(list(map(encode, pieces)), pa.int32())],
                 names=["piece", "tokens"])
 
-    top = (pick(docs, id_col, text_col).select("text").mapInArrow(digest, "piece string, n bigint")
+    rows = docs.count()
+    some = docs.sample(sample / rows, SEED) if rows > sample else docs
+    top = (pick(some, id_col, text_col).select("text").coalesce(tasks).mapInArrow(digest, "piece string, n bigint")
            .groupBy("piece").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "piece").limit(table_size).select("piece")
            .mapInArrow(lengths, "piece string, tokens int"))

@@ -40,7 +40,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     field = toxicity_crf.fit(docs, toxicity_crf.learning_labels(labels))
     return toxicity_crf.tag(docs, field).select(
-        "doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+        "doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted", "spans")
 
 
 @query("op2_license_scan")

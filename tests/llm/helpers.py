@@ -20,19 +20,22 @@ ODD_TEXTS = [
     "one two three four five six seven eight nine ten",
 ]
 
+#: Names that operators use inside.
+INNER_NAMES = ("key", "group", "n", "word", "score", "ids", "kept", "_", "_key", "_row_id", "text_key", "fp", "row", "carried",
+               "words", "terms", "outside", "bucket", "trusted_id", "lang_pred", "spans")
+
 ODD_SCHEMA = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
     T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
     T.StructField("n_chars", T.LongType()),
-    # Names that operators use inside.
-    *[T.StructField(n, T.StringType()) for n in ("key", "group", "n", "word", "score", "ids", "kept")]])
+    *[T.StructField(n, T.StringType()) for n in INNER_NAMES]])
 
 
 def odd_rows() -> list[tuple]:
     rows = [(i, t, "en" if i % 2 else None, None, None) for i, t in enumerate(ODD_TEXTS)]
     rows += [(3, ODD_TEXTS[3], None, None, None), (3, ODD_TEXTS[3], None, None, None),
              (None, "no id", "en", "s", 5), (None, None, None, None, None), (7, "other text", "en", "s", 1)]
-    return [(*r, *["clash"] * 7) for r in rows]
+    return [(*r, *["clash"] * len(INNER_NAMES)) for r in rows]
 
 
 def odd_documents(spark):

@@ -52,6 +52,17 @@ def settled(df: DataFrame) -> DataFrame:
     return df.select(F.inline(F.array(F.struct(*df.columns))))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores added as it takes not to be a column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def remainder(id_: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
     return F.crc32(F.coalesce(id_.cast("string"), F.lit("")).cast("binary")) % divisor

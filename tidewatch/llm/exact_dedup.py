@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import pick
+from .common import free_names, pick
 
 #: Runs that are not already one blank.
 LOOSE_SPACE = r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+"
@@ -126,16 +126,17 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id",
                           text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that ``exact_duplicates`` drops; all columns stay as they are."""
-    def keys(id_: Column, sha: Column, prefix: str) -> dict[str, Column]:
+    names = free_names(docs, "_row_none", "_row_id", "_row_sha")
+    others = free_names(docs, "_kept_none", "_kept_id", "_kept_sha")
+
+    def keys(id_: Column, sha: Column) -> list[Column]:
         """Columns without nulls, so that the join and the last step share one shuffle."""
-        return {f"{prefix}_none": id_.isNull(), f"{prefix}_id": F.coalesce(id_.cast("string"), F.lit("")),
-                f"{prefix}_sha": sha}
+        return [id_.isNull(), F.coalesce(id_.cast("string"), F.lit("")), sha]
 
     kept = exact_duplicates(docs, id_col, text_col).filter("kept").select(
-        *[c.alias(n) for n, c in keys(F.col("doc_id"), F.col("text_sha256"), "_kept").items()])
+        *[c.alias(n) for n, c in zip(others, keys(F.col("doc_id"), F.col("text_sha256")))])
     # Visibly never null, else a filter would compute the digest once more.
     sha = F.coalesce(F.sha2(normalised(F.coalesce(docs[text_col], F.lit(""))), 256), F.lit(""))
-    marked = docs.withColumns(keys(docs[id_col], sha, "_row"))
-    names = ["_row_none", "_row_id", "_row_sha"]
-    same = [F.col(n) == F.col(n.replace("_row", "_kept")) for n in names]
+    marked = docs.withColumns(dict(zip(names, keys(docs[id_col], sha))))
+    same = [F.col(a) == F.col(b) for a, b in zip(names, others)]
     return marked.join(kept, same, "left_semi").dropDuplicates(names).drop(*names)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
-from .common import pick
+from .common import free_names, pick
 from .components import components
 
 BITS = 64
@@ -190,18 +190,19 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     id_ = F.col(id_col)
     sha = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256)
     key = F.struct(id_.isNull().alias("none"), id_.alias("id"), sha.alias("sha"))
-    found = near_duplicates(docs.select(key.alias("_key"), text_col), "_key", text_col)
+    found = near_duplicates(docs.select(key.alias("_key"), F.col(text_col).alias("_text")), "_key", "_text")
 
-    def keys(key: Column, prefix: str) -> list[Column]:
+    names = free_names(docs, "_row_none", "_row_id", "_row_sha")
+    others = free_names(docs, "_stay_none", "_stay_id", "_stay_sha")
+
+    def keys(key: Column, names: list[str]) -> list[Column]:
         """Columns without nulls, so that the join and the last step share one shuffle."""
-        return [key["none"].alias(f"{prefix}_none"),
-                F.coalesce(key["id"].cast("string"), F.lit("")).alias(f"{prefix}_id"),
-                F.coalesce(key["sha"], F.lit("")).alias(f"{prefix}_sha")]
-
-    stay = found.select("component_id").distinct().select(*keys(F.col("component_id"), "_stay"))
-    marked = docs.select(*[docs[c] for c in docs.columns], *keys(key, "_row"))
-    names = ["_row_none", "_row_id", "_row_sha"]
-    same = [F.col(n) == F.col(n.replace("_row", "_stay")) for n in names]
+        return [key["none"].alias(names[0]), F.coalesce(key["id"].cast("string"), F.lit("")).alias(names[1]),
+                F.coalesce(key["sha"], F.lit("")).alias(names[2])]
+
+    stay = found.select("component_id").distinct().select(*keys(F.col("component_id"), others))
+    marked = docs.select(*[docs[c] for c in docs.columns], *keys(key, names))
+    same = [F.col(a) == F.col(b) for a, b in zip(names, others)]
     return marked.join(stay, same, "left_semi").dropDuplicates(names).drop(*names)
 
 

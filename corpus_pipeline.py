@@ -21,28 +21,37 @@ from tidewatch.session import written
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Null texts and texts without a letter go; rows with equal or null ids are judged by their own text."""
     prepare(spark)
     return language_id.identified(docs, language_id.fit(docs))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of rows with equal texts, repeated rows with them, one stays, that with the smallest id; null texts are
+    equal to empty ones, null ids come last."""
     prepare(spark)
     return exact_dedup.drop_exact_duplicates(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each linked group stays, that with the smallest id, null ids last; texts without words, null
+    ones with them, are one group."""
     prepare(spark)
     return simhash.drop_near_duplicates(docs)
 
 
 def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``n_chars`` is that of the new text."""
+    """Null texts stay null; rows with equal or null ids are rewritten each by their own text. ``n_chars``, where
+    there is such a column, is that of the new text."""
     prepare(spark)
-    return pii.sanitise(docs).withColumn(
-        "n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    clean = pii.sanitise(docs)
+    if "n_chars" not in docs.columns:
+        return clean
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A null or empty text is its end id alone; rows with equal or null ids are documents of their own."""
     prepare(spark)
     return packing.packed_sequences(docs, tokenizer_path("byte_bpe_50k.json"))
 

@@ -203,9 +203,9 @@ def test_packing_asks_the_library_where_merges_differ(library):
 
 
 def test_rows_with_equal_ids_are_spread(spark):
-    """A third of all rows without an id, many with one text: no group gets much more than its share."""
+    """A third of all rows without an id, many with one text: no task gets much more than its share."""
     docs = spark.range(30_000).selectExpr("IF(id % 3 = 0, NULL, id) AS doc_id", "IF(id % 6 = 0, 'same', CAST(id AS STRING)) AS text")
-    rows = packing.packed_sequences(docs.repartition(16), JSON, group_docs=1000)
-    groups = rows.filter("start = 0").groupBy((rows.sequence_id / (1 << 32)).cast("long")).count()
-    sizes = [r["count"] for r in groups.collect()]
-    assert sum(sizes) == 30_000 and len(sizes) == 30 and max(sizes) < 2_000
+    rows = packing.packed_sequences(docs.repartition(16), JSON, task_bytes=5_000)
+    tasks = rows.filter("start = 0").groupBy((rows.sequence_id / (1 << 32)).cast("long")).count()
+    sizes = [r["count"] for r in tasks.collect()]
+    assert sum(sizes) == 30_000 and len(sizes) == 28 and max(sizes) < 2_000

@@ -1,8 +1,8 @@
 """Packing token pieces into fixed-length sequences: first-fit decreasing in random groups.
 
-Documents are dealt to groups at random and shuffled once, as text. The task that holds a
-group encodes its documents, cuts full-length pieces off long ones and packs the rest first-fit
-decreasing; a tournament tree over the bins' free space finds the first bin with room in
+Documents are dealt to tasks at random, each by its own hash, and shuffled once, as text. A task takes
+them in the order of their hashes, a group at a time: it encodes the group's documents, cuts
+full-length pieces off long ones and packs the rest first-fit decreasing; a tournament tree over the bins' free space finds the first bin with room in
 logarithmic time. Then the emptiest bins are cut up to fill the holes that are left in the others.
 Groups are independent, so nothing grows with the input but their number.
 """
@@ -25,7 +25,7 @@ GROUP_TOKENS = 4_000_000
 #: Smaller holes are left as padding instead of being filled with a cut-off piece.
 LEAST_CUT = 16
 #: Bytes of text that a task is dealt.
-TASK_BYTES = 32 << 20
+TASK_BYTES = 24 << 20
 #: The faster engine's pattern recurses over runs of white space; texts with a longer run than this are given
 #: to the tokenizers library, which gives the same ids.
 LONGEST_RUN = 200
@@ -148,27 +148,25 @@ class Encoder:
 
 def packed_sequences(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
                      length: int = LENGTH, group_docs: int = GROUP_DOCS,
-                     least_cut: int = LEAST_CUT) -> DataFrame:
+                     least_cut: int = LEAST_CUT, task_bytes: int = TASK_BYTES) -> DataFrame:
     """One row per piece: doc_id, start, length, tokens (ids as little-endian unsigned 32-bit
     numbers), doc_tokens, sequence_id, offset.
 
     A document is its text's ids and an end id 0; a null or empty text is the end id alone.
     Each id is in exactly one piece; a sequence's pieces lie without gaps from offset 0 and hold
     ``length`` tokens at most. Rows with equal or null ids are documents of their own, and are spread over
-    the groups like others: groups follow from id, text and the input's partition.
+    the tasks like others: a task follows from id, text and the input's partition.
     """
     rows = pick(docs, id_col, text_col)
-    n, size = rows.agg(F.count("*"), F.sum(F.octet_length("text").cast("bigint"))).first()
-    groups = max(1, -(-n // group_docs))
-    tasks = max(1, min(groups, -(-(size or 0) // TASK_BYTES)))
-    dealt = rows.withColumn("group", F.pmod(F.xxhash64(
-        "doc_id", "text", F.spark_partition_id(), F.lit(SEED)), F.lit(groups)))
+    size = rows.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
+    tasks = max(1, -(-size // task_bytes))
+    dealt = rows.withColumn("deal", F.xxhash64("doc_id", "text", F.spark_partition_id(), F.lit(SEED)))
     kind = rows.schema["doc_id"].dataType
 
     def run(batches):
         encoder = per_worker(("encoder", path), lambda: Encoder(path))
         held: list = []
-        group, sequence, tokens = None, 0, 0
+        task, sequence, tokens = 0, 0, 0
 
         def packed():
             nonlocal held, sequence, tokens
@@ -178,7 +176,7 @@ def packed_sequences(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
                 for at, start, n in pieces:
                     doc, ids = held[at]
                     out.append((doc, start, n, ids[start:start + n].tobytes(), len(ids),
-                                (group << 32) + sequence, offset))
+                                (task << 32) + sequence, offset))
                     offset += n
                 sequence += 1
             held, tokens = [], 0
@@ -191,18 +189,17 @@ def packed_sequences(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
         id_type = None
         for batch in batches:
             id_type = batch.schema.field(0).type
-            for doc, text, g in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if held and (g != group or len(held) >= group_docs or tokens >= GROUP_TOKENS):
+            for doc, text, task in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if held and (len(held) >= group_docs or tokens >= GROUP_TOKENS):
                     yield packed()
-                if g != group:
-                    group, sequence = g, 0
                 ids = np.array([*encoder.encode(text), END_ID], dtype="<u4")
                 held.append((doc, ids))
                 tokens += len(ids)
         if held:
             yield packed()
 
-    return (dealt.repartition(tasks, "group").sortWithinPartitions("group", "doc_id", "text")
+    return (dealt.repartition(tasks, "deal").sortWithinPartitions("deal")
+            .select("doc_id", "text", F.spark_partition_id().alias("task"))
             .mapInArrow(run, f"doc_id {kind.simpleString()}, start bigint, length bigint, "
                              "tokens binary, doc_tokens bigint, sequence_id bigint, offset bigint"))
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import keyed, lifecycle, liveness, sequential
+from tidewatch.operators import windows as failure_windows
 from tidewatch.streaming import keyed_state, open_state, run, sinks, windows
 
 from .test_rules import BASE, at, member_rows, stamped
@@ -265,3 +266,29 @@ def test_snapshot_goes_on(spark, tmp_path):
 def test_nothing_open_without_rows(spark, streamed):
     stream = streamed([], delay="3 seconds")
     assert keyed_state.live_intervals(stream, "m", "ts", "id", "kind", 2_000_000, 700_000, BASE).count() == 0
+
+
+def failure_rows(spark):
+    rows, _ = member_frame(spark, 34)
+    rows += [(m, 50_000 + i, at(BASE + (i // 2) * 1_000_000), "failure") for m in (0, None) for i in range(60)]
+    return rows, spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.mark.parametrize("interval", [5_000_000, 7, 0])
+def test_failures_in_interval_per_event(spark, streamed, interval):
+    """Exact counts: ties, edges, rows that wait; slices that are dropped in between."""
+    rows, batch = failure_rows(spark)
+    want = rows_of(failure_windows.failures_in_interval(batch, ["m"], "ts", interval))
+    got = keyed_state.failures_in_interval(streamed(rows, delay="3 seconds"), "m", "ts", "id", interval,
+                                           until_us=liveness.horizon(batch, "ts"))
+    assert rows_of(got) == want
+
+
+def test_failures_in_interval_over_a_restart(spark, fed):
+    rows, _ = member_frame(spark, 34)
+    # No two rows of one time: what comes at the watermark's time after it is late.
+    rows += [(m, 50_000 + i, at(BASE + i * 517_013 + (m or 5)), "failure") for m in (0, None) for i in range(60)]
+    batch = spark.createDataFrame(rows, SCHEMA)
+    got = fed(rows, lambda s: keyed_state.failures_in_interval(s, "m", "ts", "id", 1_500_000))
+    want = failure_windows.failures_in_interval(batch, ["m"], "ts", 1_500_000)
+    assert rows_of(got.filter("m IS NULL OR m < 999")) == rows_of(want)

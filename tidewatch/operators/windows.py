@@ -132,19 +132,26 @@ def failures_in_interval(failures: DataFrame, keys: Sequence[str], ts: str, inte
     at = micros(F.col(ts))
     per_instant = (failures.select(*keys, at.alias("__at")).groupBy(*keys, "__at")
                    .agg(F.count(F.lit(1)).alias("__n")))
+    return (counted_instants(per_instant, keys, interval_us, name, failures)
+            .select(*keys, F.timestamp_micros("__at").alias(ts), name))
+
+
+def counted_instants(per_instant: DataFrame, keys: Sequence[str], interval_us: int, name: str,
+                     bound: DataFrame | None = None) -> DataFrame:
+    """(keys, __at, name) of ``per_instant`` (keys, __at, __n): the sum of __n over ``[__at - interval, __at]``.
+    ``bound`` is a frame with the same keys that is cheaper to count."""
+    bound = per_instant if bound is None else bound
     if interval_us <= 0:
-        return (Ordered(per_instant, keys, ["__at"], bound=(failures, 1))
-                .running(name, F.sum, F.col("__n")).df
-                .select(*keys, F.timestamp_micros("__at").alias(ts), name))
+        return (Ordered(per_instant, keys, ["__at"], bound=(bound, 1))
+                .running(name, F.sum, F.col("__n")).df.select(*keys, "__at", name))
     # Entries sort before exits of the same instant, so the edge is still inside.
     moves = per_instant.select(*keys, F.explode(F.array(
         F.struct(F.col("__at"), F.lit(0).alias("__exit"), F.col("__n")),
         F.struct((F.col("__at") + interval_us).alias("__at"), F.lit(1).alias("__exit"),
                  (-F.col("__n")).alias("__n")))).alias("__m")).select(*keys, "__m.*")
-    counted = (Ordered(moves, keys, ["__at", "__exit"], bound=(failures, 2))
+    counted = (Ordered(moves, keys, ["__at", "__exit"], bound=(bound, 2))
                .running(name, F.sum, F.col("__n")).df)
-    return (counted.filter(F.col("__exit") == 0)
-            .select(*keys, F.timestamp_micros("__at").alias(ts), name))
+    return counted.filter(F.col("__exit") == 0).select(*keys, "__at", name)
 
 
 def register_outcome(registrations: DataFrame, member: str, order: Sequence[str], row_id: str,

@@ -11,6 +11,7 @@ from ..session import scratch_folder
 from ..streaming import keyed_state, open_state, run, sinks, windows
 from .q_liveness import (BARS_SQL, CHECK, EXCLUSION_SQL, LIVE_SQL, THROTTLE_SQL, TIMEOUT,
                          US_PER_HOUR, WORKERS_SQL, ntz)
+from .q_windows import FAILURES_SQL
 from .registry import query
 from .tables import number_in
 
@@ -105,6 +106,13 @@ def _(t):
         until_us=liveness.horizon(t.beats, "ts")), "ts", "excluded_until")
 
 
+@query("stream_failures_in_interval", FAILURES_SQL.format(key="host_id,", part="PARTITION BY host_id"), "v_beats")
+def _(t):
+    failures = beats(t).filter(F.col("kind") == "failure")
+    return ntz(keyed_state.failures_in_interval(failures, "host_id", "ts", "event_id", 48 * US_PER_HOUR,
+                                                until_us=liveness.horizon(t.beats, "ts")), "ts")
+
+
 @query("stream_quote_bars", BARS_SQL, "v_quotes")
 def _(t):
     quotes = events(t).select("event_id", F.col("event_type").alias("security"), "ts",

@@ -7,6 +7,7 @@ rules for throttling and exclusion are the same step functions as in batch.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -19,6 +20,7 @@ from pyspark.sql.types import (ArrayType, DataType, IntegralType, LongType, Stri
                                StructType)
 
 from ..operators.sequential import exclusion_step, throttle_step
+from ..operators.windows import counted_instants
 from .open_state import run_to_end, stored
 from .run import use_rocksdb
 
@@ -26,6 +28,13 @@ STATE = StructType([StructField("values", ArrayType(LongType()))])
 PIECE = StructType([StructField("first_at", LongType()), StructField("n", LongType())])
 DUE = StructType([StructField("due_ms", LongType())])
 
+SLICE = StructType([StructField("part", LongType())])
+TOTAL = StructType([StructField("n", LongType())])
+INSTANTS = StructType([StructField("at", ArrayType(LongType())), StructField("n", ArrayType(LongType()))])
+
+#: An interval is cut into about so many slices.
+SLICES = 64
+
 #: Rows of a key that wait for the watermark lie in pieces of at most so many rows that follow each other.
 PIECE_ROWS = 1000
 
@@ -104,22 +113,81 @@ class Replay(StatefulProcessor):
         if later:
             waiting.append(self._put(sorted(later)))
         ready.sort()
-        next_row = min(waiting, default=None)
+        out, due = self._apply(ready, passed)
+        times = [t for t in (*waiting, due) if t is not None]
+        self._wake(min(times) if times else None)
+        if out:
+            yield _results(key[0], out, self.seq)
+
+    def _apply(self, ready: list[tuple], passed: int) -> tuple[list[tuple], int | None]:
+        """Results of rows in order, and when to look again at the latest."""
         state = list(self.state.get()[0]) if self.state.exists() else []
         out, state, due = self.rule(ready, state, passed)
         if len(state):
             self.state.update(([int(v) for v in state],))
         else:
             self.state.clear()
-        times = [t for t in (next_row, due) if t is not None]
-        self._wake(min(times) if times else None)
-        if out:
-            yield _results(key[0], out, self.seq)
+        return out, due
 
     def close(self) -> None:
         pass
 
 
+class Counting(Replay):
+    """Counts, for each instant with rows, a key's rows in the interval that ends there.
+
+    Rows that were counted lie by instant in slices of a part of the interval, with a total per slice: a count
+    adds up the totals of whole slices and looks into the one that the interval's start cuts. A timer
+    drops the slices that no later row can count; a key that is silent for an interval keeps no state.
+    """
+
+    def __init__(self, interval_us: int, seq: DataType):
+        super().__init__(None, seq)
+        self.interval, self.width = interval_us, max(1, interval_us // SLICES)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.totals = handle.getMapState("totals", SLICE, TOTAL)
+        self.instants = handle.getMapState("instants", SLICE, INSTANTS)
+
+    def _apply(self, ready: list[tuple], passed: int) -> tuple[list[tuple], int | None]:
+        times = sorted(Counter(row[0] for row in ready).items())
+        if self.interval <= 0:
+            n, out = int(self.state.get()[0][0]) if self.state.exists() else 0, []
+            for at, rows in times:
+                n += rows
+                out.append((at, n, 0, 0, False))
+            self.state.update(([n],))
+            return out, None
+        totals = {int(k[0]): int(v[0]) for k, v in self.totals.iterator()}
+        fresh: dict[int, list[tuple[int, int]]] = {}
+        kept: dict[int, list[tuple[int, int]]] = {}
+
+        def held(part: int) -> list[tuple[int, int]]:
+            if part not in kept:
+                known = part in totals and self.instants.containsKey((part,))
+                kept[part] = list(zip(*self.instants.getValue((part,)), strict=True)) if known else []
+            return kept[part] + fresh.get(part, [])
+
+        out = []
+        for at, rows in times:
+            part, start = at // self.width, at - self.interval
+            fresh.setdefault(part, []).append((at, rows))
+            totals[part] = totals.get(part, 0) + rows
+            cut = start // self.width
+            n = sum(rows for p, rows in totals.items() if cut < p <= part)
+            n += sum(int(rows) for t, rows in held(cut) if t >= start) if cut in totals else 0
+            out.append((at, n, 0, 0, False))
+        for part in fresh:
+            self.instants.updateValue((part,), tuple([int(v) for v in x] for x in zip(*held(part), strict=True)))
+            self.totals.updateValue((part,), (totals[part],))
+        for part in [p for p in totals if (p + 1) * self.width <= passed - self.interval]:
+            del totals[part]
+            self.instants.removeKey((part,))
+            self.totals.removeKey((part,))
+        return out, (max(totals) + 1) * self.width + self.interval if totals else None
+
+
 def _results(member, out: list[tuple], seq: DataType) -> pd.DataFrame:
     """Rules give (a, b, c, d); b is a row's id in results that name a row, and nothing where there is no end."""
     named = [(member, int(a), b if by_id else None, None if by_id or b is None else int(b), int(c), int(d))
@@ -236,6 +304,9 @@ class StreamRule:
     rule: object
     shape: Callable[[DataFrame], DataFrame]
 
+    def processor(self, seq: DataType) -> Replay:
+        return Replay(self.rule, seq)
+
     def results(self, stream: DataFrame) -> DataFrame:
         """The stream must carry a watermark on the time. Members keep their type; ids that are no whole
         numbers are ordered as text."""
@@ -246,7 +317,7 @@ class StreamRule:
             F.col(self.member).alias("member"), F.unix_micros(F.col(self.ts)).alias("at"),
             F.col(self.seq).cast(kind).alias("seq"), self.code.cast("bigint").alias("code"), F.col(self.ts))
         return self.shape(rows.groupBy("member").transformWithStateInPandas(
-            statefulProcessor=Replay(self.rule, kind),
+            statefulProcessor=self.processor(kind),
             outputStructType=result_schema(stream.schema[self.member].dataType, kind), outputMode="append",
             timeMode="eventTime"))
 
@@ -285,6 +356,45 @@ class StreamRule:
         return run_to_end(self.results(stream), lambda checkpoint: self.rest(spark, checkpoint, until_us))
 
 
+@dataclass
+class CountRule(StreamRule):
+    """Counts in an interval, ``rule`` microseconds long."""
+
+    def processor(self, seq: DataType) -> Replay:
+        return Counting(self.rule, seq)
+
+    def rest(self, spark, checkpoint: str, until_us: int) -> DataFrame:
+        waiting = stored(spark, checkpoint, "rows").select(
+            F.col("key.member").alias("member"), F.explode("user_map_value.at").alias("__at"))
+        waiting = waiting.groupBy("member", "__at").agg(F.count(F.lit(1)).alias("__n"))
+        if self.rule > 0:
+            kept = stored(spark, checkpoint, "instants").select(F.col("key.member").alias("member"), F.explode(
+                F.arrays_zip("user_map_value.at", "user_map_value.n")).alias("x"))
+            kept = kept.select("member", F.col("x.at").alias("__at"), F.col("x.n").alias("__n"))
+        else:
+            kept = stored(spark, checkpoint, "state").select(
+                F.col("key.member").alias("member"), F.lit(-2**62).alias("__at"), F.get("value.values", 0).alias("__n"))
+        # Only what waits is new; rows of an instant that was counted before it cannot come any more.
+        both = waiting.withColumn("__new", F.lit(1)).unionByName(kept.withColumn("__new", F.lit(0)))
+        instants = both.groupBy("member", "__at").agg(F.sum("__n").alias("__n"), F.max("__new").alias("__new"))
+        counted = counted_instants(instants.drop("__new"), ["member"], self.rule, "b")
+        fresh = instants.filter("__new = 1").select(F.col("member").alias("__m"), F.col("__at").alias("a"))
+        found = counted.join(fresh, F.col("member").eqNullSafe(F.col("__m")) & (F.col("__at") == F.col("a")))
+        return self.shape(found.select("member", "a", F.lit(None).cast("bigint").alias("id"), "b",
+                                       F.lit(0).cast("bigint").alias("c"), F.lit(0).cast("bigint").alias("d")))
+
+
+def failures_in_interval(failures: DataFrame, key: str, ts: str, seq: str, interval_us: int,
+                         name: str = "recent_failures", until_us: int | None = None) -> DataFrame:
+    """Per failure time of a key: failures in ``[time - interval, time]``, exactly, as
+    ``operators.windows.failures_in_interval`` has them; with ``until_us`` the stream is run to its last row."""
+    def shape(out: DataFrame) -> DataFrame:
+        return out.select(F.col("member").alias(key), F.timestamp_micros("a").alias(ts), F.col("b").alias(name))
+
+    rule = CountRule(key, ts, seq, F.lit(0), interval_us, shape)
+    return rule.results(failures) if until_us is None else rule.whole(failures, until_us)
+
+
 def _kind_code(kind: str) -> Column:
     return (F.when(F.col(kind) == "register", REGISTER).when(F.col(kind) == "heartbeat", HEARTBEAT)
             .when(F.col(kind) == "remove", REMOVE))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -135,8 +135,8 @@ class ThresholdCounts:
     """Counts rows per type over a stream and calls ``action(type, count)`` for each type of a batch whose
     count is above the threshold.
 
-    Each batch stores its own counts, so a repeated batch counts once, and totals add up one row per
-    type and batch instead of reading the rows again.
+    Each batch stores all totals after it, those of the batch before and its own counts, so it reads one
+    row per type, however many batches there were; a repeated batch starts from the same totals.
     """
 
     def __init__(self, spark: SparkSession, path: str, type_col: str, threshold: int,
@@ -144,16 +144,29 @@ class ThresholdCounts:
         self.spark, self.path, self.type_col = spark, path, type_col
         self.threshold, self.action = threshold, action
 
+    def _before(self, batch_id: int, counts: DataFrame) -> DataFrame:
+        """(type, n) after the newest batch before this one."""
+        shape = counts.schema
+        try:
+            return self.spark.read.schema(shape).parquet(batch_folder(self.path, batch_id - 1))
+        except AnalysisException:
+            pass  # no such folder: the first batch here, or ids with a gap
+        try:
+            stored = (self.spark.read.option("basePath", self.path)
+                      .schema(StructType(list(shape.fields)).add("batch_id", LongType())).parquet(self.path))
+        except AnalysisException:
+            return counts.limit(0)
+        last = stored.filter(F.col("batch_id") < batch_id).agg(F.max("batch_id")).first()[0]
+        return stored.filter(F.col("batch_id") == F.lit(last)).drop("batch_id")
+
     def write_batch(self, batch: DataFrame, batch_id: int) -> None:
         counts = count_type(batch, self.type_col)
-        counts.write.mode("overwrite").parquet(batch_folder(self.path, batch_id))
-        stored = (self.spark.read.option("basePath", self.path)
-                  .schema(StructType(list(counts.schema.fields)).add("batch_id", LongType()))
-                  .parquet(self.path).filter(F.col("batch_id") <= batch_id))
-        seen = stored.filter(F.col("batch_id") == batch_id).select(self.type_col)
-        totals = (stored.join(seen, self.type_col, "left_semi").groupBy(self.type_col)
-                  .agg(F.sum("n").alias("n")).filter(F.col("n") > self.threshold))
-        for row in totals.toLocalIterator():
+        both = counts.withColumn("fresh", F.lit(1)).unionByName(
+            self._before(batch_id, counts).withColumn("fresh", F.lit(0)))
+        totals = both.groupBy(self.type_col).agg(F.sum("n").alias("n"), F.max("fresh").alias("fresh"))
+        totals.write.mode("overwrite").parquet(batch_folder(self.path, batch_id))
+        here = self.spark.read.schema(totals.schema).parquet(batch_folder(self.path, batch_id))
+        for row in here.filter((F.col("fresh") == 1) & (F.col("n") > self.threshold)).toLocalIterator():
             self.action(row[self.type_col], row["n"])
 
 

@@ -153,13 +153,21 @@ def _(t):
 
 
 @query("stream_register_dedup", """
+SELECT member_id, arg_min(event_id, struct_pack(us := epoch_us(ts), id := event_id)) AS event_id, min(ts) AS ts
+FROM v_beats WHERE kind = 'register' GROUP BY member_id
+""", "v_beats")
+def _(t):
+    registrations = beats(t).filter(F.col("kind") == "register")
+    return ntz(keyed_state.first_registrations(
+        registrations, "member_id", "ts", "event_id", until_us=liveness.horizon(t.beats, "ts")), "ts")
+
+
+@query("stream_register_ids", """
 SELECT DISTINCT member_id FROM v_beats WHERE kind = 'register'
 """, "v_beats")
 def _(t):
-    registrations = beats(t, "60 days").filter(F.col("kind") == "register").select(
-        "member_id", "ts")
-    return run.run_to_table(windows.register_dedup(registrations, ["member_id"])).select(
-        "member_id")
+    registrations = beats(t, "60 days").filter(F.col("kind") == "register").select("member_id", "ts")
+    return run.run_to_table(windows.register_dedup(registrations, ["member_id"])).select("member_id")
 
 
 @query("stream_overflow_report", f"""
@@ -271,32 +279,31 @@ UNION ALL SELECT 'errors', count(*), FALSE FROM events WHERE event_type = 'error
 """)
 def _(t):
     base = folder(t, "isolated")
-    failed: set[str] = set()
+    names = ("counts", "broken", "errors")
+    rows = t.read("events").select("event_id").limit(0)
+    for name in names:
+        rows.write.parquet(sinks.batch_folder(f"{base}/{name}", -1))
 
-    def keep(name, condition=None):
+    def keep(name, rows_of):
         def handler(batch, batch_id):
-            rows = batch if condition is None else batch.filter(condition)
-            rows.write.mode("overwrite").parquet(sinks.batch_folder(f"{base}/{name}", batch_id))
+            rows_of(batch).select("event_id").write.mode("overwrite").parquet(
+                sinks.batch_folder(f"{base}/{name}", batch_id))
         return handler
 
-    def broken(batch, batch_id):
-        batch.select(F.assert_true(F.col("event_id") < 0)).write.format("noop").mode(
-            "overwrite").save()
-
-    run.run_batches(events(t, None).select("event_id", "event_type"), sinks.isolated(
-        {"broken": broken, "counts": keep("counts"),
-         "errors": keep("errors", F.col("event_type") == "error")},
-        lambda name, batch_id, error: failed.add(name)))
-    result = None
-    for name in ("counts", "errors"):
-        rows = t.spark.read.schema("event_id bigint").parquet(f"{base}/{name}").agg(
-            F.count(F.lit(1)).alias("rows_seen")).select(
-            F.lit(name).alias("handler"), "rows_seen", F.lit(name in failed).alias("failed"))
-        result = rows if result is None else result.unionByName(rows)
-    broken_row = result.filter(F.col("handler") == "counts").select(
-        F.lit("broken").alias("handler"), F.lit(0).cast("bigint").alias("rows_seen"),
-        F.lit("broken" in failed).alias("failed"))
-    return result.unionByName(broken_row)
+    failures = sinks.FailureLog(t.spark, f"{base}-failures")
+    # The first handler fails at the first row, inside its write.
+    run.run_batches(events(t, None).select("event_id", "event_type"), sinks.isolated({
+        "broken": keep("broken", lambda batch: batch.filter(F.assert_true(F.col("event_id") < 0).isNull())),
+        "counts": keep("counts", lambda batch: batch),
+        "errors": keep("errors", lambda batch: batch.filter(F.col("event_type") == "error"))}, failures))
+    seen = None
+    for name in names:
+        part = t.spark.read.schema("event_id bigint").parquet(f"{base}/{name}").agg(
+            F.count(F.lit(1)).alias("rows_seen")).select(F.lit(name).alias("handler"), "rows_seen")
+        seen = part if seen is None else seen.unionByName(part)
+    failed = failures.read().groupBy("handler").agg(F.count(F.lit(1)).alias("times"))
+    return seen.join(failed, "handler", "left").select(
+        "handler", "rows_seen", (F.coalesce("times", F.lit(0)) > 0).alias("failed"))
 
 
 @query("late_rows", f"""

@@ -293,6 +293,19 @@ class WorkerRule:
         return [(state[0], None, OPEN, state[1], False)] if state else []
 
 
+class FirstRule:
+    """State: the time of the first row, once there was one. Results are (time, id of the first row)."""
+
+    def __call__(self, ready, state, passed):
+        if state or not ready:
+            return [], state, None
+        at, seq, _code = ready[0]
+        return [(at, seq, 0, 0, True)], [at], None
+
+    def open(self, state):
+        return []
+
+
 @dataclass
 class StreamRule:
     """A rule over the rows of a stream: which column is what, and how its results are shaped."""
@@ -463,6 +476,18 @@ def expire_workers(stream: DataFrame, member: str, ts: str, seq: str, kind: str,
     return rule.results(known) if until_us is None else rule.whole(known, until_us)
 
 
+def first_registrations(registrations: DataFrame, member: str, ts: str, seq: str,
+                        until_us: int | None = None) -> DataFrame:
+    """The first registration (member, id, time) of each member in order of time and id, whatever the order in which
+    rows come up to the watermark; later ones are duplicates, for good. ``windows.register_dedup`` forgets ids
+    after the watermark's delay and takes any of the first. With ``until_us`` the stream is run to its last row."""
+    def shape(out: DataFrame) -> DataFrame:
+        return out.select(F.col("member").alias(member), F.col("id").alias(seq), F.timestamp_micros("a").alias(ts))
+
+    rule = StreamRule(member, ts, seq, F.lit(0), FirstRule(), shape)
+    return rule.results(registrations) if until_us is None else rule.whole(registrations, until_us)
+
+
 def throttle(stream: DataFrame, key: str, ts: str, seq: str, period_us: int, terminal: str,
              until_us: int | None = None) -> DataFrame:
     """Emitted rows (key, id, time); with ``until_us`` the stream is run to its last row."""

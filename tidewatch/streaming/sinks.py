@@ -53,6 +53,26 @@ def isolated(handlers: Mapping[str, Callable[[DataFrame, int], None]],
     return handle
 
 
+class FailureLog:
+    """A report for ``isolated`` that keeps what failed as a table (handler, error), a row per failed batch; a
+    batch that fails again replaces its row."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self._add("", -1, "")  # an empty first version, so that the table can always be read
+
+    def _add(self, name: str, batch_id: int, error: str) -> None:
+        rows = self.spark.createDataFrame([(name, error)] if name else [], "handler string, error string")
+        rows.coalesce(1).write.mode("overwrite").parquet(batch_folder(f"{self.path}/{name or 'none'}", batch_id))
+
+    def __call__(self, name: str, batch_id: int, error: Exception) -> None:
+        self._add(name, batch_id, str(error))
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema("handler string, error string").option(
+            "recursiveFileLookup", "true").parquet(self.path)
+
+
 def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 

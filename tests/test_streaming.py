@@ -145,6 +145,46 @@ def test_threshold_counts(spark, tmp_path):
     assert calls == [("b", 4), ("b", 4), ("a", 4)]
 
 
+def test_threshold_counts_read_one_batch(spark, tmp_path, monkeypatch):
+    """Totals go from batch to batch, over a gap in the ids too; a batch that comes again changes nothing."""
+    calls = []
+    counts = sinks.ThresholdCounts(spark, str(tmp_path / "n"), "t", 10, lambda kind, n: calls.append((kind, n)))
+    for batch_id in (3, 4, 7, 7):
+        counts.write_batch(spark.createDataFrame([("a",)] * 4 + [(f"b{batch_id}",)], "t string"), batch_id)
+    assert calls == [("a", 12), ("a", 12)]
+    read = []
+    before = counts._before
+
+    def seen(batch_id, own):
+        out = before(batch_id, own)
+        read.append({f.split("/batch_id=")[1].split("/")[0] for f in out.inputFiles()})
+        return out
+
+    monkeypatch.setattr(counts, "_before", seen)
+    counts.write_batch(spark.createDataFrame([("c",)], "t string"), 8)
+    assert read == [{"7"}] and len(calls) == 2
+
+
+def test_failures_are_kept(spark, tmp_path):
+    log = sinks.FailureLog(spark, str(tmp_path / "log"))
+    assert log.read().count() == 0
+    log("x", 3, ValueError("one"))
+    log("x", 3, ValueError("again"))
+    log("x", 4, ValueError("two"))
+    log("y", 3, KeyError("k"))
+    assert sorted(map(tuple, log.read().collect())) == [("x", "again"), ("x", "two"), ("y", "'k'")]
+
+
+def test_first_registrations(spark, fed):
+    rows, _ = member_frame(spark, 35)
+    rows = [(m, i, t, k) for n, (m, i, t, k) in enumerate(sorted(rows, key=lambda r: r[2])) if k == "register"]
+    got = fed(rows, lambda s: keyed_state.first_registrations(s, "m", "ts", "id"))
+    want = {}
+    for m, i, t, _ in sorted(rows, key=lambda r: (r[2], r[1])):
+        want.setdefault(m, i)
+    assert {r["m"]: r["id"] for r in got.filter("m < 999").collect()} == want
+
+
 def test_isolated_handlers(spark):
     seen, reports = [], []
 

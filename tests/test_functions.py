@@ -41,6 +41,15 @@ def test_format_bytes(spark):
     assert got == ["0.0 B", "999 B", "1 KB", "2 KB", "1.5 MB"]
 
 
+def test_format_bytes_of_large_sizes(spark):
+    # 1000 times 10^12 and more: in the last unit asked for; halves go up although doubles see less.
+    sizes = [10**15, 10**15 + 10**14, 9_007_199_254_740_993, 3_049_999_999_999_999, 9_223_372_036_854_775_807]
+    got = values(spark, "bigint", sizes, lambda n: formats.format_bytes(n, formats.BYTE_UNITS[:5]))
+    assert got == ["1000 TB", "1100 TB", "9007.2 TB", "3050 TB", "9223372 TB"]
+    exact = values(spark, "bigint", [1_049_999_999_999_999_999, 9_223_372_036_854_775_807], formats.format_bytes)
+    assert exact == ["1 EB", "9.2 EB"]
+
+
 def test_times(spark):
     assert values(spark, "bigint", [0], formats.format_time) == ["1970/01/01 00:00:00"]
     assert values(spark, "bigint", [-1, 0, 1000], formats.format_listing_time) == [

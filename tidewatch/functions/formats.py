@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -77,14 +79,21 @@ def format_number_unit(number: Column) -> Column:
     return text.otherwise(number.cast("bigint").cast("string"))
 
 
-def format_bytes(size: Column) -> Column:
-    """Base 1000 with at most one decimal: ``2 KB``, ``1.5 MB``; zero is ``0.0 B``."""
+def format_bytes(size: Column, units: Sequence[str] = BYTE_UNITS) -> Column:
+    """Base 1000 with at most one decimal: ``2 KB``, ``1.5 MB``; zero is ``0.0 B``.
+
+    Whole numbers throughout, halves up. Sizes beyond the last of ``units`` are given in it (``2500 TB``).
+    """
     text = F.when(size == 0, "0.0 B")
-    for power in range(len(BYTE_UNITS) - 1, -1, -1):
-        scaled = F.format_string("%.1f", size.cast("double") / float(1000 ** power))
-        shown = F.concat(F.regexp_replace(scaled, r"\.0$", ""), F.lit(f" {BYTE_UNITS[power]}"))
+    for power in range(len(units) - 1, 0, -1):
+        tenth = 1000 ** power // 10
+        tenths = (F.call_function("div", size, F.lit(tenth))
+                  + F.when(size % tenth >= tenth // 2, 1).otherwise(0))
+        whole, left = F.call_function("div", tenths, F.lit(10)), tenths % 10
+        shown = F.concat(whole.cast("string"), F.when(left > 0, F.concat(F.lit("."), left.cast("string")))
+                         .otherwise(""), F.lit(f" {units[power]}"))
         text = text.when(size >= 1000 ** power, shown)
-    return text
+    return text.when(size >= 1, F.concat(size.cast("string"), F.lit(f" {units[0]}")))
 
 
 def format_time(ms: Column) -> Column:

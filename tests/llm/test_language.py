@@ -1,5 +1,7 @@
 """Language identification: held-out accuracy, filters, odd rows."""
 
+import tracemalloc
+
 import numpy as np
 
 from tidewatch.llm import language_id
@@ -44,6 +46,17 @@ def test_portions_are_whole(monkeypatch):
     assert all((a == b).all() for a, b in zip(whole, parts))
 
 
+def test_a_worker_holds_little():
+    """Arrays that live at a time, for a text of 4 million letters; the tables of letters are made first."""
+    model = language_id.Model(["a", "b"], "a", [np.zeros(1 << 20, np.uint8)])
+    model.predict(["a"])
+    tracemalloc.start()
+    model.predict(["ab" * 1_000_000] * 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 << 20
+
+
 def test_odd_rows(spark):
     model = language_id.fit(table(spark, "documents"))
     got = language_id.predict(odd_documents(spark), model).collect()

@@ -35,8 +35,9 @@ TABLE_BYTES = 64 << 20
 SLOTS_PER_ROW = 1 << 14
 #: A trigram belongs to a language if its rate there is at least this part of its highest rate.
 RATE_SHARE = 0.5
-#: Characters handled at a time, and distinct trigrams that a learning task holds.
-AT_ONCE = 1 << 20
+#: Characters handled at a time (a worker takes about 130 bytes for each), and distinct trigrams that a learning
+#: task holds.
+AT_ONCE = 1 << 17
 HELD_GRAMS = 1 << 20
 
 #: Odd multipliers for mixing.
@@ -45,9 +46,10 @@ MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
     """Per code point: whether it is a letter; its lower-case code point."""
-    chars = [chr(c) for c in range(0x110000)]
-    letter = np.array([c.isalpha() for c in chars])
-    lower = np.array([ord(x) if len(x := c.lower()) == 1 else ord(c) for c in chars], np.int64)
+    points = range(0x110000)
+    # From iterators: lists of all characters would cost a worker over 100 MB.
+    letter = np.fromiter((chr(c).isalpha() for c in points), bool, len(points))
+    lower = np.fromiter((ord(x) if len(x := chr(c).lower()) == 1 else c for c in points), np.int64, len(points))
     return letter, lower
 
 

@@ -69,6 +69,28 @@ def test_weights_are_the_ratio(spark):
     assert quality_llr.trusted_ids(labels, most=1).count() == 1
 
 
+def test_all_trusted_documents_count(spark):
+    labels = spark.range(20_001).selectExpr("id AS doc_id", "1 AS quality")
+    assert quality_llr.trusted_ids(labels).count() == 20_001
+
+
+def test_exact_rank_in_rounds(spark, monkeypatch):
+    monkeypatch.setattr(quality_llr, "RANK_VALUES", 5)
+    monkeypatch.setattr(quality_llr, "RANK_PARTS", 3)
+    values = [((i * 37) % 101) / 7 for i in range(90)] + [3.0] * 20 + [-1e9, 1e-300]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for rank in (0, 1, 40, 110, 111):
+        assert quality_llr.at_rank(df, "v", rank) == sorted(values)[rank]
+
+
+def test_query_is_fit_and_quality(spark):
+    docs, labels = table(spark, "documents"), table(spark, "labels")
+    trusted = quality_llr.trusted_ids(labels)
+    weights = quality_llr.fit(docs, trusted)
+    want = quality_llr.quality(docs, weights, quality_llr.fit_threshold(docs, trusted, weights)).collect()
+    assert sorted(quality_llr.fitted_quality(docs, trusted).collect()) == sorted(want)
+
+
 def test_no_python_on_the_path(spark):
     plan = quality_llr.quality(table(spark, "documents"), [0.0] * 16, 0.0)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan

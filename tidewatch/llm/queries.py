@@ -100,9 +100,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_quality_rules")
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    trusted = quality_llr.trusted_ids(read(spark, sf_dir, "labels"))
-    weights = quality_llr.fit(docs, trusted)
-    return quality_llr.quality(docs, weights, quality_llr.fit_threshold(docs, trusted, weights))
+    return quality_llr.fitted_quality(docs, quality_llr.trusted_ids(read(spark, sf_dir, "labels")))
 
 
 @query("op11_vector_codes", codes_sql())

@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators import (liveness, matching, ordered, placement, sequential, settings,
+from tidewatch.operators import (lifecycle, liveness, matching, ordered, placement, sequential, settings,
                                  tasks, windows)
 from tidewatch.operators.quantiles import metric_quantiles
 
@@ -604,3 +604,13 @@ def test_long_fallbacks_store_rows_in_number_of_the_keys(spark, monkeypatch):
     asked = spark.range(n).selectExpr("1 AS scope", "concat('k', id) AS key")
     got = settings.effective_settings(asked, defs, spark.createDataFrame([(1, f"k{n}", "last")], "scope int, key string, value string"))
     assert got.filter("value = 'last'").count() == n and max(stored) <= n + 2
+
+
+def test_events_of_one_host_are_many_tasks(spark):
+    hosts = spark.range(1000).selectExpr("id AS event_id", "1 AS host_id").unionByName(
+        spark.createDataFrame([(1, None), (2, 9)], "event_id bigint, host_id int"))
+    members = spark.range(20).selectExpr("id AS member_id", "1 AS host_id")
+    got = lifecycle.host_to_members(hosts, members)
+    assert got.columns == ["host_id", "event_id", "member_id"]
+    assert got.count() == got.distinct().count() == 20_000
+    assert got.select(F.spark_partition_id()).distinct().count() > 8

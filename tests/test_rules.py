@@ -614,3 +614,18 @@ def test_events_of_one_host_are_many_tasks(spark):
     assert got.columns == ["host_id", "event_id", "member_id"]
     assert got.count() == got.distinct().count() == 20_000
     assert got.select(F.spark_partition_id()).distinct().count() > 8
+
+
+def test_substituted_texts_become_one_part(spark):
+    """However many parts a referenced value has, texts side by side are one; plain text is not joined."""
+    nodes = spark.createDataFrame(
+        [(0, ":a", "x${b}y${c}"), (0, ":b", "${d}"), (0, ":c", "1${gone}${d}"), (0, ":d", "end")],
+        "scope bigint, name string, value string")
+    nodes = nodes.select("scope", "name", settings._parts(F.col("value")).alias("parts"))
+    once = settings._substituted(nodes, nodes)
+    found = {r["name"]: [tuple(p) for p in r["parts"]] for r in once.collect()}
+    assert found == {":a": [("x", None), ("${d}", ":d"), ("y1", None), ("${gone}", ":gone"), ("", None),
+                            ("${d}", ":d"), ("", None)],
+                     ":b": [("end", None)], ":c": [("1${gone}end", None)], ":d": [("end", None)]}
+    joins = once._jdf.queryExecution().optimizedPlan().toString().split("Join LeftOuter")[1]
+    assert "isnotnull(part" in joins.split("Union")[0]

@@ -332,3 +332,25 @@ def test_failures_in_interval_over_a_restart(spark, fed):
     got = fed(rows, lambda s: keyed_state.failures_in_interval(s, "m", "ts", "id", 1_500_000))
     want = failure_windows.failures_in_interval(batch, ["m"], "ts", 1_500_000)
     assert rows_of(got.filter("m IS NULL OR m < 999")) == rows_of(want)
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string", "date"])
+def test_members_share_states(spark, streamed, tmp_path, monkeypatch, kind):
+    """Many members are few states, whatever their names; members of other types have one each."""
+    monkeypatch.setattr(keyed_state, "SHARED_STATES", 3)
+    rows = [(None if m == 7 else m, 100 * i + m, at(BASE + i * 700_000 + m), "register" if i % 5 == 0 else "heartbeat")
+            for m in range(20) for i in range(12)]
+    names = {"bigint": F.col("m") + 2**60, "string": F.concat(F.lit("ü"), "m"),
+             "date": F.date_add(F.lit("2024-01-01").cast("date"), F.col("m").cast("int"))}
+    name = names[kind].cast(kind)
+    batch = spark.createDataFrame(rows, SCHEMA).withColumn("m", name)
+    stream, until = streamed(rows, delay="2 seconds").withColumn("m", name), liveness.horizon(batch, "ts")
+    got = keyed_state.live_changes(stream, "m", "ts", "id", "kind", 1_000_000, 300_000, until)
+    want = liveness.live_intervals(batch, "m", "ts", "id", "kind", 1_000_000, 300_000, until)
+    assert rows_of(keyed_state._intervals(got, "id")) == rows_of(want)
+    asked = liveness.reregister_requests(batch, "m", "ts", "id", "kind", 1_000_000, 300_000)
+    assert {r["id"] for r in got.filter("change = 'request'").collect()} == {r["id"] for r in asked.collect()}
+    checkpoint = str(tmp_path / "checkpoint")
+    run.run_to_table(keyed_state.live_changes(stream, "m", "ts", "id", "kind", 1_000_000, 300_000), checkpoint=checkpoint)
+    states = open_state.stored(spark, checkpoint, "state").select("key").distinct().count()
+    assert states <= 3 if kind in ("bigint", "string") else states > 3

@@ -5,6 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.operators import sorting
+from tidewatch.operators.view import numbered
 from tidewatch.operators.ordered import Ordered
 
 ROWS = 400
@@ -58,3 +60,18 @@ def test_empty_input(spark, rows):
 def test_looking_ahead_needs_names(rows):
     with pytest.raises(TypeError):
         Ordered(rows, ["k"], [F.col("t")], limit=10_000).next_known("x", F.col("v"))
+
+
+def test_numbers_by_a_sort_key_take_texts_apart_once(spark, small_tasks):
+    """The key is stored with the rows, so numbering a spread table does not compute it again."""
+    days = [(i, f" {i % 12 + 1}/{i % 28 + 1}/20{i % 7 + 10}") for i in range(60)]
+    rows = spark.createDataFrame(days, "id bigint, d string")
+    got = numbered(sorting.with_sort_key(rows, "d", ["id"]), ["sort_key", "id"])
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan.lower() and "rlike" not in plan.lower()
+    assert plan.count("Window [row_number") == 1 and plan.count("Window [") == 1
+    def key(row):
+        month, day, year = row[1].strip().split("/")
+        return int(year), int(month), int(day), row[0]
+    want = [r[0] for r in sorted(days, key=key)]
+    assert [(r["rn"], r["id"]) for r in got.orderBy("rn").collect()] == list(enumerate(want, 1))

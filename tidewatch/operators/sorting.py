@@ -32,7 +32,9 @@ def guess_text_type(df: DataFrame, column: str, order: Sequence[str]) -> str:
     column day-first unless a later row decides. One aggregate over the column; its single
     result row comes to the driver.
     """
-    text = _trimmed(F.col(column))
+    # The text is trimmed once, as a column of its own.
+    df = df.select(*order, _trimmed(F.col(column)).alias("__text"))
+    text = F.col("__text")
     first = _date_part(text, 1).try_cast("int")
     second = _date_part(text, 2).try_cast("int")
     is_date = text.rlike(DATE_TEXT)
@@ -62,6 +64,13 @@ def typed_sort_key(column: Column, kind: str) -> Column:
     return F.lower(text)
 
 
+def with_sort_key(df: DataFrame, column: str, order: Sequence[str], name: str = "sort_key") -> DataFrame:
+    """``df`` with what its rows are compared by under the text type of ``column``, as a column: a sort
+    that passes rows several times then reads the key and does not take the text apart each time."""
+    kind = guess_text_type(df, column, order)
+    return df.withColumn(name, typed_sort_key(F.col(column), kind))
+
+
 def typed_text_order(df: DataFrame, column: str, order: Sequence[str]) -> list[Column]:
     """Sort columns for a text column; equal rows keep their ``order``."""
     kind = guess_text_type(df, column, order)

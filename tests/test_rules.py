@@ -629,3 +629,17 @@ def test_substituted_texts_become_one_part(spark):
                      ":b": [("end", None)], ":c": [("1${gone}end", None)], ":d": [("end", None)]}
     joins = once._jdf.queryExecution().optimizedPlan().toString().split("Join LeftOuter")[1]
     assert "isnotnull(part" in joins.split("Union")[0]
+
+
+def test_quantiles_rank_in_as_many_tasks_as_rows_need(spark):
+    """Groups that each fit a task are many tasks' work when all of them do not."""
+    rows = spark.range(900).select((F.col("id") % 90).alias("g"), F.col("id").alias("t"), (-F.col("id")).alias("u"))
+    want = sorted(map(str, metric_quantiles(rows, ["g"], ["t", "u"], [0.0, 0.5, 1.0], "t").collect()))
+    spark.conf.set("spark.tidewatch.rowsPerTask", "60")
+    try:
+        got = metric_quantiles(rows, ["g"], ["t", "u"], [0.0, 0.5, 1.0], "t")
+        assert sorted(map(str, got.collect())) == want and len(want) == 540
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "RepartitionByExpression" in plan and "], 30" in plan
+    finally:
+        spark.conf.unset("spark.tidewatch.rowsPerTask")

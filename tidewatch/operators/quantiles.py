@@ -35,8 +35,14 @@ def metric_quantiles(df: DataFrame, group: Sequence[str], metrics: Sequence[str]
     values = df.select(*group, F.inline(F.array(*[
         F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
         for m in metrics]))).filter(value >= 0)
-    _total, largest = largest_group(df, group)
-    if largest <= rows_per_task(df.sparkSession):
+    total, largest = largest_group(df, group)
+    limit = rows_per_task(df.sparkSession)
+    if largest <= limit:
+        # As many tasks as the rows need, or a shuffle has: a task's sort grows no more with the table.
+        tasks = -(-total * len(metrics) // limit)
+        if tasks > 1:
+            tasks = max(tasks, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+            values = values.repartition(tasks, *group, "metric")
         rank = F.row_number().over(Window.partitionBy(*group, "metric").orderBy("value"))
         ranked = values.withColumn("__upto", rank.cast("bigint")).withColumn(
             "__n", F.lit(1).cast("bigint"))

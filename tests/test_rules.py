@@ -606,6 +606,45 @@ def test_long_fallbacks_store_rows_in_number_of_the_keys(spark, monkeypatch):
     assert got.filter("value = 'last'").count() == n and max(stored) <= n + 2
 
 
+def test_keys_of_settings_are_not_broadcast(spark, monkeypatch):
+    """Tables of keys have small files and many rows: no join sends them through the driver. A table is stored for
+    each doubling of the walks, not for each kind of question about them."""
+    plans = []
+    write = settings.written
+
+    def seen(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df)
+
+    monkeypatch.setattr(settings, "written", seen)
+    # A chain of 200, a circle of 40 with a way into it, and two keys that share the fallback k150.
+    links = {f"k{i}": f"k{i + 1}" for i in range(200)} | {f"c{i}": f"c{(i + 1) % 40}" for i in range(40)}
+    links |= {"into": "c3", "s0": "k150", "s1": "s0"}
+    defs = spark.createDataFrame([(k, None, None, f) for k, f in links.items()] + [("k200", None, "last", None)],
+                                 "key string, alternatives array<string>, default string, fallback string")
+    asked = [(1, k) for k in (*links, "k200")]
+    held = {"k170": "held", "c7": "own"}
+    rows = settings.effective_settings(
+        spark.createDataFrame(asked, "scope int, key string"), defs,
+        spark.createDataFrame([(1, k, v) for k, v in held.items()], "scope int, key string, value string"))
+    plans.append(rows._jdf.queryExecution().executedPlan().toString())
+
+    def want(key):
+        if key in ("into", *(f"c{i}" for i in range(40))):
+            return (held[key], key, None) if key in held else (None, None, "circular fallback")
+        at = int(key[1:]) if key[0] == "k" else 150
+        return ("held", "k170", None) if at <= 170 else ("last", "default", None)
+
+    assert {r["key"]: (r["value"], r["source"], r["error"]) for r in rows.collect()} == {k: want(k) for _, k in asked}
+    assert not [p for p in plans if "Broadcast" in p] and "SortMergeJoin" in "".join(plans)
+
+    plans.clear()
+    chain = defs.filter("key LIKE 'k%'")
+    got = settings.fallback_paths(chain)
+    assert not got.joined and got.places.filter("path = 'k200' AND default = 'last'").count() == 201
+    assert len(plans) <= 10
+
+
 def test_events_of_one_host_are_many_tasks(spark):
     hosts = spark.range(1000).selectExpr("id AS event_id", "1 AS host_id").unionByName(
         spark.createDataFrame([(1, None), (2, 9)], "event_id bigint, host_id int"))
